@@ -130,17 +130,18 @@ def posting_lists(postings: DataFrame, ids_per_list: int = POSTINGS_PER_LIST) ->
     return (
         postings.withColumn("list_no", doc_block(F.col("doc_id"), ids_per_list))
         .groupBy("term", "list_no")
-        .agg(F.sort_array(F.collect_set("doc_id")).alias("doc_ids"))
+        .agg(F.sort_array(F.collect_list("doc_id")).alias("doc_ids"))
     )
 
 
 def corpus_stats(index: Index) -> DataFrame:
-    words = index.vocabulary.agg(F.count(F.lit(1)).alias("n_words"))
-    docs = index.documents.agg(F.count(F.lit(1)).alias("n_docs"))
-    return (
-        words.withColumn("one", F.lit(1))
-        .join(docs.withColumn("one", F.lit(1)), "one")
-        .drop("one")
+    """One row ``(n_words, n_docs)``."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    words = index.vocabulary.select(one.alias("n_words"), none.alias("n_docs"))
+    docs = index.documents.select(none.alias("n_words"), one.alias("n_docs"))
+    return words.unionByName(docs).agg(
+        F.coalesce(F.sum("n_words"), none).alias("n_words"),
+        F.coalesce(F.sum("n_docs"), none).alias("n_docs"),
     )
 
 

@@ -91,9 +91,11 @@ def word_matches(index: Index, expansion: DataFrame) -> DataFrame:
     and the join with the documents all run on the same partitioning, and no
     frequent word gathers in one task.
     """
+    # A condition on the small side, true of every row, lets Spark turn the
+    # broadcast into a filter on the postings' partitions.
+    expansion = expansion.filter("occ > 0")
     keys = ["term"]
     if index.term_buckets:
-        # The bucket prunes the postings to the partitions the terms live in.
         bucketed = term_bucket(F.col("term"), index.term_buckets)
         expansion = expansion.withColumn("term_bucket", bucketed)
         keys = ["term_bucket", "term"]

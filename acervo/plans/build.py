@@ -68,5 +68,6 @@ def index_pages(
     documents = page_documents(raw, stop, docs_per_block, **container)
     if path is None:
         return index_from_documents(documents, docs_per_block)
-    save_index(documents, path, term_buckets, doc_splits, docs_per_block)
+    numbered_here = "doc_id" not in raw.columns
+    save_index(documents, path, term_buckets, doc_splits, docs_per_block, in_id_order=numbered_here)
     return load_index(raw.sparkSession, path)

@@ -24,28 +24,39 @@ def save_index(
     term_buckets: int = TERM_BUCKETS,
     doc_splits: int = DOC_SPLITS,
     docs_per_block: int = DOCS_PER_BLOCK,
+    in_id_order: bool = False,
 ) -> None:
     """Write documents, postings, vocabulary and statistics below ``path``.
 
     Each table is derived from the one written before it, so the pages are
-    read and cleaned once. Postings are moved once, to ``term_buckets`` x
-    ``doc_splits`` groups: the bucket is the partition a term lookup prunes
-    to, the split spreads a term of very many documents over several files.
-    Documents stay where they were computed; their blocks are id ranges.
+    read and cleaned once. Every table is moved once at most:
+
+    * documents to their block of ids, each block spread over ``doc_splits``
+      tasks; with ``in_id_order`` (every task holds a run of ids already, as
+      after ``with_dense_ids``) they stay where they were computed;
+    * postings to ``term_buckets`` x ``doc_splits`` groups: the bucket is the
+      partition a term lookup prunes to, the split spreads a term of very many
+      documents over several files;
+    * terms to the vocabulary, counted per task first.
     """
     spark = documents.sparkSession
+    splits = F.lit(doc_splits).cast("long")
+    block = doc_block(F.col("doc_id"), docs_per_block)
+    if not in_id_order:
+        documents = documents.repartition(block, F.pmod(F.col("doc_id"), splits))
     (
-        documents.withColumn("doc_block", doc_block(F.col("doc_id"), docs_per_block))
+        documents.withColumn("doc_block", block)
+        .sortWithinPartitions("doc_block", "doc_id")
         .write.mode("overwrite")
         .partitionBy("doc_block")
         .parquet(f"{path}/documents")
     )
     stored = _read(spark, path, "documents", DOCUMENTS)
-    split = F.pmod(F.xxhash64("doc_id"), F.lit(doc_splits).cast("long"))
+    bucket = term_bucket(F.col("term"), term_buckets)
     (
         document_terms(stored)
-        .withColumn("term_bucket", term_bucket(F.col("term"), term_buckets))
-        .repartition("term_bucket", split)
+        .repartition(bucket, F.pmod(F.xxhash64("doc_id"), splits))
+        .withColumn("term_bucket", bucket)
         .sortWithinPartitions("term_bucket", "term", "doc_id")
         .write.mode("overwrite")
         .partitionBy("term_bucket")

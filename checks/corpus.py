@@ -49,6 +49,13 @@ def stored_index(
     return load_index(spark, path)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for jobs that read it repeatedly."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread_small_scan(read_page_table(spark, f"{sf_dir}/pages.parquet"))
 
@@ -78,7 +85,7 @@ def site_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     there = found.select(F.col("site").alias("src"), F.col("href").alias("dst"))
     back = found.select(F.col("href").alias("src"), F.col("site").alias("dst"))
-    return there.unionByName(back).distinct()
+    return stored(there.unionByName(back).distinct(), "links")
 
 
 def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +96,7 @@ def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the assistant's turns and by nothing in the user's; every fourth
     conversation is put in parentheses, every seventh loses its last one.
     """
-    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns = spread_small_scan(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     flat = F.translate("text", "\n", " ")
     blank = F.when(F.col("role") == "assistant", F.lit(" OR ")).otherwise(F.lit(" "))
     body = F.replace(flat, F.lit(" "), blank)
