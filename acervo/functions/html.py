@@ -31,6 +31,7 @@ VOID_TAGS = frozenset(
 SPECIAL_TEXT_TAGS = frozenset(("rp", "rt", "script", "style", "template"))
 PREFORMATTED_TAGS = frozenset(("pre", "textarea"))
 ASCII_SPACES = " \n\t\f\r"
+PAGES_PER_FRAME = 64
 TITLE_PATTERN = r"(?is)<title[^>]*>([^<]*)</title>"
 TITLE_TAG_PATTERN = r"(?i)<title[\s>]"
 
@@ -215,16 +216,22 @@ def read_pages(
     names = [f.name for f in kept]
     schema = f"{columns}, title string, body string, hrefs array<string>"
 
+    def read(batch: pd.DataFrame) -> pd.DataFrame:
+        found = [
+            PageReader(container_tag, container_class, text_tags).read(page or "")
+            for page in batch[html]
+        ]
+        out = batch[names].copy()
+        out["title"] = [f[0] for f in found]
+        out["body"] = [f[1] for f in found]
+        out["hrefs"] = [f[2] for f in found]
+        return out
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Badly nested pages repeat their text many times over, so results go
+        # back in frames of few pages.
         for batch in batches:
-            found = [
-                PageReader(container_tag, container_class, text_tags).read(page or "")
-                for page in batch[html]
-            ]
-            out = batch[names].copy()
-            out["title"] = [f[0] for f in found]
-            out["body"] = [f[1] for f in found]
-            out["hrefs"] = [f[2] for f in found]
-            yield out
+            for start in range(0, len(batch), PAGES_PER_FRAME):
+                yield read(batch.iloc[start : start + PAGES_PER_FRAME])
 
     return pages.select(*names, html).mapInPandas(run, schema)

@@ -24,49 +24,41 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(line, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def kind_letters(token_list: Column) -> Column:
+def kind_letters_sql(token_list: str) -> str:
     """One letter per token."""
+    cases = "".join(f" WHEN '{text}' THEN '{code}'" for text, code in KIND_OF_TOKEN.items())
+    return f"array_join(transform({token_list}, t -> CASE t{cases} ELSE '{WORD_KIND}' END), '')"
 
-    def letter(token: Column) -> Column:
-        kind = F.lit(WORD_KIND)
-        for text, code in KIND_OF_TOKEN.items():
-            kind = F.when(token == text, F.lit(code)).otherwise(kind)
-        return kind
 
-    return F.array_join(F.transform(token_list, letter), "")
-
-
-def query_words(token_list: Column) -> Column:
+def query_words_sql(token_list: str) -> str:
     """Words with repeats, in order, negated ones included."""
-    return F.filter(token_list, lambda t: ~t.isin(*KIND_OF_TOKEN))
+    symbols = ", ".join(f"'{text}'" for text in KIND_OF_TOKEN)
+    return f"filter({token_list}, t -> t NOT IN ({symbols}))"
 
 
-def _balanced(token_list: Column) -> Column:
-    def step(state: Column, token: Column) -> Column:
-        move = F.when(token == "(", 1).when(token == ")", -1).otherwise(0)
-        depth = state["depth"] + move
-        return F.struct(
-            depth.alias("depth"), F.least(state["lowest"], depth).alias("lowest")
-        )
+def query_words(token_list: str) -> Column:
+    return F.expr(query_words_sql(token_list))
 
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("lowest"))
-    end = F.aggregate(token_list, start, step)
-    return (end["depth"] == 0) & (end["lowest"] == 0)
 
-
-def rejection(token_list: Column, kinds: Column) -> Column:
-    """Why a query is invalid, null when it is valid."""
+def _balanced_sql(token_list: str) -> str:
+    depth = "s.depth + CASE t WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END"
     return (
-        F.when(F.size(token_list) == 0, F.lit("empty query"))
-        .when(kinds.rlike(OPERATOR_MISSING), F.lit("operator missing"))
-        .when(
-            kinds.rlike(OPERAND_MISSING) | ~kinds.rlike(WHOLE_QUERY),
-            F.lit("operand missing"),
-        )
-        .when(~_balanced(token_list), F.lit("unbalanced parentheses"))
+        f"aggregate({token_list}, named_struct('depth', 0, 'lowest', 0), "
+        f"(s, t) -> named_struct('depth', {depth}, 'lowest', least(s.lowest, {depth})), "
+        "s -> s.depth = 0 AND s.lowest = 0)"
     )
 
 
+def rejection_sql(token_list: str, kinds: str) -> str:
+    """Why a query is invalid, null when it is valid."""
+    return f"""CASE
+        WHEN size({token_list}) = 0 THEN 'empty query'
+        WHEN {kinds} RLIKE '{OPERATOR_MISSING}' THEN 'operator missing'
+        WHEN {kinds} RLIKE '{OPERAND_MISSING}' OR NOT {kinds} RLIKE '{WHOLE_QUERY}'
+            THEN 'operand missing'
+        WHEN NOT {_balanced_sql(token_list)} THEN 'unbalanced parentheses' END"""
+
+
 def fold_sql(
     items: str, value_type: str, symbol: str, operand: str, negate: str, combine: str
 ) -> str:
@@ -143,17 +135,20 @@ def query_table(queries: DataFrame) -> DataFrame:
     """``queries`` with ``tokens, kinds, reason, valid`` and, when valid, ``canon``."""
     return (
         queries.withColumn("tokens", tokens(F.col("line")))
-        .withColumn("kinds", kind_letters(F.col("tokens")))
-        .withColumn("reason", rejection(F.col("tokens"), F.col("kinds")))
-        .withColumn("valid", F.col("reason").isNull())
-        .withColumn("canon", F.when(F.col("valid"), F.expr(canonical_sql("tokens"))))
+        .withColumn("kinds", F.expr(kind_letters_sql("tokens")))
+        .withColumn("reason", F.expr(rejection_sql("tokens", "kinds")))
+        .selectExpr(
+            "*",
+            "reason IS NULL AS valid",
+            f"if(reason IS NULL, {canonical_sql('tokens')}, NULL) AS canon",
+        )
     )
 
 
 def query_terms(queries: DataFrame) -> DataFrame:
     """``(query_id, word, repeats)`` of a query table."""
     return (
-        queries.select("query_id", F.explode(query_words(F.col("tokens"))).alias("word"))
+        queries.select("query_id", F.explode(query_words("tokens")).alias("word"))
         .groupBy("query_id", "word")
         .agg(F.count(F.lit(1)).alias("repeats"))
     )
@@ -187,7 +182,7 @@ def query_programs(table: DataFrame) -> DataFrame:
     table_sql = f"transform({every_mask}, mask -> {truth_sql('program', ['mask'])})"
     return (
         distinct_queries(table)
-        .withColumn("words", F.array_distinct(query_words(F.col("tokens"))))
+        .withColumn("words", F.array_distinct(query_words("tokens")))
         .withColumn("program", F.expr(numbered))
         .withColumn("n_words", F.size("words"))
         .select(
@@ -215,7 +210,7 @@ def program_words(programs: DataFrame) -> DataFrame:
     """``(query_id, word, word_no, repeats)`` of query programs."""
     return programs.select(
         "query_id",
-        query_words(F.col("tokens")).alias("all_words"),
+        query_words("tokens").alias("all_words"),
         F.posexplode("words").alias("word_no", "word"),
     ).select(
         "query_id",

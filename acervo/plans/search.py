@@ -256,6 +256,9 @@ def match_one(index: Index, line: str) -> DataFrame:
     Only the postings of the query's own words are read.
     """
     batch = prepare_batch(one_query(index.documents.sparkSession, line), strict=True)
+    # The words of this one line: their names reach the scan as a filter.
+    typed = [row["word"] for row in batch.words.select("word").collect()]
+    index = replace(index, postings=index.postings.filter(F.col("term").isin(typed)))
     exact = batch.words.select(
         F.col("word").alias("term"),
         "word",
