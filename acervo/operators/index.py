@@ -95,7 +95,7 @@ def build_documents(
 
 def document_terms(documents: DataFrame) -> DataFrame:
     """Flat postings ``(term, doc_id, tf)`` of a document table; no shuffle."""
-    counts = tx.term_counts("filter(split(text, ' '), w -> w <> '')")
+    counts = tx.term_counts("if(text = '', cast(array() as array<string>), split(text, ' '))")
     return flat_postings(documents.select("doc_id", counts.alias("counts")))
 
 

@@ -162,7 +162,11 @@ def distinct_queries(table: DataFrame) -> DataFrame:
     return (
         table.filter("valid")
         .groupBy("canon")
-        .agg(F.min("query_id").alias("query_id"), F.min_by("tokens", "query_id").alias("tokens"))
+        .agg(
+            F.min("query_id").alias("query_id"),
+            F.min_by("tokens", "query_id").alias("tokens"),
+            F.count(F.lit(1)).alias("n_lines"),
+        )
     )
 
 
@@ -188,6 +192,7 @@ def query_programs(table: DataFrame) -> DataFrame:
         .select(
             "query_id",
             "canon",
+            "n_lines",
             "tokens",
             "words",
             "n_words",

@@ -8,7 +8,9 @@ term frequencies gives the same numbers without reading a text.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -16,6 +18,7 @@ from acervo.operators.index import Index, term_bucket
 from acervo.operators.query_table import MASK_BITS
 
 PIECE_LENGTH = 64
+FEW_WORDS = 32
 
 
 def occurrences(text: Column, word: Column) -> Column:
@@ -71,16 +74,39 @@ def expand_words(vocabulary: DataFrame, words: DataFrame, lengths: Sequence[int]
         "term", "spot", F.expr("substring(piece, at, n)").alias("gram")
     )
     lowered = words.select("word", F.lower("word").alias("gram"))
-    return (
-        grams.join(lowered, "gram")
-        .filter(F.instr(F.col("term"), F.col("gram")) == F.col("spot"))
-        .select(
-            "term",
-            "word",
-            occurrences(F.col("term"), F.col("gram")).alias("occ"),
-            F.contains("term", "word").alias("as_typed"),
-            (F.col("term") == F.col("word")).alias("exact"),
-        )
+    found = grams.join(lowered, "gram").filter(
+        F.instr(F.col("term"), F.col("gram")) == F.col("spot")
+    )
+    return _expansion(found)
+
+
+def expand_few_words(vocabulary: DataFrame, words: Sequence[str]) -> DataFrame:
+    """The same for a handful of words, tested as constants on every term."""
+    constants = [
+        F.struct(F.lit(w).alias("word"), F.lower(F.lit(w)).alias("gram")) for w in words
+    ]
+    if not constants:
+        constants = [F.struct(F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("gram"))]
+    any_inside = reduce(
+        operator.or_, (F.contains(F.col("term"), F.lower(F.lit(w))) for w in words), F.lit(False)
+    )
+    inside = F.filter(F.array(*constants), lambda w: F.contains(F.col("term"), w["gram"]))
+    found = (
+        vocabulary.filter(any_inside)
+        .select("term", F.explode_outer(inside).alias("w"))
+        .select("term", F.col("w.word").alias("word"), F.col("w.gram").alias("gram"))
+        .filter(F.col("word").isNotNull())
+    )
+    return _expansion(found)
+
+
+def _expansion(found: DataFrame) -> DataFrame:
+    return found.select(
+        "term",
+        "word",
+        occurrences(F.col("term"), F.col("gram")).alias("occ"),
+        F.contains("term", "word").alias("as_typed"),
+        (F.col("term") == F.col("word")).alias("exact"),
     )
 
 

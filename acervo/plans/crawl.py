@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from acervo.operators.index import with_dense_ids
 from acervo.session import MAX_BROADCAST_ROWS, cut_lineage
 
 MAX_WEBS = 300
@@ -14,41 +15,46 @@ def expand_frontier(links: DataFrame, seed: DataFrame, max_webs: int = MAX_WEBS)
     URL or ``max_webs`` URLs are visited; inside a level by rising URL.
 
     Each level is written to the shared checkpoint folder, so plans stay short
-    and a lost executor costs no earlier level. The frontier is counted at
-    every level; it is broadcast to the links while it is small, and above
-    that joined by hash, where adaptive execution splits pages of very many
-    links.
+    and a lost executor costs no earlier level. ``links`` is read at every
+    level and should be a stored table. The frontier and the visited URLs are
+    counted; they are broadcast while they are few, and above that joined by
+    hash, where adaptive execution splits pages of very many links.
     """
-    frontier = cut_lineage(
-        seed.select("url").distinct().orderBy("url").limit(max_webs)
-        .select("url", F.lit(0).alias("depth"))
-    )
+    frontier = _first_urls(seed.select("url").distinct(), max_webs, 0)
     visited = frontier
     size = seen = frontier.count()
     depth = 0
     while size and seen < max_webs:
         depth += 1
-        side = frontier.select(F.col("url").alias("src"))
-        if size <= MAX_BROADCAST_ROWS:
-            side = F.broadcast(side)
-        known = visited.select("url")
-        if seen <= MAX_BROADCAST_ROWS:
-            known = F.broadcast(known)
-        frontier = cut_lineage(
-            links.join(side, "src", "left_semi")
+        sources = _few(frontier.select(F.col("url").alias("src")), size)
+        known = _few(visited.select("url"), seen)
+        found = (
+            links.join(sources, "src", "left_semi")
             .select(F.col("dst").alias("url"))
             .distinct()
             .join(known, "url", "left_anti")
-            .orderBy("url")
-            .limit(max_webs - seen)
-            .select("url", F.lit(depth).alias("depth"))
         )
+        frontier = _first_urls(found, max_webs - seen, depth)
         size = frontier.count()
         seen += size
         visited = visited.unionByName(frontier)
     return visited
 
 
+def _few(urls: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(urls) if n <= MAX_BROADCAST_ROWS else urls
+
+
+def _first_urls(urls: DataFrame, n: int, depth: int) -> DataFrame:
+    """The ``n`` smallest of distinct ``urls``, stored."""
+    if n <= MAX_BROADCAST_ROWS:
+        first = urls.orderBy("url").limit(n)
+    else:
+        # Too many for the one task that ends a limit: number them in order.
+        first = with_dense_ids(urls, "url", name="place").filter(F.col("place") < n)
+    return cut_lineage(first.select("url", F.lit(depth).alias("depth")))
+
+
 def seed_urls(links: DataFrame, *urls: str) -> DataFrame:
     schema = T.StructType([T.StructField("url", T.StringType())])
     return links.sparkSession.createDataFrame([(u,) for u in urls], schema)

@@ -32,6 +32,7 @@ class Batch:
     programs: DataFrame
     words: DataFrame
     n_queries: int
+    n_words: int
     most_words: int
     lengths: list[int]
     any_true_without_match: bool
@@ -63,37 +64,52 @@ def prepare_batch(queries: DataFrame, strict: bool = False) -> Batch:
 
     The driver receives one row of figures, never the queries themselves.
     """
-    if strict:
-        bad = rejected_queries(queries).head()
-        if bad is not None:
-            raise InvalidQuery(f"{bad['reason']}: {bad['line']!r}")
     programs = cut_lineage(qt.query_programs(qt.query_table(queries)))
-    lengths = F.transform("words", lambda w: F.length(F.lower(w)))
-    facts = programs.agg(
-        F.count(F.lit(1)).alias("n_queries"),
-        F.max("n_words").alias("most_words"),
-        F.sum("n_words").alias("n_words"),
-        F.sum(F.octet_length(F.array_join("tokens", " "))).alias("n_bytes"),
-        F.max("true_without_match").alias("complement"),
-        F.array_distinct(F.flatten(F.collect_set(lengths))).alias("lengths"),
-    ).first()
+    first = F.col("word_no") == 0
+    none = F.lit(0).cast("long")
+    facts = (
+        programs.select(
+            "n_lines",
+            "n_words",
+            "true_without_match",
+            F.octet_length(F.array_join("tokens", " ")).alias("n_bytes"),
+            F.posexplode("words").alias("word_no", "word"),
+        )
+        .agg(
+            F.sum(F.when(first, F.col("n_lines")).otherwise(none)).alias("n_lines"),
+            F.coalesce(F.sum(first.cast("long")), none).alias("n_queries"),
+            F.max("n_words").alias("most_words"),
+            F.count(F.lit(1)).alias("n_words"),
+            F.coalesce(F.sum(F.when(first, F.col("n_bytes"))), none).alias("n_bytes"),
+            F.max("true_without_match").alias("complement"),
+            F.collect_set(F.length(F.lower("word"))).alias("lengths"),
+        )
+        .first()
+    )
+    if strict and (facts["n_lines"] or 0) < queries.count():
+        bad = rejected_queries(queries).first()
+        raise InvalidQuery(f"{bad['reason']}: {bad['line']!r}")
     # A program holds its tokens a few times over and up to 2^8 truth values.
-    n_bytes = 8 * (facts["n_bytes"] or 0) + 256 * facts["n_queries"]
+    n_bytes = 8 * facts["n_bytes"] + 256 * facts["n_queries"]
     return Batch(
         programs=programs,
         words=qt.program_words(programs),
         n_queries=facts["n_queries"],
+        n_words=facts["n_words"],
         most_words=facts["most_words"] or 1,
         lengths=facts["lengths"],
         any_true_without_match=bool(facts["complement"]),
-        is_small=(facts["n_words"] or 0) <= MAX_BROADCAST_ROWS and n_bytes <= MAX_BROADCAST_BYTES,
+        is_small=facts["n_words"] <= MAX_BROADCAST_ROWS and n_bytes <= MAX_BROADCAST_BYTES,
     )
 
 
 def expand_batch(index: Index, batch: Batch) -> DataFrame:
     """Vocabulary terms containing a word of the batch, computed once and kept."""
-    words = batch.hinted(batch.words.select("word").distinct())
-    return cut_lineage(rk.expand_words(index.vocabulary, words, batch.lengths))
+    words = batch.words.select("word").distinct()
+    if batch.n_words <= rk.FEW_WORDS:
+        few = [row["word"] for row in words.collect()]
+        return cut_lineage(rk.expand_few_words(index.vocabulary, few))
+    return cut_lineage(rk.expand_words(index.vocabulary, batch.hinted(words), batch.lengths))
 
 
 def scored_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:

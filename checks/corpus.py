@@ -41,7 +41,7 @@ def plan_index(spark: SparkSession, sf_dir: str) -> Index:
 
 
 def stored_index(
-    spark: SparkSession, sf_dir: str, term_buckets: int = 8, doc_splits: int = 2, docs_per_block: int = 250
+    spark: SparkSession, sf_dir: str, term_buckets: int = 8, doc_splits: int = 8, docs_per_block: int = 1000
 ) -> Index:
     """Index written to and read from the shared folder, as searches use it."""
     path = scratch_path(spark, "index")

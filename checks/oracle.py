@@ -293,8 +293,11 @@ ORACLES: dict[str, str] = {
     "url_key": "SELECT url, key, 'etc/webpages/' || key || '/content.json' AS file FROM (SELECT url,"
     " CASE WHEN starts_with(url, 'https://') THEN substring(string_split(url, '?')[1], 9)"
     " ELSE string_split(url, '?')[1] END AS key FROM pages)",
-    "page_dedup": "SELECT url || '?again' AS url, md5(html) AS text_md5,"
-    " 'html' AS type FROM pages",
+    "page_dedup": "WITH twice AS (SELECT page_id AS seq, url, html FROM pages"
+    " UNION ALL SELECT page_id + 1000000000, url || '?again', html FROM pages),"
+    " keyed AS (SELECT *, regexp_replace(string_split(url, '?')[1], '^https://', '') AS key FROM twice)"
+    " SELECT url, md5(html) AS text_md5, 'html' AS type FROM keyed"
+    " QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1",
     "fetch_outcome": f"WITH {FETCHES}, latest AS (SELECT url, arg_max(status_code, seq) AS status_code,"
     " bool_or(status_code = 429) AS was_throttled FROM fetches GROUP BY url)"
     " SELECT url, status_code, status_code <> 200 AS retry, status_code = 429 AS throttled, was_throttled FROM latest",

@@ -8,6 +8,7 @@ from acervo.functions import html as hx
 from acervo.functions import urls
 from acervo.operators import links as lk
 from acervo.operators.index import corpus_stats
+from acervo.plans import crawl as crawl_module
 from acervo.plans.build import index_pages
 from acervo.plans.crawl import expand_frontier, seed_urls
 from acervo.plans.search import InvalidQuery, match_one, search_batch, search_one
@@ -81,6 +82,7 @@ def test_batch_and_limits(index, spark):
     assert by_query["NOT (grado OR datos)"] == SEARCHES["NOT (grado OR datos)"][:2]
     assert len(by_query) == len(SEARCHES) - 1
     assert search_batch(index, queries, 0).count() == 0
+    assert search_batch(index, queries.limit(2)).count() == 0
     with pytest.raises(ValueError):
         search_batch(index, queries, -1)
     with pytest.raises(InvalidQuery):
@@ -162,7 +164,9 @@ def test_fetch_log(spark):
     assert sorted(r["seq"] for r in lk.fetched_pages(log).collect()) == [2, 3]
 
 
-def test_expansion(spark):
+@pytest.mark.parametrize("few", [10**6, 2])
+def test_expansion(spark, monkeypatch, few):
+    monkeypatch.setattr(crawl_module, "MAX_BROADCAST_ROWS", few)
     edges = [e.split(">") for e in "a>b a>c b>d c>d d>a d>e e>f".split()]
     links = spark.createDataFrame(edges, "src string, dst string")
     seed = seed_urls(links, "a")
