@@ -77,32 +77,29 @@ def expand_words(vocabulary: DataFrame, words: DataFrame, lengths: Sequence[int]
     found = grams.join(lowered, "gram").filter(
         F.instr(F.col("term"), F.col("gram")) == F.col("spot")
     )
-    return _expansion(found)
+    return _expansion(found, "term")
 
 
-def expand_few_words(vocabulary: DataFrame, words: Sequence[str]) -> DataFrame:
-    """The same for a handful of words, tested as constants on every term."""
-    constants = [
-        F.struct(F.lit(w).alias("word"), F.lower(F.lit(w)).alias("gram")) for w in words
-    ]
-    if not constants:
-        constants = [F.struct(F.lit(None).cast("string").alias("word"), F.lit(None).cast("string").alias("gram"))]
+def expand_few_words(rows: DataFrame, words: Sequence[str]) -> DataFrame:
+    """``rows(term, ...)`` with the columns of ``expand_words`` for a handful of
+    words, tested as constants on every row."""
+    pairs = [F.struct(F.lit(w).alias("word"), F.lower(F.lit(w)).alias("gram")) for w in words]
+    inside = F.filter(F.array(*pairs), lambda w: F.contains(F.col("term"), w["gram"]))
     any_inside = reduce(
-        operator.or_, (F.contains(F.col("term"), F.lower(F.lit(w))) for w in words), F.lit(False)
+        operator.or_, (F.contains(F.col("term"), F.lower(F.lit(w))) for w in words)
     )
-    inside = F.filter(F.array(*constants), lambda w: F.contains(F.col("term"), w["gram"]))
     found = (
-        vocabulary.filter(any_inside)
-        .select("term", F.explode_outer(inside).alias("w"))
-        .select("term", F.col("w.word").alias("word"), F.col("w.gram").alias("gram"))
+        rows.filter(any_inside)
+        .select("*", F.explode_outer(inside).alias("w"))
+        .select(*rows.columns, F.col("w.word").alias("word"), F.col("w.gram").alias("gram"))
         .filter(F.col("word").isNotNull())
     )
-    return _expansion(found)
+    return _expansion(found, *rows.columns)
 
 
-def _expansion(found: DataFrame) -> DataFrame:
+def _expansion(found: DataFrame, *columns: str) -> DataFrame:
     return found.select(
-        "term",
+        *columns,
         "word",
         occurrences(F.col("term"), F.col("gram")).alias("occ"),
         F.contains("term", "word").alias("as_typed"),
@@ -110,13 +107,8 @@ def _expansion(found: DataFrame) -> DataFrame:
     )
 
 
-def word_matches(index: Index, expansion: DataFrame) -> DataFrame:
-    """``(doc_id, word, tf, as_typed, exact)``: the one shuffle of matched postings.
-
-    Rows are hashed by ``doc_id`` alone, so this aggregate, the one per query
-    and the join with the documents all run on the same partitioning, and no
-    frequent word gathers in one task.
-    """
+def expanded_postings(index: Index, expansion: DataFrame) -> DataFrame:
+    """Postings of the terms in ``expansion``, once per word they contain."""
     # A condition on the small side, true of every row, lets Spark turn the
     # broadcast into a filter on the postings' partitions.
     expansion = expansion.filter("occ > 0")
@@ -125,9 +117,20 @@ def word_matches(index: Index, expansion: DataFrame) -> DataFrame:
         bucketed = term_bucket(F.col("term"), index.term_buckets)
         expansion = expansion.withColumn("term_bucket", bucketed)
         keys = ["term_bucket", "term"]
+    return index.postings.join(expansion, keys)
+
+
+def word_matches(expanded: DataFrame) -> DataFrame:
+    """``(doc_id, word, tf, as_typed, exact)``: the one shuffle of matched postings.
+
+    Rows are hashed by ``doc_id`` alone, so this aggregate, the one per query
+    and the join with the documents all run on the same partitioning, and no
+    frequent word gathers in one task.
+    """
     return (
-        index.postings.join(expansion, keys)
-        .select("doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "as_typed", "exact")
+        expanded.select(
+            "doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "as_typed", "exact"
+        )
         .repartition("doc_id")
         .groupBy("doc_id", "word")
         .agg(

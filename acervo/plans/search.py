@@ -14,8 +14,8 @@ from acervo.schemas import QUERIES
 from acervo.session import (
     MAX_BROADCAST_BYTES,
     MAX_BROADCAST_ROWS,
-    broadcast_if_small,
     cut_lineage,
+    is_small,
 )
 
 DEFAULT_RESULTS = 10
@@ -37,6 +37,7 @@ class Batch:
     lengths: list[int]
     any_true_without_match: bool
     is_small: bool
+    few_words: list[str] | None
 
     @property
     def masks(self) -> list[str]:
@@ -62,7 +63,8 @@ def rejected_queries(queries: DataFrame) -> DataFrame:
 def prepare_batch(queries: DataFrame, strict: bool = False) -> Batch:
     """Tokenise, validate and number the words of a batch.
 
-    The driver receives one row of figures, never the queries themselves.
+    The driver receives one row of figures, and the words only of a batch with
+    a handful of them.
     """
     programs = cut_lineage(qt.query_programs(qt.query_table(queries)))
     first = F.col("word_no") == 0
@@ -91,32 +93,51 @@ def prepare_batch(queries: DataFrame, strict: bool = False) -> Batch:
         raise InvalidQuery(f"{bad['reason']}: {bad['line']!r}")
     # A program holds its tokens a few times over and up to 2^8 truth values.
     n_bytes = 8 * facts["n_bytes"] + 256 * facts["n_queries"]
+    words = qt.program_words(programs)
+    few_words = None
+    if 0 < facts["n_words"] <= rk.FEW_WORDS:
+        few_words = [row["word"] for row in words.select("word").distinct().collect()]
     return Batch(
         programs=programs,
-        words=qt.program_words(programs),
+        words=words,
         n_queries=facts["n_queries"],
         n_words=facts["n_words"],
         most_words=facts["most_words"] or 1,
         lengths=facts["lengths"],
         any_true_without_match=bool(facts["complement"]),
         is_small=facts["n_words"] <= MAX_BROADCAST_ROWS and n_bytes <= MAX_BROADCAST_BYTES,
+        few_words=few_words,
     )
 
 
 def expand_batch(index: Index, batch: Batch) -> DataFrame:
     """Vocabulary terms containing a word of the batch, computed once and kept."""
-    words = batch.words.select("word").distinct()
-    if batch.n_words <= rk.FEW_WORDS:
-        few = [row["word"] for row in words.collect()]
-        return cut_lineage(rk.expand_few_words(index.vocabulary, few))
-    return cut_lineage(rk.expand_words(index.vocabulary, batch.hinted(words), batch.lengths))
+    if batch.few_words:
+        return cut_lineage(rk.expand_few_words(index.vocabulary.select("term"), batch.few_words))
+    words = batch.hinted(batch.words.select("word").distinct())
+    return cut_lineage(rk.expand_words(index.vocabulary, words, batch.lengths))
+
+
+def batch_matches(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
+    """Matches per document and word, by the cheapest way the sizes allow.
+
+    A small expansion goes to the postings as a broadcast. When a few short
+    words are inside too many terms for that, they are tested on the postings
+    where they lie, which spares a shuffle of all postings. Otherwise the two
+    are joined by hash.
+    """
+    if is_small(expansion):
+        return rk.word_matches(rk.expanded_postings(index, F.broadcast(expansion)))
+    if batch.few_words:
+        return rk.word_matches(rk.expand_few_words(index.postings, batch.few_words))
+    return rk.word_matches(rk.expanded_postings(index, expansion))
 
 
 def scored_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
     """Every document with an occurrence of some query word, per query:
     ``(query_id, doc_id, score, is_match)``.
     """
-    matches = rk.word_matches(index, broadcast_if_small(expansion))
+    matches = batch_matches(index, batch, expansion)
     per_query = rk.query_matches(matches, batch.hinted(batch.words), batch.masks)
     programs = batch.programs.select("query_id", "program", "truth_table")
     return (
@@ -163,7 +184,7 @@ def rank_batch(index: Index, batch: Batch, n: int) -> DataFrame:
 
 def touched_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
     """``(query_id, doc_id)`` of documents with an occurrence of some query word."""
-    matches = rk.word_matches(index, broadcast_if_small(expansion))
+    matches = batch_matches(index, batch, expansion)
     return (
         matches.join(batch.hinted(batch.words.select("query_id", "word")), "word")
         .select("query_id", "doc_id")
@@ -272,9 +293,10 @@ def match_one(index: Index, line: str) -> DataFrame:
     Only the postings of the query's own words are read.
     """
     batch = prepare_batch(one_query(index.documents.sparkSession, line), strict=True)
-    # The words of this one line: their names reach the scan as a filter.
-    typed = [row["word"] for row in batch.words.select("word").collect()]
-    index = replace(index, postings=index.postings.filter(F.col("term").isin(typed)))
+    postings = index.postings
+    if batch.few_words:
+        # As constants the words also prune row groups of the sorted postings.
+        postings = postings.filter(F.col("term").isin(batch.few_words))
     exact = batch.words.select(
         F.col("word").alias("term"),
         "word",
@@ -282,7 +304,8 @@ def match_one(index: Index, line: str) -> DataFrame:
         F.lit(True).alias("as_typed"),
         F.lit(True).alias("exact"),
     )
-    matches = rk.word_matches(index, batch.hinted(exact))
+    found = rk.expanded_postings(replace(index, postings=postings), batch.hinted(exact))
+    matches = rk.word_matches(found)
     per_doc = rk.query_matches(matches, batch.hinted(batch.words), batch.masks)
     judged = per_doc.join(batch.hinted(batch.programs), "query_id").select(
         "doc_id", qt.query_true(batch.masks, batch.most_words).alias("is_match")

@@ -34,16 +34,17 @@ def save_index(
     * documents to their block of ids, each block spread over ``doc_splits``
       tasks; with ``in_id_order`` (every task holds a run of ids already, as
       after ``with_dense_ids``) they stay where they were computed;
-    * postings to ``term_buckets`` x ``doc_splits`` groups: the bucket is the
-      partition a term lookup prunes to, the split spreads a term of very many
-      documents over several files;
+    * postings to one group per bucket of terms and block of ids: the bucket is
+      the partition a term lookup prunes to, and as a term has one posting per
+      document, no term brings more than ``docs_per_block`` rows to a task;
     * terms to the vocabulary, counted per task first.
     """
     spark = documents.sparkSession
-    splits = F.lit(doc_splits).cast("long")
     block = doc_block(F.col("doc_id"), docs_per_block)
     if not in_id_order:
-        documents = documents.repartition(block, F.pmod(F.col("doc_id"), splits))
+        documents = documents.repartition(
+            block, F.pmod(F.col("doc_id"), F.lit(doc_splits).cast("long"))
+        )
     (
         documents.withColumn("doc_block", block)
         .sortWithinPartitions("doc_block", "doc_id")
@@ -55,7 +56,7 @@ def save_index(
     bucket = term_bucket(F.col("term"), term_buckets)
     (
         document_terms(stored)
-        .repartition(bucket, F.pmod(F.xxhash64("doc_id"), splits))
+        .repartition(bucket, block)
         .withColumn("term_bucket", bucket)
         .sortWithinPartitions("term_bucket", "term", "doc_id")
         .write.mode("overwrite")

@@ -92,9 +92,9 @@ def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query per conversation turn, made of its whole text.
 
     The turn's punctuation becomes operators, so lines are valid and invalid
-    in many ways: commas join by AND, sentence ends by OR NOT, blanks by OR in
-    the assistant's turns and by nothing in the user's; every fourth
-    conversation is put in parentheses, every seventh loses its last one.
+    in many ways: commas join by AND, sentence ends by ") OR NOT (", blanks by
+    OR in the assistant's turns and by nothing in the user's. Lines are put in
+    parentheses, but for first turns and the last one of fourth turns.
     """
     turns = spread_small_scan(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     flat = F.translate("text", "\n", " ")
@@ -104,8 +104,8 @@ def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.regexp_replace(body, "[.?!]( OR)? +", ") OR NOT (")
     body = F.regexp_replace(body, "[.?!]+$", "")
     line = (
-        F.when(F.col("conv_id") % 7 == 6, F.concat(F.lit("("), body))
-        .when(F.col("conv_id") % 4 == 3, body)
+        F.when(F.col("turn") == 0, body)
+        .when(F.col("turn") == 3, F.concat(F.lit("("), body))
         .otherwise(F.concat(F.lit("("), body, F.lit(")")))
     )
     return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("query_id"), line.alias("line"))

@@ -130,16 +130,16 @@ BATCH = [
 ]
 
 LINES = r"""flat AS (
-  SELECT conv_id * 1000 + turn AS query_id, conv_id,
+  SELECT conv_id * 1000 + turn AS query_id, turn,
     replace(replace(text, chr(10), ' '), ' ', CASE WHEN role = 'assistant' THEN ' OR ' ELSE ' ' END) AS body
   FROM conversations),
 bodies AS (
-  SELECT query_id, conv_id,
+  SELECT query_id, turn,
     regexp_replace(regexp_replace(regexp_replace(body, '[,;:]( OR)? +', ' AND ', 'g'),
       '[.?!]( OR)? +', ') OR NOT (', 'g'), '[.?!]+$', '') AS body
   FROM flat),
 lines AS (
-  SELECT query_id, CASE WHEN conv_id % 7 = 6 THEN '(' || body WHEN conv_id % 4 = 3 THEN body
+  SELECT query_id, CASE turn WHEN 0 THEN body WHEN 3 THEN '(' || body
     ELSE '(' || body || ')' END AS line
   FROM bodies),
 qtoks AS (SELECT query_id, line, regexp_extract_all(line, '[()]|[^ \t\n()]+') AS tokens FROM lines),
@@ -290,7 +290,7 @@ ORACLES: dict[str, str] = {
     r" WHERE regexp_matches(href, '^/.*[aeiou]\w*$') AND NOT ends_with(url, '.pdf')",
     "url_type": f"SELECT url, CASE WHEN ends_with(url, '.pdf') THEN 'pdf' ELSE 'html' END AS type FROM ({ALL_URLS})",
     "url_strip": "SELECT url, string_split(url, '?')[1] AS stripped FROM pages",
-    "url_key": "SELECT url, key, 'etc/webpages/' || key || '/content.json' AS file FROM (SELECT url,"
+    "url_key": "SELECT url, key, 'store/' || key || '/content.json' AS file FROM (SELECT url,"
     " CASE WHEN starts_with(url, 'https://') THEN substring(string_split(url, '?')[1], 9)"
     " ELSE string_split(url, '?')[1] END AS key FROM pages)",
     "page_dedup": "WITH twice AS (SELECT page_id AS seq, url, html FROM pages"

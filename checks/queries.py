@@ -232,14 +232,14 @@ def _matches(spark, sf_dir):
 @query
 def score_tf(spark, sf_dir):
     index, batch, expansion = _matches(spark, sf_dir)
-    per_query = rk.query_matches(rk.word_matches(index, expansion), batch.words, batch.masks)
+    per_query = rk.query_matches(search.batch_matches(index, batch, expansion), batch.words, batch.masks)
     return per_query.select("doc_id", F.col("tf").alias("query_tf"))
 
 
 @query
 def score_query_norm(spark, sf_dir):
     index, batch, expansion = _matches(spark, sf_dir)
-    per_query = rk.query_matches(rk.word_matches(index, expansion), batch.words, batch.masks)
+    per_query = rk.query_matches(search.batch_matches(index, batch, expansion), batch.words, batch.masks)
     return per_query.filter("squares > 0").select(
         "doc_id", F.sqrt(F.col("squares").cast("double")).alias("query_norm")
     )
@@ -312,7 +312,7 @@ def url_key(spark, sf_dir):
     return corpus.pages(spark, sf_dir).select(
         "url",
         urls.storage_key(F.col("url")).alias("key"),
-        urls.storage_file("etc/webpages", F.col("url")).alias("file"),
+        urls.storage_file("store", F.col("url")).alias("file"),
     )
 
 

@@ -6,8 +6,10 @@ import random
 
 import pytest
 
+from acervo import session as session_module
 from acervo.operators import query_table as qt
 from acervo.operators.index import build_documents, index_from_documents
+from acervo.plans import search as search_module
 from acervo.plans.search import match_one, rejected_queries, search_batch
 from acervo.sources.index_store import load_index, save_index
 
@@ -92,9 +94,12 @@ def corpus(spark, tmp_path_factory):
     return texts, load_index(spark, path), index_from_documents(documents, 7)
 
 
-@pytest.mark.parametrize("n", [1, 10, 200])
-def test_batch_against_brute_force(spark, corpus, n):
+@pytest.mark.parametrize("n,broadcast", [(1, True), (10, True), (200, True), (4, False)])
+def test_batch_against_brute_force(spark, corpus, monkeypatch, n, broadcast):
     texts, stored, in_plan = corpus
+    if not broadcast:
+        monkeypatch.setattr(session_module, "MAX_BROADCAST_ROWS", 0)
+        monkeypatch.setattr(search_module, "MAX_BROADCAST_ROWS", 0)
     rng = random.Random(n)
     lines = [random_query(rng, rng.randint(1, 5)) for _ in range(60)]
     lines.append(" OR ".join(f"w{i}" for i in range(130)) + " OR ab AND NOT zz")

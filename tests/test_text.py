@@ -58,7 +58,7 @@ def test_single_steps(spark):
     )
     assert row["t1"] == "a b c d"
     assert row["t2"] == "ab-/&%"
-    assert row["t3"] == "La Universidad"
+    assert row["t3"] == "Una frase"
     assert row["short"] == "corto..."
     assert row["long"] == "x" * 120 + "..."
 
