@@ -91,7 +91,7 @@ def main() -> None:
 
     def build(sf_dir: str):
         path = scratch_path(spark, "index")
-        save_index(corpus.documents(spark, sf_dir), path, term_buckets=8, doc_splits=8)
+        save_index(corpus.documents(spark, sf_dir), path, term_buckets=8, doc_splits=2, docs_per_block=2000)
         return load_index(spark, path)
 
     def searches(index, sizes=(1, 100, 1000)):

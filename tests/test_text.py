@@ -50,7 +50,7 @@ def test_single_steps(spark):
         .select(
             tx.spaces_for_split_symbols(F.col("s")).alias("t1"),
             tx.without_punctuation(F.lit("<a>.b¿?,;:()[]\"'¡!-/&%")).alias("t2"),
-            tx.single_spaced(F.lit("  La     Universidad  ")).alias("t3"),
+            tx.single_spaced(F.lit("  Una     frase  ")).alias("t3"),
             tx.snippet(F.lit("corto")).alias("short"),
             tx.snippet(F.lit("x" * 300)).alias("long"),
         )
