@@ -100,6 +100,11 @@ def fetch_outcome(fetch_log: DataFrame) -> DataFrame:
     )
 
 
+def retry_urls(fetch_log: DataFrame) -> DataFrame:
+    """``(url, throttled)`` of the URLs whose latest fetch failed."""
+    return fetch_outcome(fetch_log).filter("retry").select("url", "throttled")
+
+
 def unvisited(urls: DataFrame, visited: DataFrame, url: str = "url") -> DataFrame:
     """Each URL once, without those already visited."""
     return urls.select(url).distinct().join(visited.select(url), url, "left_anti")

@@ -40,28 +40,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
-    """Count rows and string bytes of ``df``, stopping once the row bound is passed."""
-    max_rows = MAX_BROADCAST_ROWS if max_rows is None else max_rows
-    max_bytes = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
-    width = F.lit(8 * len(df.columns))
-    for field in df.schema.fields:
+def is_small(stored: DataFrame) -> bool:
+    """Whether a stored table is below both broadcast bounds: one distributed count."""
+    width = F.lit(8 * len(stored.columns))
+    for field in stored.schema.fields:
         if isinstance(field.dataType, T.StringType):
             width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
-    seen = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b"))
-        .first()
-    )
-    return seen["n"] <= max_rows and seen["b"] <= max_bytes
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``df`` with a broadcast hint when it is small, else unchanged.
-
-    Unchanged means an ordinary equi-join, where adaptive execution splits skewed keys.
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    size = stored.agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return size["rows"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES
 
 
 def spread_small_scan(scan: DataFrame) -> DataFrame:

@@ -302,6 +302,8 @@ ORACLES: dict[str, str] = {
     " bool_or(status_code = 429) AS was_throttled FROM fetches GROUP BY url)"
     " SELECT url, status_code, status_code <> 200 AS retry, status_code = 429 AS throttled, was_throttled FROM latest",
     "fetch_success": f"WITH {FETCHES} SELECT seq, url FROM fetches WHERE status_code = 200",
+    "fetch_retry": f"WITH {FETCHES} SELECT url, arg_max(status_code, seq) = 429 AS throttled"
+    " FROM fetches GROUP BY url HAVING arg_max(status_code, seq) <> 200",
     "frontier_step": f"WITH {EDGES} SELECT DISTINCT dst AS url FROM edges WHERE starts_with(src, 'http://')"
     " AND dst NOT IN (SELECT dst FROM edges WHERE starts_with(src, 'https://'))",
     "frontier_bfs": f"""WITH RECURSIVE {EDGES},
@@ -311,6 +313,9 @@ reached AS (
   SELECT e.dst, r.depth + 1 FROM reached r JOIN edges e ON e.src = r.url WHERE r.depth < 40),
 least_depth AS (SELECT url, min(depth) AS depth FROM reached GROUP BY url)
 SELECT url, depth FROM least_depth ORDER BY depth, url LIMIT 300""",
+    "page_reader": "SELECT page_id AS doc_id,"
+    " replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS title,"
+    " array_to_string(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1), ' ') AS hrefs FROM pages",
     "title_html": "SELECT page_id AS doc_id,"
     " CASE WHEN regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1) <> ''"
     " THEN regexp_extract(html, '(?is)<title[^>]*>([^<]*)</title>', 1)"

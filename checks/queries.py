@@ -173,7 +173,7 @@ def bool_not(spark, sf_dir):
 def bool_left_to_right(spark, sf_dir):
     """mente OR tion AND ing AND NOT ado, evaluated in the written order."""
     return search.match_one(
-        corpus.stored_index(spark, sf_dir), "mente OR tion AND ing AND NOT ado"
+        corpus.plan_index(spark, sf_dir), "mente OR tion AND ing AND NOT ado"
     )
 
 
@@ -341,6 +341,11 @@ def fetch_success(spark, sf_dir):
     return lk.fetched_pages(corpus.fetch_log(spark, sf_dir)).select("seq", "url")
 
 
+@query
+def fetch_retry(spark, sf_dir):
+    return lk.retry_urls(corpus.fetch_log(spark, sf_dir))
+
+
 @query
 def frontier_step(spark, sf_dir):
     """Hrefs of http sites that no https site links to."""
@@ -380,6 +385,13 @@ def page_body(spark, sf_dir):
     return read.select("doc_id", "title", "body", F.size("hrefs").cast("long").alias("n_hrefs"))
 
 
+@query
+def page_reader(spark, sf_dir):
+    """Decoded titles and all link targets, from the reader."""
+    read = hx.read_pages(corpus.pages(spark, sf_dir))
+    return read.select("doc_id", "title", F.array_join("hrefs", " ").alias("hrefs"))
+
+
 @query
 def page_index(spark, sf_dir):
     """Html pages and texts in one index."""
