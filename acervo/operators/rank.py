@@ -31,53 +31,58 @@ def expand_words(vocabulary: DataFrame, words: DataFrame, lengths: Sequence[int]
     """``(term, word, occ, as_typed, exact)`` for all terms containing a word.
 
     ``words(word)`` is joined by equality with the substrings of each term that
-    have the length of some word, so no word is compared with every term, and
-    a match is kept only where it occurs first. Terms are cut into overlapping
-    pieces before, which keeps very long tokens from being walked again for
-    each of their positions.
+    have the length of some word, so no word is compared with every term. A
+    term of ordinary length is cut up as it is and a match kept where it
+    occurs first. Very long tokens are cut into overlapping pieces that travel
+    without the token, which is joined back to the few words found.
     """
     lengths = sorted(set(lengths)) or [1]
-    spots = (
-        vocabulary.select(
-            "term",
-            F.explode(
-                F.expr(f"sequence(0, (greatest(length(term), 1) - 1) div {PIECE_LENGTH})")
-            ).alias("piece_no"),
-        )
-        .select(
-            "term",
-            F.expr(f"cast(piece_no * {PIECE_LENGTH} as int)").alias("before"),
+    terms = vocabulary.select("term")
+    is_long = F.length("term") > PIECE_LENGTH
+    lowered = words.select("word", F.lower("word").alias("gram"))
+
+    short = terms.filter(~is_long).filter(F.length("term") > 0)
+    in_short = (
+        _cuts(short.withColumn("text", F.col("term")), "length(text)", lengths, "term")
+        .join(lowered, "gram")
+        .filter(F.instr(F.col("term"), F.col("gram")) == F.col("at"))
+        .select("term", "word", "gram")
+    )
+
+    long = terms.filter(is_long).withColumn("token", F.xxhash64("term"))
+    pieces = long.select(
+        "token",
+        F.explode(
             F.expr(
-                f"substring(term, cast(piece_no * {PIECE_LENGTH} as int) + 1,"
-                f" {PIECE_LENGTH + lengths[-1] - 1})"
-            ).alias("piece"),
-        )
-        .select(
-            "term",
-            "before",
-            "piece",
-            F.explode(
-                F.expr(f"sequence(1, least(greatest(length(piece), 1), {PIECE_LENGTH}))")
-            ).alias("at"),
-        )
+                f"transform(sequence(1, length(term), {PIECE_LENGTH}),"
+                f" p -> substring(term, p, {PIECE_LENGTH + lengths[-1] - 1}))"
+            )
+        ).alias("text"),
     )
-    grams = spots.select(
-        "term",
-        (F.col("before") + F.col("at")).alias("spot"),
-        "piece",
-        "at",
-        F.explode(F.array(*(F.lit(n) for n in lengths))).alias("n"),
+    in_pieces = (
+        _cuts(pieces, f"least(length(text), {PIECE_LENGTH})", lengths, "token")
+        .join(lowered, "gram")
+        .select("token", "word", "gram")
+        .distinct()
     )
-    # Near the end of a piece a shorter word is not found again as the rest of
-    # a longer cut.
-    grams = grams.filter(F.expr("at + n - 1 <= length(piece)")).select(
-        "term", "spot", F.expr("substring(piece, at, n)").alias("gram")
+    in_long = (
+        long.join(in_pieces, "token")
+        .filter(F.contains(F.col("term"), F.col("gram")))
+        .select("term", "word", "gram")
     )
-    lowered = words.select("word", F.lower("word").alias("gram"))
-    found = grams.join(lowered, "gram").filter(
-        F.instr(F.col("term"), F.col("gram")) == F.col("spot")
+    return _expansion(in_short.unionByName(in_long), "term")
+
+
+def _cuts(rows: DataFrame, starts: str, lengths: Sequence[int], key: str) -> DataFrame:
+    """``(key, at, gram)``: the substrings of ``text`` with one of the lengths that
+    start at one of the first ``starts`` characters."""
+    return (
+        rows.select(key, "text", F.explode(F.expr(f"sequence(1, {starts})")).alias("at"))
+        .select(key, "text", "at", F.explode(F.array(*(F.lit(n) for n in lengths))).alias("n"))
+        # Near the end a shorter word must not be found as the rest of a longer cut.
+        .filter(F.expr("at + n - 1 <= length(text)"))
+        .select(key, "at", F.expr("substring(text, at, n)").alias("gram"))
     )
-    return _expansion(found, "term")
 
 
 def expand_few_words(rows: DataFrame, words: Sequence[str]) -> DataFrame:
