@@ -22,7 +22,6 @@ from acervo.plans import build, search
 from acervo.plans.crawl import expand_frontier
 from acervo.schemas import QUERIES as QUERY_SCHEMA
 from acervo.session import scratch_path
-from acervo.sources.index_store import load_index, save_index
 from acervo.sources.pages import read_pages_back, write_pages
 from checks import corpus
 
