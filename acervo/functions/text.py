@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import lru_cache
+from pathlib import Path
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, functions as F
 
 # Separator characters, deleted punctuation, Unicode whitespace.
@@ -23,7 +23,12 @@ DEFAULT_LANGUAGE = "spanish"
 
 @lru_cache(maxsize=None)
 def stopwords(language: str = DEFAULT_LANGUAGE) -> tuple[str, ...]:
-    """The stop list Spark ships for ``language``."""
+    """The stop list for ``language``: Spanish from this package, others as Spark ships them."""
+    if language == DEFAULT_LANGUAGE:
+        lines = Path(__file__).with_name("spanish_stop_words.txt").read_text(encoding="utf-8").splitlines()
+        return tuple(line for line in lines if not line.startswith("#"))
+    from pyspark.ml.feature import StopWordsRemover  # needs a running JVM
+
     return tuple(StopWordsRemover.loadDefaultStopWords(language))
 
 

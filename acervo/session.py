@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -13,19 +12,16 @@ MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or set on the context.
 
-    Only a local master may fall back to a folder of this machine; on a cluster
-    an executor that is lost would take such a folder with it.
+    It has to be one that the driver and all executors share, so none is made up here.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured and context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="acervo-checkpoint-"))
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return configured or context.getCheckpointDir()
 
 

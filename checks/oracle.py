@@ -6,19 +6,12 @@ spelled out per document, so nothing is shared with the Spark plans.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
+from acervo.functions.text import stopwords
 
 
 def _stop_list() -> str:
-    """The Spanish list packed with Spark, as an SQL list."""
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as jar:
-        text = jar.read("org/apache/spark/ml/feature/stopwords/spanish.txt").decode("utf-8")
-    return "[" + ", ".join(f"'{word}'" for word in text.split()) + "]"
+    """The Spanish stop words as an SQL list."""
+    return "[" + ", ".join(f"'{word}'" for word in stopwords()) + "]"
 
 
 WS = r"[\t\n\x0B\f\r \x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
