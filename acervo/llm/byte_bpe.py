@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+from acervo.llm.common import extended
+
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 REMEMBERED = 200_000  # pieces a worker keeps
@@ -149,9 +151,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
     kept = [name for name in docs.columns if name not in names]
     at = kept.index(text)
     source = docs.select(*(F.col(f"`{name}`") for name in kept))
-    schema = source.schema
-    for name in names:
-        schema = schema.add(name, "array<int>")
+    schema = extended(source.schema, ", ".join(f"{name} array<int>" for name in names))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
@@ -182,7 +182,7 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, patter
             out = [own.decode(column[i].values.to_numpy().astype(np.int64)) if column[i].is_valid else b"" for i in range(len(column))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*kept, "decoded"])
 
-    return source.mapInArrow(run, source.schema.add("decoded", "binary"))
+    return source.mapInArrow(run, extended(source.schema, "decoded binary"))
 
 
 def digests(encoded: DataFrame, doc_id: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from acervo.session import scratch_path
 
@@ -42,3 +42,8 @@ def row_key(columns: list[str]) -> list[Column]:
     """Two hashes that name a row by its content; equal rows share them. Maps cannot be hashed."""
     quoted = [F.col(f"`{name}`") for name in columns]
     return [F.xxhash64(*quoted), F.xxhash64(F.lit(1), *quoted)]
+
+
+def extended(schema: T.StructType, ddl: str) -> T.StructType:
+    """``schema`` with the fields of ``ddl`` after its own."""
+    return T.StructType([*schema.fields, *T.DataType.fromDDL(ddl).fields])

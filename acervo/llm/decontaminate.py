@@ -5,9 +5,9 @@ An item is found in a document where some span of it is within
 ``MAX_EDIT * length`` word edits of the item. The search:
 
 * Windows of an item's length start at every word of a document. A window can
-  hold a match only if enough of its word pairs occur in the benchmark; by the
-  q-gram count, ``length - 1 - 2 * edits`` of an item's pairs survive its edits.
-  A bitmap of the benchmark's word pairs, of fixed size, leaves few windows.
+  hold a match only if enough of its word triples occur in the benchmark;
+  by the q-gram count, ``length - 2 - 3 * edits`` of an item's triples survive its
+  edits. A bitmap of them, of fixed size, leaves few windows.
 * The CGK random walk maps a window to a longer sequence: at each step it copies
   the current word and moves on, or not, by a random bit of step and word. Few
   edits between two sequences become few differing positions.
@@ -33,17 +33,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from acervo.llm.common import texts
+from acervo.llm.common import extended, texts
 
-MAX_EDIT = 0.2  # word edits per word of the item
+MAX_EDIT = 0.15  # word edits per word of the item
 PIECE = 96  # words of an item that are compared as one
 LEAST_WORDS = 8  # shorter items have no passage that could be told from chance
 BLOCK_ITEMS = 5_000  # items, in pieces, that tasks hold at once
 BLOCK_BYTES = 16 << 20  # and bytes of their texts
-SAMPLES = 4  # positions that a repeat compares
+SAMPLES = 3  # positions that a repeat compares
 SHARE = 0.55  # equal positions expected at the largest distance
 RECALL = 0.99
-PAIR_BITS = 22
+MAP_BITS = 22
 # ASCII letters and digits and all bytes of other characters stay; the rest parts words.
 PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
 SEED = 71
@@ -59,13 +59,15 @@ def tokens(text: bytes | None) -> list[bytes]:
 
 
 def numbers(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(crc32, words), np.uint32, len(words)).astype(np.uint64)
+    return np.fromiter(map(crc32, words), np.uint32, len(words))
 
 
-def pairs(codes: np.ndarray) -> np.ndarray:
-    """Hash of each word with the next one."""
-    mixed = (codes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (codes[1:] * np.uint64(0xC2B2AE3D27D4EB4F))
-    return (mixed >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+def runs(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each word with the ``size - 1`` next ones."""
+    mixed = codes[: len(codes) - size + 1].copy()
+    for k in range(1, size):
+        mixed = mixed * np.uint32(0x9E3779B1) ^ codes[k : len(codes) - size + 1 + k]
+    return (mixed * np.uint32(0x85EBCA77)) >> np.uint32(32 - MAP_BITS)
 
 
 def edits_allowed(length: int, rate: float = MAX_EDIT) -> int:
@@ -78,59 +80,73 @@ class Walks:
     def __init__(self, count: int, samples: int, longest: int, seed: int = SEED):
         random = np.random.default_rng(seed)
         self.steps = 3 * longest
-        self.salts = random.integers(1, 1 << 63, (count, self.steps), dtype=np.uint64) | np.uint64(1)
+        self.salts = random.integers(0, 1 << 32, (count, self.steps), dtype=np.uint32) | np.uint32(1)
         self.samples = random.random((count, samples))
         self.mix = random.integers(1, 1 << 63, samples, dtype=np.uint64) | np.uint64(1)
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """A key for each repeat (columns) of each row; all rows have one length."""
         rows, length = windows.shape
-        count = len(self.salts)
-        padded = np.concatenate([windows, np.zeros((rows, 1), dtype=np.uint64)], axis=1)
-        steps = 3 * length
-        wanted = np.sort((self.samples * 2.0 * length).astype(np.int64), axis=1)  # positions that most walks spend inside
-        out = np.zeros((rows, count), dtype=np.uint64)
-        at = np.arange(rows)
-        for r in range(count):
-            place = np.zeros(rows, dtype=np.int64)
-            key = np.full(rows, np.uint64(r + 1))
-            chosen = wanted[r].tolist()
-            nth = 0
-            for t in range(min(steps, chosen[-1] + 1)):
-                word = padded[at, place]
-                while nth < len(chosen) and chosen[nth] == t:
-                    key = (key ^ word) * self.mix[nth]
-                    key ^= key >> np.uint64(29)
-                    nth += 1
-                move = ((word + np.uint64(1)) * self.salts[r, t]) >> np.uint64(63)
-                place = np.minimum(place + move.astype(np.int64), length)
-            out[:, r] = key
-        return out
+        repeats = np.arange(len(self.salts))
+        flat = np.concatenate([windows, np.zeros((rows, 1), dtype=np.uint32)], axis=1).ravel()
+        # Most walks are inside their window for two steps a word.
+        wanted = np.sort((self.samples * 2.0 * length).astype(np.int64), axis=1)
+        own = [np.nonzero(wanted == t) for t in range(int(wanted.max()) + 1)]
+        base = (np.arange(rows, dtype=np.int32) * (length + 1))[:, None]
+        place = np.tile(base, (1, len(repeats)))
+        last = base + length
+        keys = np.tile((repeats + 1).astype(np.uint64), (rows, 1))
+        word = np.empty(place.shape, dtype=np.uint32)
+        for t, (repeat, nth) in enumerate(own):
+            np.take(flat, place, out=word, mode="clip")
+            for k in range(self.samples.shape[1]):  # a repeat may sample one position twice
+                some = repeat[nth == k]
+                if len(some):
+                    key = (keys[:, some] ^ word[:, some]) * self.mix[k]
+                    keys[:, some] = key ^ (key >> np.uint64(29))
+            word += np.uint32(1)
+            word *= self.salts[:, t]
+            word >>= np.uint32(31)
+            place += word.view(np.int32)
+            np.minimum(place, last, out=place)
+        return keys
+
+
+def column_scores(pattern: list[int], text: list[int]) -> list[int]:
+    """For each end in ``text`` the least edits between ``pattern`` and a span that ends there.
+
+    The columns of the edit table are kept as bit vectors of their steps, so a
+    column costs a few operations on integers of the pattern's length.
+    """
+    n = len(pattern)
+    full, top = (1 << n) - 1, 1 << (n - 1)
+    where: dict[int, int] = defaultdict(int)
+    for i, word in enumerate(pattern):
+        where[word] |= 1 << i
+    up, down, score, out = full, 0, n, []
+    for word in text:
+        same = where.get(word, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        rise, fall = down | (full & ~(diagonal | up)), up & diagonal
+        score += (rise & top > 0) - (fall & top > 0)
+        rise, fall = (rise << 1) & full, (fall << 1) & full
+        up, down = fall | (full & ~((same | down) | rise)), rise & (same | down)
+        out.append(score)
+    return out
 
 
 def least_edits(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
-    """Least edits between ``item`` and any span of ``text``, with that span; ties to the first end."""
-    n = len(item)
-    cost = np.arange(n + 1)
-    origin = np.zeros(n + 1, dtype=np.int64)
-    best = (int(cost[n]), 0, 0)
-    for j, word in enumerate(text.tolist()):
-        substituted = cost[:-1] + (item != word)
-        inserted = cost[1:] + 1
-        own = np.minimum(substituted, inserted)
-        own_origin = np.where(substituted <= inserted, origin[:-1], origin[1:])
-        new, start = np.empty_like(cost), np.empty_like(origin)
-        new[0], start[0] = 0, j + 1
-        # Deletions run down the column: the least of own[i] - i so far.
-        ladder = np.concatenate([[0], own]) - np.arange(n + 1)
-        low = np.minimum.accumulate(ladder)
-        first = np.maximum.accumulate(np.where(ladder == low, np.arange(n + 1), 0))
-        new = low + np.arange(n + 1)
-        start = np.concatenate([[j + 1], own_origin])[first]
-        cost, origin = new, start
-        if cost[n] < best[0]:
-            best = (int(cost[n]), int(origin[n]), j + 1)
-    return best
+    """Least edits between ``item`` and any span of ``text``, with that span; ties to the first end, then the longest."""
+    pattern, words = item.tolist(), text.tolist()
+    ends = column_scores(pattern, words)
+    best = min(ends, default=len(pattern))
+    if best >= len(pattern):
+        return len(pattern), 0, 0
+    end = ends.index(best) + 1
+    # Backwards from that end, the scores of all spans that end there.
+    starts = column_scores(pattern[::-1], words[:end][::-1])
+    begin = max(i for i, score in enumerate(starts) if score == best)
+    return best, end - begin - 1, end
 
 
 class Block:
@@ -141,11 +157,12 @@ class Block:
         self.pieces = [(item, numbers(tokens(text))) for item, text in pieces]
         self.walks = Walks(repeats(recall), SAMPLES, PIECE)
         self.lengths: dict[int, dict[int, list[int]]] = {}
-        self.pair_map = np.zeros(1 << PAIR_BITS, dtype=bool)
+        self.own_runs: dict[int, np.ndarray] = {}  # triples of the pieces of a length
+        self.known = np.zeros(1 << MAP_BITS, dtype=bool)  # triples of all pieces
         by_length = defaultdict(list)
         for k, (_, codes) in enumerate(self.pieces):
             by_length[len(codes)].append(k)
-            self.pair_map[pairs(codes)] = True
+            self.known[runs(codes, 3)] = True
         for length, members in sorted(by_length.items()):
             keys = self.walks.keys(np.stack([self.pieces[k][1] for k in members]))
             table: dict[int, list[int]] = defaultdict(list)
@@ -153,59 +170,104 @@ class Block:
                 for key in row:
                     table[key].append(k)
             self.lengths[length] = dict(table)
+            self.own_runs[length] = np.unique(np.concatenate([runs(self.pieces[k][1], 3) for k in members]))
         self.sorted_keys = {length: np.array(sorted(table), dtype=np.uint64) for length, table in self.lengths.items()}
 
-    def matches(self, codes: np.ndarray) -> dict[int, tuple[int, int, int, int]]:
-        """Best match of each piece: ``(edits, start, end, words of the piece)``."""
-        out: dict[int, tuple[int, int, int, int]] = {}
-        if len(codes) < 2:
-            return out
-        hits = np.concatenate([[0], np.cumsum(self.pair_map[pairs(codes)])])
-        if not self.dense(hits):
+    def matches(self, texts: list[np.ndarray]) -> list[dict[int, tuple[int, int, int, int]]]:
+        """For each text its best match of each piece: ``(edits, start, end, words of the piece)``."""
+        out: list[dict[int, tuple[int, int, int, int]]] = [{} for _ in texts]
+        gap = np.zeros(2 * PIECE, dtype=np.uint32)  # no window reaches from one text into the next
+        codes = np.concatenate([part for text in texts for part in (text, gap)] or [gap])
+        first = np.concatenate([[0], np.cumsum([len(text) + len(gap) for text in texts])]).astype(np.int64)
+        triples = runs(codes, 3)
+        near = self.near(np.concatenate([[0], np.cumsum(self.known[triples], dtype=np.int32)]))
+        near = near[near < len(triples)]
+        if not len(near):
             return out
+        own = triples[near]
         for length, table in self.lengths.items():
             edits = edits_allowed(length, self.rate)
-            # Of a match's pairs, a window that starts with it may miss `edits` at its end.
-            need = max(length - 1 - 3 * edits, 1)
-            ends = np.concatenate([hits, np.full(length, hits[-1])])
-            starts = np.flatnonzero(ends[length - 1 : length - 1 + len(codes)] - hits >= need)
-            if len(starts):
-                self.compare(codes, starts, length, edits, table, out)
+            # Runs of places are long enough for the windows that matter; others only add candidates.
+            hits = np.concatenate([[0], np.cumsum(np.isin(own, self.own_runs[length])), np.zeros(length, dtype=np.int64)])
+            hits[len(own) + 1 :] = hits[len(own)]
+            # A window that starts with a match may miss `edits` words at its end.
+            need = max(length - 2 - 4 * edits, 1)
+            starts = near[hits[length - 2 : length - 2 + len(own)] - hits[: len(own)] >= need]
+            starts = starts[starts + length <= len(codes)]
+            for a in range(0, len(starts), 2048):
+                self.compare(codes, first, starts[a : a + 2048], length, edits, table, out)
         return out
 
-    def dense(self, hits: np.ndarray) -> bool:
-        """Whether some stretch as long as the shortest piece holds as many known pairs as a match needs.
+    def near(self, hits: np.ndarray) -> np.ndarray:
+        """Places in or close to a stretch that holds as many known triples as a match needs.
 
-        A match of n words and e edits has at least n - 1 - 2 e known pairs among at
-        most n + e - 1, so one of the stretches that cover it has its share of them.
+        A match of n words and e edits has at least n - 2 - 3 e known triples among at
+        most n + e - 2, so one of the stretches that cover it, each as long as the
+        shortest piece, has its share of them.
         """
-        span = max(min(self.lengths) - 1, 1)
-        shares = []
+        span = max(min(self.lengths) - 2, 1)
+        shares, reach = [], 0
         for n in self.lengths:
             e = edits_allowed(n, self.rate)
-            shares.append(-(-(n - 1 - 2 * e) // -(-(n + e - 1) // span)))
-        ends = np.concatenate([hits[1:], np.full(span - 1, hits[-1])])
-        return int((ends[span - 1 :] - hits[: len(ends) - span + 1]).max()) >= min(shares)
-
-    def compare(self, codes, starts, length, edits, table, out) -> None:
-        padded = np.concatenate([codes, np.zeros(length, dtype=np.uint64)])
-        tried: set[tuple[int, int]] = set()
-        for a in range(0, len(starts), 4096):
-            some = starts[a : a + 4096]
-            keys = self.walks.keys(padded[some[:, None] + np.arange(length)[None, :]])
-            known = self.sorted_keys[length]
-            place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            for row, column in np.argwhere(known[place] == keys).tolist():
-                for piece in table[int(keys[row, column])]:
-                    start = int(some[row])
-                    at = (piece, start // (edits + 1))
-                    if at in tried or out.get(piece, (1,))[0] == 0:
-                        continue
-                    tried.add(at)
-                    low = max(0, start - 2 * edits - 1)
-                    found, begin, end = least_edits(self.pieces[piece][1], codes[low : start + length + 3 * edits + 1])
-                    if found <= edits and (piece not in out or found < out[piece][0]):
-                        out[piece] = (found, low + begin, low + end, length)
+            shares.append(-(-(n - 2 - 3 * e) // -(-(n + e - 2) // span)))
+            reach = max(reach, n + e)
+        if len(hits) <= span:
+            return np.empty(0, dtype=np.int64)
+        dense = np.flatnonzero(hits[span:] - hits[:-span] >= max(min(shares), 1))
+        marks = np.zeros(len(hits) + span + 1, dtype=np.int32)
+        np.add.at(marks, np.maximum(dense - reach, 0), 1)
+        np.add.at(marks, np.minimum(dense + span + reach, len(hits) + span), -1)
+        return np.flatnonzero(np.cumsum(marks)[: len(hits)] > 0)
+
+    def compare(self, codes, first, starts, length, edits, table, out) -> None:
+        """Meetings of windows and pieces of one length, each verified once for a stretch of starts."""
+        keys = self.walks.keys(codes[starts[:, None] + np.arange(length)[None, :]])
+        known = self.sorted_keys[length]
+        place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        meetings = {
+            (piece, int(starts[row]) // (edits + 1))
+            for row, column in np.argwhere(known[place] == keys).tolist()
+            for piece in table[int(keys[row, column])]
+        }
+        for piece, stretch in sorted(meetings):
+            start = stretch * (edits + 1)
+            text = int(np.searchsorted(first, start + edits, side="right")) - 1
+            if out[text].get(piece, (1,))[0] == 0:
+                continue
+            low = max(int(first[text]), start - 2 * edits - 1)
+            high = min(int(first[text + 1]) - 2 * PIECE, start + length + 3 * edits + 2)
+            if high <= low:
+                continue
+            found, begin, end = least_edits(self.pieces[piece][1], codes[low:high])
+            if found <= edits and (piece not in out[text] or found < out[text][piece][0]):
+                at = low - int(first[text])
+                out[text][piece] = (found, at + begin, at + end, length)
+
+
+def searched_texts(block: Block, values: list[bytes | None], most: int = 400_000) -> Iterator[dict[int, tuple[int, int, int, int]]]:
+    """The best matches of each text in turn; some hundred thousand words are compared together."""
+    held: list[tuple[int, int, np.ndarray]] = []  # text, first word, words
+    done: dict[int, dict[int, tuple[int, int, int, int]]] = {}
+    size = 0
+
+    def compare() -> None:
+        for (i, offset, _), found in zip(held, block.matches([codes for _, _, codes in held])):
+            own = done.setdefault(i, {})
+            for piece, (edits, a, b, n) in found.items():
+                if piece not in own or edits < own[piece][0]:
+                    own[piece] = (edits, a + offset, b + offset, n)
+        held.clear()
+
+    for i, value in enumerate(values):
+        for offset, words in windows_of_text(value):
+            held.append((i, offset, numbers(words)))
+            size += len(words) + 2 * PIECE
+            if size > most:
+                compare()
+                size = 0
+    compare()
+    for i in range(len(values)):
+        yield done.get(i, {})
 
 
 def pieces_of(item: int | None, text: bytes | None) -> list[tuple[int | None, bytes]]:
@@ -277,9 +339,7 @@ def contaminated(
     Other columns are not read. An empty benchmark gives an empty result.
     """
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = source.drop("text").schema
-    for name, kind in (("item_id", "long"), ("start_word", "int"), ("end_word", "int"), ("edits", "int"), ("item_words", "int")):
-        schema = schema.add(name, kind)
+    schema = extended(source.drop("text").schema, "item_id long, start_word int, end_word int, edits int, item_words int")
     out = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(benchmark, item_id, item_text, rate, recall):
         found = searched(source, docs.sparkSession.sparkContext.broadcast(block), schema)
@@ -292,12 +352,7 @@ def searched(source: DataFrame, shared, schema) -> DataFrame:
         block = shared.value
         for batch in parts:
             rows = []
-            for i, value in enumerate(texts(batch.column(1))):
-                best: dict[int, tuple[int, int, int, int]] = {}
-                for first, words in windows_of_text(value):
-                    for piece, (edits, a, b, n) in block.matches(numbers(words)).items():
-                        if piece not in best or edits < best[piece][0]:
-                            best[piece] = (edits, a + first, b + first, n)
+            for i, best in enumerate(searched_texts(block, texts(batch.column(1)))):
                 rows += [(i, block.pieces[piece][0], a, b, edits, n) for piece, (edits, a, b, n) in best.items()]
             if rows:
                 at, *rest = zip(*rows)
@@ -319,7 +374,7 @@ def without_benchmark(
         def run(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in parts:
-                clean = [not any(own.matches(numbers(w)) for _, w in windows_of_text(value)) for value in texts(batch.column(at))]
+                clean = [not found for found in searched_texts(own, texts(batch.column(at)))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from acervo.llm.common import remainder, stored, texts, words
+from acervo.llm.common import extended, remainder, stored, texts, words
 
 STATES = 6
 ROUNDS = 4
@@ -94,9 +94,8 @@ def word_class(word: bytes) -> int:
 def encoded(docs: DataFrame, vocabulary, keep: list[str], text: str) -> DataFrame:
     """The ``keep`` columns with ``n_tokens``, ``symbols``, ``frequent`` (numbers) and ``rare`` (words)."""
     source = docs.select(*(F.col(f"`{name}`") for name in keep), F.col(f"`{text}`").alias("_text"))
-    schema = source.drop("_text").schema
-    schema = schema.add("n_tokens", "long").add("symbols", "binary").add("base_part", "double")
-    schema = schema.add("word_part", "double").add("n_frequent", "long").add("rare", "array<binary>")
+    added = "n_tokens long, symbols binary, base_part double, word_part double, n_frequent long, rare array<binary>"
+    schema = extended(source.drop("_text").schema, added)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = vocabulary.value
@@ -131,7 +130,7 @@ class Shared:
     def __init__(self, vocabulary: Vocabulary, n: int, distinct: int, class_words: np.ndarray, class_counts: np.ndarray):
         self.vocabulary = vocabulary
         self.base = np.log10((vocabulary.counts + 1) / (n + distinct + 1))
-        at = vocabulary.symbol - vocabulary.own
+        at = np.maximum(vocabulary.symbol - vocabulary.own, 0)
         inside = (vocabulary.counts + 1) / (class_counts[at] + class_words[at] + 1)
         self.share = np.where(np.arange(len(at)) < vocabulary.own, 0.0, np.log10(inside))
 
@@ -294,7 +293,7 @@ def forward_scores(enc: DataFrame, model: Model) -> DataFrame:
     shared = enc.sparkSession.sparkContext.broadcast(model)
     kept = [name for name in enc.columns if name not in ("symbols", "rare")]
     source = enc.select(*kept, "symbols")
-    schema = enc.select(*kept).schema.add("hmm_part", "double")
+    schema = extended(enc.select(*kept).schema, "hmm_part double")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:

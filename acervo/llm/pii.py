@@ -34,6 +34,11 @@ PHONE_MODULI = (800, 800, 10_000)  # area and exchange from 200 on, line
 SSN_MODULI = (898, 99, 9_999)  # areas 001 to 899 but for 666, groups and serials from 1 on
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def chars(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
@@ -48,93 +53,103 @@ def spell(values: Column) -> Column:
 
 def permuted(values: Column, moduli: Column, key: str, kind: str) -> Column:
     """The symbols after a keyed permutation of all arrays with these moduli."""
-    half = F.floor(F.size(values) / 2).cast("int")
 
-    def moved(own: Column, limits: Column, other: Column, number: Column) -> Column:
-        seen = F.concat_ws(",", other.cast("array<string>"))
-
-        def add(value: Column, at: Column) -> Column:
-            told = F.concat_ws("|", F.lit(key), F.lit(kind), number.cast("string"), at.cast("string"), seen)
+    def moved(own: Column, other: Column, number: Column) -> Column:
+        def add(symbol: Column, at: Column) -> Column:
+            told = F.concat_ws("|", F.lit(key), F.lit(kind), number, at, F.concat_ws(",", other["value"].cast("array<string>")))
             shift = F.conv(F.substring(F.sha2(told, 256), 1, 12), 16, 10).cast("long")
-            return ((value + shift) % F.element_at(limits, at + 1)).cast("int")
+            return F.struct(((symbol["value"] + shift) % symbol["modulus"]).cast("int").alias("value"), symbol["modulus"].alias("modulus"))
 
         return F.transform(own, add)
 
-    start = F.struct(F.slice(values, F.lit(1), half).alias("a"), F.slice(values, half + 1, F.size(values) - half).alias("b"))
-    left, right = F.slice(moduli, F.lit(1), half), F.slice(moduli, half + 1, F.size(values) - half)
-
-    def round_of(state: Column, number: Column) -> Column:
-        a, b = state["a"], state["b"]
-        even = number % 2 == 0
-        return F.struct(
-            F.when(even, moved(a, left, b, number)).otherwise(a).alias("a"),
-            F.when(even, b).otherwise(moved(b, right, a, number)).alias("b"),
-        )
+    def run(symbols: Column) -> Column:
+        half = F.floor(F.size(symbols) / 2).cast("int")
+        start = F.struct(F.slice(symbols, F.lit(1), half).alias("own"), F.slice(symbols, half + 1, F.size(symbols) - half).alias("other"))
+        # Each round changes one half by the other and swaps them; their number is even.
+        step = lambda s, n: F.struct(s["other"].alias("own"), moved(s["own"], s["other"], n).alias("other"))
+        rounds = F.sequence(F.lit(1), F.lit(ROUNDS))
+        return F.aggregate(rounds, start, step, lambda s: F.concat(s["own"]["value"], s["other"]["value"]))
 
-    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, round_of, lambda s: F.concat(s["a"], s["b"]))
+    return let(F.zip_with(values, moduli, lambda v, m: F.struct(v.cast("int").alias("value"), m.alias("modulus"))), run)
 
 
 def same(values: Column, modulus: int) -> Column:
     return F.transform(values, lambda _: F.lit(modulus))
 
 
+def permuted_alike(values: Column, modulus: int, key: str, kind: str) -> Column:
+    return let(values, lambda v: permuted(v, same(v, modulus), key, kind))
+
+
 def fixed(moduli: tuple[int, ...]) -> Column:
     return F.array(*(F.lit(m) for m in moduli))
 
 
 def fill(form: Column, symbols: Column, place: str) -> Column:
     """``form`` with the characters that match the class ``place`` replaced by ``symbols`` in turn."""
-    at = lambda i: F.length(F.regexp_replace(F.substring(form, F.lit(1), i), f"[^{place}]", ""))
-    own = lambda i: F.substring(form, i, F.lit(1))
-    each = F.transform(
-        F.sequence(F.lit(1), F.length(form)), lambda i: F.when(own(i).rlike(f"[{place}]"), F.element_at(symbols, at(i))).otherwise(own(i))
-    )
-    return F.when(F.length(form) > 0, F.array_join(each, "")).otherwise(form)
+
+    def filled(both: Column) -> Column:
+        def step(state: Column, c: Column) -> Column:
+            hit = c.rlike(f"[{place}]")
+            own = F.when(hit, F.element_at(both["symbols"], state["at"])).otherwise(c)
+            return F.struct((state["at"] + F.when(hit, 1).otherwise(0)).alias("at"), F.concat(state["text"], own).alias("text"))
+
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("text"))
+        return F.aggregate(chars(both["form"]), start, step, lambda s: s["text"])
+
+    return let(F.struct(form.alias("form"), symbols.cast("array<string>").alias("symbols")), filled)
 
 
 def email(found: Column, key: str) -> Column:
     """Letters of the local part among letters of their case, digits among digits; the domain stays."""
-    local = F.substring_index(found, "@", 1)
-    domain = F.substring(found, F.length(local) + 1, F.length(found))
-    letters = chars(F.regexp_replace(F.lower(local), "[^a-z]", ""))
-    numbers = F.transform(letters, lambda c: F.ascii(c) - 97)
-    new = F.transform(permuted(numbers, same(numbers, 26), key, "letters"), lambda n: F.char(n.cast("long") + 97))
-    plain = fill(F.lower(local), new, "a-z")
-    own = digits(local)
-    plain = F.when(F.size(own) > 0, fill(plain, permuted(own, same(own, 10), key, "digits").cast("array<string>"), "0-9")).otherwise(plain)
-    cased = F.zip_with(chars(local), chars(plain), lambda old, n: F.when(old.rlike("[A-Z]"), F.upper(n)).otherwise(n))
-    return F.concat(F.array_join(cased, ""), domain)
+
+    def local_part(local: Column) -> Column:
+        numbers = F.transform(chars(F.regexp_replace(F.lower(local), "[^a-z]", "")), lambda c: F.ascii(c) - 97)
+        letters = F.transform(permuted_alike(numbers, 26, key, "letters"), lambda n: F.char(n.cast("long") + 97))
+        plain = fill(fill(F.lower(local), letters, "a-z"), permuted_alike(digits(local), 10, key, "digits"), "0-9")
+        cased = F.zip_with(chars(local), chars(plain), lambda old, new: F.when(old.rlike("[A-Z]"), F.upper(new)).otherwise(new))
+        return F.array_join(cased, "")
+
+    domain = F.substring(found, F.instr(found, "@"), F.length(found))
+    return F.concat(let(F.substring_index(found, "@", 1), local_part), domain)
 
 
 def phone(found: Column, key: str) -> Column:
     """The country code stays. North American numbers stay such; others keep their number of digits."""
     code = F.regexp_extract(found, r"^\+\d{1,3}(?=\D)", 0)
+    home = code.isin("+1", "")
+
+    def subscriber(own: Column) -> Column:
+        number = lambda a, n: spell(F.slice(own, a, n)).cast("int")
+        american = home & (F.size(own) == 10) & (number(1, 3) >= 200) & (number(4, 3) >= 200)
+        moved = let(
+            permuted(F.array(number(1, 3) - 200, number(4, 3) - 200, number(7, 4)), fixed(PHONE_MODULI), key, "american"),
+            lambda n: chars(F.concat((n[0] + 200).cast("string"), (n[1] + 200).cast("string"), F.lpad(n[2].cast("string"), 4, "0"))),
+        )
+        # What is no such number must not become one: the digits that make it none stay.
+        fixed_digits = F.when(home & (F.size(own) == 10), F.when(number(1, 3) < 200, 1).otherwise(4)).otherwise(0)
+        other = let(
+            fixed_digits,
+            lambda n: F.concat(F.slice(own, F.lit(1), n), permuted_alike(F.slice(own, n + 1, F.size(own)), 10, key, "phone")),
+        )
+        return F.when(american, moved).otherwise(other.cast("array<string>"))
+
     rest = F.substring(found, F.length(code) + 1, F.length(found))
-    own = digits(rest)
-    joined = spell(own)
-    area, exchange, line = (F.substring(joined, a, n).cast("int") for a, n in ((1, 3), (4, 3), (7, 4)))
-    american = (F.size(own) == 10) & code.isin("+1", "") & (area >= 200) & (exchange >= 200)
-    new = permuted(F.array(area - 200, exchange - 200, line), fixed(PHONE_MODULI), key, "american")
-    kept = F.concat((new[0] + 200).cast("string"), (new[1] + 200).cast("string"), F.lpad(new[2].cast("string"), 4, "0"))
-    # What is no such number must not become one: its first digit of the area stays below 2.
-    odd = F.size(own) == 10
-    head = F.when(odd & code.isin("+1", ""), F.slice(own, 1, 1)).otherwise(F.slice(own, 1, 0))
-    tail = F.slice(own, F.size(head) + 1, F.size(own))
-    other = F.concat(head, permuted(tail, same(tail, 10), key, "phone")).cast("array<string>")
-    return F.concat(code, fill(rest, F.when(american, chars(kept)).otherwise(other), "0-9"))
+    return F.concat(code, let(rest, lambda r: fill(r, let(digits(r), subscriber), "0-9")))
 
 
 def ipv4(found: Column, key: str) -> Column:
-    own = F.split(found, r"\.").cast("array<int>")
-    new = F.array_join(permuted(own, same(own, 256), key, "ipv4").cast("array<string>"), ".")
-    return F.when(F.forall(own, lambda n: n <= 255), new).otherwise(found)
+    def moved(own: Column) -> Column:
+        new = F.array_join(permuted_alike(own, 256, key, "ipv4").cast("array<string>"), ".")
+        return F.when(F.forall(own, lambda n: n <= 255), new).otherwise(found)
+
+    return let(F.split(found, r"\.").cast("array<int>"), moved)
 
 
 def moved_day(day: Column, key: str) -> Column:
-    number = F.date_diff(day, F.lit(FIRST_DAY).cast("date"))
-    pair = F.array(F.floor(number / DAY_MODULI[1]).cast("int"), (number % DAY_MODULI[1]).cast("int"))
-    new = permuted(pair, fixed(DAY_MODULI), key, "day")
-    return F.date_add(F.lit(FIRST_DAY).cast("date"), new[0] * DAY_MODULI[1] + new[1])
+    first = F.lit(FIRST_DAY).cast("date")
+    pair = let(F.date_diff(day, first), lambda n: F.array(F.floor(n / DAY_MODULI[1]).cast("int"), (n % DAY_MODULI[1]).cast("int")))
+    return let(permuted(pair, fixed(DAY_MODULI), key, "day"), lambda n: F.date_add(first, n[0] * DAY_MODULI[1] + n[1]))
 
 
 def in_range(day: Column) -> Column:
@@ -143,42 +158,55 @@ def in_range(day: Column) -> Column:
 
 def made_date(year: Column, month: Column, day: Column) -> Column:
     """The date, or null if there is none."""
-    return F.to_date(F.try_to_timestamp(F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0")), F.lit("yyyy-MM-dd")))
+    return F.concat_ws("-", F.lpad(year, 4, "0"), F.lpad(month, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
 
 
 def iso_date(found: Column, key: str) -> Column:
     mark = F.substring(found, 5, 1)
-    day = made_date(F.substring(found, 1, 4), F.substring(found, 6, 2), F.substring(found, 9, 2))
-    new = F.replace(F.date_format(moved_day(day, key), "yyyy-MM-dd"), F.lit("-"), mark)
-    return F.when(in_range(day), new).otherwise(found)
+
+    def moved(day: Column) -> Column:
+        return F.when(in_range(day), F.replace(moved_day(day, key).cast("string"), F.lit("-"), mark)).otherwise(found)
+
+    return let(made_date(F.substring(found, 1, 4), F.substring(found, 6, 2), F.substring(found, 9, 2)), moved)
 
 
 def day_date(found: Column, key: str) -> Column:
-    """Day or month first: the order that gives a date, day first where both do. Two digits each where one had two."""
-    parts = F.split(found, r"[./-]")
+    """Day or month first: the order that gives a date, day first where both do; two digits each in ten characters."""
     mark = F.regexp_extract(found, r"[./-]", 0)
-    first = made_date(parts[2], parts[1], parts[0])
-    second = made_date(parts[2], parts[0], parts[1])
-    day_first = in_range(first)
-    day = F.when(day_first, first).otherwise(second)
-    new = moved_day(day, key)
-    width = F.when(F.length(found) == 10, "dd.MM.yyyy").otherwise("d.M.yyyy")
-    wide = F.length(found) == 10
-    d, m = F.dayofmonth(new).cast("string"), F.month(new).cast("string")
-    d, m = F.when(wide, F.lpad(d, 2, "0")).otherwise(d), F.when(wide, F.lpad(m, 2, "0")).otherwise(m)
-    text = F.concat_ws("", F.when(day_first, d).otherwise(m), mark, F.when(day_first, m).otherwise(d), mark, F.year(new).cast("string"))
-    return F.when(in_range(day), text).otherwise(found)
+
+    def told(day_first: bool, day: Column) -> Column:
+        def written(new: Column) -> Column:
+            parts = [F.dayofmonth(new).cast("string"), F.month(new).cast("string")]
+            parts = [F.when(F.length(found) == 10, F.lpad(part, 2, "0")).otherwise(part) for part in parts]
+            first, second = parts if day_first else parts[::-1]
+            return F.concat(first, mark, second, mark, F.year(new).cast("string"))
+
+        return let(moved_day(day, key), written)
+
+    def moved(parts: Column) -> Column:
+        first, second = made_date(parts[2], parts[1], parts[0]), made_date(parts[2], parts[0], parts[1])
+        return F.when(in_range(first), told(True, first)).when(in_range(second), told(False, second)).otherwise(found)
+
+    return let(F.split(found, r"[./-]"), moved)
 
 
 def ssn(found: Column, key: str) -> Column:
-    parts = F.split(found, "-").cast("array<int>")
-    area, group, serial = parts[0], parts[1], parts[2]
-    valid = area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1)
-    place = F.when(area > 666, area - 2).otherwise(area - 1)
-    new = permuted(F.array(place, group - 1, serial - 1), fixed(SSN_MODULI), key, "ssn")
-    new_area = F.when(new[0] >= 665, new[0] + 2).otherwise(new[0] + 1)
-    text = F.concat_ws("-", F.lpad(new_area.cast("string"), 3, "0"), F.lpad((new[1] + 1).cast("string"), 2, "0"), F.lpad((new[2] + 1).cast("string"), 4, "0"))
-    return F.when(valid, text).otherwise(found)
+    def moved(parts: Column) -> Column:
+        area, group, serial = parts[0], parts[1], parts[2]
+        valid = area.between(1, 899) & (area != 666) & (group >= 1) & (serial >= 1)
+        place = area - F.when(area > 666, 2).otherwise(1)
+        new = let(
+            permuted(F.array(place, group - 1, serial - 1), fixed(SSN_MODULI), key, "ssn"),
+            lambda n: F.concat_ws(
+                "-",
+                F.lpad((n[0] + F.when(n[0] >= 665, 2).otherwise(1)).cast("string"), 3, "0"),
+                F.lpad((n[1] + 1).cast("string"), 2, "0"),
+                F.lpad((n[2] + 1).cast("string"), 4, "0"),
+            ),
+        )
+        return F.when(valid, new).otherwise(found)
+
+    return let(F.split(found, "-").cast("array<int>"), moved)
 
 
 def luhn(values: Column) -> Column:
@@ -188,34 +216,42 @@ def luhn(values: Column) -> Column:
 
 
 def card(found: Column, key: str) -> Column:
-    own = digits(found)
-    body = F.slice(own, F.lit(1), F.size(own) - 1)
-    new = permuted(body, same(body, 10), key, "card")
-    check = (10 - luhn(F.concat(new, F.array(F.lit(0))))) % 10
-    text = fill(found, F.concat(new, F.array(check)).cast("array<string>"), "0-9")
-    return F.when(luhn(own) == 0, text).otherwise(found)
+    """All digits but the check digit move; that is computed anew."""
 
+    def moved(own: Column) -> Column:
+        new = let(
+            permuted_alike(F.slice(own, F.lit(1), F.size(own) - 1), 10, key, "card"),
+            lambda n: F.concat(n, F.array((10 - luhn(F.concat(n, F.array(F.lit(0))))) % 10)),
+        )
+        return F.when(luhn(own) == 0, fill(found, new, "0-9")).otherwise(found)
 
-def mod97(text: Column) -> Column:
-    """Remainder of an IBAN's characters, moved and spelled as numbers, without blanks."""
-    turned = F.concat(F.substring(text, F.lit(5), F.length(text)), F.substring(text, 1, 4))
+    return let(digits(found), moved)
 
-    def step(acc: Column, c: Column) -> Column:
-        value = F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
-        return (acc * F.when(value > 9, 100).otherwise(10) + value) % 97
 
-    return F.aggregate(chars(turned), F.lit(0), step)
+def mod97(text: Column) -> Column:
+    """Remainder of an IBAN's characters, moved and spelled as numbers, without blanks."""
+    turned = let(text, lambda t: F.concat(F.substring(t, F.lit(5), F.length(t)), F.substring(t, 1, 4)))
+    value = lambda c: F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+    values = F.transform(chars(turned), value)
+    return F.aggregate(values, F.lit(0), lambda a, v: (a * F.when(v > 9, 100).otherwise(10) + v) % 97)
 
 
 def iban(found: Column, key: str) -> Column:
     """Digits of the account part among digits, with new check digits; letters stay."""
-    plain = F.replace(found, F.lit(" "), F.lit(""))
-    head, body = F.substring(plain, 1, 2), F.substring(plain, F.lit(5), F.length(plain))
-    own = digits(body)
-    new_body = fill(body, permuted(own, same(own, 10), key, "iban").cast("array<string>"), "0-9")
-    check = F.lpad((98 - mod97(F.concat(head, F.lit("00"), new_body))).cast("string"), 2, "0")
-    text = fill(found, chars(F.concat(head, check, new_body)), "A-Z0-9")
-    return F.when((mod97(plain) == 1) & F.length(plain).between(15, 34), text).otherwise(found)
+
+    def moved(plain: Column) -> Column:
+        body = F.substring(plain, F.lit(5), F.length(plain))
+        new = let(
+            let(body, lambda b: fill(b, permuted_alike(digits(b), 10, key, "iban"), "0-9")),
+            lambda b: let(
+                F.substring(plain, 1, 2),
+                lambda head: F.concat(head, F.lpad((98 - mod97(F.concat(head, F.lit("00"), b))).cast("string"), 2, "0"), b),
+            ),
+        )
+        valid = F.length(plain).between(15, 34) & (mod97(plain) == 1)
+        return F.when(valid, fill(found, chars(new), "A-Z0-9")).otherwise(found)
+
+    return let(F.replace(found, F.lit(" "), F.lit("")), moved)
 
 
 KINDS: list[tuple[str, Callable[[Column, str], Column]]] = [

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acervo.llm.common import remainder, texts, words
+from acervo.llm.common import extended, remainder, texts, words
 
 MAX_ROWS = 60_000  # labelled rows that a fit learns from, on average of the hash
 WORD_BITS, STEM_BITS = 20, 18  # sizes of the count tables: 2**20 and 2 x 2**18 entries
@@ -267,8 +267,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     kept = [name for name in docs.columns if name not in new]
     at = kept.index(text)
     source = docs.select(*(F.col(f"`{name}`") for name in kept))
-    schema = source.schema.add("toxicity", "double").add("toxic_evidence", "double")
-    schema = schema.add("toxic_passages", "array<struct<start:int,end:int,surprise:double>>")
+    added = "toxicity double, toxic_evidence double, toxic_passages array<struct<start:int,end:int,surprise:double>>"
+    schema = extended(source.schema, added)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("surprise", pa.float64())]))
 
