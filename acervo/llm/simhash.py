@@ -283,6 +283,7 @@ def spanning_links(fps: np.ndarray, query: np.ndarray, distance: int) -> list[tu
     if not len(queries) or len(queries) + len(others) < 2:
         return []
     nodes = np.concatenate([queries, others])
+    raw = nodes.view(np.uint64)  # bits of a negative number are counted as they are
     unseen = np.ones(len(nodes), dtype=bool)
     out = []
     for root in range(len(queries)):
@@ -293,7 +294,7 @@ def spanning_links(fps: np.ndarray, query: np.ndarray, distance: int) -> list[tu
         while stack:
             node = stack.pop()
             reach = len(nodes) if node < len(queries) else len(queries)
-            near = np.bitwise_count(nodes[:reach] ^ nodes[node]) <= distance
+            near = np.bitwise_count(raw[:reach] ^ raw[node]) <= distance
             near &= unseen[:reach]
             found = np.flatnonzero(near)
             if len(found):
