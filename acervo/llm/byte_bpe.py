@@ -15,6 +15,7 @@ them; characters that tokens split are whole again in the joined bytes.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,7 +30,7 @@ from acervo.llm.common import extended
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-REMEMBERED = 200_000  # pieces a worker keeps
+REMEMBERED = 100_000  # pieces a worker keeps
 LONG_PIECE = 256  # characters; longer pieces are encoded, but not kept
 
 
@@ -40,12 +41,52 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
-class ByteBpe:
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+
+
+class TokenBytes:
+    """What each id stands for: the tables that decoding needs."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        table = byte_characters()
+        # The byte table reversed, over the tokens as the library spells them.
+        back = {character: byte for byte, character in enumerate(table)}
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = bytes(map(back.__getitem__, map(table.__getitem__, token)))
+        self.lengths = np.array(list(map(len, tokens)), dtype=np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        own = self.lengths[ids]
+        ends = np.cumsum(own)
+        total = int(ends[-1]) if len(ends) else 0
+        at = np.arange(total) + np.repeat(self.starts[ids] - (ends - own), own)
+        return self.bytes[at].tobytes()
+
+    def offsets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Character offsets ``[start, end)`` of each token in the text.
+
+        A token that begins inside a character starts at it, and one that ends
+        inside a character ends after it.
+        """
+        ends = np.cumsum(self.lengths[ids])
+        raw = np.frombuffer(self.decode(ids), dtype=np.uint8)
+        begun = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        inner = np.append((raw & 0xC0) == 0x80, False)
+        starts = ends - self.lengths[ids]
+        return begun[starts] - inner[starts], begun[ends]
+
+
+class ByteBpe(TokenBytes):
     """Encoder and decoder for one rank file."""
 
     def __init__(self, path: str, pattern: str):
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        ranks = read_ranks(path)
+        super().__init__(ranks)
         table = byte_characters()
         spell = lambda token: "".join(map(table.__getitem__, token))
         merges = [
@@ -54,6 +95,7 @@ class ByteBpe:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         ]
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         vocabulary = {spell(token): rank for token, rank in ranks.items()}
         self.library = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True))
         self.library.pre_tokenizer = pre_tokenizers.Sequence(
@@ -62,14 +104,6 @@ class ByteBpe:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
-        # The byte table reversed: what each id stands for.
-        back = {character: byte for byte, character in enumerate(table)}
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for word, rank in vocabulary.items():
-            tokens[rank] = bytes(map(back.__getitem__, word))
-        self.lengths = np.array(list(map(len, tokens)), dtype=np.int64)
-        self.starts = np.cumsum(self.lengths) - self.lengths
-        self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
@@ -97,29 +131,11 @@ class ByteBpe:
             if len(piece) <= LONG_PIECE and len(known) < REMEMBERED:
                 known[piece] = ids
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return decoded(ids, self.lengths, self.starts, self.bytes)
-
-    def offsets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Character offsets ``[start, end)`` of each token in the text.
-
-        A token that begins inside a character starts at it, and one that ends
-        inside a character ends after it.
-        """
-        ends = np.cumsum(self.lengths[ids])
-        raw = np.frombuffer(self.decode(ids), dtype=np.uint8)
-        begun = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-        inner = np.append((raw & 0xC0) == 0x80, False)
-        starts = ends - self.lengths[ids]
-        return begun[starts] - inner[starts], begun[ends]
-
 
-def decoded(ids: np.ndarray, lengths: np.ndarray, starts: np.ndarray, table: np.ndarray) -> bytes:
-    own = lengths[ids]
-    ends = np.cumsum(own)
-    total = int(ends[-1]) if len(ends) else 0
-    at = np.arange(total) + np.repeat(starts[ids] - (ends - own), own)
-    return table[at].tobytes()
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> TokenBytes:
+    """The decoding tables, once per worker process."""
+    return TokenBytes(read_ranks(path))
 
 
 @lru_cache(maxsize=2)
@@ -128,7 +144,7 @@ def coder(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(path, pattern)
 
 
-def pieces_of(column: pa.Array, most_bytes: int = 8 << 20) -> Iterator[tuple[int, int]]:
+def pieces_of(column: pa.Array, most_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch with bounded text, so that a batch of long texts is not cut into pieces at once."""
     start, held = 0, 0
     for i, size in enumerate(pa.compute.binary_length(column).fill_null(0).to_pylist()):
@@ -168,15 +184,15 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
     return source.mapInArrow(run, schema)
 
 
-def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
     """All columns of ``encoded`` with ``decoded``, the bytes of the ids; null ids count as none."""
-    path, pattern = path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
+    path = path or public_tokenizers.path(RANKS)
     kept = [name for name in encoded.columns if name != "decoded"]
     at = kept.index(ids)
     source = encoded.select(*(F.col(f"`{name}`") for name in kept))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
+        own = token_bytes(path)
         for batch in parts:
             column = batch.column(at)
             out = [own.decode(column[i].values.to_numpy().astype(np.int64)) if column[i].is_valid else b"" for i in range(len(column))]
@@ -185,10 +201,10 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None, patter
     return source.mapInArrow(run, extended(source.schema, "decoded binary"))
 
 
-def digests(encoded: DataFrame, doc_id: str = "doc_id", path: str | None = None, pattern: str | None = None) -> DataFrame:
+def digests(encoded: DataFrame, doc_id: str = "doc_id", path: str | None = None) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encoded``."""
     ids = F.col("ids")
-    return decode(encoded.select(doc_id, "ids"), path=path, pattern=pattern).select(
+    return decode(encoded.select(doc_id, "ids"), path=path).select(
         F.col(doc_id).alias("doc_id"),
         F.size(ids).cast("long").alias("n_tokens"),
         F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),

@@ -105,7 +105,7 @@ def windows(
     """
     unit = max((budget - history) // 2, 1)
     history = min(history, unit)
-    rows = stored(placed(stored(numbered(turns, conv_id, turn, role, text), "chat-turns")), "chat-places")
+    rows = stored(placed(stored(numbered(turns, conv_id, turn, role, text), "chat-turns", "zstd")), "chat-places", "zstd")
     own = rows.withColumn("window", F.when(F.col("lead"), 0).otherwise(F.floor(F.col("before") / unit)).cast("long"))
 
     # Windows that have own turns, where they start, and the window before each.

@@ -18,10 +18,14 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared scratch folder and read again, which cuts its lineage."""
+def stored(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:
+    """``df`` written to the shared scratch folder and read again, which cuts its lineage.
+
+    Tables of numbers are not compressed: codecs take memory outside the heap for
+    every file, and rounds of joins over many partitions write many small files.
+    """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -324,7 +324,7 @@ def score(
     rule = held_out if held_out is not None else remainder(doc_id, 7) == 2
     source = docs.select(F.col(doc_id).alias("doc_id"), rule.alias("held_out"), F.col(text).alias("text"))
     spark = docs.sparkSession
-    counts = stored(word_counts(source.filter(~F.col("held_out"))), "hmm-counts")
+    counts = stored(word_counts(source.filter(~F.col("held_out"))), "hmm-counts", "zstd")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, distinct = totals["n"], totals["v"]
     table = counts.filter(F.col("n") >= at_most(counts, counted_words)).toArrow()
@@ -345,7 +345,7 @@ def score(
 
     shared = spark.sparkContext.broadcast(Shared(vocabulary, n, distinct, class_words, class_counts))
     enc = encoded(source.withColumn("row", F.monotonically_increasing_id()), shared, ["row", "doc_id", "held_out"], "text")
-    enc = stored(enc, "hmm-symbols")
+    enc = stored(enc, "hmm-symbols", "zstd")
     model = trained(enc.filter(~F.col("held_out")), symbol_counts, states, rounds)
     scored = forward_scores(enc, model)
 
