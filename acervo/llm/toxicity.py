@@ -35,6 +35,7 @@ DRIFT = 0.7  # taken from each token's log-odds
 LEAST_ODDS = -1.5  # no token speaks more than this against toxicity
 SIGNIFICANT = 1.0  # segments with a smaller E count
 THRESHOLD = 0.3
+REMEMBERED = 200_000  # words whose scores a worker keeps
 
 
 def buckets(tokens: list[bytes]) -> tuple[np.ndarray, ...]:
@@ -81,8 +82,12 @@ class Odds:
         self.counts = [count.astype(np.float32) for count in counts]
         total = counts[0].sum(axis=0) + 1
         self.base = float(total[1] / total.sum())
+        self.known: dict[bytes, float] = {}
 
-    def scores(self, tokens: list[bytes]) -> np.ndarray:
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}
+
+    def of_words(self, tokens: list[bytes]) -> np.ndarray:
         share = self.base
         for count, own in zip(self.counts, buckets(tokens)):
             seen = count[own]
@@ -90,6 +95,25 @@ class Odds:
         odds = np.log(share / (1 - share)) - np.log(self.base / (1 - self.base))
         return np.maximum(odds, LEAST_ODDS) - DRIFT
 
+    def scores(self, tokens: list[bytes]) -> np.ndarray:
+        """Scores of a text's tokens; a word that has spoken for toxicity once does not do so again."""
+        get = self.known.get
+        found = [get(token) for token in tokens]
+        missing = [i for i, score in enumerate(found) if score is None]
+        if missing:
+            if len(self.known) > REMEMBERED:
+                self.known.clear()
+            for i, score in zip(missing, self.of_words([tokens[i] for i in missing]).tolist()):
+                found[i] = score
+                if len(tokens[i]) <= 64:
+                    self.known[tokens[i]] = score
+        scores, seen = np.array(found, dtype=np.float64), set()
+        for i in np.flatnonzero(scores > 0).tolist():
+            if tokens[i] in seen:
+                scores[i] = -DRIFT
+            seen.add(tokens[i])
+        return scores
+
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments ``(start, end, score)`` in one pass over the scores.
