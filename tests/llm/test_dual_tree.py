@@ -74,6 +74,7 @@ def test_tree_covers_its_points():
 
 def test_pruning_happens(monkeypatch):
     rnd = random.Random(6)
+    monkeypatch.setattr(dual_tree, "LEAF", 8)
     points = np.array([[rnd.choice([0, 1000]) + rnd.randrange(20) for _ in range(3)] for _ in range(2000)])
     calls = []
     whole = dual_tree.products
