@@ -94,9 +94,12 @@ def build_documents(
 
 
 def document_terms(documents: DataFrame) -> DataFrame:
-    """Flat postings ``(term, doc_id, tf)`` of a document table; no shuffle."""
+    """Flat postings ``(term, doc_id, tf, norm)`` of a document table; no shuffle.
+
+    The norm is the document's, so that a search needs no join to score.
+    """
     counts = tx.term_counts("if(text = '', cast(array() as array<string>), split(text, ' '))")
-    return flat_postings(documents.select("doc_id", counts.alias("counts")))
+    return flat_postings(documents.select("doc_id", "norm", counts.alias("counts")), "norm")
 
 
 def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame:
@@ -105,12 +108,12 @@ def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame
     return flat_postings(texts.select("doc_id", counts.alias("counts")))
 
 
-def flat_postings(counted: DataFrame) -> DataFrame:
+def flat_postings(counted: DataFrame, *more: str) -> DataFrame:
     # The outer form keeps the optimizer from adding a filter on the array's
     # size, which would count every document's terms a second time.
     return (
-        counted.select("doc_id", F.explode_outer("counts").alias("c"))
-        .select(F.col("c.term").alias("term"), "doc_id", F.col("c.tf").alias("tf"))
+        counted.select("doc_id", *more, F.explode_outer("counts").alias("c"))
+        .select(F.col("c.term").alias("term"), "doc_id", F.col("c.tf").alias("tf"), *more)
         .filter(F.col("term").isNotNull())
     )
 

@@ -9,26 +9,37 @@ from acervo.functions.urls import document_type, storage_key
 # What is cut away before tags are looked for, an anchor's start
 # tag, and the three ways its href may be quoted.
 NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ANCHOR_TAG = r"""(?i)<a(?:\s+[^\s"'>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?|[\s/]+)*>"""
+# All repeats of the tag are possessive, so that they run as loops: a tag of any
+# length, closed or not, neither recurses nor is tried twice.
+ANCHOR_TAG = r"""(?i)<a(?:\s++[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+|[\s/])*+>"""
 HREF_VALUE = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 FILE_SUFFIX = r"\.pdf"
+# Character references in attribute values; the ampersand comes last, so that nothing is decoded twice.
+REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&"))
 STATUS_OK = 200
 STATUS_THROTTLED = 429
 
 
 def hrefs(html: Column) -> Column:
-    """Distinct href values of the anchors of a page, entities left as written."""
+    """Distinct href values of the anchors of a page, with the usual character references decoded."""
     markup = F.regexp_replace(html, NOT_MARKUP, "")
     anchors = F.regexp_extract_all(markup, F.lit(ANCHOR_TAG), F.lit(0))
     with_href = F.filter(anchors, lambda a: a.rlike(HREF_VALUE))
     return F.array_distinct(
         F.transform(
             with_href,
-            lambda a: F.concat(*(F.regexp_extract(a, HREF_VALUE, g) for g in (1, 2, 3))),
+            lambda a: decoded(F.concat(*(F.regexp_extract(a, HREF_VALUE, g) for g in (1, 2, 3)))),
         )
     )
 
 
+def decoded(value: Column) -> Column:
+    """An attribute value with its character references replaced."""
+    for reference, character in REFERENCES:
+        value = F.replace(value, F.lit(reference), F.lit(character))
+    return value
+
+
 def is_site_link(href: Column, base: str | Column) -> Column:
     """Plain string prefix, so a longer host name passes too."""
     return href.startswith(base)
@@ -65,17 +76,16 @@ def page_links(
 
 
 def latest_per_storage_key(pages: DataFrame, seq: str = "seq") -> DataFrame:
-    """One page per storage key, the later one wins; ``seq`` must be unique.
+    """One page per storage key: the one with the highest ``seq``, then the highest URL.
 
-    Only keys and sequence numbers are aggregated; the page texts then move
-    once, hashed by the unique ``seq``, so a key with a third of all pages is
-    neither sorted nor gathered anywhere.
+    Only keys, sequence numbers and URLs are aggregated; the page texts then move
+    once, hashed by sequence number, URL and key together, so a key with a third
+    of all pages is neither sorted nor gathered anywhere.
     """
-    winners = (
-        pages.groupBy(storage_key(F.col("url")).alias("key"))
-        .agg(F.max(seq).alias(seq))
-    )
-    return pages.join(winners, seq)
+    keyed = pages.withColumn("key", storage_key(F.col("url")))
+    best = keyed.groupBy("key").agg(F.max(F.struct(seq, "url")).alias("best"))
+    winners = best.select("key", F.col(f"best.{seq}").alias(seq), F.col("best.url").alias("url"))
+    return keyed.join(winners, [seq, "url", "key"])
 
 
 def fetched_pages(fetch_log: DataFrame) -> DataFrame:

@@ -126,20 +126,20 @@ def expanded_postings(index: Index, expansion: DataFrame) -> DataFrame:
 
 
 def word_matches(expanded: DataFrame) -> DataFrame:
-    """``(doc_id, word, tf, as_typed, exact)``: the one shuffle of matched postings.
+    """``(doc_id, word, tf, norm, as_typed, exact)``: the one shuffle of matched postings.
 
-    Rows are hashed by ``doc_id`` alone, so this aggregate, the one per query
-    and the join with the documents all run on the same partitioning, and no
-    frequent word gathers in one task.
+    Rows are hashed by ``doc_id`` alone, so this aggregate and the one per query
+    run on the same partitioning, and no frequent word gathers in one task.
     """
     return (
         expanded.select(
-            "doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "as_typed", "exact"
+            "doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "norm", "as_typed", "exact"
         )
         .repartition("doc_id")
         .groupBy("doc_id", "word")
         .agg(
             F.sum("n").alias("tf"),
+            F.max("norm").alias("norm"),
             F.max("as_typed").alias("as_typed"),
             F.max("exact").alias("exact"),
         )
@@ -151,7 +151,7 @@ def mask_columns(n_lanes: int) -> list[str]:
 
 
 def query_matches(matches: DataFrame, words: DataFrame, mask_names: list[str]) -> DataFrame:
-    """``(query_id, doc_id, tf, squares, mask_0, ...)`` from per-word matches.
+    """``(query_id, doc_id, tf, norm, squares, mask_0, ...)`` from per-word matches.
 
     ``words(query_id, word, word_no, repeats)``; the masks hold one bit per
     word found as an exact token.
@@ -168,6 +168,7 @@ def query_matches(matches: DataFrame, words: DataFrame, mask_names: list[str]) -
         .groupBy("query_id", "doc_id")
         .agg(
             F.sum(F.col("repeats") * F.col("tf")).alias("tf"),
+            F.max("norm").alias("norm"),
             F.sum(
                 F.when(F.col("as_typed"), F.col("repeats") * F.col("repeats")).otherwise(one - one)
             ).alias("squares"),

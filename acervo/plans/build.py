@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from acervo.functions.html import CONTAINER_CLASS, CONTAINER_TAG, TEXT_TAGS, read_pages
 from acervo.functions.urls import path_title
@@ -18,6 +18,20 @@ from acervo.operators.index import (
 from acervo.sources.index_store import DOC_SPLITS, TERM_BUCKETS, load_index, save_index
 
 
+def is_complete() -> Column:
+    return F.col("url").isNotNull() & F.col("text").isNotNull() & F.col("type").isNotNull()
+
+
+def complete_pages(raw: DataFrame) -> DataFrame:
+    return raw.filter(is_complete())
+
+
+def rejected_pages(raw: DataFrame) -> DataFrame:
+    """Rows that cannot be indexed, with the names of what they lack."""
+    lacking = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in ("url", "text", "type"))))
+    return raw.filter(~is_complete()).withColumn("reason", F.concat(F.lit("missing "), F.array_join(lacking, ", ")))
+
+
 def extract_pages(
     raw: DataFrame,
     container_tag: str = CONTAINER_TAG,
@@ -27,8 +41,11 @@ def extract_pages(
     """``(doc_id, title, url, text)`` of ``raw(doc_id, url, text, type)``.
 
     Only html rows enter the Python reader; all other rows keep their text
-    and take their title from the URL.
+    and take their title from the URL. A row without URL, text or type makes the
+    job fail; ``rejected_pages`` lists such rows and ``complete_pages`` the others.
     """
+    told = F.concat(F.lit("page without URL, text or type: "), F.coalesce("url", F.lit("no URL")))
+    raw = raw.withColumn("type", F.when(is_complete(), F.col("type")).otherwise(F.raise_error(told)))
     html = read_pages(
         raw.filter(F.col("type") == "html").select("doc_id", "url", "text"),
         "text",

@@ -141,8 +141,7 @@ def scored_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFr
     per_query = rk.query_matches(matches, batch.hinted(batch.words), batch.masks)
     programs = batch.programs.select("query_id", "program", "truth_table")
     return (
-        per_query.join(index.documents.select("doc_id", "norm"), "doc_id")
-        .join(batch.hinted(programs), "query_id")
+        per_query.join(batch.hinted(programs), "query_id")
         .select(
             "query_id",
             "doc_id",

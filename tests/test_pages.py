@@ -8,8 +8,9 @@ from acervo.functions import html as hx
 from acervo.functions import urls
 from acervo.operators import links as lk
 from acervo.operators.index import corpus_stats
+from acervo.operators.links import hrefs
 from acervo.plans import crawl as crawl_module
-from acervo.plans.build import index_pages
+from acervo.plans.build import complete_pages, extract_pages, index_pages, rejected_pages
 from acervo.plans.crawl import expand_frontier, seed_urls
 from acervo.plans.search import InvalidQuery, match_one, search_batch, search_one
 from acervo.sources.index_store import load_index, load_stats
@@ -213,3 +214,25 @@ def test_query_file(spark, tmp_path):
     path.write_text("\n".join(lines) + "\n", encoding="utf-8")
     rows = read_query_file(spark, str(path)).orderBy("query_id").collect()
     assert [tuple(r) for r in rows] == list(enumerate(lines))
+
+
+def test_long_and_unclosed_anchors(spark):
+    many = "<a " + " ".join(f'x{i}="{i}"' for i in range(20_000)) + ' href="/found">'
+    rows = [(1, many), (2, "<a " + "word " * 100_000), (3, '<a href="/k?x=1&amp;y=2&quot;">'), (4, "<a / href='/s'>"), (5, '<a href="/a&amp;lt;">')]
+    frame = spark.createDataFrame(rows, "i int, html string").select("i", hrefs(F.col("html")).alias("h"))
+    assert {r["i"]: r["h"] for r in frame.collect()} == {1: ["/found"], 2: [], 3: ['/k?x=1&y=2"'], 4: ["/s"], 5: ["/a&lt;"]}
+
+
+def test_incomplete_pages_are_not_lost(spark):
+    rows = [(1, "u1", "text", "pdf"), (2, "u2", "text", None), (3, None, "text", "pdf"), (4, "u4", None, "html")]
+    raw = spark.createDataFrame(rows, "doc_id long, url string, text string, type string")
+    assert extract_pages(complete_pages(raw)).count() == 1
+    assert {r["doc_id"]: r["reason"] for r in rejected_pages(raw).collect()} == {2: "missing type", 3: "missing url", 4: "missing text"}
+    with pytest.raises(Exception, match="page without"):
+        extract_pages(raw).collect()
+
+
+def test_equal_sequence_numbers_keep_their_pages(spark, tmp_path):
+    rows = [(1, "https://u.example/a", "A", "html"), (1, "https://u.example/b", "B", "html"), (1, "https://u.example/b?x", "B2", "html")]
+    write_pages(spark.createDataFrame(rows, "seq long, url string, text string, type string"), str(tmp_path / "pages"))
+    assert sorted((r["url"], r["text"]) for r in read_pages_back(spark, str(tmp_path / "pages")).collect()) == [("https://u.example/a", "A"), ("https://u.example/b?x", "B2")]

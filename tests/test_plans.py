@@ -52,6 +52,16 @@ def test_search_moves_matched_postings_once(index):
     assert re.search(r"PartitionFilters: .*doc_block#\d+L\), dynamicpruning", plan)
 
 
+def test_search_scores_without_the_document_table(spark, index):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        main = plan_of(search_one(index, "alfa AND NOT dos1 OR tres2")).split("===== Subqueries =====")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"hashpartitioning\(doc_id#", main)) == 1
+    assert "norm" not in "".join(re.findall(r"ReadSchema: \S+snippet\S+", main))
+
+
 @pytest.mark.parametrize("line", ["alfa AND NOT dos1 OR tres2", "NOT zzz AND NOT qqq", "NOT (dos1 OR alfa)"])
 def test_same_results_without_broadcasts(index, monkeypatch, line):
     hinted = [tuple(r) for r in search_one(index, line).collect()]

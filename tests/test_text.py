@@ -8,11 +8,16 @@ from acervo.operators import index as ix
 
 
 def tokens_of(text, stop):
-    """The five steps as plain Python."""
-    for c in "\n\t\r":
-        text = text.replace(c, " ")
-    text = "".join(c for c in text if c not in "<>¿?,;:.()[]\"'¡!")
-    return [w for w in " ".join(text.split()).lower().split() if w not in stop]
+    """Tokens read off character by character: separators end a token, punctuation is passed over."""
+    found, token = [], ""
+    for character in text + " ":
+        if character in tx.WHITESPACE:
+            if token and token not in stop:
+                found.append(token)
+            token = ""
+        elif character not in tx.PUNCTUATION:
+            token += character.lower()
+    return found
 
 
 def random_text(rng):
