@@ -30,7 +30,8 @@ from acervo.llm.common import extended
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
-REMEMBERED = 100_000  # pieces a worker keeps
+LOOSE_BLANK = re.compile(r"\s |^ | (?=\s|$)")  # a blank beside white space or at an end
+REMEMBERED = 100_000  # pieces in each of the two tables that a worker keeps
 LONG_PIECE = 256  # characters; longer pieces are encoded, but not kept
 
 
@@ -81,6 +82,10 @@ class TokenBytes:
         return begun[starts] - inner[starts], begun[ends]
 
 
+def pieces_at_blanks(text: str) -> list[str]:
+    return SAFE_CUT.split(text) if LOOSE_BLANK.search(text) else text.split(" ")
+
+
 class ByteBpe(TokenBytes):
     """Encoder and decoder for one rank file."""
 
@@ -104,17 +109,25 @@ class ByteBpe(TokenBytes):
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ]
         )
+        # Pieces of now and of before: when the first table is full it becomes the second,
+        # so what is used again stays.
         self.known: dict[str, tuple[int, ...]] = {}
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text; a null text counts as empty."""
-        cut = [SAFE_CUT.split(text) if text else [] for text in texts]
+        cut = [pieces_at_blanks(text) if text else [] for text in texts]
         for pieces in cut:
             # " piece" is kept under "piece"; a first piece, which has no blank, under "\0piece".
             if pieces:
                 pieces[0] = "\0" + pieces[0]
-        known, fresh = self.known, {}
-        missing = [piece for piece in {p for pieces in cut for p in pieces} if piece not in known]
+        known, before, fresh = self.known, self.before, {}
+        missing = []
+        for piece in {p for pieces in cut for p in pieces if p not in known}:
+            if piece in before:
+                fresh[piece] = before[piece]
+            else:
+                missing.append(piece)
         spelled = [piece[1:] if piece.startswith("\0") else " " + piece for piece in missing]
         for start in range(0, len(missing), 20_000):
             part = self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)
@@ -125,17 +138,11 @@ class ByteBpe(TokenBytes):
             for piece in pieces:
                 ids += get(piece) or fresh[piece]
             yield np.array(ids, dtype=np.int64)
-        if len(known) + len(fresh) > REMEMBERED:
-            known.clear()
         for piece, ids in fresh.items():
-            if len(piece) <= LONG_PIECE and len(known) < REMEMBERED:
+            if len(piece) <= LONG_PIECE:
                 known[piece] = ids
-
-
-@lru_cache(maxsize=2)
-def token_bytes(path: str) -> TokenBytes:
-    """The decoding tables, once per worker process."""
-    return TokenBytes(read_ranks(path))
+        if len(known) > REMEMBERED:
+            self.known, self.before = {}, known
 
 
 @lru_cache(maxsize=2)
