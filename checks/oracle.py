@@ -303,7 +303,9 @@ ORACLES: dict[str, str] = {
 reached AS (
   SELECT min(src) AS url, 0 AS depth FROM edges WHERE starts_with(src, 'http')
   UNION
-  SELECT e.dst, r.depth + 1 FROM reached r JOIN edges e ON e.src = r.url WHERE r.depth < 40),
+  SELECT e.dst, r.depth + 1 FROM reached r JOIN edges e ON e.src = r.url
+  -- paths alternate between sites and targets, and a shortest one meets no site twice
+  WHERE r.depth < (SELECT 2 * count(DISTINCT site) FROM hrefs)),
 least_depth AS (SELECT url, min(depth) AS depth FROM reached GROUP BY url)
 SELECT url, depth FROM least_depth ORDER BY depth, url LIMIT 300""",
     "page_reader": "SELECT page_id AS doc_id,"
