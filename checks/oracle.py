@@ -242,14 +242,14 @@ ORACLES: dict[str, str] = {
     "bool_or": _matching(f"{_has('tion')} OR {_has('mente')}"),
     "bool_not": _matching(f"NOT {_has('the')}"),
     "bool_left_to_right": _matching(
-        f"(({_has('mente')} OR {_has('tion')}) AND {_has('ing')}) AND NOT {_has('ado')}"
+        f"(({_has('mente')} OR {_has('tion')}) AND {_has('ing')}) AND NOT {_has('er')}"
     ),
     "bool_grouped": _matching(
         f"NOT ({_has('tion')} AND ({_has('ing')} OR {_has('mente')}))"
-        f" OR ({_has('the')} AND NOT {_has('NOTHING')})"
+        f" OR ({_has('the')} AND NOT {_has('er')})"
     ),
     "bool_combined": _matching(
-        f"({_has('tion')} OR {_has('mente')}) AND NOT ({_has('ing')} AND {_has('ado')})"
+        f"({_has('tion')} OR {_has('mente')}) AND NOT ({_has('ing')} AND {_has('er')})"
     ),
     "query_tokens": f"WITH {LINES} SELECT query_id, coalesce(array_to_string(tokens, '|'), '') AS tokens, kinds FROM kinds",
     "query_terms": f"WITH {LINES} SELECT query_id, word, count(*) AS repeats"
