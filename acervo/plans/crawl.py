@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from acervo.operators.index import with_dense_ids
-from acervo.session import MAX_BROADCAST_ROWS, cut_lineage
+from acervo.session import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, cut_lineage, measured
 
 MAX_WEBS = 300
+LEVELS_PER_TABLE = 16  # levels after which the visited URLs become one table again
 
 
 def expand_frontier(links: DataFrame, seed: DataFrame, max_webs: int = MAX_WEBS) -> DataFrame:
     """``visited(url, depth)``: level by level from ``seed(url)`` until no new
     URL or ``max_webs`` URLs are visited; inside a level by rising URL.
 
-    Each level is written to the shared checkpoint folder, so plans stay short
-    and a lost executor costs no earlier level. ``links`` is read at every
-    level and should be a stored table. The frontier and the visited URLs are
-    counted; they are broadcast while they are few, and above that joined by
-    hash, where adaptive execution splits pages of very many links.
+    Each level is written to the shared checkpoint folder, and every
+    ``LEVELS_PER_TABLE`` levels all visited URLs are, so plans stay short and a
+    lost executor costs no earlier level. ``links`` is read at every level and
+    should be a stored table. The frontier and the visited URLs are measured;
+    they are broadcast while they are small, and above that joined by hash,
+    where adaptive execution splits pages of very many links.
     """
     frontier = _first_urls(seed.select("url").distinct(), max_webs, 0)
     visited = frontier
-    size = seen = frontier.count()
+    size = seen = measured(frontier)
     depth = 0
-    while size and seen < max_webs:
+    while size[0] and seen[0] < max_webs:
         depth += 1
         sources = _few(frontier.select(F.col("url").alias("src")), size)
         known = _few(visited.select("url"), seen)
@@ -34,15 +36,18 @@ def expand_frontier(links: DataFrame, seed: DataFrame, max_webs: int = MAX_WEBS)
             .distinct()
             .join(known, "url", "left_anti")
         )
-        frontier = _first_urls(found, max_webs - seen, depth)
-        size = frontier.count()
-        seen += size
+        frontier = _first_urls(found, max_webs - seen[0], depth)
+        size = measured(frontier)
+        seen = (seen[0] + size[0], seen[1] + size[1])
         visited = visited.unionByName(frontier)
+        if depth % LEVELS_PER_TABLE == 0:
+            visited = cut_lineage(visited)
     return visited
 
 
-def _few(urls: DataFrame, n: int) -> DataFrame:
-    return F.broadcast(urls) if n <= MAX_BROADCAST_ROWS else urls
+def _few(urls: DataFrame, size: tuple[int, int]) -> DataFrame:
+    rows, width = size
+    return F.broadcast(urls) if rows <= MAX_BROADCAST_ROWS and width <= MAX_BROADCAST_BYTES else urls
 
 
 def _first_urls(urls: DataFrame, n: int, depth: int) -> DataFrame:

@@ -36,8 +36,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def is_small(stored: DataFrame) -> bool:
-    """Whether a stored table is below both broadcast bounds: one distributed count."""
+def measured(stored: DataFrame) -> tuple[int, int]:
+    """Rows and about the bytes of a stored table: one distributed count."""
     width = F.lit(8 * len(stored.columns))
     for field in stored.schema.fields:
         if isinstance(field.dataType, T.StringType):
@@ -45,7 +45,13 @@ def is_small(stored: DataFrame) -> bool:
     size = stored.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
-    return size["rows"] <= MAX_BROADCAST_ROWS and size["bytes"] <= MAX_BROADCAST_BYTES
+    return size["rows"], size["bytes"]
+
+
+def is_small(stored: DataFrame) -> bool:
+    """Whether a stored table is below both broadcast bounds."""
+    rows, size = measured(stored)
+    return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
 
 
 def spread_small_scan(scan: DataFrame) -> DataFrame:

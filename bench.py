@@ -19,10 +19,11 @@ from acervo.session import scratch_path  # noqa: E402
 from acervo.sources.index_store import load_index, save_index  # noqa: E402
 from checks import corpus  # noqa: E402
 from checks.queries import QUERIES  # noqa: E402
+from checks.scratch import name_scratch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 PLAIN = (
     "norm_text",
     "doc_terms",
@@ -51,6 +52,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    name_scratch(spark)
     return spark
 
 

@@ -236,3 +236,11 @@ def test_equal_sequence_numbers_keep_their_pages(spark, tmp_path):
     rows = [(1, "https://u.example/a", "A", "html"), (1, "https://u.example/b", "B", "html"), (1, "https://u.example/b?x", "B2", "html")]
     write_pages(spark.createDataFrame(rows, "seq long, url string, text string, type string"), str(tmp_path / "pages"))
     assert sorted((r["url"], r["text"]) for r in read_pages_back(spark, str(tmp_path / "pages")).collect()) == [("https://u.example/a", "A"), ("https://u.example/b?x", "B2")]
+
+
+def test_long_chain_keeps_short_plans(spark, monkeypatch):
+    monkeypatch.setattr(crawl_module, "LEVELS_PER_TABLE", 3)
+    chain = spark.createDataFrame([(f"u{i:02}", f"u{i + 1:02}") for i in range(11)], "src string, dst string")
+    visited = expand_frontier(chain, seed_urls(chain, "u00"))
+    assert [(r["url"], r["depth"]) for r in visited.orderBy("depth").collect()] == [(f"u{i:02}", i) for i in range(12)]
+    assert visited._jdf.queryExecution().analyzed().toString().count("LogicalRDD") <= 4
