@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
 
@@ -96,18 +97,8 @@ class PageReader(HTMLParser):
         self._pending.append(data)
 
     def handle_charref(self, name: str) -> None:
-        try:
-            code = int(name[1:], 16) if name[0] in "xX" else int(name)
-            if code < 256:
-                text = bytes([code]).decode("windows-1252")
-            else:
-                text = chr(code)
-        except (ValueError, OverflowError, UnicodeDecodeError):
-            try:
-                text = chr(code)
-            except (ValueError, OverflowError, UnboundLocalError):
-                text = "\N{REPLACEMENT CHARACTER}"
-        self._pending.append(text)
+        # Numbers are read as the HTML standard says, byte values of old pages included.
+        self._pending.append(unescape(f"&#{name};"))
 
     def handle_entityref(self, name: str) -> None:
         self._pending.append(html5.get(name + ";") or html5.get(name) or "&" + name)
