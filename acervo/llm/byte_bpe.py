@@ -31,7 +31,7 @@ from acervo.llm.common import extended
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 LOOSE_BLANK = re.compile(r"\s |^ | (?=\s|$)")  # a blank beside white space or at an end
-REMEMBERED = 100_000  # pieces in each of the two tables that a worker keeps
+REMEMBERED = 60_000  # pieces in each of the two tables that a worker keeps
 LONG_PIECE = 256  # characters; longer pieces are encoded, but not kept
 
 
@@ -118,9 +118,10 @@ class ByteBpe(TokenBytes):
         """The ids of each text; a null text counts as empty."""
         cut = [pieces_at_blanks(text) if text else [] for text in texts]
         for pieces in cut:
-            # " piece" is kept under "piece"; a first piece, which has no blank, under "\0piece".
+            # A piece is kept without the blank before it; a first piece, which has none, is marked
+            # with one, as no other piece begins with white space.
             if pieces:
-                pieces[0] = "\0" + pieces[0]
+                pieces[0] = " " + pieces[0]
         known, before, fresh = self.known, self.before, {}
         missing = []
         for piece in {p for pieces in cut for p in pieces if p not in known}:
@@ -128,7 +129,7 @@ class ByteBpe(TokenBytes):
                 fresh[piece] = before[piece]
             else:
                 missing.append(piece)
-        spelled = [piece[1:] if piece.startswith("\0") else " " + piece for piece in missing]
+        spelled = [piece[1:] if piece.startswith(" ") else " " + piece for piece in missing]
         for start in range(0, len(missing), 20_000):
             part = self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)
             fresh.update(zip(missing[start : start + 20_000], (tuple(e.ids) for e in part)))
@@ -145,6 +146,12 @@ class ByteBpe(TokenBytes):
             self.known, self.before = {}, known
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str) -> TokenBytes:
+    """The decoding tables, once per worker process."""
+    return TokenBytes(read_ranks(path))
+
+
 @lru_cache(maxsize=2)
 def coder(path: str, pattern: str) -> ByteBpe:
     """One coder per worker process; the file is read where the task runs."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -13,9 +15,10 @@ def words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
-    """The UTF-8 bytes of a string column, nulls kept."""
-    return column.cast(pa.binary()).to_pylist()
+def texts(column: pa.Array | pa.ChunkedArray, rows: int = 500) -> Iterator[bytes | None]:
+    """The UTF-8 bytes of a string column, nulls kept; few texts at a time are copied."""
+    for start in range(0, len(column), rows):
+        yield from column.slice(start, rows).cast(pa.binary()).to_pylist()
 
 
 def stored(df: DataFrame, name: str, compression: str = "uncompressed") -> DataFrame:

@@ -352,7 +352,7 @@ def searched(source: DataFrame, shared, schema) -> DataFrame:
         block = shared.value
         for batch in parts:
             rows = []
-            for i, best in enumerate(searched_texts(block, texts(batch.column(1)))):
+            for i, best in enumerate(searched_texts(block, list(texts(batch.column(1))))):
                 rows += [(i, block.pieces[piece][0], a, b, edits, n) for piece, (edits, a, b, n) in best.items()]
             if rows:
                 at, *rest = zip(*rows)
@@ -374,7 +374,7 @@ def without_benchmark(
         def run(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own = shared.value
             for batch in parts:
-                clean = [not found for found in searched_texts(own, texts(batch.column(at)))]
+                clean = [not found for found in searched_texts(own, list(texts(batch.column(at))))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -35,7 +35,7 @@ DRIFT = 0.7  # taken from each token's log-odds
 LEAST_ODDS = -1.5  # no token speaks more than this against toxicity
 SIGNIFICANT = 1.0  # segments with a smaller E count
 THRESHOLD = 0.3
-REMEMBERED = 200_000  # words whose scores a worker keeps
+REMEMBERED = 60_000  # words whose scores a worker keeps
 
 
 def buckets(tokens: list[bytes]) -> tuple[np.ndarray, ...]:

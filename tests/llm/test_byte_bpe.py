@@ -12,7 +12,7 @@ from acervo.llm import byte_bpe
 PATH = public_tokenizers.path(byte_bpe.RANKS)
 ODD = [
     "a  b", " a", "a ", "\n\n x", "x\u00a0y z", "it's we'll I'd'd", "é" * 50, "\U0001f600\U0001f468\u200d\U0001f469", "123 4567", "a\x1c b \x85c",
-    "<|endoftext|> hi", "   ", "\t", "!!! ???", "end.\n Next", "'s 't", "ß\u0301 \u0301", "\u2028 x", "a" * 3000, "aaa " * 300, "\x00 \x7f", "ÀÉ œuvre",
+    "<|endoftext|> hi", "   ", "\t", "!!! ???", "end.\n Next", "'s 't", "ß\u0301 \u0301", "\u2028 x", "a" * 3000, "aaa " * 300, "\x00 \x7f", "a \x00b \x00", " \x00a b", "ÀÉ œuvre",
 ]
 
 
