@@ -1,0 +1,89 @@
+import random
+
+import corpus_pipeline
+from acervo.llm import near_copies, simhash
+
+
+def plain_set(text):
+    own = (text or "").lower().split()
+    return {tuple(own[i : i + 5]) for i in range(max(len(own) - 4, 1))} if own else set()
+
+
+def plain_stays(rows):
+    """Smallest ids of the components, by comparing all pairs of sets."""
+    sets = [plain_set(text) for _, text in rows]
+    root = list(range(len(rows)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if sets[i] == sets[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[top(i)] = top(j)
+    stays = {}
+    for i, (doc_id, _) in enumerate(rows):
+        stays[top(i)] = min(doc_id, stays.get(top(i), doc_id))
+    return sorted(stays.values())
+
+
+def edited_texts(seed, groups, around, edits):
+    rnd = random.Random(seed)
+    word = lambda: "w" + str(rnd.randrange(5000))
+    texts = []
+    for _ in range(groups):
+        own = [word() for _ in range(rnd.randrange(60, 300))]
+        for _ in range(around):
+            other = list(own)
+            for at in rnd.sample(range(len(own)), rnd.randrange(1, max(2, int(len(own) * edits)))):
+                other[at] = word()
+            texts.append(" ".join(other))
+    texts += ["a b", "A  b", "a b c d e", "", None]
+    rnd.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_sets_and_similarity_against_the_definition():
+    rows = edited_texts(1, 6, 4, 0.04)
+    sets = [plain_set(text) for _, text in rows]
+    own = [near_copies.shingles(None if text is None else text.encode()) for _, text in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            assert near_copies.similarity(own[i], own[j]) == len(sets[i] & sets[j]) / max(len(sets[i] | sets[j]), 1)
+
+
+def test_bands_meet_at_the_limit():
+    rnd = random.Random(2)
+    met = 0
+    for _ in range(300):
+        common = [rnd.getrandbits(64) for _ in range(80)]
+        a, b = (near_copies.np.array(sorted(common + [rnd.getrandbits(64) for _ in range(10)]), dtype=near_copies.np.uint64) for _ in range(2))
+        met += bool(set(near_copies.band_keys(a)) & set(near_copies.band_keys(b)))
+    assert met >= 0.98 * 300
+
+
+def test_stage_keeps_one_of_each_group(spark):
+    rows = edited_texts(3, 25, 6, 0.035)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = plain_stays(rows)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == wanted
+    # Three bits of 3-word shingles, as the stage linked before, leave many copies.
+    assert simhash.keep_one(docs).count() > len(wanted) + 20
+
+
+def test_members_apart_from_the_first_are_linked(spark):
+    """A key's members that resemble each other but not its ends."""
+    rows = edited_texts(4, 3, 40, 0.08)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in near_copies.keep_one(docs).collect()) == plain_stays(rows)
+
+
+def test_odd_rows(spark):
+    rows = [(None, "one two three four five six", "x"), (3, "one two three four five six", "y"), (3, "one two three four five six", "y"), (4, None, "x"), (5, " \n", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _k1 string")
+    assert sorted(map(tuple, near_copies.keep_one(docs).collect()), key=str) == [(3, "one two three four five six", "y"), (4, None, "x")]
+    assert near_copies.keep_one(docs.filter("false")).collect() == []
