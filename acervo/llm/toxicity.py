@@ -96,7 +96,7 @@ class Odds:
         return np.maximum(odds, LEAST_ODDS) - DRIFT
 
     def scores(self, tokens: list[bytes]) -> np.ndarray:
-        """Scores of a text's tokens; a word that has spoken for toxicity once does not do so again."""
+        """Scores of a text's tokens."""
         get = self.known.get
         found = [get(token) for token in tokens]
         missing = [i for i, score in enumerate(found) if score is None]
@@ -107,12 +107,7 @@ class Odds:
                 found[i] = score
                 if len(tokens[i]) <= 64:
                     self.known[tokens[i]] = score
-        scores, seen = np.array(found, dtype=np.float64), set()
-        for i in np.flatnonzero(scores > 0).tolist():
-            if tokens[i] in seen:
-                scores[i] = -DRIFT
-            seen.add(tokens[i])
-        return scores
+        return np.array(found, dtype=np.float64)
 
 
 def maximal_segments(scores: np.ndarray) -> list[tuple[int, int, float]]:

@@ -94,6 +94,15 @@ def test_passages_name_the_toxic_words(spark):
     assert len(found) == 1 and (found[0]["start"], found[0]["end"]) == (60, 63)
 
 
+def test_a_repeated_passage_is_found_each_time(spark):
+    docs, labels, _ = corpus(spark)
+    model = op.fit(docs, labels)
+    insult, calm = "awful rotten vilest5 ", "dd e " * 40
+    probe = spark.createDataFrame([(1, calm + insult + calm + insult + calm), (2, calm + "awful " * 12 + calm)], "doc_id long, text string")
+    found = {r["doc_id"]: [(p["start"], p["end"]) for p in r["toxic_passages"]] for r in op.score(probe, model).collect()}
+    assert found == {1: [(80, 83), (163, 166)], 2: [(80, 92)]}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     no_labels = spark.createDataFrame([], "doc_id long, toxic int")
