@@ -7,7 +7,8 @@ of the same format: its symbols, as numbers below their moduli, go through a
 keyed Feistel network, each round adding a hash of one half to the other half.
 That is a permutation of the format's values, so equal values get equal
 pseudonyms in every document and different values different ones. Check digits
-are computed anew. Finds that fail their check, and all other text, stay.
+are computed anew. Cards and IBANs are also found beside other digits and
+capitals. Finds that fail their check, and all other text, stay.
 """
 
 from __future__ import annotations
@@ -22,11 +23,29 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)"
 LOCAL_PHONE = r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-])"
 IPV4 = r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"
-ISO_DATE = r"(?<![\w.-])\d{4}([-/])\d{2}\1\d{2}(?![\w-])"
+ISO_DATE = r"(?<![\w.-])\d{4}([-/])\d{2}\1\d{2}(?:(?![\w-])|(?=[Tt]\d{2}:?\d{2}))"  # a time may follow
 DAY_DATE = r"(?<![\w.-])\d{1,2}([./-])\d{1,2}\2\d{4}(?![\w-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
-CARD = r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{1,4}){3,8}(?!\w)"
+# A run of digit groups that ends before other kinds of values; ``card`` looks for cards in it.
+OTHERS = "|".join([r"\d{4}(?:-\d{2}-|/\d{2}/)\d{2}(?!\d|-)", r"\d{1,2}(?:\.\d{1,2}\.|/\d{1,2}/|-\d{1,2}-)\d{4}(?![\w-])", IPV4, SSN, LOCAL_PHONE, EMAIL])
+GROUP = r"\d++(?!\w|-(?!\d))"
+CARD = rf"(?<![\w.-])(?=\d(?:[ -]?\d){{12}}){GROUP}(?:(?:-| (?!{OTHERS})){GROUP})*+"
+# Usual groups of a card's digits by their number, the likely ones first.
+CARD_GROUPS = {
+    4: r"\d{4}(?:[ -]\d{4}){3}",
+    3: r"\d{4}[ -](?:\d{6}[ -]\d{4,5}|\d{4}[ -]\d{5})",
+    2: r"\d{6}[ -](?:\d{10}|\d{13})|\d{8}[ -]\d{8}",
+    1: r"\d{13,19}",
+    5: r"\d{4}(?:[ -]\d{4}){3}[ -]\d{1,3}",
+}
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+KNOWN_IBAN = "|".join(rf"(?:{codes.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, codes in IBAN_LENGTHS.items())
+IBAN = rf"(?<!\w)(?=[A-Z]{{2}}\d{{2}})(?:(?:{KNOWN_IBAN})(?!\w)|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{1,4}}){{3,8}}(?!\w))"
 PATTERN = "|".join([EMAIL, PHONE, LOCAL_PHONE, IPV4, ISO_DATE, DAY_DATE, SSN, CARD, IBAN])
 
 FIRST_DAY, DAY_MODULI = "1900-01-01", (319, 229)  # 319 * 229 days are 1900 to 2099
@@ -215,7 +234,7 @@ def luhn(values: Column) -> Column:
     return F.aggregate(weighed, F.lit(0), lambda a, d: a + d) % 10
 
 
-def card(found: Column, key: str) -> Column:
+def card_number(found: Column, key: str) -> Column:
     """All digits but the check digit move; that is computed anew."""
 
     def moved(own: Column) -> Column:
@@ -223,11 +242,48 @@ def card(found: Column, key: str) -> Column:
             permuted_alike(F.slice(own, F.lit(1), F.size(own) - 1), 10, key, "card"),
             lambda n: F.concat(n, F.array((10 - luhn(F.concat(n, F.array(F.lit(0))))) % 10)),
         )
-        return F.when(luhn(own) == 0, fill(found, new, "0-9")).otherwise(found)
+        return fill(found, new, "0-9")
 
     return let(digits(found), moved)
 
 
+def card(found: Column, key: str) -> Column:
+    """Card numbers in usual groups anywhere in the run of digits, or else the run as a whole; other numbers beside them stay."""
+
+    def groups_from(parts: Column, at: Column) -> Column:
+        """How many groups from one on are a card that passes its check, or 0."""
+        held = F.lit(0)
+        for n, form in reversed(CARD_GROUPS.items()):
+            own = F.array_join(F.slice(parts, at + 1, F.lit(n)), "")
+            held = F.when(own.rlike(f"^[ -]?(?:{form})$") & let(own, lambda x: luhn(digits(x)) == 0), n).otherwise(held)
+        return held
+
+    def mark(state: Column, groups: Column) -> Column:
+        own = F.when(state["left"] > 0, -1).otherwise(groups)
+        left = F.when(state["left"] > 0, state["left"] - 1).when(groups > 0, groups - 1).otherwise(0)
+        return F.struct(left.cast("int").alias("left"), F.concat(state["marks"], F.array(own.cast("int"))).alias("marks"))
+
+    def written(parts: Column) -> Column:
+        start = F.struct(F.lit(0).alias("left"), F.array().cast("array<int>").alias("marks"))
+        marks = F.aggregate(F.transform(parts, lambda _, i: groups_from(parts, i)), start, mark, lambda state: state["marks"])
+
+        def pieces(marks: Column) -> Column:
+            # Of (text, whether it is a card): each card as one, a card's later groups as nothing.
+            one = lambda p, i: let(
+                F.element_at(marks, i + 1),
+                lambda m: F.struct(
+                    F.when(m < 0, "").when(m == 0, p).otherwise(F.array_join(F.slice(parts, i + 1, F.greatest(m, F.lit(1))), "")).alias("text"), (m > 0).alias("card")
+                ),
+            )
+            whole = let(digits(found), lambda own: F.size(own).between(13, 19) & (luhn(own) == 0))
+            alone = F.array(F.struct(found.alias("text"), whole.alias("card")))
+            return F.when(F.exists(marks, lambda m: m > 0), F.transform(parts, one)).otherwise(alone)
+
+        return F.array_join(F.transform(let(marks, pieces), lambda x: F.when(x["card"], card_number(x["text"], key)).otherwise(x["text"])), "")
+
+    return let(F.regexp_extract_all(found, F.lit(r"[ -]?\d+"), F.lit(0)), written)
+
+
 def mod97(text: Column) -> Column:
     """Remainder of an IBAN's characters, moved and spelled as numbers, without blanks."""
     turned = let(text, lambda t: F.concat(F.substring(t, F.lit(5), F.length(t)), F.substring(t, 1, 4)))
@@ -237,21 +293,42 @@ def mod97(text: Column) -> Column:
 
 
 def iban(found: Column, key: str) -> Column:
-    """Digits of the account part among digits, with new check digits; letters stay."""
+    """Digits of the account part among digits, with new check digits; letters stay.
 
-    def moved(plain: Column) -> Column:
-        body = F.substring(plain, F.lit(5), F.length(plain))
-        new = let(
-            let(body, lambda b: fill(b, permuted_alike(digits(b), 10, key, "iban"), "0-9")),
-            lambda b: let(
-                F.substring(plain, 1, 2),
-                lambda head: F.concat(head, F.lpad((98 - mod97(F.concat(head, F.lit("00"), b))).cast("string"), 2, "0"), b),
-            ),
-        )
-        valid = F.length(plain).between(15, 34) & (mod97(plain) == 1)
-        return F.when(valid, fill(found, chars(new), "A-Z0-9")).otherwise(found)
+    The longest start of the find, up to a blank or its end, that passes the check is
+    the IBAN. Cards are looked for in what is behind it, or in all if there is none.
+    """
 
-    return let(F.replace(found, F.lit(" "), F.lit("")), moved)
+    def moved(own: Column) -> Column:
+        def renewed(plain: Column) -> Column:
+            body = F.substring(plain, F.lit(5), F.length(plain))
+            new = let(
+                let(body, lambda b: fill(b, permuted_alike(digits(b), 10, key, "iban"), "0-9")),
+                lambda b: let(
+                    F.substring(plain, 1, 2),
+                    lambda head: F.concat(head, F.lpad((98 - mod97(F.concat(head, F.lit("00"), b))).cast("string"), 2, "0"), b),
+                ),
+            )
+            return fill(own, chars(new), "A-Z0-9")
+
+        return F.when(own == "", "").otherwise(let(F.replace(own, F.lit(" "), F.lit("")), renewed))
+
+    def valid(start: Column) -> Column:
+        return let(F.replace(start, F.lit(" "), F.lit("")), lambda plain: F.length(plain).between(15, 34) & (mod97(plain) == 1))
+
+    def written(own: Column) -> Column:
+        rest = F.substring(found, F.length(own) + 1, F.length(found))
+        return F.concat(moved(own), let(rest, lambda r: with_cards(r, key)))
+
+    words = F.split(found, " ")
+    starts = F.transform(words, lambda _, i: F.array_join(F.slice(words, F.lit(1), F.size(words) - i), " "))
+    return let(F.coalesce(F.get(F.filter(starts, valid), F.lit(0)), F.lit("")), written)
+
+
+def with_cards(text: Column, key: str) -> Column:
+    found, gaps = F.regexp_extract_all(text, F.lit(CARD), F.lit(0)), F.split(text, CARD, -1)
+    new = F.zip_with(gaps, F.transform(found, lambda x: card(x, key)), lambda gap, own: F.concat(gap, F.coalesce(own, F.lit(""))))
+    return F.when(text.rlike(CARD), F.array_join(new, "")).otherwise(text)
 
 
 KINDS: list[tuple[str, Callable[[Column, str], Column]]] = [

@@ -86,6 +86,31 @@ def test_equal_values_are_linked_across_texts(spark):
     assert changed(spark, flat, "other key") != changed(spark, flat)
 
 
+BESIDE = [
+    ("{}", "4111 1111 1111 1111", " 12/27"), ("{}", "4111 1111 1111 1111", " 123"), ("order 77 {}", "4111 1111 1111 1111", ""), ("no 77123 {}", "4111 1111 1111 1111", " 12 345"),
+    ("77-12 {}", "3782 822463 10005", " 1234"), ("id 5512 {}", "4041894974608795", " 987"), ("{}", "DE89370400440532013000", " BIC X"), ("{}", "GB82 WEST 1234 5698 7654 32", " OR CALL 12"),
+    ("XX12 ABCD {}", "4111 1111 1111 1111", ""), ("at {}", "2024-05-01", "T12:00:00Z"), ("{}", "4111 1111 1111 1111", " x2"), ("4 {}", "2024-05-01", "T12:00 and 123456789"),
+]
+
+
+def test_values_beside_digits_and_capitals(spark):
+    values = [v for _, v, _ in BESIDE]
+    alone = changed(spark, values)
+    assert not set(values) & set(alone)
+    out = changed(spark, [a.format(v) + b for a, v, b in BESIDE])
+    assert out == [a.format(v) + b for (a, _, b), v in zip(BESIDE, alone)]
+
+
+def test_several_values_in_a_run(spark):
+    card, other, iban, day = "4111 1111 1111 1111", "3782-822463-10005", "DE89370400440532013000", "2024-05-01"
+    new = dict(zip([card, other, iban, day], changed(spark, [card, other, iban, day])))
+    form = "{} 12 {} 7 {} 31 {} {}"
+    own = (card, other, card, day, card)
+    assert changed(spark, [form.format(*own), iban + " " + card]) == [form.format(*(new[v] for v in own)), new[iban] + " " + new[card]]
+    numbers = "4041894974608796 12 and " + "12 " * 3000 + "9" * 40
+    assert changed(spark, [numbers]) == [numbers]
+
+
 @pytest.mark.parametrize("kind,moduli", [("a", (3, 4)), ("b", (2, 2, 5)), ("c", (7,))])
 def test_network_is_a_permutation(spark, kind, moduli):
     space = 1
