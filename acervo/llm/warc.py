@@ -6,8 +6,9 @@ line separator after each value; here it is an empty gzip member, so a file is
 nothing but valid members. Of equal payloads of at least ``SMALL`` bytes one is
 stored; the others become revisit records that refer to it.
 
-The reader takes files as bytes and walks them. A gzip member must inflate and
-pass its checksum, and a record needs a version line, a ``Content-Length`` that
+The reader takes files as bytes and walks them. A gzip member should inflate and
+pass its checksum; of one that does not, records whose digests agree are taken.
+Digests may be in hex or base32. A record needs a version line, a ``Content-Length`` that
 fits, and block and payload digests that agree. After a failed check it searches
 for the next member or version line that passes, goes on from there, and reports
 the bytes between as a gap. Files should be of a size that a task can hold;
@@ -16,11 +17,14 @@ the bytes between as a gap. Files should be of a size that a task can hold;
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -32,8 +36,10 @@ MEMBER = b"\x1f\x8b\x08"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 VERSION_LINE = re.compile(rb"WARC/[0-9]\.[0-9]\r?\n")
+FOLD = re.compile(rb"\r\n[ \t]+")
 LONGEST_HEAD = 1 << 20
 GAP = "gap"
+CUT_OFF = "member cut off"
 
 
 def with_types(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", small: int = SMALL) -> DataFrame:
@@ -112,6 +118,29 @@ class Broken(Exception):
     """A check failed."""
 
 
+def sha1_bytes(told: str) -> bytes | None:
+    """The digest that a header tells in hex or base32; null for another algorithm or spelling."""
+    name, _, value = told.partition(":")
+    if name.strip().lower() != "sha1":
+        return None
+    value = value.strip()
+    try:
+        return bytes.fromhex(value) if len(value) == 40 else base64.b32decode(value, casefold=True) if len(value) == 32 else None
+    except (ValueError, binascii.Error):
+        return None
+
+
+def differs(told: str, data: bytes) -> bool:
+    """Whether a told sha1 digest is not that of the data; other algorithms are not checked."""
+    return told.strip().lower().startswith("sha1:") and sha1_bytes(told) != hashlib.sha1(data).digest()
+
+
+def spelled(digest: str) -> str | None:
+    """A digest in hex where it is sha1, otherwise as told."""
+    own = sha1_bytes(digest)
+    return own.hex() if own else digest.removeprefix("sha1:").lower() or None
+
+
 def parsed(data, start: int) -> tuple[dict, int]:
     """The record that begins at ``start`` and where it ends; ``Broken`` if a check fails."""
     line = VERSION_LINE.match(data, start)
@@ -121,7 +150,7 @@ def parsed(data, start: int) -> tuple[dict, int]:
     if end < 0:
         raise Broken("header without end")
     fields: dict[str, str] = {}
-    for row in bytes(data[line.end() : end]).split(b"\r\n"):
+    for row in FOLD.sub(b" ", bytes(data[line.end() : end])).split(b"\r\n"):
         key, colon, value = row.partition(b":")
         if not colon:
             raise Broken("header line without a colon")
@@ -134,17 +163,15 @@ def parsed(data, start: int) -> tuple[dict, int]:
     if stop > len(data):
         raise Broken("block cut off")
     block = bytes(data[begin:stop])
-    told = fields.get("warc-block-digest")
-    if told and told.startswith("sha1:") and told[5:].lower() != hashlib.sha1(block).hexdigest():
+    if differs(fields.get("warc-block-digest", ""), block):
         raise Broken("block digest")
     payload = block.partition(b"\r\n\r\n")[2] if fields.get("content-type", "").startswith("application/http") else block
     kind = fields.get("warc-type", "")
     digest = fields.get("warc-payload-digest", "")
     if kind == "response":
-        own = hashlib.sha1(payload).hexdigest()
-        if digest.startswith("sha1:") and digest[5:].lower() != own:
+        if differs(digest, payload):
             raise Broken("payload digest")
-        digest = "sha1:" + own
+        digest = hashlib.sha1(payload).hexdigest()
     if data[stop : stop + 4] == b"\r\n\r\n":
         stop += 4
     elif stop != len(data):
@@ -154,37 +181,77 @@ def parsed(data, start: int) -> tuple[dict, int]:
         "record_id": fields.get("warc-record-id"),
         "url": fields.get("warc-target-uri"),
         "refers_to": fields.get("warc-refers-to"),
-        "digest": digest.removeprefix("sha1:").lower() or None,
+        "digest": spelled(digest),
         "size": len(payload) if kind == "response" else int(fields.get("x-payload-length") or 0),
         "payload": payload,
+        "checked": any(told.strip().lower().startswith("sha1:") for told in (fields.get("warc-block-digest", ""), kind == "response" and fields.get("warc-payload-digest", "") or "")),
     }, stop
 
 
-def inflated(data: bytes, start: int) -> tuple[bytes, int]:
-    """The member that begins at ``start`` and where it ends; zlib checks its sum and length."""
+def inflated(data: bytes, start: int) -> tuple[bytes, int | None, str]:
+    """What inflates of the member at ``start``, where it ends, and an empty reason; zlib checks its sum and length.
+
+    Of a member that fails, what inflated before that, no end, and the reason.
+    """
     engine, out, at, step = zlib.decompressobj(31), [], start, 1 << 13
+    before = engine.copy()
     try:
         while not engine.eof and at < len(data):
+            before = engine.copy()
             out.append(engine.decompress(data[at : at + step]))
             at, step = at + step, min(2 * step, 1 << 20)
     except zlib.error as error:
-        raise Broken("member: " + str(error)[:80]) from None
+        try:  # the last piece byte by byte, for what it gives up to the fault
+            for k in range(at, min(at + step, len(data))):
+                out.append(before.decompress(data[k : k + 1]))
+        except zlib.error:
+            pass
+        return b"".join(out), None, "member: " + str(error)[:80]
     if not engine.eof:
-        raise Broken("member cut off")
-    return b"".join(out), min(at, len(data)) - len(engine.unused_data)
+        return b"".join(out), None, CUT_OFF
+    return b"".join(out), min(at, len(data)) - len(engine.unused_data), ""
 
 
-def unit_at(data: bytes, start: int) -> tuple[list[dict], int]:
-    """The records of the member or the plain record at ``start``, and where it ends."""
+def records_inside(inner: bytes, sound: bool) -> tuple[list[dict], list[str]]:
+    """The records of an inflated member, and what was passed over with its reason.
+
+    Where the member is not sound, a record needs a digest that agrees.
+    """
+    records, passed, at = [], [], 0
+    while at < len(inner):
+        low, reason = at, ""
+        while at >= 0:
+            try:
+                one, end = parsed(inner, at)
+                if not (sound or one["checked"]):
+                    raise Broken("no digest in a damaged member")
+                break
+            except Broken as error:
+                reason = reason or str(error)
+                at = inner.find(b"WARC/", at + 1)
+        if reason:
+            passed.append(f"inflated bytes {low} to {len(inner) if at < 0 else at}: {reason}")
+        if at < 0:
+            break
+        records.append(one)
+        at = end
+    return records, passed
+
+
+def unit_at(data: bytes, start: int) -> tuple[list[dict], int | None, list[str]]:
+    """The records of the member or the plain record at ``start``, where it ends, and reasons of gaps in it.
+
+    A member that breaks off has no end; ``Broken`` if nothing in it is sound.
+    """
     if data.startswith(MEMBER, start):
-        inner, end = inflated(data, start)
-        records, at = [], 0
-        while at < len(inner):
-            one, at = parsed(inner, at)
-            records.append(one)
-        return records, end
+        inner, end, reason = inflated(data, start)
+        records, passed = records_inside(inner, end is not None or reason == CUT_OFF)
+        reasons = [reason] * bool(reason) + passed
+        if reasons and not records:
+            raise Broken(reasons[0])
+        return records, end, reasons
     one, end = parsed(data, start)
-    return [one], end
+    return [one], end, []
 
 
 def starts_after(data: bytes, start: int) -> Iterator[int]:
@@ -197,27 +264,36 @@ def starts_after(data: bytes, start: int) -> Iterator[int]:
         line = data.find(b"WARC/", at + 1) if line == at else line
 
 
-def salvaged(data: bytes) -> Iterator[dict]:
-    """All records of an archive, and a gap for each stretch that no valid record covers."""
-    at = 0
-    while at < len(data):
+def next_unit(data: bytes, places: Iterator[int]) -> tuple[int, list[dict], int | None, list[str], str]:
+    """The first of ``places`` that holds a unit, the unit, and why the first place held none; the data's end if none does."""
+    why = ""
+    for at in places:
         try:
-            records, end = unit_at(data, at)
+            return at, *unit_at(data, at), why
         except Broken as error:
-            reason, low = str(error), at
-            for at in starts_after(data, low + 1):
-                try:
-                    records, end = unit_at(data, at)
-                    break
-                except Broken:
-                    continue
-            else:
-                yield {"kind": GAP, "start": low, "end": len(data), "reason": reason}
-                return
-            yield {"kind": GAP, "start": low, "end": at, "reason": reason}
+            why = why or str(error)
+    return len(data), [], len(data), [], why
+
+
+def salvaged(data: bytes) -> Iterator[dict]:
+    """All records of an archive, and a gap for each stretch that is not covered by sound units.
+
+    A member with faults gives its sound records and a gap of its own for each fault.
+    """
+    low, unit = 0, None
+    while low < len(data):
+        at, records, end, reasons, why = unit or next_unit(data, chain([low], starts_after(data, low + 1)))
+        unit = None
+        if at > low:
+            yield {"kind": GAP, "start": low, "end": at, "reason": why}
+        if end is None:
+            unit = next_unit(data, starts_after(data, at + 1))
+            end = unit[0]
         for one in records:
             yield one | {"start": at, "end": end}
-        at = end
+        for reason in reasons:
+            yield {"kind": GAP, "start": at, "end": end, "reason": reason}
+        low = end
 
 
 FIELDS = ("kind", "record_id", "url", "refers_to", "digest", "size", "payload", "start", "end", "reason")

@@ -1,3 +1,4 @@
+import base64
 import gzip
 import hashlib
 import random
@@ -112,6 +113,42 @@ def test_version_line_inside_a_payload_is_no_record():
     assert ids(warc.salvaged(outer)) == ["<urn:page:8>"]
 
 
+def foreign(i, payload):
+    """A record as other tools write it: base32 digests, a folded header line."""
+    block = warc.HTTP + payload
+    told = lambda x: b"sha1:" + base64.b32encode(hashlib.sha1(x).digest())
+    head = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:%d>\r\nX-Note: two\r\n lines\r\n" % i
+    head += b"WARC-Block-Digest: " + told(block) + b"\r\nWARC-Payload-Digest: " + told(payload)
+    return head + b"\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(block), block)
+
+
+@pytest.mark.parametrize("pack", [warc.member, bytes])
+def test_archives_of_other_tools(pack):
+    found = list(warc.salvaged(b"".join(pack(foreign(i, b"body %d" % i)) for i in range(5))))
+    assert ids(found) == [f"<urn:page:{i}>" for i in range(5)] and len(found) == 5
+    assert [r["digest"] for r in found] == [hashlib.sha1(b"body %d" % i).hexdigest() for i in range(5)]
+    bad = foreign(1, b"body").replace(b"\r\n\r\nbody", b"\r\n\r\nbode")
+    assert [r["kind"] for r in warc.salvaged(pack(bad))] == ["gap"]
+
+
+def test_members_of_several_records():
+    rnd = random.Random(4)
+    parts = [foreign(i, rnd.randbytes(3000)) for i in range(9)]
+    names = [f"<urn:page:{i}>" for i in range(9)]
+    whole = warc.member(b"".join(parts))
+    assert ids(warc.salvaged(whole)) == names
+    bad = [*parts[:4], parts[4][:-9] + b"#" + parts[4][-8:], *parts[5:]]
+    found = list(warc.salvaged(warc.member(b"".join(bad)) + warc.member(parts[0])))
+    assert ids(found) == [*names[:4], *names[5:], names[0]]
+    assert [r["reason"].rpartition(": ")[2] for r in found if r["kind"] == "gap"] == ["block digest"]
+    for damaged in (whole[: len(whole) * 2 // 3], whole[:-6] + b"\0" + whole[-5:], whole[:-8000] + b"\xff" * 8000):
+        for tail, more in ((b"", []), (warc.member(foreign(20, b"x")), ["<urn:page:20>"])):
+            found = list(warc.salvaged(damaged + tail))
+            kept = ids(found)
+            assert kept[:5] == names[:5] and kept == names[: len(kept) - len(more)] + more
+            assert any(r["kind"] == "gap" for r in found) and max(r["end"] for r in found) == len(damaged + tail)
+
+
 def test_empty_table(spark, tmp_path):
     frame = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(warc.with_types(frame), str(tmp_path / "a"))
