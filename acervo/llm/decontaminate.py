@@ -1,6 +1,7 @@
 """Benchmark passages in documents by the CGK embedding, bit sampling and exact edit verification.
 
-Items and documents are sequences of words (letters and digits, lower case).
+Items and documents are sequences of words (letters and digits, lower case), or
+of characters in scripts that write without blanks.
 An item is found in a document where some span of it is within
 ``MAX_EDIT * length`` word edits of the item. The search:
 
@@ -25,6 +26,7 @@ are not shuffled. Long items are compared in pieces of at most ``PIECE`` words.
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from zlib import crc32
@@ -37,7 +39,7 @@ from acervo.llm.common import extended, texts
 
 MAX_EDIT = 0.15  # word edits per word of the item
 PIECE = 96  # words of an item that are compared as one
-LEAST_WORDS = 8  # shorter items have no passage that could be told from chance
+LEAST_WORDS = 8  # shorter items are found as they are, without edits
 BLOCK_ITEMS = 5_000  # items, in pieces, that tasks hold at once
 BLOCK_BYTES = 16 << 20  # and bytes of their texts
 SAMPLES = 3  # positions that a repeat compares
@@ -46,6 +48,16 @@ RECALL = 0.99
 MAP_BITS = 22
 # ASCII letters and digits and all bytes of other characters stay; the rest parts words.
 PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256)).lower()
+# White space and CJK punctuation beyond ASCII, and characters of scripts that write without blanks, in UTF-8:
+# Thai, Lao, Myanmar, Khmer, kana and ideographs.
+BLANKS = re.compile(
+    rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8b\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80[\x80-\x84\x88-\x9f]|\xef\xbb\xbf"
+    rb"|\xef\xbc[\x81-\x8f\x9a-\xa0\xbb-\xbf]|\xef\xbd[\x80\x9b-\xa5]"
+)
+ALONE = re.compile(
+    rb"\xe0[\xb8-\xbb][\x80-\xbf]|\xe1(?:[\x80\x81][\x80-\xbf]|\x82[\x80-\x9f]|[\x9e\x9f][\x80-\xbf])"
+    rb"|\xe3[\x81-\x83\x90-\xbf][\x80-\xbf]|[\xe4-\xe9][\x80-\xbf]{2}|\xef[\xa4-\xab][\x80-\xbf]|\xf0[\xa0-\xbf][\x80-\xbf]{2}"
+)
 SEED = 71
 
 
@@ -54,8 +66,12 @@ def repeats(recall: float = RECALL, share: float = SHARE, samples: int = SAMPLES
 
 
 def tokens(text: bytes | None) -> list[bytes]:
-    """Words without ASCII punctuation, with A-Z lower-cased."""
-    return text.translate(PLAIN).split() if text else []
+    """Words without ASCII punctuation, with A-Z lower-cased; single characters of scripts that write without blanks."""
+    if not text:
+        return []
+    if not text.isascii():
+        text = ALONE.sub(rb" \g<0> ", BLANKS.sub(b" ", text))
+    return text.translate(PLAIN).split()
 
 
 def numbers(words: list[bytes]) -> np.ndarray:
@@ -160,7 +176,11 @@ class Block:
         self.own_runs: dict[int, np.ndarray] = {}  # triples of the pieces of a length
         self.known = np.zeros(1 << MAP_BITS, dtype=bool)  # triples of all pieces
         by_length = defaultdict(list)
+        self.short: dict[int, dict[bytes, list[int]]] = {}  # by length, items under LEAST_WORDS by their words
         for k, (_, codes) in enumerate(self.pieces):
+            if len(codes) < LEAST_WORDS:
+                self.short.setdefault(len(codes), {}).setdefault(b" ".join(tokens(pieces[k][1])), []).append(k)
+                continue
             by_length[len(codes)].append(k)
             self.known[runs(codes, 3)] = True
         for length, members in sorted(by_length.items()):
@@ -173,9 +193,20 @@ class Block:
             self.own_runs[length] = np.unique(np.concatenate([runs(self.pieces[k][1], 3) for k in members]))
         self.sorted_keys = {length: np.array(sorted(table), dtype=np.uint64) for length, table in self.lengths.items()}
 
+    def exact(self, words: list[bytes]) -> dict[int, tuple[int, int, int, int]]:
+        """The first run of ``words`` that equals each short item, as ``matches`` tells it."""
+        out: dict[int, tuple[int, int, int, int]] = {}
+        for n, table in self.short.items():
+            for a, run in enumerate(map(b" ".join, zip(*(words[i:] for i in range(n))))):
+                for piece in table.get(run, ()):
+                    out.setdefault(piece, (0, a, a + n, n))
+        return out
+
     def matches(self, texts: list[np.ndarray]) -> list[dict[int, tuple[int, int, int, int]]]:
         """For each text its best match of each piece: ``(edits, start, end, words of the piece)``."""
         out: list[dict[int, tuple[int, int, int, int]]] = [{} for _ in texts]
+        if not self.lengths:
+            return out
         gap = np.zeros(2 * PIECE, dtype=np.uint32)  # no window reaches from one text into the next
         codes = np.concatenate([part for text in texts for part in (text, gap)] or [gap])
         first = np.concatenate([[0], np.cumsum([len(text) + len(gap) for text in texts])]).astype(np.int64)
@@ -261,6 +292,8 @@ def searched_texts(block: Block, values: list[bytes | None], most: int = 400_000
     for i, value in enumerate(values):
         for offset, words in windows_of_text(value):
             held.append((i, offset, numbers(words)))
+            for piece, (edits, a, b, n) in block.exact(words).items():
+                done.setdefault(i, {}).setdefault(piece, (edits, a + offset, b + offset, n))
             size += len(words) + 2 * PIECE
             if size > most:
                 compare()
@@ -272,7 +305,7 @@ def searched_texts(block: Block, values: list[bytes | None], most: int = 400_000
 
 def pieces_of(item: int | None, text: bytes | None) -> list[tuple[int | None, bytes]]:
     words = tokens(text)
-    if len(words) < LEAST_WORDS:
+    if not words:
         return []
     parts = -(-len(words) // PIECE)
     edges = [len(words) * k // parts for k in range(parts + 1)]
@@ -301,6 +334,16 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, rate: float, recall: f
         yield Block(held, rate, recall)
 
 
+def place_to_cut(text: bytes, low: int, high: int) -> int:
+    """The last ASCII white space from ``low`` and before ``high``, or else the last character that begins there."""
+    space = max(text.rfind(bytes([c]), low, high) for c in b" \t\n\v\f\r")
+    if space >= 0:
+        return space
+    while high > low + 1 and 0x80 <= text[high] < 0xC0:
+        high -= 1
+    return high
+
+
 def windows_of_text(text: bytes | None, most: int = 4 << 20) -> Iterator[tuple[int, list[bytes]]]:
     """Words of a text with the number of the first; very long texts in overlapping stretches."""
     if text is None:
@@ -309,14 +352,12 @@ def windows_of_text(text: bytes | None, most: int = 4 << 20) -> Iterator[tuple[i
     while start < len(text):
         stop = start + most
         if stop < len(text):
-            space = text.rfind(b" ", start + most // 2, stop)
-            stop = space if space > 0 else stop
+            stop = place_to_cut(text, start + most // 2, stop)
         own = tokens(text[start:stop])
         yield first, own
         if stop >= len(text):
             return
-        overlap = text.rfind(b" ", start, max(start + 1, stop - 64 * PIECE))
-        back = overlap if overlap > start + most // 4 else stop
+        back = place_to_cut(text, start + most // 4, max(start + most // 4 + 1, stop - 64 * PIECE))
         first += len(own) - len(tokens(text[back:stop]))
         start = back
 
@@ -334,7 +375,7 @@ def contaminated(
     """``(doc_id, item_id, start_word, end_word, edits, item_words)``: the best span of each found piece.
 
     Rows of clean documents give nothing. Null and empty texts match nothing;
-    items under ``LEAST_WORDS`` words are left out. Pieces with the same words
+    items under ``LEAST_WORDS`` words are found where all their words are, without edits. Pieces with the same words
     count under the smallest item id. Repeated document rows give repeated results.
     Other columns are not read. An empty benchmark gives an empty result.
     """

@@ -104,6 +104,38 @@ def test_stretches_of_a_long_text_overlap():
     assert len(seen) == len(tokens)
 
 
+def test_short_items_and_scripts_without_blanks(spark):
+    rnd = random.Random(6)
+    text = " ".join(words(rnd, 40))
+    chinese = "长江发源于青藏高原的唐古拉山脉，流经十一个省区市后注入东海。"
+    thai = "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
+    spaced = "one\u3000two three\u00a0four five six seven eight nine ten"
+    rows_ = [
+        (1, text + " What is the capital of France? " + text),
+        (2, text + " what is the old capital of France " + text),
+        (3, "前文很长" + chinese + "后文"),
+        (4, thai + "ครับ"),
+        (5, text + " " + spaced.replace("\u3000", " ").replace("\u00a0", "  ")),
+        (6, "前文" + chinese.replace("十一", "十二") + "后文"),
+        (7, "full text " + "东京" + text),
+    ]
+    docs = spark.createDataFrame(rows_, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, "What is the capital of France?"), (2, chinese), (3, thai), (4, spaced), (5, "东京")], "item_id long, text string")
+    assert rows(op.contaminated(docs, benchmark)) == [(1, 1), (3, 2), (4, 3), (5, 4), (6, 2), (7, 5)]
+    assert [r["doc_id"] for r in op.without_benchmark(docs, benchmark).collect()] == [2]
+
+
+def test_stretches_of_texts_without_blanks_overlap():
+    rnd = random.Random(7)
+    for text in ("".join(rnd.choices("长江发源于青藏高原", k=60_000)), "\n".join(words(rnd, 40_000)), "\t".join(words(rnd, 40_000))):
+        whole, last = op.tokens(text.encode()), None
+        for first, own in op.windows_of_text(text.encode(), 60_000):
+            assert own == whole[first : first + len(own)]
+            assert last is None or last - first > 2 * op.PIECE
+            last = first + len(own)
+        assert last == len(whole)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     some = spark.createDataFrame([(1, "a b c d e f g h i j")], "doc_id long, text string")
