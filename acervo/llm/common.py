@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -45,12 +46,41 @@ def free_name(columns: list[str], name: str) -> str:
     return name
 
 
-def row_key(columns: list[str]) -> list[Column]:
-    """Two hashes that name a row by its content; equal rows share them. Maps cannot be hashed."""
-    quoted = [F.col(f"`{name}`") for name in columns]
+def holds_map(kind: T.DataType) -> bool:
+    """Whether a type is a map or has one inside."""
+    if isinstance(kind, T.StructType):
+        return any(holds_map(field.dataType) for field in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and holds_map(kind.elementType)
+
+
+def row_key(schema: T.StructType) -> list[Column]:
+    """Two hashes that name a row by its content; equal rows share them. Maps, which cannot be hashed, count as their JSON text."""
+    quoted = [F.to_json(F.struct(F.col(f"`{f.name}`").alias("m"))) if holds_map(f.dataType) else F.col(f"`{f.name}`") for f in schema.fields]
     return [F.xxhash64(*quoted), F.xxhash64(F.lit(1), *quoted)]
 
 
 def extended(schema: T.StructType, ddl: str) -> T.StructType:
     """``schema`` with the fields of ``ddl`` after its own."""
     return T.StructType([*schema.fields, *T.DataType.fromDDL(ddl).fields])
+
+
+def runs(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
+    """Rows with equal values in the first ``keys`` columns of sorted batches, each run as one batch."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in parts:
+        if not len(batch):
+            continue
+        own = [batch.column(i).to_numpy() for i in range(keys)]
+        edges = np.flatnonzero(np.logical_or.reduce([x[1:] != x[:-1] for x in own])) + 1
+        edges = [0, *edges.tolist(), len(batch)]
+        if held and last != tuple(x[0] for x in own):
+            yield pa.concat_batches(held)
+            held = []
+        last = tuple(x[-1] for x in own)
+        for a, b in zip(edges, edges[1:-1]):
+            yield pa.concat_batches([*held, batch.slice(a, b - a)])
+            held = []
+        held.append(batch.slice(edges[-2]))
+    if held:
+        yield pa.concat_batches(held)

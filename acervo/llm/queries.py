@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acervo.llm import byte_bpe, chat, decontaminate, dual_tree, hmm, pii, simhash, toxicity, url_filter, warc
+from acervo.llm import byte_bpe, chat, decontaminate, dual_tree, hmm, ngram_join, pii, simhash, toxicity, url_filter, variants, warc, whitening
 from acervo.session import scratch_path
 
 RULES = [
@@ -77,6 +77,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -90,5 +102,8 @@ QUERIES = {
         op8_url_filter,
         op9_pii,
         op10_warc,
+        op11_variants,
+        op12_ngram_join,
+        op13_whitening,
     )
 }

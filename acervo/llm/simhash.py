@@ -373,13 +373,20 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE, block: int
 def connect(links: DataFrame) -> DataFrame:
     """``(node, root)`` for every node of ``links(a, b)``; the root is the component's smallest node.
 
-    Each round points every node to its smallest neighbour if that is smaller, and
-    contracts the links to the nodes pointed to. All is grouped and joined by key.
+    Each round points every node to its smallest neighbour if that is smaller. The
+    pointers are doubled until each shows the end of its chain, and the links are
+    contracted to those ends, so rounds and doublings stay logarithmic even for a
+    chain in rising order. All is grouped and joined by key.
     """
     edges, labels = stored(links, "links"), None
     while edges.take(1):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = stored(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("p")), "parents")
+        while True:
+            above = parent.toDF("p", "g")
+            if not parent.join(above, "p").filter("g <> p").take(1):
+                break
+            parent = stored(parent.join(above, "p").select("a", F.col("g").alias("p")), "parents")
         if labels is None:
             labels = parent.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
@@ -420,18 +427,20 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE) -> DataFrame:
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", distance: int = DISTANCE, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` but for near copies: of each component the row with the smallest id stays.
 
     A null id counts as larger than any other; among rows of one id the one with
-    the smallest content hash stays, and exact repeats leave one row. All columns are kept.
+    the smallest content hash stays, and exact repeats leave one row. A null or empty
+    text has fingerprint zero and is linked like any other. All columns are kept,
+    whatever their names; an empty table stays empty.
     """
     columns = docs.columns
     k1, k2 = free_name(columns, "_k1"), free_name(columns, "_k2")
-    first, second = row_key(columns)
+    first, second = row_key(docs.schema)
     keyed = docs.select("*", first.alias(k1), second.alias(k2))
     narrow = keyed.select(F.col(f"`{doc_id}`").alias("id"), F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(f"`{text}`").alias("text"))
-    fps = stored(fingerprints(narrow), "simhash")
+    fps = stored(fingerprints(narrow, shingle=shingle), "simhash")
     roots = fingerprint_roots(fps, distance)
     order = F.struct(F.col("id").isNull().alias("last"), "id", "k1", "k2")
     best = fps.groupBy("fp").agg(F.min(order).alias("best"))
