@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from acervo.llm import byte_bpe, decontaminate, near_copies, pii, toxicity
+from acervo.llm import byte_bpe, decontaminate, pii, simhash, toxicity
 from acervo.llm.common import stored
 
 PII_KEY = "public test key"
@@ -21,8 +21,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by a Jaccard similarity of 0.8 or more of their 5-word shingles the one with the smallest id stays."""
-    return near_copies.keep_one(docs)
+    """Of documents whose fingerprints are linked the one with the smallest id stays."""
+    return simhash.keep_one(docs, shingle=3, distance=3)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
