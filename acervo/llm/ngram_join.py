@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from acervo.llm.common import runs, stored, texts, words
 from acervo.llm.simhash import connect, digest
+from acervo.session import is_small
 
 SHINGLE = 3
 PERCENT = 90
 SLICE = 6  # the first slice is one in so many values of the hash
 EXTRA = (1, 2, 3, 4, 6, 8, 12, 16)  # numbers of matches that a text may ask for
 CHECK_COST = 1 / 8  # of a comparison of whole sets for each of their shingles, against one meeting
+MOST_SENT = 1 << 22  # counts of shingles that are sent to every task: 64 MB
 BLOCK_ROWS = 2048  # members that a task compares by prefixes at once
 BLOCK_SHINGLES = 1 << 20  # shingles that a task compares at once
 
@@ -89,32 +91,62 @@ def whole_sets(rows: DataFrame, shingle: int) -> DataFrame:
     return rows.select("node", "text").mapInArrow(run, "node long, n long, own array<long>").dropDuplicates(["node"])
 
 
-def shared(tokens: DataFrame) -> DataFrame:
-    """``tokens(..., token)`` that occur in two sets or more, with their count ``df``."""
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    return tokens.join(counts, "token")
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """``(token, df)``, stored: the shingles of ``sets(node, n, own)`` that two sets or more hold."""
+    tokens = sets.select(F.explode("own").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return stored(tokens.filter("df > 1"), "ngram-shared")
+
+
+def with_counts(sets: DataFrame) -> DataFrame:
+    """``(node, n, size, df, token)``: for each set of ``sets(node, n, own)`` its size and its shared shingles, rare ones first.
+
+    The counts are looked up where they are few enough to be sent to every task, and joined otherwise.
+    """
+    counts = shared_shingles(sets)
+    if counts.count() > MOST_SENT:
+        tokens = sets.select("node", F.explode("own").alias("token")).join(counts, "token")
+        seen = tokens.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("seen"))
+        none = F.array().cast("array<bigint>")
+        lists = (F.coalesce(F.col(f"seen.{name}"), none).alias(name) for name in ("df", "token"))
+        return sets.join(seen, "node", "left").select("node", "n", F.size("own").cast("long").alias("size"), *lists)
+    table = counts.toArrow()
+    order = np.argsort(table["token"].to_numpy())
+    known = sets.sparkSession.sparkContext.broadcast((table["token"].to_numpy()[order], table["df"].to_numpy()[order]))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, counts = known.value
+        for batch in parts:
+            lists = lists_of(batch.column(2))
+            df, token = [], []
+            for own in lists:
+                at = np.searchsorted(tokens, own)
+                at[at == len(tokens)] = 0
+                at, own = (at[found], own[found]) if len(tokens) and (found := tokens[at] == own).any() else (at[:0], own[:0])
+                order = np.lexsort((own, counts[at]))
+                df.append(counts[at][order])
+                token.append(own[order])
+            arrays = [pa.array(list(map(len, lists)), pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in (df, token))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], ["node", "n", "size", "df", "token"])
+
+    return sets.select("node", "n", "own").mapInArrow(run, "node long, n long, size long, df array<long>, token array<long>")
 
 
 def with_chance(nodes: DataFrame, percent: int) -> DataFrame:
-    """The nodes whose prefix is not sure to be free of shared shingles."""
-    tokens = nodes.select("node", F.explode("low").alias("token"))
-    found = shared(tokens).groupBy("node").agg(F.count(F.lit(1)).alias("found"))
-    alone = F.size("low") - F.coalesce("found", F.lit(0))
-    return nodes.join(found, "node", "left").filter(alone < F.col("n") - least_overlap(F.col("n"), percent) + 1)
+    """``(node)`` where the first slice does not show a prefix free of shared shingles."""
+    counted = with_counts(nodes.select("node", "n", F.col("low").alias("own")))
+    alone = F.col("size") - F.size("df")
+    return counted.filter(alone < F.col("n") - least_overlap(F.col("n"), percent) + 1).select("node")
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     """``(node, n, matches, prefix)``: the shared shingles of each adaptive prefix; nodes without any are left out."""
-    tokens = sets.select("node", "n", F.explode("own").alias("token"))
-    listed = shared(tokens).groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("seen"))
-    arrays = listed.select("node", "n", F.col("seen.df").alias("df"), F.col("seen.token").alias("token"))
+    arrays = with_counts(sets).select("node", "n", "df", "token")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             out: list[tuple] = []
-            for node, n, df, token in zip(*(batch.column(i) for i in range(4))):
-                node, n = node.as_py(), n.as_py()
-                df, token = df.values.to_numpy(zero_copy_only=False), token.values.to_numpy(zero_copy_only=False)
+            ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for node, n, df, token in zip(ids, sizes, lists_of(batch.column(2)), lists_of(batch.column(3))):
                 length = n + (-percent * n // 100) + 1  # for one match; shingles of one set alone come first
                 alone = n - len(df)
                 if alone >= length:
@@ -123,8 +155,8 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 out.append((node, n, matches, token[: length + matches - 1 - alone]))
             if out:
                 node, n, matches, prefix = zip(*out)
-                arrays = [pa.array(x, pa.int64()) for x in (node, n, matches)]
-                yield pa.RecordBatch.from_arrays([*arrays, pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "matches", "prefix"])
+                more = [pa.array(x, pa.int64()) for x in (node, n, matches)]
+                yield pa.RecordBatch.from_arrays([*more, pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "matches", "prefix"])
 
     return arrays.mapInArrow(run, "node long, n long, matches long, prefix array<long>")
 
@@ -254,7 +286,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     nodes = rows.filter("n > 0").groupBy("k").agg(F.min(own).alias("best"), F.first("n").alias("n"), F.first("low").alias("low"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
 
-    needed = with_chance(nodes, percent).select("node", "best.doc_id", "best.t1", "best.t2").toDF("node", "_d", "_t1", "_t2")
+    needed = nodes.join(with_chance(nodes, percent), "node").select("node", "best.doc_id", "best.t1", "best.t2").toDF("node", "_d", "_t1", "_t2")
+    needed = stored(needed, "ngram-needed")
+    if is_small(needed):
+        needed = F.broadcast(needed)
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
     sets = stored(whole_sets(narrow.join(needed, same), shingle), "ngram-sets")
     roots = connect(similar_links(sets, percent)).toDF("node", "root")

@@ -59,6 +59,7 @@ def test_equals_all_pairs(spark, seed, words, edits, vocabulary):
 def test_other_thresholds_and_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 5)
     monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300)
+    monkeypatch.setattr(ngram_join, "MOST_SENT", 0)
     rows = families(5, 200, 80, 8)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for percent in (60, 80, 100):
