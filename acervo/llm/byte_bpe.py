@@ -19,6 +19,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -26,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from acervo.llm.common import extended
+from acervo.llm.common import extended, free_name, through_arrow
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 SAFE_CUT = re.compile(r"(?<=\S) (?=\S)")
 LOOSE_BLANK = re.compile(r"\s |^ | (?=\s|$)")  # a blank beside white space or at an end
-REMEMBERED = 60_000  # pieces in each of the two tables that a worker keeps
-LONG_PIECE = 256  # characters; longer pieces are encoded, but not kept
+REMEMBERED = 250_000  # pieces in each of the two tables that a worker keeps
+MOST_IDS = 4_000_000  # ids in such a table
+TOGETHER = 400  # unknown pieces that go through the library as one text
 
 
 def byte_characters() -> list[str]:
@@ -47,6 +49,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The stretches ``at`` of a flat array, one after the other."""
+    own = lengths[at]
+    ends = np.cumsum(own)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.arange(total) + np.repeat(starts[at] - (ends - own), own)]
+
+
 class TokenBytes:
     """What each id stands for: the tables that decoding needs."""
 
@@ -62,11 +72,7 @@ class TokenBytes:
         self.bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        own = self.lengths[ids]
-        ends = np.cumsum(own)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.starts[ids] - (ends - own), own)
-        return self.bytes[at].tobytes()
+        return gathered(self.bytes, self.starts, self.lengths, ids).tobytes()
 
     def offsets(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Character offsets ``[start, end)`` of each token in the text.
@@ -111,39 +117,84 @@ class ByteBpe(TokenBytes):
         )
         # Pieces of now and of before: when the first table is full it becomes the second,
         # so what is used again stays.
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
+        self.now, self.before = Pieces(), Pieces()
+
+    def library_ids(self, pieces: list[str]) -> list[np.ndarray]:
+        """The ids of pieces that are written with a blank before them, but for marked ones.
+
+        Many pieces go through the library as one text: a blank between other characters always
+        starts a new match, and the tokens' byte lengths show where each piece ends.
+        """
+        out: dict[str, np.ndarray] = {}
+        joined = [p for p in pieces if not p[0].isspace() and not p[-1].isspace()]
+        chunks = [joined[a : a + TOGETHER] for a in range(0, len(joined), TOGETHER)]
+        found = self.library.encode_batch_fast([" " + " ".join(chunk) for chunk in chunks], add_special_tokens=False)
+        for chunk, encoded in zip(chunks, found):
+            ids = np.array(encoded.ids, dtype=np.int32)
+            ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) + 1 for p in chunk])
+            at = np.searchsorted(ends, wanted)
+            if (ends[at] == wanted).all():
+                out.update(zip(chunk, np.split(ids, at[:-1] + 1)))
+        single = [p for p in pieces if p not in out]
+        spelled = [p[1:] if p.startswith(" ") else " " + p for p in single]
+        for start in range(0, len(single), 20_000):
+            part = self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)
+            out.update(zip(single[start : start + 20_000], (np.array(e.ids, dtype=np.int32) for e in part)))
+        return [out[p] for p in pieces]
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        """The ids of each text; a null text counts as empty."""
+        """The ids of each text."""
+        return (self.now.ids(places) for places in self.places_batch(texts))
+
+    def places_batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The places in the table ``now`` of each text's pieces; a null text counts as empty."""
         cut = [pieces_at_blanks(text) if text else [] for text in texts]
         for pieces in cut:
             # A piece is kept without the blank before it; a first piece, which has none, is marked
             # with one, as no other piece begins with white space.
             if pieces:
                 pieces[0] = " " + pieces[0]
-        known, before, fresh = self.known, self.before, {}
-        missing = []
-        for piece in {p for pieces in cut for p in pieces if p not in known}:
-            if piece in before:
-                fresh[piece] = before[piece]
-            else:
-                missing.append(piece)
-        spelled = [piece[1:] if piece.startswith(" ") else " " + piece for piece in missing]
-        for start in range(0, len(missing), 20_000):
-            part = self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)
-            fresh.update(zip(missing[start : start + 20_000], (tuple(e.ids) for e in part)))
-        get = known.get
+        if len(self.now.places) > REMEMBERED or self.now.used > MOST_IDS:
+            self.now, self.before = Pieces(), self.now
+        unknown = set().union(*cut).difference(self.now.places)
+        again = [p for p in unknown if p in self.before.places]
+        self.now.add(again, [self.before.ids(np.array([self.before.places[p]])) for p in again])
+        fresh = [p for p in unknown if p not in self.before.places]
+        self.now.add(fresh, self.library_ids(fresh))
+        place = self.now.places.__getitem__
         for pieces in cut:
-            ids: list[int] = []
-            for piece in pieces:
-                ids += get(piece) or fresh[piece]
-            yield np.array(ids, dtype=np.int64)
-        for piece, ids in fresh.items():
-            if len(piece) <= LONG_PIECE:
-                known[piece] = ids
-        if len(known) > REMEMBERED:
-            self.known, self.before = {}, known
+            yield np.fromiter(map(place, pieces), np.int64, len(pieces))
+
+
+class Pieces:
+    """Known pieces and their ids, one after the other."""
+
+    def __init__(self):
+        self.places: dict[str, int] = {}
+        self.decimals: list[bytes] = []
+        self.used = 0
+        self.flat, self.starts, self.lengths = (np.zeros(0, dtype=t) for t in (np.int32, np.int64, np.int64))
+
+    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+        if not pieces:
+            return
+        count = len(self.places)
+        self.places.update(zip(pieces, range(count, count + len(pieces))))
+        self.decimals += [(",".join(map(str, own.tolist())) + ",").encode() for own in ids]
+        lengths = np.array(list(map(len, ids)), dtype=np.int64)
+        ends = self.used + np.cumsum(lengths)
+        if ends[-1] > len(self.flat):
+            self.flat = np.concatenate([self.flat[: self.used], np.zeros(int(ends[-1]), dtype=np.int32)])
+        self.flat[self.used : ends[-1]] = np.concatenate(ids)
+        self.used = int(ends[-1])
+        self.starts, self.lengths = np.concatenate([self.starts, ends - lengths]), np.concatenate([self.lengths, lengths])
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return gathered(self.flat, self.starts, self.lengths, places)
+
+    def decimal(self, places: np.ndarray) -> bytes:
+        """The ids as decimal numbers joined by commas."""
+        return b"".join(map(self.decimals.__getitem__, places.tolist()))[:-1]
 
 
 @lru_cache(maxsize=2)
@@ -195,7 +246,7 @@ def encode(docs: DataFrame, text: str = "text", path: str | None = None, pattern
                 arrays = [pa.array(x, pa.list_(pa.int32())) for x in lists]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*kept, *names])
 
-    return source.mapInArrow(run, schema)
+    return through_arrow(source, run, schema)
 
 
 def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> DataFrame:
@@ -212,15 +263,57 @@ def decode(encoded: DataFrame, ids: str = "ids", path: str | None = None) -> Dat
             out = [own.decode(column[i].values.to_numpy().astype(np.int64)) if column[i].is_valid else b"" for i in range(len(column))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [*kept, "decoded"])
 
-    return source.mapInArrow(run, extended(source.schema, "decoded binary"))
+    return through_arrow(source, run, extended(source.schema, "decoded binary"))
 
 
-def digests(encoded: DataFrame, doc_id: str = "doc_id", path: str | None = None) -> DataFrame:
-    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of ``encoded``."""
-    ids = F.col("ids")
-    return decode(encoded.select(doc_id, "ids"), path=path).select(
-        F.col(doc_id).alias("doc_id"),
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def round_trips(docs: DataFrame, text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """All columns of ``docs`` with ``ids``, ``n_tokens`` and ``round_trip``, whether decoding gives the text again.
+
+    Texts are encoded and decoded in one pass. A null or empty text has no ids and comes
+    back as the empty text. Rows are neither merged nor dropped, so repeated ones stay. A
+    new column whose name is taken, whatever its case, gets underscores before its name.
+    """
+    path, pattern = path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
+    kept = docs.columns
+    names = [free_name(kept, name) for name in ("ids", "n_tokens", "round_trip")]
+    at = kept.index(text)
+    schema = extended(docs.schema, ", ".join(f"`{n}` {t}" for n, t in zip(names, ("array<int>", "bigint", "boolean"))))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(path, pattern)
+        for whole in parts:
+            for a, b in pieces_of(whole.column(at)):
+                batch = whole.slice(a, b - a)
+                values = batch.column(at).to_pylist()
+                ids = list(own.encode_batch(values))
+                same = [own.decode(x) == (value or "").encode() for x, value in zip(ids, values)]
+                more = [pa.array(ids, pa.list_(pa.int32())), pa.array(list(map(len, ids)), pa.int64()), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*kept, *names])
+
+    return through_arrow(docs, run, schema)
+
+
+def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
+    """``(doc_id, n_tokens, ids_sha256, decoded_sha256)``: texts encoded, decoded and digested in one pass.
+
+    A null or empty text has no ids. Rows are neither merged nor dropped; other columns are not read.
+    """
+    path, pattern = path or public_tokenizers.path(RANKS), pattern or public_tokenizers.PATTERN
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = coder(path, pattern)
+        for whole in parts:
+            for a, b in pieces_of(whole.column(1)):
+                batch = whole.slice(a, b - a)
+                sizes, ids_digests, text_digests = [], [], []
+                for places in own.places_batch(batch.column(1).to_pylist()):
+                    ids = own.now.ids(places)
+                    sizes.append(len(ids))
+                    ids_digests.append(sha256(own.now.decimal(places)).hexdigest())
+                    text_digests.append(sha256(own.decode(ids)).hexdigest())
+                more = [pa.array(sizes, pa.int64()), pa.array(ids_digests, pa.string()), pa.array(text_digests, pa.string())]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *more], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    schema = extended(source.select("doc_id").schema, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return source.mapInArrow(run, schema)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,6 +64,18 @@ def extended(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*schema.fields, *T.DataType.fromDDL(ddl).fields])
 
 
+def through_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` for tables whose columns have any name, a dot or a clash in it included."""
+    names = [f"c{i}" for i in range(len(schema))]
+    plain = T.StructType([T.StructField(name, field.dataType) for name, field in zip(names, schema.fields)])
+
+    def renamed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in run(parts):
+            yield pa.RecordBatch.from_arrays(batch.columns, names)
+
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
 def runs(parts: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.RecordBatch]:
     """Rows with equal values in the first ``keys`` columns of sorted batches, each run as one batch."""
     held: list[pa.RecordBatch] = []

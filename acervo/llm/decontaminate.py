@@ -35,11 +35,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from acervo.llm.common import extended, texts
+from acervo.llm.common import extended, stored, texts, through_arrow
 
 MAX_EDIT = 0.15  # word edits per word of the item
 PIECE = 96  # words of an item that are compared as one
-LEAST_WORDS = 8  # shorter items are found as they are, without edits
 BLOCK_ITEMS = 5_000  # items, in pieces, that tasks hold at once
 BLOCK_BYTES = 16 << 20  # and bytes of their texts
 SAMPLES = 3  # positions that a repeat compares
@@ -176,9 +175,9 @@ class Block:
         self.own_runs: dict[int, np.ndarray] = {}  # triples of the pieces of a length
         self.known = np.zeros(1 << MAP_BITS, dtype=bool)  # triples of all pieces
         by_length = defaultdict(list)
-        self.short: dict[int, dict[bytes, list[int]]] = {}  # by length, items under LEAST_WORDS by their words
+        self.short: dict[int, dict[bytes, list[int]]] = {}  # by length, items too short for an edit by their words
         for k, (_, codes) in enumerate(self.pieces):
-            if len(codes) < LEAST_WORDS:
+            if not edits_allowed(len(codes), rate):
                 self.short.setdefault(len(codes), {}).setdefault(b" ".join(tokens(pieces[k][1])), []).append(k)
                 continue
             by_length[len(codes)].append(k)
@@ -312,8 +311,8 @@ def pieces_of(item: int | None, text: bytes | None) -> list[tuple[int | None, by
     return [(item, b" ".join(words[a:b])) for a, b in zip(edges, edges[1:])]
 
 
-def blocks(benchmark: DataFrame, item_id: str, text: str, rate: float, recall: float) -> Iterator[Block]:
-    """The benchmark in blocks of bounded size; items of the same words are one."""
+def item_pieces(benchmark: DataFrame, item_id: str, text: str) -> DataFrame:
+    """``(key, item_id, piece)``, stored: every piece of every item; pieces of the same words share a key."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -321,11 +320,16 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, rate: float, recall: f
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["item_id", "piece"])
 
-    source = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"))
-    rows = source.mapInArrow(cut, "item_id long, piece binary").groupBy("piece").agg(F.min("item_id").alias("item_id"))
+    source = benchmark.select(F.col(f"`{item_id}`").cast("long").alias("item_id"), F.col(f"`{text}`").alias("text"))
+    return stored(source.mapInArrow(cut, "item_id long, piece binary").select(F.xxhash64("piece").alias("key"), "item_id", "piece"), "benchmark-pieces")
+
+
+def blocks(pieces: DataFrame, rate: float, recall: float) -> Iterator[Block]:
+    """The distinct pieces of the benchmark, under their keys, in blocks of bounded size."""
+    rows = pieces.select("key", "piece").distinct()
     held, size = [], 0
     for row in rows.toLocalIterator():
-        held.append((row["item_id"], bytes(row["piece"])))
+        held.append((row["key"], bytes(row["piece"])))
         size += len(row["piece"])
         if len(held) == BLOCK_ITEMS or size > BLOCK_BYTES:
             yield Block(held, rate, recall)
@@ -375,17 +379,19 @@ def contaminated(
     """``(doc_id, item_id, start_word, end_word, edits, item_words)``: the best span of each found piece.
 
     Rows of clean documents give nothing. Null and empty texts match nothing;
-    items under ``LEAST_WORDS`` words are found where all their words are, without edits. Pieces with the same words
-    count under the smallest item id. Repeated document rows give repeated results.
+    items too short for one edit are found where all their words are. Items that share
+    a piece are all reported. Repeated document rows give repeated results.
     Other columns are not read. An empty benchmark gives an empty result.
     """
-    source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    schema = extended(source.drop("text").schema, "item_id long, start_word int, end_word int, edits int, item_words int")
+    source = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    schema = extended(source.drop("text").schema, "key long, start_word int, end_word int, edits int, item_words int")
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in blocks(benchmark, item_id, item_text, rate, recall):
+    pieces = item_pieces(benchmark, item_id, item_text)
+    for block in blocks(pieces, rate, recall):
         found = searched(source, docs.sparkSession.sparkContext.broadcast(block), schema)
         out = out.unionByName(found)
-    return out
+    members = pieces.select("key", "item_id").distinct()
+    return out.join(members, "key").select("doc_id", "item_id", "start_word", "end_word", "edits", "item_words")
 
 
 def searched(source: DataFrame, shared, schema) -> DataFrame:
@@ -409,7 +415,7 @@ def without_benchmark(
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, with their columns."""
     at = docs.columns.index(text)
-    for block in blocks(benchmark, item_id, item_text, rate, RECALL):
+    for block in blocks(item_pieces(benchmark, item_id, item_text), rate, RECALL):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def run(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -418,5 +424,5 @@ def without_benchmark(
                 clean = [not found for found in searched_texts(own, list(texts(batch.column(at))))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = through_arrow(docs, run, docs.schema)
     return docs

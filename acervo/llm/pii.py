@@ -13,6 +13,7 @@ capitals. Finds that fail their check, and all other text, stay.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,7 +49,8 @@ KNOWN_IBAN = "|".join(rf"(?:{codes.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n
 IBAN = rf"(?<!\w)(?=[A-Z]{{2}}\d{{2}})(?:(?:{KNOWN_IBAN})(?!\w)|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{1,4}}){{3,8}}(?!\w))"
 PATTERN = "|".join([EMAIL, PHONE, LOCAL_PHONE, IPV4, ISO_DATE, DAY_DATE, SSN, CARD, IBAN])
 
-FIRST_DAY, DAY_MODULI = "1900-01-01", (319, 229)  # 319 * 229 days are 1900 to 2099
+FIRST_DAY, DAYS = "1900-01-01", 73_049  # 1900 to 2099
+DAY_MODULI = (319, 229)  # 319 * 229 = DAYS + 2; the two numbers beyond the last day are walked over
 PHONE_MODULI = (800, 800, 10_000)  # area and exchange from 200 on, line
 SSN_MODULI = (898, 99, 9_999)  # areas 001 to 899 but for 666, groups and serials from 1 on
 
@@ -167,8 +169,15 @@ def ipv4(found: Column, key: str) -> Column:
 
 def moved_day(day: Column, key: str) -> Column:
     first = F.lit(FIRST_DAY).cast("date")
-    pair = let(F.date_diff(day, first), lambda n: F.array(F.floor(n / DAY_MODULI[1]).cast("int"), (n % DAY_MODULI[1]).cast("int")))
-    return let(permuted(pair, fixed(DAY_MODULI), key, "day"), lambda n: F.date_add(first, n[0] * DAY_MODULI[1] + n[1]))
+
+    def step(n: Column) -> Column:
+        pair = F.array(F.floor(n / DAY_MODULI[1]).cast("int"), (n % DAY_MODULI[1]).cast("int"))
+        return let(permuted(pair, fixed(DAY_MODULI), key, "day"), lambda p: p[0] * DAY_MODULI[1] + p[1])
+
+    # A cycle of the permutation can pass both numbers that are no day before it comes to one.
+    beyond = range(math.prod(DAY_MODULI) - DAYS)
+    walked = F.aggregate(F.array(*map(F.lit, beyond)), step(F.date_diff(day, first)), lambda n, _: F.when(n < DAYS, n).otherwise(step(n)))
+    return F.date_add(first, walked)
 
 
 def in_range(day: Column) -> Column:

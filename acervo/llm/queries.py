@@ -51,8 +51,7 @@ def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return byte_bpe.digests(byte_bpe.encode(documents, path=path, offsets=False), path=path)
+    return byte_bpe.digests(table(spark, sf_dir, "documents"), path=path)
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

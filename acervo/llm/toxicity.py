@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from acervo.llm.common import extended, remainder, texts, words
+from acervo.llm.common import extended, remainder, texts, through_arrow, words
 
 MAX_ROWS = 60_000  # labelled rows that a fit learns from, on average of the hash
 WORD_BITS, STEM_BITS = 20, 18  # sizes of the count tables: 2**20 and 2 x 2**18 entries
@@ -304,7 +304,11 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 
 def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, held_out, score, predicted)`` for every row of ``docs``."""
+    """``(doc_id, held_out, score, predicted)`` for every row of ``docs``.
+
+    A null or empty text holds no passage, so its score is the model's lowest. Repeated
+    rows get repeated results, other columns are not read, an empty table gives an empty result.
+    """
     model = fit(docs, labels, doc_id, text)
     scored = score(docs.select(doc_id, text), model, doc_id, text)
     return scored.select(
@@ -317,7 +321,11 @@ def judged(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below the threshold, with their columns; clean rows stay as they are."""
+    """The rows of ``docs`` that score below the threshold, with their columns; clean rows stay as they are.
+
+    A null or empty text holds no passage, so its score is the model's lowest. Repeated
+    rows go or stay together. Columns of any name and type are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, doc_id, text))
     at = docs.columns.index(text)
 
@@ -327,4 +335,4 @@ def without_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", te
             evidence = [passages(words(value), own.odds, own.law)[0] for value in texts(batch.column(at))]
             yield batch.filter(pa.array(own.curve(np.minimum(np.array(evidence), 200.0)) < THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return through_arrow(docs, run, docs.schema)

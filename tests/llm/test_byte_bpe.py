@@ -55,7 +55,17 @@ def test_memory_stays_bounded(monkeypatch):
     for start in range(0, 600, 100):
         texts = samples()[start : start + 100]
         assert [coder.decode(ids).decode() for ids in coder.encode_batch(texts)] == texts
-        assert len(coder.known) <= 50
+        assert len(coder.before.places) <= 50 + len({p for t in texts for p in t.split(" ")}) * 2
+
+
+def test_many_unknown_pieces_at_once(known):
+    """Unknown pieces that go through the library together, and those that cannot."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choices("abcdefgh'é1\n.", k=rnd.randrange(1, 9)))
+    texts = [" ".join(word() for _ in range(900)) for _ in range(20)] + [" x  y \n z " + word(), "\n" + word() + " ", " "]
+    coder = byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+    for text, ids in zip(texts, coder.encode_batch(texts)):
+        assert ids.tolist() == known.encode_ordinary(text)
 
 
 def test_rows_of_all_kinds(spark, known):
@@ -63,7 +73,7 @@ def test_rows_of_all_kinds(spark, known):
     docs = spark.createDataFrame(rows, "doc_id long, text string, decoded string")
     encoded = byte_bpe.encode(docs)
     assert encoded.columns == ["doc_id", "text", "decoded", "ids", "starts", "ends"]
-    got = sorted(map(str, map(tuple, byte_bpe.digests(encoded).collect())))
+    got = sorted(map(str, map(tuple, byte_bpe.digests(docs).collect())))
     wanted = []
     for i, t, _ in rows:
         ids = known.encode_ordinary(t or "")
@@ -81,4 +91,12 @@ def test_any_ids_decode(spark):
 
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
-    assert byte_bpe.digests(byte_bpe.encode(docs)).collect() == []
+    assert byte_bpe.digests(docs).collect() == [] and byte_bpe.encode(docs).collect() == [] and byte_bpe.round_trips(docs).collect() == []
+
+
+def test_round_trips_beside_columns_of_the_new_names(spark):
+    docs = spark.createDataFrame([(1, "a b", [9], 5, "x"), (2, None, None, None, None)], "doc_id long, text string, ids array<int>, N_TOKENS int, `a.b` string")
+    out = byte_bpe.round_trips(docs)
+    assert out.columns == [*docs.columns, "_ids", "_n_tokens", "round_trip"]
+    assert [tuple(r)[2:5] for r in out.orderBy("doc_id").collect()] == [([9], 5, "x"), (None, None, None)]
+    assert [r["round_trip"] for r in out.collect()] == [True, True]

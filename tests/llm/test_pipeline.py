@@ -99,12 +99,15 @@ def test_tables_without_rows(spark, tmp_path):
 
 def test_extra_columns_pass_through(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    names = {"fp": "fp", "_k1": "_k1", "toxicity": "toxicity"}
-    for name, value in names.items():
-        docs = docs.withColumn(name, F.lit(value))
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    for name in ("fp", "_k1", "toxicity", "n_tokens", "ids", "round_trip", "a.b"):
+        docs = docs.withColumn(name, F.lit(name))
+    docs = docs.withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, sf_dir)
-        assert out.columns == docs.columns and out.filter("fp = 'fp' and _k1 = '_k1'").count() == out.count()
+        assert out.columns[: len(docs.columns)] == docs.columns
+        assert out.filter("fp = 'fp' and _k1 = '_k1' and ids = 'ids' and n_tokens = 'n_tokens' and `a.b` = 'a.b'").count() == out.count() > 0
+        assert name == "tokens" or len(out.columns) == len(docs.columns)
+    out.write.parquet(sf_dir + "/passed-through")
 
 
 def test_only_the_package_itself_uses_llm():
