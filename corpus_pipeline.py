@@ -2,12 +2,14 @@
 
 Every stage reads the stored result of its predecessor and returns the columns
 of documents; the last adds the token ids, how many they are, and whether
-decoding them gives the text again.
+decoding them gives the text again. All stages pass further columns on, whatever
+their names and types, keep repeated rows but for near duplicates, take texts of any
+length and keep an empty table empty.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from acervo.llm import byte_bpe, decontaminate, pii, simhash, toxicity
 from acervo.llm.common import stored
@@ -16,31 +18,31 @@ PII_KEY = "public test key"
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the segment model rejects go."""
+    """Documents that the segment model rejects go. Null and empty texts hold no passage and stay, repeated rows go or stay together."""
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints are linked the one with the smallest id stays."""
+    """Of documents whose fingerprints are linked the one with the smallest id stays.
+
+    Null, empty and blank texts have fingerprint zero and leave one row. A null id counts as the largest.
+    """
     return simhash.keep_one(docs, shingle=3, distance=3)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark passage go."""
+    """Documents that hold a benchmark passage go. Null and empty texts hold none and stay."""
     return decontaminate.without_benchmark(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to pseudonyms of their format."""
+    """Personal data give way to pseudonyms of their format. Null and empty texts stay as they are."""
     return pii.pseudonymise(docs, PII_KEY)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, checked by decoding."""
-    encoded = byte_bpe.encode(docs, offsets=False)
-    decoded = byte_bpe.decode(encoded)
-    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    return decoded.select(*encoded.columns, F.size("ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+    """Token ids of every text, checked by decoding. Columns of the new names stay; the new ones get underscores."""
+    return byte_bpe.round_trips(docs)
 
 
 STAGES = [
