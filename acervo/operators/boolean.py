@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from acervo.operators.index import Index, doc_block, term_bucket
+from acervo.operators.index import Index, term_bucket
 
 
 def term_docs(index: Index, word: str) -> DataFrame:
@@ -35,6 +35,6 @@ def fetch_documents(index: Index, ids: DataFrame, *columns: str) -> DataFrame:
     The block of an id is known, so with an ``ids`` that is broadcast the scan
     is pruned to the blocks it names.
     """
-    wanted = ids.withColumn("doc_block", doc_block(F.col("doc_id"), index.docs_per_block))
+    wanted = ids.withColumn("doc_block", index.block_of(F.col("doc_id")))
     documents = index.documents.select("doc_id", "doc_block", *columns)
     return documents.join(wanted, ["doc_block", "doc_id"]).drop("doc_block")

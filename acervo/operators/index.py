@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,7 +21,8 @@ class Index:
     ``postings(term, doc_id, tf)`` and ``vocabulary(term, df, cf)``.
 
     ``term_buckets`` is set when the postings come from a saved index and
-    carry the partition column ``term_bucket``.
+    carry the partition column ``term_bucket``; ``bounds`` are then the smallest ids
+    of its blocks, rising. Without them a block is a run of ``docs_per_block`` ids.
     """
 
     documents: DataFrame
@@ -28,6 +30,12 @@ class Index:
     vocabulary: DataFrame
     docs_per_block: int = DOCS_PER_BLOCK
     term_buckets: int | None = None
+    bounds: tuple[int, ...] | None = None
+
+    def block_of(self, doc_id: Column) -> Column:
+        if self.bounds is None:
+            return doc_block(doc_id, self.docs_per_block)
+        return block_between(doc_id, self.bounds)
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -38,6 +46,34 @@ def doc_block(doc_id: Column, docs_per_block: int = DOCS_PER_BLOCK) -> Column:
     return F.call_function("div", doc_id, F.lit(docs_per_block).cast("long"))
 
 
+def block_between(doc_id: Column, bounds: Sequence[int]) -> Column:
+    """The number of the block whose ids begin at the last of ``bounds`` that is not above the id.
+
+    The bounds are searched in two steps, by every so many and then within these,
+    so an id is compared with about twice their square root.
+    """
+    width = max(1, math.isqrt(len(bounds)))
+    rows = [list(bounds[i : i + width]) for i in range(0, len(bounds), width)] or [[]]
+    numbers = lambda values: "array(" + ", ".join(f"{v}L" for v in values) + ")"
+    heads, table = F.expr(numbers(r[0] for r in rows if r)), F.expr("array(" + ", ".join(map(numbers, rows)) + ")")
+    below = lambda values: F.size(F.filter(values, lambda b: b <= doc_id))
+    # Ids before the first bound count to the first block.
+    row = F.greatest(below(heads) - 1, F.lit(0))
+    place = F.greatest(below(F.get(table, row)) - 1, F.lit(0))
+    return (row * width + place).cast("long")
+
+
+def block_bounds(ids: DataFrame, docs_per_block: int) -> tuple[int, ...]:
+    """The smallest id of every block of ``docs_per_block`` documents, from ``ids(doc_id)``.
+
+    Blocks hold equally many documents however far apart the ids are. Only ids are
+    sorted, and one in ``docs_per_block`` of them reaches the driver.
+    """
+    ranked = with_dense_ids(ids.select("doc_id"), "doc_id", name="place")
+    first = ranked.filter(F.col("place") % docs_per_block == 0).select("doc_id").orderBy("doc_id")
+    return tuple(row["doc_id"] for row in first.collect())
+
+
 def with_dense_ids(rows: DataFrame, *order: str, name: str = "doc_id") -> DataFrame:
     """Number rows 0, 1, 2, ... in the given order.
 

@@ -2,26 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from acervo.functions.references import decoded
 from acervo.functions.urls import document_type, storage_key
 
 # What is cut away before tags are looked for, an anchor's start
 # tag, and the three ways its href may be quoted.
-NOT_MARKUP = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# A comment, script or style that is never closed reaches to the page's end, so the
+# lazy scan never fails and a page is read once, however many are opened.
+NOT_MARKUP = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*+>|\z)|<style\b.*?(?:</style\s*+>|\z)"
 # All repeats of the tag are possessive, so that they run as loops: a tag of any
-# length, closed or not, neither recurses nor is tried twice.
-ANCHOR_TAG = r"""(?i)<a(?:\s++[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+|[\s/])*+>"""
+# length, closed or not, neither recurses nor is tried twice. A bare "<" ends it, so
+# tags that are never closed are not read again from each of them.
+ANCHOR_TAG = r"""(?i)<a(?:\s++[^\s"'>/=<]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'><]++))?+|[\s/])*+>"""
 HREF_VALUE = r"""(?i)\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 FILE_SUFFIX = r"\.pdf"
-# Character references in attribute values; the ampersand comes last, so that nothing is decoded twice.
-REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#34;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&#38;", "&"), ("&amp;", "&"))
 STATUS_OK = 200
 STATUS_THROTTLED = 429
 
 
 def hrefs(html: Column) -> Column:
-    """Distinct href values of the anchors of a page, with the usual character references decoded."""
+    """Distinct href values of the anchors of a page, with their character references decoded."""
     markup = F.regexp_replace(html, NOT_MARKUP, "")
     anchors = F.regexp_extract_all(markup, F.lit(ANCHOR_TAG), F.lit(0))
     with_href = F.filter(anchors, lambda a: a.rlike(HREF_VALUE))
@@ -33,13 +35,6 @@ def hrefs(html: Column) -> Column:
     )
 
 
-def decoded(value: Column) -> Column:
-    """An attribute value with its character references replaced."""
-    for reference, character in REFERENCES:
-        value = F.replace(value, F.lit(reference), F.lit(character))
-    return value
-
-
 def is_site_link(href: Column, base: str | Column) -> Column:
     """Plain string prefix, so a longer host name passes too."""
     return href.startswith(base)
@@ -80,12 +75,14 @@ def latest_per_storage_key(pages: DataFrame, seq: str = "seq") -> DataFrame:
 
     Only keys, sequence numbers and URLs are aggregated; the page texts then move
     once, hashed by sequence number, URL and key together, so a key with a third
-    of all pages is neither sorted nor gathered anywhere.
+    of all pages is neither sorted nor gathered anywhere. Pages without a URL or a
+    sequence number have a key of their own kind and are compared like any other.
     """
     keyed = pages.withColumn("key", storage_key(F.col("url")))
     best = keyed.groupBy("key").agg(F.max(F.struct(seq, "url")).alias("best"))
-    winners = best.select("key", F.col(f"best.{seq}").alias(seq), F.col("best.url").alias("url"))
-    return keyed.join(winners, [seq, "url", "key"])
+    winners = best.select(F.col("key").alias("_key"), F.col(f"best.{seq}").alias("_seq"), F.col("best.url").alias("_url"))
+    same = F.col(seq).eqNullSafe(F.col("_seq")) & F.col("url").eqNullSafe(F.col("_url")) & F.col("key").eqNullSafe(F.col("_key"))
+    return keyed.join(winners, same).drop("_key", "_seq", "_url")
 
 
 def fetched_pages(fetch_log: DataFrame) -> DataFrame:
@@ -119,3 +116,21 @@ def unvisited(urls: DataFrame, visited: DataFrame, url: str = "url") -> DataFram
     """Each URL once, without those already visited."""
     return urls.select(url).distinct().join(visited.select(url), url, "left_anti")
 
+
+
+def attempt_outcomes(fetch_log: DataFrame, max_attempts: int) -> DataFrame:
+    """Per URL what its first ``max_attempts`` fetches come to: ``(url, attempts, status_code, fetched)``.
+
+    ``attempts`` counts up to the first success, or all that are allowed;
+    ``status_code`` is the status of the last of them. Of a URL with very many
+    attempts each task passes on only the first few.
+    """
+    order = Window.partitionBy("url").orderBy("seq")
+    first = fetch_log.select("url", "seq", "status_code").withColumn("attempt", F.row_number().over(order))
+    first = first.filter(F.col("attempt") <= max_attempts)
+    success = F.min(F.when(F.col("status_code") == STATUS_OK, F.col("attempt")))
+    return first.groupBy("url").agg(
+        F.coalesce(success, F.max("attempt")).alias("attempts"),
+        F.when(success.isNotNull(), F.lit(STATUS_OK)).otherwise(F.max_by("status_code", "attempt")).alias("status_code"),
+        success.isNotNull().alias("fetched"),
+    )

@@ -82,9 +82,10 @@ def index_pages(
     **container,
 ) -> Index:
     """Index of raw pages, stored below ``path`` when one is given."""
+    numbered_here = "doc_id" not in raw.columns
+    raw = number_pages(raw)
     documents = page_documents(raw, stop, docs_per_block, **container)
     if path is None:
         return index_from_documents(documents, docs_per_block)
-    numbered_here = "doc_id" not in raw.columns
-    save_index(documents, path, term_buckets, doc_splits, docs_per_block, in_id_order=numbered_here)
+    save_index(documents, path, term_buckets, doc_splits, docs_per_block, in_id_order=numbered_here, ids=raw.select("doc_id"))
     return load_index(raw.sparkSession, path)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from acervo.operators import query_table as qt
 from acervo.operators import rank as rk
 from acervo.operators.boolean import fetch_documents
-from acervo.operators.index import Index, doc_block
+from acervo.operators.index import Index
 from acervo.schemas import QUERIES
 from acervo.session import (
     MAX_BROADCAST_BYTES,
@@ -206,7 +206,7 @@ def untouched_documents(index: Index, batch: Batch, expansion: DataFrame, n: int
         .withColumn("place", F.row_number().over(Window.orderBy("doc_block")) - 1)
     )
     touched = touched_documents(index, batch, expansion)
-    block_of = doc_block(F.col("doc_id"), index.docs_per_block)
+    block_of = index.block_of(F.col("doc_id"))
     used = cut_lineage(
         touched.groupBy("query_id", block_of.alias("doc_block"))
         .agg(F.count(F.lit(1)).alias("n_used"))

@@ -10,6 +10,14 @@ RAW_PAGES = T.StructType(
     ]
 )
 
+STORED_PAGES = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        *RAW_PAGES.fields,
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
 FETCH_LOG = T.StructType(
     [
         T.StructField("seq", T.LongType()),
@@ -65,11 +73,4 @@ VOCABULARY = T.StructType(
     ]
 )
 
-INDEX_STATS = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("n_docs", T.LongType()),
-        T.StructField("term_buckets", T.LongType()),
-        T.StructField("docs_per_block", T.LongType()),
-    ]
-)
+INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, bounds array<long>"

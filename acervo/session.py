@@ -52,15 +52,3 @@ def is_small(stored: DataFrame) -> bool:
     """Whether a stored table is below both broadcast bounds."""
     rows, size = measured(stored)
     return rows <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
-
-
-def spread_small_scan(scan: DataFrame) -> DataFrame:
-    """Spread a scan with fewer tasks than cores over all cores.
-
-    Such an input is at most one split per core, so the exchange is small; a
-    large scan has more tasks than that and is left where it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores)
-    return scan

@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from acervo.operators.index import (
     DOCS_PER_BLOCK,
     Index,
-    doc_block,
+    block_between,
+    block_bounds,
     document_terms,
     term_bucket,
     vocabulary,
 )
-from acervo.schemas import DOCUMENTS, INDEX_STATS, POSTINGS, VOCABULARY
+from acervo.schemas import DOCUMENTS, INDEX_MANIFEST, POSTINGS, VOCABULARY
+from acervo.sources import manifest
 
 TERM_BUCKETS = 64
 DOC_SPLITS = 16
@@ -25,8 +27,17 @@ def save_index(
     doc_splits: int = DOC_SPLITS,
     docs_per_block: int = DOCS_PER_BLOCK,
     in_id_order: bool = False,
+    ids: DataFrame | None = None,
 ) -> None:
-    """Write documents, postings, vocabulary and statistics below ``path``.
+    """Write a new version of the index at ``path``, which counts once all of it is there.
+
+    A save goes to a folder of its own. The last write publishes the folder, the
+    statistics and the catalogue of id blocks in one row, so readers keep the old index
+    until then and a failed save leaves it as it was.
+
+    Blocks hold ``docs_per_block`` documents each by rising id, however far apart the ids
+    are. Their bounds come from ``ids(doc_id)``, or from the documents themselves if no
+    cheaper source of their ids is given.
 
     Each table is derived from the one written before it, so the pages are
     read and cleaned once. Every table is moved once at most:
@@ -40,7 +51,10 @@ def save_index(
     * terms to the vocabulary, counted per task first.
     """
     spark = documents.sparkSession
-    block = doc_block(F.col("doc_id"), docs_per_block)
+    before = manifest.latest(spark, path)
+    folder = manifest.new_folder(path)
+    bounds = block_bounds(documents if ids is None else ids, docs_per_block)
+    block = block_between(F.col("doc_id"), bounds)
     if not in_id_order:
         documents = documents.repartition(
             block, F.pmod(F.col("doc_id"), F.lit(doc_splits).cast("long"))
@@ -48,53 +62,62 @@ def save_index(
     (
         documents.withColumn("doc_block", block)
         .sortWithinPartitions("doc_block", "doc_id")
-        .write.mode("overwrite")
-        .partitionBy("doc_block")
-        .parquet(f"{path}/documents")
+        .write.partitionBy("doc_block")
+        .parquet(f"{folder}/documents")
     )
-    stored = _read(spark, path, "documents", DOCUMENTS)
+    stored = _read(spark, folder, "documents", DOCUMENTS)
     bucket = term_bucket(F.col("term"), term_buckets)
     (
         document_terms(stored)
         .repartition(bucket, block)
         .withColumn("term_bucket", bucket)
         .sortWithinPartitions("term_bucket", "term", "doc_id")
-        .write.mode("overwrite")
-        .partitionBy("term_bucket")
-        .parquet(f"{path}/postings")
-    )
-    terms = vocabulary(_read(spark, path, "postings", POSTINGS))
-    terms.write.mode("overwrite").parquet(f"{path}/vocabulary")
-    n_words = F.lit(_read(spark, path, "vocabulary", VOCABULARY).count()).cast("long")
-    n_docs = F.lit(stored.count()).cast("long")
-    (
-        spark.range(1)
-        .select(
-            n_words.alias("n_words"),
-            n_docs.alias("n_docs"),
-            F.lit(term_buckets).cast("long").alias("term_buckets"),
-            F.lit(docs_per_block).cast("long").alias("docs_per_block"),
-        )
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{path}/stats")
+        .write.partitionBy("term_bucket")
+        .parquet(f"{folder}/postings")
     )
+    terms = vocabulary(_read(spark, folder, "postings", POSTINGS))
+    terms.write.parquet(f"{folder}/vocabulary")
+    row = {
+        "folder": folder,
+        "n_words": _read(spark, folder, "vocabulary", VOCABULARY).count(),
+        "n_docs": stored.count(),
+        "term_buckets": term_buckets,
+        "docs_per_block": docs_per_block,
+        "bounds": list(bounds),
+    }
+    manifest.publish(spark, path, [row], INDEX_MANIFEST, before)
 
 
 def load_index(spark: SparkSession, path: str) -> Index:
-    stats = load_stats(spark, path).first()
+    """The newest index at ``path`` that was saved as a whole."""
+    rows = manifest.latest(spark, path)
+    if not rows:
+        raise FileNotFoundError(f"no index has been saved at {path}")
+    saved = rows[0]
     return Index(
-        documents=_read(spark, path, "documents", DOCUMENTS),
-        postings=_read(spark, path, "postings", POSTINGS),
-        vocabulary=_read(spark, path, "vocabulary", VOCABULARY),
-        docs_per_block=stats["docs_per_block"],
-        term_buckets=stats["term_buckets"],
+        documents=_read(spark, saved["folder"], "documents", DOCUMENTS),
+        postings=_read(spark, saved["folder"], "postings", POSTINGS),
+        vocabulary=_read(spark, saved["folder"], "vocabulary", VOCABULARY),
+        docs_per_block=saved["docs_per_block"],
+        term_buckets=saved["term_buckets"],
+        bounds=tuple(saved["bounds"]),
     )
 
 
 def load_stats(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, "stats", INDEX_STATS)
+    """One row with the newest index's number of words and documents and its layout."""
+    saved = manifest.versions(spark, path)
+    newest = saved.agg(F.max("version").alias("version"))
+    return saved.join(F.broadcast(newest), "version").select("n_words", "n_docs", "term_buckets", "docs_per_block")
+
+
+def block_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_block, first_id, last_id, n_docs)`` of the newest index."""
+    documents = load_index(spark, path).documents
+    return documents.groupBy("doc_block").agg(
+        F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count(F.lit(1)).alias("n_docs")
+    )
 
 
-def _read(spark: SparkSession, path: str, table: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{path}/{table}")
+def _read(spark: SparkSession, folder: str, table: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/{table}")

@@ -9,7 +9,19 @@ from acervo.operators.index import Index, build_documents, index_from_documents
 from acervo.operators.links import hrefs
 from acervo.sources.index_store import load_index, save_index
 from acervo.sources.pages import read_page_table
-from acervo.session import scratch_path, spread_small_scan
+from acervo.session import scratch_path
+
+
+def spread_small_scan(scan: DataFrame) -> DataFrame:
+    """Spread a scan with fewer tasks than cores over all cores.
+
+    Such an input is at most one split per core, so the exchange is small; a
+    large scan has more tasks than that and is left where it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() < cores:
+        return scan.repartition(cores)
+    return scan
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +100,16 @@ def site_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(there.unionByName(back).distinct(), "links")
 
 
+def link_log(edges: DataFrame) -> DataFrame:
+    """Up to four fetches of every URL of the edges, with statuses drawn from hashes; some URLs have none."""
+    urls = edges.select(F.col("src").alias("url")).distinct()
+    fetches = urls.select("url", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("k"))
+    drawn = F.substring(F.md5(F.concat("url", F.lit("#"), F.col("k").cast("string"))), 1, 1)
+    status = F.when(drawn < "7", 200).when(drawn < "b", 429).otherwise(404)
+    logged = fetches.select(F.col("k").cast("long").alias("seq"), "url", status.alias("status_code"), drawn.alias("drawn"))
+    return logged.filter("drawn <> 'f'").drop("drawn")
+
+
 def query_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One query per conversation turn, made of its whole text.
 

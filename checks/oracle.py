@@ -233,10 +233,13 @@ ORACLES: dict[str, str] = {
     ),
     "index_round_trip": _with(
         ", dfs AS (SELECT term, count(*) AS df FROM terms GROUP BY term)"
-        " SELECT t.term, t.doc_id, t.tf, n.norm, d.url, f.df FROM terms t"
+        " SELECT t.term, t.doc_id, t.tf, n.norm, n.norm AS document_norm, d.url, f.df FROM terms t"
         " JOIN norms n ON n.doc_id = t.doc_id JOIN texts d ON d.doc_id = t.doc_id"
         " JOIN dfs f ON f.term = t.term"
     ),
+    "index_blocks": "WITH placed AS (SELECT doc_id * 1000003 AS id, (row_number() OVER (ORDER BY doc_id) - 1) // 300 AS b FROM documents)"
+    " SELECT CAST(b AS BIGINT) AS doc_block, min(id) AS first_id, max(id) AS last_id, count(*) AS n_docs FROM placed GROUP BY b",
+    "query_file": f"WITH {LINES} SELECT CAST(row_number() OVER (ORDER BY query_id) - 1 AS BIGINT) AS query_id, line FROM lines",
     "term_lookup": _matching(_has("tion")),
     "bool_and": _matching(f"{_has('tion')} AND {_has('ing')}"),
     "bool_or": _matching(f"{_has('tion')} OR {_has('mente')}"),
@@ -291,6 +294,37 @@ ORACLES: dict[str, str] = {
     " keyed AS (SELECT *, regexp_replace(string_split(url, '?')[1], '^https://', '') AS key FROM twice)"
     " SELECT url, md5(html) AS text_md5, 'html' AS type FROM keyed"
     " QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC) = 1",
+    "page_upsert": "WITH crawls AS (SELECT page_id AS seq, url, html FROM pages"
+    " UNION ALL SELECT CASE WHEN page_id % 5 = 0 THEN page_id + 1000000000 ELSE -page_id - 1 END,"
+    " CASE WHEN page_id % 5 = 1 THEN url || '/more' ELSE url END, html || 'second' FROM pages),"
+    " keyed AS (SELECT *, regexp_replace(string_split(url, '?')[1], '^https://', '') AS key FROM crawls)"
+    " SELECT url, md5(html) AS text_md5, CASE WHEN ends_with(url, '.pdf') THEN 'pdf' ELSE 'html' END AS type FROM keyed"
+    " QUALIFY row_number() OVER (PARTITION BY key ORDER BY seq DESC, url DESC) = 1",
+    "page_files": "SELECT CASE WHEN page_id % 10 <> 3 THEN url END AS url,"
+    " CASE WHEN page_id % 10 NOT IN (3, 7) THEN md5(html) END AS text_md5,"
+    " CASE WHEN page_id % 10 <> 3 THEN CASE WHEN ends_with(url, '.pdf') THEN 'pdf' ELSE 'html' END END AS type,"
+    " CASE page_id % 10 WHEN 3 THEN 'malformed JSON' WHEN 7 THEN 'missing text' END AS reason FROM pages",
+    "frontier_fetched": f"""WITH RECURSIVE {EDGES},
+fetches AS (
+  SELECT url, k, substring(md5(url || '#' || k), 1, 1) AS drawn
+  FROM (SELECT DISTINCT src AS url FROM edges), range(1, 5) t(k)),
+logged AS (
+  SELECT url, row_number() OVER (PARTITION BY url ORDER BY k) AS attempt,
+    CASE WHEN drawn < '7' THEN 200 WHEN drawn < 'b' THEN 429 ELSE 404 END AS status
+  FROM fetches WHERE drawn <> 'f'),
+tried AS (
+  SELECT url, coalesce(min(attempt) FILTER (status = 200), max(attempt)) AS attempts,
+    coalesce(min(status) FILTER (status = 200), arg_max(status, attempt)) AS status_code, bool_or(status = 200) AS fetched
+  FROM logged WHERE attempt <= 3 GROUP BY url),
+reached AS (
+  SELECT src AS url, 0 AS depth FROM edges WHERE starts_with(src, 'http')
+  UNION
+  SELECT e.dst, r.depth + CAST(t.attempts AS INTEGER) FROM reached r JOIN tried t ON t.url = r.url AND t.fetched
+  JOIN edges e ON e.src = r.url WHERE r.depth < 40),
+least_depth AS (SELECT url, min(depth) AS depth FROM reached GROUP BY url)
+SELECT l.url, l.depth, CAST(coalesce(t.attempts, 0) AS INTEGER) AS attempts, CAST(t.status_code AS INTEGER) AS status_code,
+  coalesce(t.fetched, false) AS fetched
+FROM least_depth l LEFT JOIN tried t ON t.url = l.url""",
     "fetch_outcome": f"WITH {FETCHES}, latest AS (SELECT url, arg_max(status_code, seq) AS status_code,"
     " bool_or(status_code = 429) AS was_throttled FROM fetches GROUP BY url)"
     " SELECT url, status_code, status_code <> 200 AS retry, status_code = 429 AS throttled, was_throttled FROM latest",

@@ -19,10 +19,12 @@ from acervo.operators import links as lk
 from acervo.operators import query_table as qt
 from acervo.operators import rank as rk
 from acervo.plans import build, search
-from acervo.plans.crawl import expand_frontier
+from acervo.plans.crawl import expand_fetched, expand_frontier
 from acervo.schemas import QUERIES as QUERY_SCHEMA
 from acervo.session import scratch_path
-from acervo.sources.pages import read_pages_back, write_pages
+from acervo.sources.index_store import block_catalogue, save_index
+from acervo.sources.pages import read_pages_back, scan_page_files, write_pages
+from acervo.sources.query_files import read_query_file
 from checks import corpus
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,13 +139,23 @@ def corpus_stats(spark, sf_dir):
 @query
 def index_round_trip(spark, sf_dir):
     loaded = corpus.stored_index(spark, sf_dir)
+    documents = loaded.documents.select("doc_id", F.col("norm").alias("document_norm"), "url")
     return (
-        loaded.postings.join(loaded.documents.select("doc_id", "norm", "url"), "doc_id")
+        loaded.postings.join(documents, "doc_id")
         .join(loaded.vocabulary.select("term", "df"), "term")
-        .select("term", "doc_id", "tf", "norm", "url", "df")
+        .select("term", "doc_id", "tf", "norm", "document_norm", "url", "df")
     )
 
 
+@query
+def index_blocks(spark, sf_dir):
+    """The catalogue of an index whose ids lie far apart."""
+    documents = corpus.documents(spark, sf_dir).withColumn("doc_id", F.col("doc_id") * 1_000_003)
+    path = scratch_path(spark, "index")
+    save_index(documents, path, 4, 4, 300, ids=documents.select("doc_id"))
+    return block_catalogue(spark, path)
+
+
 # -- boolean ----------------------------------------------------------------------
 @query
 def term_lookup(spark, sf_dir):
@@ -220,6 +232,14 @@ def query_rejects(spark, sf_dir):
     return search.rejected_queries(corpus.query_lines(spark, sf_dir))
 
 
+@query
+def query_file(spark, sf_dir):
+    """Query lines stored as text files and read back, numbered in file and line order."""
+    path = scratch_path(spark, "query-lines")
+    corpus.query_lines(spark, sf_dir).orderBy("query_id").select("line").write.text(path)
+    return read_query_file(spark, path)
+
+
 # -- scores and searches ----------------------------------------------------------
 def _matches(spark, sf_dir):
     index = corpus.stored_index(spark, sf_dir)
@@ -330,6 +350,39 @@ def page_dedup(spark, sf_dir):
     return read_pages_back(spark, path).select("url", F.md5("text").alias("text_md5"), "type")
 
 
+@query
+def page_upsert(spark, sf_dir):
+    """A second crawl that brings new texts for some pages, an older one for others, and further pages."""
+    pages = corpus.pages(spark, sf_dir)
+    path = scratch_path(spark, "pages")
+    write_pages(pages, path, seq="doc_id", buckets=32)
+    kind = F.col("doc_id") % 5
+    write_pages(
+        pages.select(
+            F.when(kind == 0, F.col("doc_id") + 1_000_000_000).otherwise(-F.col("doc_id") - 1).alias("doc_id"),
+            F.when(kind == 1, F.concat("url", F.lit("/more"))).otherwise(F.col("url")).alias("url"),
+            F.concat("text", F.lit("second")).alias("text"),
+            "type",
+        ),
+        path,
+        seq="doc_id",
+    )
+    return read_pages_back(spark, path).select("url", F.md5("text").alias("text_md5"), "type")
+
+
+@query
+def page_files(spark, sf_dir):
+    """JSON files of all pages, some cut off and some without a field: pages and rejects."""
+    pages = corpus.pages(spark, sf_dir)
+    kind = F.col("doc_id") % 10
+    whole = F.to_json(F.struct("url", F.when(kind != 7, F.col("text")).alias("text"), "type"))
+    line = F.when(kind == 3, F.substring(whole, 1, 20)).otherwise(whole)
+    path = scratch_path(spark, "page-files")
+    pages.select(line.alias("value")).write.option("maxRecordsPerFile", "1").text(path)
+    found = scan_page_files(spark, path, "*.txt")
+    return found.select("url", F.md5("text").alias("text_md5"), "type", "reason")
+
+
 @query
 def fetch_outcome(spark, sf_dir):
     return lk.fetch_outcome(corpus.fetch_log(spark, sf_dir))
@@ -361,6 +414,14 @@ def frontier_bfs(spark, sf_dir):
     return expand_frontier(edges, seed, CRAWL_CAP)
 
 
+@query
+def frontier_fetched(spark, sf_dir):
+    """Expansion that follows only pages whose fetch came through, after up to three attempts."""
+    edges = corpus.site_edges(spark, sf_dir)
+    seed = edges.filter(F.col("src").startswith("http")).select(F.col("src").alias("url"))
+    return expand_fetched(edges, corpus.link_log(edges), seed, 10**9, max_attempts=3)
+
+
 # -- titles and page bodies -------------------------------------------------------
 @query
 def title_html(spark, sf_dir):

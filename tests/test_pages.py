@@ -11,7 +11,7 @@ from acervo.operators.index import corpus_stats
 from acervo.operators.links import hrefs
 from acervo.plans import crawl as crawl_module
 from acervo.plans.build import complete_pages, extract_pages, index_pages, rejected_pages
-from acervo.plans.crawl import expand_frontier, seed_urls
+from acervo.plans.crawl import expand_fetched, expand_frontier, seed_urls
 from acervo.plans.search import InvalidQuery, match_one, search_batch, search_one
 from acervo.sources.index_store import load_index, load_stats
 from acervo.sources.pages import read_page_files, read_pages_back, write_pages
@@ -120,7 +120,7 @@ def test_page_sink_keeps_the_later_page(spark, tmp_path):
     for file_format in ("parquet", "json"):
         path = str(tmp_path / file_format)
         write_pages(pages, path, file_format=file_format)
-        kept = read_pages_back(spark, path, file_format)
+        kept = read_pages_back(spark, path)
         assert sorted(r["text"] for r in kept.collect()) == ["new", "other"]
 
 
