@@ -15,7 +15,9 @@ The search follows adaptive prefix filtering with several matches:
 Equal sets are one node throughout, so copies are never paired. Most texts need
 no order at all: where a fixed slice of the hash space already holds
 ``n - o + 1`` shingles of a set that no other set has, these are its prefix, and
-it has no partner. Only the other sets are counted in full.
+it has no partner. The next slices are counted for the other sets only, and each
+slice leaves fewer. A shingle lies in one slice, so its count there is the same for
+all sets that still matter and serves for the global order.
 
 Prefix shingles with the same smallest member form one meeting place, so two
 copies that share a hundred shingles meet once. Members of a place are compared
@@ -38,7 +40,8 @@ from acervo.session import is_small
 
 SHINGLE = 3
 PERCENT = 90
-SLICE = 6  # the first slice is one in so many values of the hash
+SLICE = 6  # the first slice is one in so many values of the hash; the others part the rest at the half
+EDGE = (1 << 64) // SLICE  # hashes are stored as signed numbers, so those from the half on are negative
 EXTRA = (1, 2, 3, 4, 6, 8, 12, 16)  # numbers of matches that a text may ask for
 CHECK_COST = 1 / 8  # of a comparison of whole sets for each of their shingles, against one meeting
 MOST_SENT = 1 << 22  # counts of shingles that are sent to every task: 64 MB
@@ -62,7 +65,7 @@ def least_overlap(n: Column, percent: int) -> Column:
 
 def sketched(docs: DataFrame, shingle: int) -> DataFrame:
     """``docs(doc_id, t1, t2, text)`` with its set's name, its size and the shingles of the first slice."""
-    edge = np.uint64((1 << 64) // SLICE)
+    edge = np.uint64(EDGE)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
@@ -131,26 +134,40 @@ def with_counts(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", "own").mapInArrow(run, "node long, n long, size long, df array<long>, token array<long>")
 
 
-def with_chance(nodes: DataFrame, percent: int) -> DataFrame:
-    """``(node)`` where the first slice does not show a prefix free of shared shingles."""
-    counted = with_counts(nodes.select("node", "n", F.col("low").alias("own")))
+def with_chance(counted: DataFrame, percent: int) -> DataFrame:
+    """Rows of ``counted(node, n, size, df, token)`` whose counted shingles do not show a prefix free of shared ones."""
     alone = F.col("size") - F.size("df")
-    return counted.filter(alone < F.col("n") - least_overlap(F.col("n"), percent) + 1).select("node")
+    return counted.filter(alone < F.col("n") - least_overlap(F.col("n"), percent) + 1)
 
 
-def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """``(node, n, matches, prefix)``: the shared shingles of each adaptive prefix; nodes without any are left out."""
-    arrays = with_counts(sets).select("node", "n", "df", "token")
+def counted_further(before: DataFrame, sets: DataFrame, part: str, percent: int) -> DataFrame:
+    """``before`` with the counts of the shingles of ``sets`` that are in one more slice; only nodes with a chance stay."""
+    left = sets.join(before.select("node"), "node", "left_semi")
+    more = with_counts(left.select("node", "n", F.expr(f"filter(own, t -> {part})").alias("own"))).drop("n")
+    more = more.toDF("node", "more", "more_df", "more_token")
+    both = before.join(more, "node").select(
+        "node", "n", (F.col("size") + F.col("more")).alias("size"), F.concat("df", "more_df").alias("df"), F.concat("token", "more_token").alias("token")
+    )
+    return stored(with_chance(both, percent), "ngram-counted")
+
+
+def prefixes(first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``(node, n, matches, prefix)``: the shared shingles of each adaptive prefix.
+
+    ``first`` has the counts of the first slice; nodes that turn out to have no partner are left out.
+    """
+    counted = counted_further(first, sets, f"t >= {EDGE}L", percent)
+    counted = counted_further(counted, sets, "t < 0", percent)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             out: list[tuple] = []
             ids, sizes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for node, n, df, token in zip(ids, sizes, lists_of(batch.column(2)), lists_of(batch.column(3))):
+                order = np.lexsort((token, df))
+                df, token = df[order], token[order]
                 length = n + (-percent * n // 100) + 1  # for one match; shingles of one set alone come first
                 alone = n - len(df)
-                if alone >= length:
-                    continue
                 matches = adaptive_matches(df, alone, length, n)
                 out.append((node, n, matches, token[: length + matches - 1 - alone]))
             if out:
@@ -158,7 +175,7 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 more = [pa.array(x, pa.int64()) for x in (node, n, matches)]
                 yield pa.RecordBatch.from_arrays([*more, pa.array(prefix, pa.list_(pa.int64()))], ["node", "n", "matches", "prefix"])
 
-    return arrays.mapInArrow(run, "node long, n long, matches long, prefix array<long>")
+    return counted.select("node", "n", "df", "token").mapInArrow(run, "node long, n long, matches long, prefix array<long>")
 
 
 def adaptive_matches(df: np.ndarray, alone: int, length: int, n: int) -> int:
@@ -233,9 +250,9 @@ def in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
     return placed.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other")).drop("_blocks", "_own", "_other")
 
 
-def similar_links(sets: DataFrame, percent: int) -> DataFrame:
+def similar_links(first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` that connect the similar nodes of ``sets(node, n, own)``."""
-    chosen = stored(prefixes(sets, percent), "ngram-prefixes")
+    chosen = stored(prefixes(first, sets, percent), "ngram-prefixes")
     tokens = chosen.select("node", F.explode("prefix").alias("token"))
     places = tokens.groupBy("token").agg(F.min("node").alias("place"), F.count(F.lit(1)).alias("df")).filter("df > 1")
     members = stored(tokens.join(places.select("token", "place"), "token").select("place", "node").distinct(), "ngram-members")
@@ -286,13 +303,15 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: i
     nodes = rows.filter("n > 0").groupBy("k").agg(F.min(own).alias("best"), F.first("n").alias("n"), F.first("low").alias("low"))
     nodes = stored(nodes.withColumn("node", F.monotonically_increasing_id()), "ngram-nodes")
 
-    needed = nodes.join(with_chance(nodes, percent), "node").select("node", "best.doc_id", "best.t1", "best.t2").toDF("node", "_d", "_t1", "_t2")
+    first = with_chance(with_counts(nodes.select("node", "n", F.col("low").alias("own"))), percent)
+    first = stored(first, "ngram-counted")
+    needed = nodes.join(first.select("node"), "node").select("node", "best.doc_id", "best.t1", "best.t2").toDF("node", "_d", "_t1", "_t2")
     needed = stored(needed, "ngram-needed")
     if is_small(needed):
         needed = F.broadcast(needed)
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("t1") == F.col("_t1")) & (F.col("t2") == F.col("_t2"))
     sets = stored(whole_sets(narrow.join(needed, same), shingle), "ngram-sets")
-    roots = connect(similar_links(sets, percent)).toDF("node", "root")
+    roots = connect(similar_links(first, sets, percent)).toDF("node", "root")
 
     named = nodes.select("k", "node", F.col("best.doc_id").alias("first")).join(roots, "node", "left")
     named = stored(named.select("k", "first", F.coalesce("root", "node").alias("root")), "ngram-named")
