@@ -28,8 +28,8 @@ def read_page_files(spark: SparkSession, folder: str) -> DataFrame:
 def scan_page_files(spark: SparkSession, folder: str, pattern: str = "*.json") -> DataFrame:
     """``(url, text, type, file, reason)``: one row per file below ``folder``, with why it is no page.
 
-    ``reason`` is null for a page. Malformed and empty files, and pages that lack
-    a field, do not stop the others; ``page_rows`` and ``file_rejects`` part the two.
+    ``reason`` is null for a page. Malformed and blank files, and pages that lack
+    a field, do not stop the others (files of no byte at all are no input to Spark's readers); ``page_rows`` and ``file_rejects`` part the two.
     """
     files = (
         spark.read.format("text")
@@ -44,7 +44,7 @@ def scan_page_files(spark: SparkSession, folder: str, pattern: str = "*.json") -
     broken = F.col("page").isNull() | F.col("page._corrupt").isNotNull()
     lacking = F.array_compact(F.array(*(F.when(F.col(f"page.{c}").isNull(), F.lit(c)) for c in RAW_PAGES.names)))
     reason = (
-        F.when(F.trim("value") == "", F.lit("empty file"))
+        F.when(F.col("value").rlike(r"^\s*$"), F.lit("empty file"))
         .when(broken, F.lit("malformed JSON"))
         .when(F.size(lacking) > 0, F.concat(F.lit("missing "), F.array_join(lacking, ", ")))
     )

@@ -124,7 +124,7 @@ def test_every_file_is_a_page_or_a_reject(spark, tmp_path):
         "a/content.json": json.dumps(good, indent=2),
         "b/content.json": '{"url": "u2", "text": ',
         "b/c/content.json": json.dumps({"url": "u3", "type": "pdf"}),
-        "d/content.json": "",
+        "d/content.json": " \n",
         "e/content.json": "no json",
         "f/content.json": json.dumps({"url": 7, "text": "t", "type": "html", "more": [1]}),
         "g/content.json": '{"url": {"x": 1}, "text": "t", "type": "html"}',
