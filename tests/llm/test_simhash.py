@@ -153,3 +153,12 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).collect() == []
     assert simhash.keep_one(docs).collect() == []
+
+
+def test_rounds_of_an_ordered_chain_stay_few(spark, monkeypatch):
+    rounds = []
+    written = simhash.stored
+    monkeypatch.setattr(simhash, "stored", lambda df, name, *more: rounds.append(name) or written(df, name, *more))
+    chain = spark.createDataFrame([(i, i + 1) for i in range(63)], "a long, b long")
+    assert {tuple(r) for r in simhash.connect(chain).collect()} == {(i, 0) for i in range(64)}
+    assert len(rounds) <= 12
