@@ -10,14 +10,21 @@ the counts of rare words stay in Spark and are joined by word; none of those is
 frequent, so that join has no hot key.
 
 Texts are written once as symbol numbers. Each round of Baum-Welch adds the
-expected counts of fixed-length stretches of all training texts in their tasks
-and sums them by symbol. Scores run the scaled forward recursion over whole texts.
+expected counts of all training texts in their tasks and sums them by symbol. A
+text is taken a stretch at a time to bound the tables; the forward state goes on
+from one stretch to the next, so each transition counts once and only a text's
+beginning counts as a start (what follows a stretch is not looked at from within it).
+Scores run the scaled forward recursion over whole texts.
+
+Words of over ``LONG`` bytes are told by a digest, so that neither the table of
+frequent words nor a join holds them.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 from zlib import crc32
 
 import numpy as np
@@ -29,6 +36,8 @@ from acervo.llm.common import extended, remainder, stored, texts, words
 STATES = 6
 ROUNDS = 4
 STRETCH = 128  # symbols whose expected counts are taken together
+LANES, LANE_BYTES = 2048, 64 << 20  # texts that are read side by side, and the bytes of their symbols
+LONG = 64  # bytes of the longest word that is kept as it is
 OWN_WORDS = 20_000  # with the classes below 65,536, so that symbols take two bytes
 COUNTED_WORDS = 200_000  # frequent words whose counts every task holds
 CLASSES = 512
@@ -36,6 +45,17 @@ SEED = 20_240_501
 END = b""  # no word is empty, so this is free for the end of a text
 
 
+def tokens_of(text: bytes | None) -> list[bytes]:
+    """A text's words, long ones by their first characters and a digest.
+
+    No word holds a blank, so none can be taken for the digest of another.
+    """
+    found = words(text)
+    if found and max(map(len, found)) > LONG:
+        return [w if len(w) <= LONG else w[:4] + b" " + blake2b(w, digest_size=24).digest() for w in found]
+    return found
+
+
 def word_counts(docs: DataFrame, text: str = "text", most: int = 200_000) -> DataFrame:
     """``(word, n)`` over all texts of ``docs``; tasks add up what they have seen in bounded tables."""
 
@@ -43,7 +63,7 @@ def word_counts(docs: DataFrame, text: str = "text", most: int = 200_000) -> Dat
         counts: Counter[bytes] = Counter()
         for batch in parts:
             for value in texts(batch.column(0)):
-                counts.update(words(value))
+                counts.update(tokens_of(value))
                 counts[END] += 1
                 if len(counts) > most:
                     yield flushed(counts)
@@ -105,7 +125,7 @@ def encoded(docs: DataFrame, vocabulary, keep: list[str], text: str) -> DataFram
         for batch in parts:
             columns: list[list] = [[], [], [], [], [], []]
             for value in texts(batch.column(len(keep))):
-                tokens = words(value)
+                tokens = tokens_of(value)
                 tokens.append(END)
                 found = np.fromiter((get(t, -1) for t in tokens), np.int32, len(tokens))
                 symbols = symbol[found]
@@ -150,20 +170,31 @@ def first_model(symbol_counts: np.ndarray, states: int, seed: int = SEED) -> Mod
     return Model(np.full(states, 1 / states), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
 
 
-def expected_counts(model: Model, stretches: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, transition and emission counts of padded rows of symbols (one stretch each, longest first)."""
+def expected_counts(
+    model: Model, stretches: np.ndarray, lengths: np.ndarray, before: np.ndarray | None = None, fresh: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Start, transition and emission counts of padded rows of symbols (one stretch each, longest first).
+
+    Rows that are not ``fresh`` go on from the states' shares ``before`` them. The
+    shares at the end of each row come last.
+    """
     rows, steps = stretches.shape
     states = len(model.start)
+    fresh = np.ones(rows, dtype=bool) if fresh is None else fresh
     live = [int(np.searchsorted(-lengths, -t, side="left")) for t in range(steps + 1)]  # rows longer than t
     emits = model.emits
     forward = np.empty((steps, rows, states))
     scale = np.empty((steps, rows))
     for t in range(steps):
         k = live[t]
-        ahead = np.broadcast_to(model.start, (k, states)) if t == 0 else forward[t - 1, :k] @ model.moves
+        if t:
+            ahead = forward[t - 1, :k] @ model.moves
+        else:
+            ahead = np.broadcast_to(model.start, (k, states)) if before is None else np.where(fresh[:, None], model.start, before @ model.moves)
         np.multiply(ahead, emits[stretches[:k, t]], out=forward[t, :k])
         scale[t, :k] = forward[t, :k].sum(axis=1)
         forward[t, :k] /= scale[t, :k, None]
+    last = forward[lengths - 1, np.arange(rows)]
     moves = np.zeros((states, states))
     backward = np.ones((rows, states))
     for t in range(steps - 1, 0, -1):
@@ -173,15 +204,52 @@ def expected_counts(model: Model, stretches: np.ndarray, lengths: np.ndarray) ->
         moves += forward[t - 1, :k].T @ after
         forward[t, :k] *= backward[:k]
         backward[:k] = after @ model.moves.T
+    if before is not None:
+        into = backward * emits[stretches[:, 0]] / scale[0][:, None]
+        moves += before[~fresh].T @ into[~fresh]
     forward[0] *= backward
-    start = forward[0].sum(axis=0)
+    start = forward[0][fresh].sum(axis=0)
     counts = np.zeros((len(emits), states))
     flat = [(stretches[: live[t], t], forward[t, : live[t]]) for t in range(steps)]
     symbols = np.concatenate([s for s, _ in flat])
     shares = np.concatenate([g for _, g in flat])
     for j in range(states):
         counts[:, j] = np.bincount(symbols, weights=shares[:, j], minlength=len(emits))
-    return start, moves * model.moves, counts
+    return start, moves * model.moves, counts, last
+
+
+def summed_counts(model: Model, texts: Iterator[np.ndarray], stretch: int = STRETCH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, transition and emission counts of whole texts, read side by side a stretch at a time.
+
+    A text that ends makes room for the next one.
+    """
+    states = len(model.start)
+    start, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emits)
+    lanes: list[list] = []  # symbols, how many are done, shares of the states there
+    held, more = 0, True
+    while lanes or more:
+        while more and len(lanes) < LANES and held < LANE_BYTES:
+            symbols = next(texts, None)
+            more = symbols is not None
+            if more and len(symbols):
+                lanes.append([symbols, 0, None])
+                held += symbols.nbytes
+        if not lanes:
+            continue
+        lanes.sort(key=lambda lane: lane[1] - len(lane[0]))
+        table, lengths = padded_in_order([symbols[done : done + stretch] for symbols, done, _ in lanes])
+        fresh = np.array([done == 0 for _, done, _ in lanes])
+        before = np.array([model.start if shares is None else shares for _, _, shares in lanes])
+        a, b, c, last = expected_counts(model, table, lengths, before, fresh)
+        start += a
+        moves += b
+        counts += c
+        for lane, n, shares in zip(lanes, lengths.tolist(), last):
+            lane[1] += n
+            lane[2] = shares
+        held -= sum(symbols.nbytes for symbols, done, _ in lanes if done == len(symbols))
+        lanes = [lane for lane in lanes if lane[1] < len(lane[0])]
+    return start, moves, counts
 
 
 def trained(enc: DataFrame, symbol_counts: np.ndarray, states: int, rounds: int) -> Model:
@@ -198,13 +266,8 @@ def trained(enc: DataFrame, symbol_counts: np.ndarray, states: int, rounds: int)
         shared = spark.sparkContext.broadcast(model)
 
         def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own = shared.value
-            start, moves, counts = np.zeros(states), np.zeros((states, states)), np.zeros((n_symbols, states))
-            for cut in stretches_of(parts):
-                a, b, c = expected_counts(own, *cut)
-                start += a
-                moves += b
-                counts += c
+            values = (x for batch in parts for i in range(0, len(batch), 500) for x in batch.column(0).slice(i, 500).to_pylist())
+            start, moves, counts = summed_counts(shared.value, (np.frombuffer(x, dtype=np.uint16) for x in values))
             at = np.flatnonzero(counts.any(axis=1))
             values = np.concatenate([start[None], moves, counts[at]])
             rows = np.concatenate([[-1], -2 - np.arange(states), at])
@@ -229,29 +292,6 @@ def trained(enc: DataFrame, symbol_counts: np.ndarray, states: int, rounds: int)
     return model
 
 
-def stretches_of(parts: Iterator[pa.RecordBatch], most: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Texts cut into stretches, ``most`` at a time, longest first."""
-    held: list[np.ndarray] = []
-    for batch in parts:
-        for value in batch.column(0).to_pylist():
-            symbols = np.frombuffer(value, dtype=np.uint16)
-            for start in range(0, len(symbols), STRETCH):
-                held.append(symbols[start : start + STRETCH])
-                if len(held) == most:
-                    yield padded(held)
-                    held = []
-    if held:
-        yield padded(held)
-
-
-def padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    rows = sorted(rows, key=len, reverse=True)
-    lengths = np.array(list(map(len, rows)))
-    out = np.zeros((len(rows), lengths[0]), dtype=np.int32)
-    out[np.arange(lengths[0])[None, :] < lengths[:, None]] = np.concatenate(rows)
-    return out, lengths
-
-
 def forward_log10(model: Model, rows: list[np.ndarray], together: int = 256) -> np.ndarray:
     """log10 of each symbol sequence's probability, by the scaled forward recursion over its whole length."""
     out = np.zeros(len(rows))
@@ -282,6 +322,7 @@ def forward_log10(model: Model, rows: list[np.ndarray], together: int = 256) ->
 
 
 def padded_in_order(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of symbols, longest first, as one table, with their lengths."""
     lengths = np.array(list(map(len, rows)))
     out = np.zeros((len(rows), lengths[0]), dtype=np.int32)
     out[np.arange(lengths[0])[None, :] < lengths[:, None]] = np.concatenate(rows)

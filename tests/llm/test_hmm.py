@@ -42,14 +42,45 @@ def test_forward_against_all_paths():
 
 def test_expected_counts_against_all_paths():
     model = tiny_model()
-    rows = [np.array(r) for r in ([0, 1, 2, 3], [4, 4], [1], [3, 0, 3])]
-    start, moves, counts = hmm.expected_counts(model, *hmm.padded(rows))
+    rows = [np.array(r) for r in ([0, 1, 2, 3], [3, 0, 3], [4, 4], [1])]
+    start, moves, counts, _ = hmm.expected_counts(model, *hmm.padded_in_order(rows))
+    for whole, part in zip(hmm.summed_counts(model, iter(rows)), (start, moves, counts)):
+        assert np.allclose(whole, part)
     plain = [by_paths(model, r) for r in rows]
     assert np.allclose(start, sum(p[1] for p in plain))
     assert np.allclose(moves, sum(p[2] for p in plain))
     assert np.allclose(counts, sum(p[3] for p in plain))
 
 
+def test_stretches_go_on_where_the_last_one_ended(monkeypatch):
+    monkeypatch.setattr(hmm, "LANES", 3)
+    model = tiny_model()
+    rnd = np.random.default_rng(4)
+    rows = [rnd.integers(0, 5, n) for n in (1, 7, 8, 9, 40, 0, 16, 3, 100)]
+    start, moves, counts = hmm.summed_counts(model, iter(rows), stretch=8)
+    assert math.isclose(start.sum(), sum(len(r) > 0 for r in rows))
+    assert math.isclose(moves.sum(), sum(max(len(r) - 1, 0) for r in rows))
+    assert np.allclose(counts.sum(axis=1), np.bincount(np.concatenate(rows), minlength=5))
+    # Two stretches by hand: the first knows nothing of the second, which begins with the first one's last shares.
+    row = np.array([0, 3, 1, 4])
+    first, both = by_paths(model, row[:2]), hmm.summed_counts(model, iter([row]), stretch=2)
+    shares = model.start * model.emits[0] @ model.moves * model.emits[3]
+    shares = shares / shares.sum()
+    joint = np.einsum("i,ij,j,jk,k->ijk", shares, model.moves, model.emits[1], model.moves, model.emits[4])
+    joint /= joint.sum()
+    assert np.allclose(both[0], first[1])
+    assert np.allclose(both[1], first[2] + joint.sum(axis=2) + joint.sum(axis=0))
+
+
+def test_long_words_are_told_by_a_digest(spark):
+    long = "a" * 5000
+    assert hmm.tokens_of(b"aB " + long.encode()) != hmm.tokens_of(b"ab " + b"a" * 5001)
+    assert max(map(len, hmm.tokens_of(long.encode()))) <= hmm.LONG
+    docs = spark.createDataFrame([(1, f"x {long}"), (2, f"{long} {long}b"), (3, f"y {long}")], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in hmm.score(docs, held_out=F.col("doc_id") == 3).collect()}
+    assert (rows[3]["n_known"], rows[3]["train_tokens"], rows[2]["n_known"]) == (2, 6, 3)
+
+
 def test_long_texts_are_scored_whole():
     model = tiny_model()
     row = np.random.default_rng(2).integers(0, 5, 5000)
