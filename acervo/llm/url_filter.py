@@ -2,9 +2,11 @@
 
 A rule's host is walked from its last label to its first; the node reached
 holds a second trie over the rule's whole path segments, and there the rest of
-its path, which a URL may go on from anywhere. A URL is walked the same way, so
-that each label and segment is looked at once, and the longest rule met decides:
-the longest host first, then the longest path.
+its path, which a URL may go on from anywhere. The rests of a node are looked up by
+the beginnings of the URL's segment that have a rest's length, longest first. A URL
+is walked the same way, so that each label and segment is looked at once, however
+many rules a host has, and the longest rule met decides: the longest host first,
+then the longest path.
 
 Rules are shipped to tasks in tries of at most ``TRIE_RULES`` rules and
 ``TRIE_BYTES`` bytes; more rules make more tries, each applied in turn.
@@ -12,6 +14,7 @@ Rules are shipped to tasks in tries of at most ``TRIE_RULES`` rules and
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -48,7 +51,10 @@ class Trie:
             node = node.setdefault("/", {})  # no label holds a slash
             for segment in segments:
                 node = node.setdefault(segment, {})
-            ends = node.setdefault("/", {})
+            ends, sizes = node.setdefault("/", ({}, []))
+            at = bisect_left(sizes, len(rest))
+            if at == len(sizes) or sizes[at] != len(rest):
+                sizes.insert(at, len(rest))
             # Of rules with one host and path, block wins.
             if ends.get(rest, (None,))[0] != "block":
                 ends[rest] = (verdict, host.lower() + path)
@@ -67,15 +73,16 @@ class Trie:
     def longest(self, node: dict, path: str) -> tuple[str, str] | None:
         best, start = None, 0
         while True:
-            ends = node.get("/")
-            if ends:
-                fits = [rest for rest in ends if path.startswith(rest, start)]
-                if fits:
-                    best = ends[max(fits, key=len)]
+            ends, sizes = node.get("/", ((), ()))
             stop = path.find("/", start)
+            own = path[start:] if stop < 0 else path[start:stop]
+            for size in reversed(sizes):
+                if size <= len(own) and own[:size] in ends:
+                    best = ends[own[:size]]
+                    break
             if stop < 0:
                 return best
-            node = node.get(path[start:stop])
+            node = node.get(own)
             if node is None:
                 return best
             start = stop + 1
@@ -98,7 +105,9 @@ def judge(urls: DataFrame, rules: Iterable[Rule], url: str = "url", default: str
 
     A null URL, or one without ``://``, has an empty host and path, which no
     rule fits, and gets the default verdict, as all URLs without a rule do. Of equally
-    long rules the blocking one decides. Without rules all get the default.
+    long rules the blocking one decides. Without rules all get the default. Repeated
+    rows are judged each, URLs of any length by all of their labels and segments; an
+    empty table gives an empty one.
     """
     new = ["host", "path", "rule", "verdict"]
     kept = [name for name in urls.columns if name not in new]

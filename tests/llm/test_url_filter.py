@@ -1,4 +1,5 @@
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -57,3 +58,20 @@ def test_repeated_rules_block(spark):
     assert url_filter.judge(frame, rules).first()["verdict"] == "block"
     assert url_filter.judge(frame, [], default="block").first()["verdict"] == "block"
     assert url_filter.judge(frame.filter(F.lit(False)), rules).collect() == []
+
+
+def test_many_rules_of_one_host_are_not_scanned():
+    rules = [("block" if i % 3 else "allow", "example.org", f"/item-{i}") for i in range(100_000)]
+    trie = url_filter.Trie(rules)
+    started = time.perf_counter()
+    for i in range(5_000):
+        assert trie.find("www.example.org", f"/item-{i * 20}x/more")[1] == f"example.org/item-{i * 20}"
+    assert time.perf_counter() - started < 1
+
+
+def test_repeated_rows_long_urls_and_empty_tables(spark):
+    long = "x://" + "a." * 20_000 + "com/" + "de/" * 20_000
+    frame = spark.createDataFrame([(long,), (long,), (None,)], "url string")
+    rows = url_filter.judge(frame, [("block", "com", "/de/"), ("allow", "com", "/de/" * 2)]).collect()
+    assert [r["rule"] for r in rows if r["url"]] == ["com/de/"] * 2
+    assert url_filter.judge(frame.filter(F.lit(False)), RULES).columns == ["url", "host", "path", "rule", "verdict"]
