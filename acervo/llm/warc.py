@@ -12,7 +12,8 @@ Digests may be in hex or base32. A record needs a version line, a ``Content-Leng
 fits, and block and payload digests that agree. After a failed check it searches
 for the next member or version line that passes, goes on from there, and reports
 the bytes between as a gap. Files should be of a size that a task can hold;
-``write`` starts a new one after ``FILE_RECORDS`` records.
+``write`` fills values of ``VALUE_BYTES`` with records and starts a new file after
+``FILE_BYTES``, so that a file is larger only by its last records.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SMALL = 1000
-FILE_RECORDS = 10_000
+VALUE_BYTES, FILE_BYTES = 4 << 20, 128 << 20
 VERSION = b"WARC/1.1\r\n"
 MEMBER = b"\x1f\x8b\x08"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -59,7 +60,11 @@ def with_types(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     copies = rows.filter(F.col("size") >= small).groupBy("digest", "size").agg(F.max("page_id").alias("kept"), F.min("page_id").alias("least"), F.count("page_id").alias("n"), F.count(F.lit(1)).alias("rows"))
     # Only payloads with several ids have revisits; this keeps the joined side small.
     copies = copies.filter((F.col("least") < F.col("kept")) | ((F.col("n") < F.col("rows")) & F.col("kept").isNotNull()))
-    joined = rows.join(copies.select("digest", "size", "kept"), ["digest", "size"], "left")
+    # Small payloads match nothing; keys of their own spread them, as many are equal.
+    alone = F.concat(F.lit("-"), F.xxhash64("page_id", "url", "digest").cast("string"))
+    keyed = rows.withColumn("key", F.when(F.col("size") >= small, F.col("digest")).otherwise(alone))
+    copies = copies.select(F.col("digest").alias("key"), F.col("size").alias("copy_size"), "kept")
+    joined = keyed.join(copies, (keyed["key"] == copies["key"]) & (F.col("size") == F.col("copy_size")), "left")
     other = F.col("kept").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("kept"))
     return joined.select("page_id", "url", "html", "digest", "size", F.when(other, F.col("kept")).alias("refers_to"))
 
@@ -97,21 +102,33 @@ def write(typed: DataFrame, path: str, date: str | None = None, compressed: bool
     """The records of ``with_types`` as archives below ``path``; plain records where ``compressed`` is false."""
     told = (date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")).encode()
 
+    def value(held: list[bytes]) -> pa.RecordBatch:
+        # What the sink puts after a value is what a plain record ends with.
+        data = b"".join(map(member, held)) if compressed else b"".join(held)[:-2]
+        return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["value"])
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        size = 0
         for batch in parts:
-            out = []
-            columns = [batch.column(0), batch.column(1).cast(pa.binary()), batch.column(2).cast(pa.binary()), batch.column(3), batch.column(4)]
-            for page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in columns)):
-                data = record(page_id, url, payload, digest, refers_to, told)
-                out.append(member(data) if compressed else data[:-2])
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+            for start in range(0, len(batch), 500):
+                part = batch.slice(start, 500)
+                columns = [part.column(0), part.column(1).cast(pa.binary()), part.column(2).cast(pa.binary()), part.column(3), part.column(4)]
+                for page_id, url, payload, digest, refers_to in zip(*(c.to_pylist() for c in columns)):
+                    held.append(record(page_id, url, payload, digest, refers_to, told))
+                    size += len(held[-1])
+                    if size >= VALUE_BYTES:
+                        yield value(held)
+                        held, size = [], 0
+        if held:
+            yield value(held)
 
     rows = typed.select(F.col("page_id").cast("long"), "url", "html", "digest", F.col("refers_to").cast("long"))
     # The text sink writes a string's bytes as they are.
     values = rows.mapInArrow(run, "value binary").select(F.col("value").cast("string").alias("value"))
     separator = EMPTY_MEMBER.decode("latin-1") if compressed else "\r\n"
     sink = values.write.option("encoding", "ISO-8859-1").option("lineSep", separator)
-    sink.option("maxRecordsPerFile", FILE_RECORDS).option("compression", "none").text(path)
+    sink.option("maxRecordsPerFile", FILE_BYTES // VALUE_BYTES).option("compression", "none").text(path)
 
 
 class Broken(Exception):

@@ -153,3 +153,17 @@ def test_empty_table(spark, tmp_path):
     frame = spark.createDataFrame([], "page_id long, url string, html string")
     warc.write(warc.with_types(frame), str(tmp_path / "a"))
     assert warc.read(spark, str(tmp_path / "a")).collect() == []
+
+
+@pytest.mark.parametrize("compressed", [True, False])
+def test_files_end_by_bytes(spark, tmp_path, monkeypatch, compressed):
+    monkeypatch.setattr(warc, "VALUE_BYTES", 20_000)
+    monkeypatch.setattr(warc, "FILE_BYTES", 100_000)
+    rows = [(i, f"http://a/{i}", random.Random(i).randbytes(3000).hex()) for i in range(200)] + [(900 + i, "http://a", "") for i in range(50)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    typed = warc.with_types(frame).coalesce(1)
+    warc.write(typed, str(tmp_path / "a"), compressed=compressed)
+    sizes = [f.stat().st_size for f in (tmp_path / "a").glob("part-*")]
+    assert len(sizes) > 5 and max(sizes) < 100_000 + 5 * 10_000
+    read = warc.read(spark, str(tmp_path / "a")).collect()
+    assert sorted((r["record_id"], bytes(r["payload"]).decode()) for r in read) == sorted((f"<urn:page:{i}>", h) for i, _, h in rows)
