@@ -23,6 +23,8 @@ class Index:
     ``term_buckets`` is set when the postings come from a saved index and
     carry the partition column ``term_bucket``; ``bounds`` are then the smallest ids
     of its blocks, rising. Without them a block is a run of ``docs_per_block`` ids.
+    A saved index also has the dictionary of its terms' grams, ``grams(gram, token, term)``
+    and ``gram_counts(gram, n_terms)``.
     """
 
     documents: DataFrame
@@ -31,6 +33,8 @@ class Index:
     docs_per_block: int = DOCS_PER_BLOCK
     term_buckets: int | None = None
     bounds: tuple[int, ...] | None = None
+    grams: DataFrame | None = None
+    gram_counts: DataFrame | None = None
 
     def block_of(self, doc_id: Column) -> Column:
         if self.bounds is None:

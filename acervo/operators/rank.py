@@ -19,6 +19,7 @@ from acervo.operators.query_table import MASK_BITS
 
 PIECE_LENGTH = 64
 FEW_WORDS = 32
+GRAM = 3
 
 
 def occurrences(text: Column, word: Column) -> Column:
@@ -85,6 +86,91 @@ def _cuts(rows: DataFrame, starts: str, lengths: Sequence[int], key: str) -> Dat
     )
 
 
+def term_grams(vocabulary: DataFrame) -> DataFrame:
+    """``(gram, token, term)``: the distinct cuts of ``GRAM`` characters of every term.
+
+    Near a term's end the cuts are shorter, so each character begins one and a word of
+    fewer characters is found by the beginnings of grams. Very long tokens are cut in
+    overlapping pieces and told by their hash alone, with a null ``term``.
+    """
+    terms = vocabulary.select("term").filter(F.length("term") > 0)
+    is_long = F.length("term") > PIECE_LENGTH
+    cuts = "array_distinct(transform(sequence(1, {n}), p -> substring({text}, p, " + str(GRAM) + ")))"
+    hashed = F.xxhash64("term").alias("token")
+    short = terms.filter(~is_long).select(
+        F.explode(F.expr(cuts.format(n="length(term)", text="term"))).alias("gram"), hashed, "term"
+    )
+    pieces = terms.filter(is_long).select(
+        hashed,
+        F.explode(
+            F.expr(
+                f"transform(sequence(1, length(term), {PIECE_LENGTH}),"
+                f" p -> substring(term, p, {PIECE_LENGTH + GRAM - 1}))"
+            )
+        ).alias("text"),
+    )
+    of_piece = F.explode(F.expr(cuts.format(n=f"least(length(text), {PIECE_LENGTH})", text="text")))
+    long = pieces.select(of_piece.alias("gram"), "token").distinct()
+    return short.unionByName(long.withColumn("term", F.lit(None).cast("string")))
+
+
+def gram_bucket(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets).cast("long"))
+
+
+def word_grams(gram_counts: DataFrame, words: DataFrame) -> DataFrame:
+    """``(word, text, gram)``: where the terms containing each of ``words(word)`` are looked up.
+
+    A word of ``GRAM`` characters or more has one row, the gram that the fewest terms
+    have; a shorter one has a row for each gram that begins with it.
+    """
+    lowered = words.select("word", F.lower("word").alias("text")).filter(F.length("text") > 0)
+    is_short = F.length("text") < GRAM
+    cuts = f"array_distinct(transform(sequence(1, length(text) - {GRAM - 1}), p -> substring(text, p, {GRAM})))"
+    inside = lowered.filter(~is_short).select("word", "text", F.explode(F.expr(cuts)).alias("gram"))
+    rarest = F.min(F.struct(F.coalesce("n_terms", F.lit(0)).alias("n_terms"), "gram"))
+    whole = (
+        inside.join(gram_counts, "gram", "left")
+        .groupBy("word", "text")
+        .agg(rarest.alias("least"))
+        .select("word", "text", "least.gram")
+    )
+    # A gram has one beginning of each length, so this is a join by equality too.
+    beginnings = F.explode(F.array(*(F.substring("gram", 1, n) for n in range(1, GRAM))))
+    heads = gram_counts.select("gram", beginnings.alias("text")).distinct()
+    return whole.unionByName(lowered.filter(is_short).join(heads, "text").select("word", "text", "gram"))
+
+
+def expand_by_grams(index: Index, looked_up: DataFrame) -> DataFrame:
+    """The same rows as ``expand_words``, from the stored grams that ``looked_up(word, text, gram)`` names.
+
+    Only terms with a word's gram are read and tested for the word.
+    """
+    keys = ["gram"]
+    if index.term_buckets:
+        # True of every row; it lets Spark prune the grams' partitions by a broadcast.
+        looked_up = looked_up.filter("word is not null").withColumn(
+            "gram_bucket", gram_bucket(F.col("gram"), index.term_buckets)
+        )
+        keys = ["gram_bucket", "gram"]
+    met = index.grams.join(looked_up, keys).select("token", "term", "word", "text", "gram")
+    # Of the grams of a term that begin with a short word, the first one counts.
+    at_first = F.substring(F.col("term"), F.instr(F.col("term"), F.col("text")), F.lit(GRAM)) == F.col("gram")
+    in_short = (
+        met.filter(F.contains("term", "text"))
+        .filter((F.length("text") >= GRAM) | at_first)
+        .select("term", "word", F.col("text").alias("gram"))
+    )
+    long = index.vocabulary.select("term").filter(F.length("term") > PIECE_LENGTH)
+    in_long = (
+        long.withColumn("token", F.xxhash64("term"))
+        .join(met.filter("term is null").select("token", "word", "text").distinct(), "token")
+        .filter(F.contains("term", "text"))
+        .select("term", "word", F.col("text").alias("gram"))
+    )
+    return _expansion(in_short.unionByName(in_long), "term")
+
+
 def expand_few_words(rows: DataFrame, words: Sequence[str]) -> DataFrame:
     """``rows(term, ...)`` with the columns of ``expand_words`` for a handful of
     words, tested as constants on every row."""

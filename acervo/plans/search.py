@@ -111,7 +111,15 @@ def prepare_batch(queries: DataFrame, strict: bool = False) -> Batch:
 
 
 def expand_batch(index: Index, batch: Batch) -> DataFrame:
-    """Vocabulary terms containing a word of the batch, computed once and kept."""
+    """Vocabulary terms containing a word of the batch, computed once and kept.
+
+    A stored index is asked by the rarest gram of each word.
+    """
+    if index.grams is not None:
+        looked_up = cut_lineage(rk.word_grams(index.gram_counts, batch.words.select("word").distinct()))
+        if is_small(looked_up):
+            looked_up = F.broadcast(looked_up)
+        return cut_lineage(rk.expand_by_grams(index, looked_up))
     if batch.few_words:
         return cut_lineage(rk.expand_few_words(index.vocabulary.select("term"), batch.few_words))
     words = batch.hinted(batch.words.select("word").distinct())

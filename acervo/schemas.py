@@ -73,4 +73,20 @@ VOCABULARY = T.StructType(
     ]
 )
 
+GRAMS = T.StructType(
+    [
+        T.StructField("gram", T.StringType()),
+        T.StructField("token", T.LongType()),
+        T.StructField("term", T.StringType()),
+        T.StructField("gram_bucket", T.LongType()),
+    ]
+)
+
+GRAM_COUNTS = T.StructType(
+    [
+        T.StructField("gram", T.StringType()),
+        T.StructField("n_terms", T.LongType()),
+    ]
+)
+
 INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, bounds array<long>"

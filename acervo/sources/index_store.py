@@ -13,7 +13,8 @@ from acervo.operators.index import (
     term_bucket,
     vocabulary,
 )
-from acervo.schemas import DOCUMENTS, INDEX_MANIFEST, POSTINGS, VOCABULARY
+from acervo.operators.rank import gram_bucket, term_grams
+from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, VOCABULARY
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
@@ -48,7 +49,9 @@ def save_index(
     * postings to one group per bucket of terms and block of ids: the bucket is
       the partition a term lookup prunes to, and as a term has one posting per
       document, no term brings more than ``docs_per_block`` rows to a task;
-    * terms to the vocabulary, counted per task first.
+    * terms to the vocabulary, counted per task first;
+    * grams of terms to the bucket of their gram, each bucket spread over ``doc_splits``
+      tasks by term, as some grams are in very many terms.
     """
     spark = documents.sparkSession
     before = manifest.latest(spark, path)
@@ -77,6 +80,17 @@ def save_index(
     )
     terms = vocabulary(_read(spark, folder, "postings", POSTINGS))
     terms.write.parquet(f"{folder}/vocabulary")
+    held = gram_bucket(F.col("gram"), term_buckets)
+    (
+        term_grams(_read(spark, folder, "vocabulary", VOCABULARY))
+        .repartition(held, F.pmod(F.col("token"), F.lit(doc_splits).cast("long")))
+        .withColumn("gram_bucket", held)
+        .sortWithinPartitions("gram_bucket", "gram", "term")
+        .write.partitionBy("gram_bucket")
+        .parquet(f"{folder}/grams")
+    )
+    counted = _read(spark, folder, "grams", GRAMS).groupBy("gram").agg(F.count(F.lit(1)).alias("n_terms"))
+    counted.write.parquet(f"{folder}/gram_counts")
     row = {
         "folder": folder,
         "n_words": _read(spark, folder, "vocabulary", VOCABULARY).count(),
@@ -101,6 +115,8 @@ def load_index(spark: SparkSession, path: str) -> Index:
         docs_per_block=saved["docs_per_block"],
         term_buckets=saved["term_buckets"],
         bounds=tuple(saved["bounds"]),
+        grams=_read(spark, saved["folder"], "grams", GRAMS),
+        gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
     )
 
 

@@ -261,6 +261,13 @@ ORACLES: dict[str, str] = {
     "query_valid": f"WITH {LINES} SELECT query_id, reason IS NULL AS valid, reason FROM checked",
     "query_canonical": f"WITH RECURSIVE {LINES}{FOLD}",
     "query_rejects": f"WITH {LINES} SELECT query_id, line, reason FROM checked WHERE reason IS NOT NULL",
+    "word_expansion": _with(
+        "SELECT term, word, CAST((length(term) - length(replace(term, lower(word), ''))) // length(lower(word)) AS BIGINT)"
+        " AS occ, contains(term, word) AS as_typed, term = word AS exact"
+        " FROM (SELECT DISTINCT term FROM terms),"
+        " (SELECT DISTINCT unnest(string_split(text, ' ')) AS word FROM benchmark)"
+        " WHERE word <> '' AND contains(term, lower(word))"
+    ),
     "score_tf": f"WITH {_scored([SCORE])} SELECT doc_id, query_tf FROM scored WHERE query_tf > 0",
     "score_query_norm": f"WITH {_scored([SCORE])} SELECT doc_id,"
     " sqrt(CAST(squares AS DOUBLE)) AS query_norm FROM scored WHERE squares > 0",

@@ -241,6 +241,15 @@ def query_file(spark, sf_dir):
 
 
 # -- scores and searches ----------------------------------------------------------
+@query
+def word_expansion(spark, sf_dir):
+    """Terms that contain a word of the benchmark texts, looked up in the stored grams."""
+    index = corpus.stored_index(spark, sf_dir)
+    lines = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    words = lines.select(F.explode(F.split("text", " ")).alias("word")).filter("word <> ''").distinct()
+    return rk.expand_by_grams(index, rk.word_grams(index.gram_counts, words))
+
+
 def _matches(spark, sf_dir):
     index = corpus.stored_index(spark, sf_dir)
     batch = search.prepare_batch(search.one_query(spark, SCORE_LINE))

@@ -9,6 +9,7 @@ import pytest
 
 from acervo import session as session_module
 from acervo.operators import query_table as qt
+from acervo.operators import rank as rk
 from acervo.operators.index import build_documents, index_from_documents
 from acervo.plans import search as search_module
 from acervo.plans.search import match_one, rejected_queries, search_batch
@@ -176,3 +177,27 @@ def test_query_columns(spark):
     assert sorted((r["query_id"], r["reason"]) for r in rejects) == [
         (4, "operator missing"), (5, "operator missing")
     ]
+
+
+def test_expansion_by_grams_against_every_pair(spark, tmp_path):
+    rng = random.Random(11)
+    drawn = {"".join(rng.choice("abñ") for _ in range(rng.randint(1, 9))) for _ in range(300)}
+    drawn |= {"x" * 63 + "ab" + "y" * n for n in (0, 1, 2, 70)} | {"ab" * 40, "b" * 64, "b" * 65, "b" * 66 + "ñ", "1a"}
+    raw = spark.createDataFrame([(i, "t", f"u{i}", t) for i, t in enumerate(sorted(drawn))], "doc_id long, title string, url string, text string")
+    save_index(build_documents(raw, stop=[]), str(tmp_path / "grams"), 4, 2, 50)
+    index = load_index(spark, str(tmp_path / "grams"))
+    words = ["a", "A", "ñ", "ab", "AB", "bb", "aba", "abAB", "b" * 30, "xab", "y" * 10, "ab" * 35, "ñb", "1", "none", "bbñ", "x" * 64 + "ab"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    found = rk.expand_by_grams(index, rk.word_grams(index.gram_counts, table)).collect()
+    terms = [r["term"] for r in index.vocabulary.collect()]
+    assert set(terms) == drawn
+    plain = [(t, w, t.count(w.lower()), w in t, w == t) for t in terms for w in words if w.lower() in t]
+    assert sorted(tuple(r) for r in found) == sorted(plain)
+
+
+def test_longer_words_meet_the_terms_of_one_gram(spark, corpus):
+    index = corpus[1]
+    table = spark.createDataFrame([("ababa",), ("zzz",), ("q",)], "word string")
+    rows = rk.word_grams(index.gram_counts, table).collect()
+    assert sorted({r["word"] for r in rows if len(r["word"]) > 2}) == ["ababa", "zzz"]
+    assert len([r for r in rows if r["word"] == "ababa"]) == 1
