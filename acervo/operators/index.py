@@ -24,7 +24,7 @@ class Index:
     carry the partition column ``term_bucket``; ``bounds`` are then the smallest ids
     of its blocks, rising. Without them a block is a run of ``docs_per_block`` ids.
     A saved index also has the dictionary of its terms' grams, ``grams(gram, token, term)``
-    and ``gram_counts(gram, n_terms)``.
+    and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``.
     """
 
     documents: DataFrame
@@ -35,6 +35,7 @@ class Index:
     bounds: tuple[int, ...] | None = None
     grams: DataFrame | None = None
     gram_counts: DataFrame | None = None
+    n_words: int | None = None
 
     def block_of(self, doc_id: Column) -> Column:
         if self.bounds is None:

@@ -19,6 +19,7 @@ from acervo.session import (
 )
 
 DEFAULT_RESULTS = 10
+SCANNED_TERMS = 10_000_000  # a handful of words is tested on so many terms in about the time of a lookup
 
 
 class InvalidQuery(ValueError):
@@ -113,9 +114,10 @@ def prepare_batch(queries: DataFrame, strict: bool = False) -> Batch:
 def expand_batch(index: Index, batch: Batch) -> DataFrame:
     """Vocabulary terms containing a word of the batch, computed once and kept.
 
-    A stored index is asked by the rarest gram of each word.
+    A stored index is asked by the rarest gram of each word; for a handful of words a
+    vocabulary of moderate size is read instead, which gives the same rows in one job.
     """
-    if index.grams is not None:
+    if index.grams is not None and not (batch.few_words and index.n_words <= SCANNED_TERMS):
         looked_up = cut_lineage(rk.word_grams(index.gram_counts, batch.words.select("word").distinct()))
         if is_small(looked_up):
             looked_up = F.broadcast(looked_up)

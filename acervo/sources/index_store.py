@@ -117,6 +117,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         bounds=tuple(saved["bounds"]),
         grams=_read(spark, saved["folder"], "grams", GRAMS),
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
+        n_words=saved["n_words"],
     )
 
 

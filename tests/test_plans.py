@@ -67,6 +67,7 @@ def test_same_results_without_broadcasts(index, monkeypatch, line):
     hinted = [tuple(r) for r in search_one(index, line).collect()]
     monkeypatch.setattr(session_module, "MAX_BROADCAST_ROWS", 0)
     monkeypatch.setattr(search_module, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(search_module, "SCANNED_TERMS", 0)
     plain = search_one(index, line)
     assert "BroadcastNestedLoopJoin" not in plan_of(plain)
     assert [tuple(r) for r in plain.collect()] == hinted
@@ -77,3 +78,9 @@ def test_many_identical_queries_are_answered_once(spark, index):
     rows = search_batch(index, spark.createDataFrame(lines, "query_id long, line string"), 3).collect()
     assert {r["query_id"] for r in rows} == {0, 1000}
     assert len(rows) == 6
+
+
+def test_few_words_are_looked_up_in_a_large_vocabulary(index, monkeypatch):
+    scanned = [tuple(r) for r in search_one(index, "os1 OR fa AND NOT o").collect()]
+    monkeypatch.setattr(search_module, "SCANNED_TERMS", 0)
+    assert [tuple(r) for r in search_one(index, "os1 OR fa AND NOT o").collect()] == scanned
