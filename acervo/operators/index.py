@@ -24,7 +24,9 @@ class Index:
     carry the partition column ``term_bucket``; ``bounds`` are then the smallest ids
     of its blocks, rising. Without them a block is a run of ``docs_per_block`` ids.
     A saved index also has the dictionary of its terms' grams, ``grams(gram, token, term)``
-    and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``.
+    and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``. Its postings carry their
+    ``doc_block``, and ``term_blocks(term, doc_block, df, cf, top)`` sums them up by term and block, with
+    the largest ``tf / norm`` as ``top``.
     """
 
     documents: DataFrame
@@ -36,6 +38,7 @@ class Index:
     grams: DataFrame | None = None
     gram_counts: DataFrame | None = None
     n_words: int | None = None
+    term_blocks: DataFrame | None = None
 
     def block_of(self, doc_id: Column) -> Column:
         if self.bounds is None:
@@ -159,6 +162,20 @@ def flat_postings(counted: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def term_blocks(postings: DataFrame) -> DataFrame:
+    """Figures of each term in each block of ids, from ``postings(term_bucket, doc_block, term, tf, norm)``."""
+    return postings.groupBy("term_bucket", "doc_block", "term").agg(
+        F.count(F.lit(1)).alias("df"),
+        F.sum("tf").alias("cf"),
+        F.max(F.col("tf") / F.col("norm")).alias("top"),
+    )
+
+
+def block_vocabulary(blocks: DataFrame) -> DataFrame:
+    """The vocabulary, from the table of ``term_blocks``."""
+    return blocks.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+
+
 def vocabulary(postings: DataFrame) -> DataFrame:
     return postings.groupBy("term").agg(
         F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf")

@@ -200,26 +200,55 @@ def _expansion(found: DataFrame, *columns: str) -> DataFrame:
 
 def expanded_postings(index: Index, expansion: DataFrame) -> DataFrame:
     """Postings of the terms in ``expansion``, once per word they contain."""
+    return _met(index, index.postings, expansion)
+
+
+def word_tops(index: Index, expansion: DataFrame) -> DataFrame:
+    """``(word, doc_block, top)``: what no document of the block exceeds in occurrences of the word per norm.
+
+    A document's ``tf / norm`` are at most the tops of its terms, and their squares sum to one
+    at most, so the occurrences are bounded by the sum of the tops and by the length of the
+    vector of occurrences per term.
+    """
+    occ = F.col("occ").cast("double")
+    bound = F.least(F.sum(occ * F.col("top")), F.sqrt(F.sum(occ * occ)))
+    return _met(index, index.term_blocks, expansion).groupBy("word", "doc_block").agg(bound.alias("top"))
+
+
+def block_limits(tops: DataFrame, words: DataFrame) -> DataFrame:
+    """``(query_id, doc_block, most)``: a score that no document of the block exceeds for the query.
+
+    A score divides by the length of the matched words' weights, which is at least the
+    smallest of them. The last factor covers the rounding of the sums.
+    """
+    most = F.sum(F.col("repeats") * F.col("top")) / F.min("repeats") * (1 + 1e-9)
+    return tops.join(words, "word").groupBy("query_id", "doc_block").agg(most.alias("most"))
+
+
+def _met(index: Index, rows: DataFrame, expansion: DataFrame) -> DataFrame:
+    """The rows of a table by term, once per word that their term contains."""
     # A condition on the small side, true of every row, lets Spark turn the
-    # broadcast into a filter on the postings' partitions.
+    # broadcast into a filter on the table's partitions.
     expansion = expansion.filter("occ > 0")
     keys = ["term"]
     if index.term_buckets:
         bucketed = term_bucket(F.col("term"), index.term_buckets)
         expansion = expansion.withColumn("term_bucket", bucketed)
         keys = ["term_bucket", "term"]
-    return index.postings.join(expansion, keys)
+    return rows.join(expansion, keys)
 
 
-def word_matches(expanded: DataFrame) -> DataFrame:
+def word_matches(expanded: DataFrame, *of_document: str) -> DataFrame:
     """``(doc_id, word, tf, norm, as_typed, exact)``: the one shuffle of matched postings.
 
+    More columns, of which a document has one value, may be kept.
+
     Rows are hashed by ``doc_id`` alone, so this aggregate and the one per query
     run on the same partitioning, and no frequent word gathers in one task.
     """
     return (
         expanded.select(
-            "doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "norm", "as_typed", "exact"
+            "doc_id", "word", (F.col("tf") * F.col("occ")).alias("n"), "norm", "as_typed", "exact", *of_document
         )
         .repartition("doc_id")
         .groupBy("doc_id", "word")
@@ -228,6 +257,7 @@ def word_matches(expanded: DataFrame) -> DataFrame:
             F.max("norm").alias("norm"),
             F.max("as_typed").alias("as_typed"),
             F.max("exact").alias("exact"),
+            *(F.max(c).alias(c) for c in of_document),
         )
     )
 
@@ -236,11 +266,14 @@ def mask_columns(n_lanes: int) -> list[str]:
     return [f"mask_{lane}" for lane in range(n_lanes)]
 
 
-def query_matches(matches: DataFrame, words: DataFrame, mask_names: list[str]) -> DataFrame:
+def query_matches(
+    matches: DataFrame, words: DataFrame, mask_names: list[str], keys: Sequence[str] = ("word",)
+) -> DataFrame:
     """``(query_id, doc_id, tf, norm, squares, mask_0, ...)`` from per-word matches.
 
     ``words(query_id, word, word_no, repeats)``; the masks hold one bit per
-    word found as an exact token.
+    word found as an exact token. With ``doc_block`` as a further key, a query has
+    its words only in the blocks that are searched for it.
     """
     one = F.lit(1).cast("long")
     masks = []
@@ -250,7 +283,7 @@ def query_matches(matches: DataFrame, words: DataFrame, mask_names: list[str]) -
         bit = F.call_function("shiftleft", one, F.greatest(offset, F.lit(0)))
         masks.append(F.bit_or(F.when(in_lane, bit).otherwise(one - one)).alias(name))
     return (
-        matches.join(words, "word")
+        matches.join(words, list(keys))
         .groupBy("query_id", "doc_id")
         .agg(
             F.sum(F.col("repeats") * F.col("tf")).alias("tf"),

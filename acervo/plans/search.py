@@ -19,6 +19,7 @@ from acervo.session import (
 )
 
 DEFAULT_RESULTS = 10
+SEED_BLOCKS = 4  # blocks per query that are searched before the others' limits are compared
 SCANNED_TERMS = 10_000_000  # up to here a handful of words is tested on every term; a guess, at 0.3 M terms the scan is faster
 
 
@@ -128,27 +129,43 @@ def expand_batch(index: Index, batch: Batch) -> DataFrame:
     return cut_lineage(rk.expand_words(index.vocabulary, words, batch.lengths))
 
 
-def batch_matches(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
+def batch_matches(index: Index, batch: Batch, expansion: DataFrame, needed: DataFrame | None = None) -> DataFrame:
     """Matches per document and word, by the cheapest way the sizes allow.
 
     A small expansion goes to the postings as a broadcast. When a few short
     words are inside too many terms for that, they are tested on the postings
     where they lie, which spares a shuffle of all postings. Otherwise the two
-    are joined by hash.
+    are joined by hash. With ``needed(word, doc_block)`` a word is looked for in these blocks only.
     """
     if is_small(expansion):
-        return rk.word_matches(rk.expanded_postings(index, F.broadcast(expansion)))
-    if batch.few_words:
-        return rk.word_matches(rk.expand_few_words(index.postings, batch.few_words))
-    return rk.word_matches(rk.expanded_postings(index, expansion))
-
-
-def scored_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
+        expanded = rk.expanded_postings(index, F.broadcast(expansion))
+    elif batch.few_words:
+        expanded = rk.expand_few_words(index.postings, batch.few_words)
+    else:
+        expanded = rk.expanded_postings(index, expansion)
+    if needed is None:
+        return rk.word_matches(expanded)
+    return rk.word_matches(expanded.join(needed, ["word", "doc_block"], "left_semi"), "doc_block")
+
+
+def scored_documents(
+    index: Index, batch: Batch, expansion: DataFrame, chosen: DataFrame | None = None
+) -> DataFrame:
     """Every document with an occurrence of some query word, per query:
     ``(query_id, doc_id, score, is_match)``.
+
+    With a stored ``chosen(query_id, doc_block)``, of these blocks only.
     """
-    matches = batch_matches(index, batch, expansion)
-    per_query = rk.query_matches(matches, batch.hinted(batch.words), batch.masks)
+    if chosen is None:
+        matches = batch_matches(index, batch, expansion)
+        per_query = rk.query_matches(matches, batch.hinted(batch.words), batch.masks)
+    else:
+        held = F.broadcast if is_small(chosen) else lambda df: df
+        # True of every row; it lets Spark prune the postings' partitions by a broadcast.
+        words = cut_lineage(batch.words.join(held(chosen), "query_id")).filter("doc_block >= 0")
+        held = F.broadcast if is_small(words) else lambda df: df
+        matches = batch_matches(index, batch, expansion, held(words.select("word", "doc_block").distinct()))
+        per_query = rk.query_matches(matches, held(words), batch.masks, ["word", "doc_block"])
     programs = batch.programs.select("query_id", "program", "truth_table")
     return (
         per_query.join(batch.hinted(programs), "query_id")
@@ -161,11 +178,51 @@ def scored_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFr
     )
 
 
+def best_matches(
+    index: Index, batch: Batch, expansion: DataFrame, n: int, chosen: DataFrame | None = None
+) -> DataFrame:
+    scored = scored_documents(index, batch, expansion, chosen)
+    return rk.top_n(scored.filter("is_match").drop("is_match"), n)
+
+
+def limited_blocks(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
+    """``(query_id, doc_block, most, place)``: the blocks with some word of the query, the most promising first."""
+    held = F.broadcast(expansion) if is_small(expansion) else expansion
+    limits = rk.block_limits(rk.word_tops(index, held), batch.hinted(batch.words))
+    line = Window.partitionBy("query_id").orderBy(F.desc("most"), "doc_block")
+    return cut_lineage(limits.withColumn("place", F.row_number().over(line)))
+
+
+def blocks_in_reach(limits: DataFrame, best: DataFrame, n: int) -> DataFrame:
+    """Of the blocks after the first, those that can hold a document as good as the query's nth of ``best``."""
+    nth = best.filter(F.col("rank") == n).select("query_id", F.col("score").alias("nth"))
+    rest = limits.filter(F.col("place") > SEED_BLOCKS).join(nth, "query_id", "left")
+    return rest.filter(F.col("most") >= F.coalesce("nth", F.lit(0.0))).select("query_id", "doc_block")
+
+
+def best_by_blocks(index: Index, batch: Batch, expansion: DataFrame, n: int) -> DataFrame:
+    """The same rows as ``best_matches``, without the blocks whose best possible score is too low.
+
+    Each query is first answered from the few blocks with the highest limits. Blocks that
+    cannot reach its nth score there are not read for it; equal scores count as reached,
+    as a smaller id may win. A query with fewer than n results so far reads all its blocks.
+    """
+    limits = limited_blocks(index, batch, expansion)
+    first = limits.filter(F.col("place") <= SEED_BLOCKS).select("query_id", "doc_block")
+    best = cut_lineage(best_matches(index, batch, expansion, n, cut_lineage(first)))
+    rest = cut_lineage(blocks_in_reach(limits, best, n))
+    if rest.isEmpty():
+        return best
+    more = best_matches(index, batch, expansion, n, rest)
+    return rk.top_n(best.unionByName(more).drop("rank"), n)
+
+
 def rank_batch(index: Index, batch: Batch, n: int) -> DataFrame:
     """``(query_id, doc_id, score, rank)``, the best ``n`` per query."""
     expansion = expand_batch(index, batch)
-    scored = scored_documents(index, batch, expansion)
-    best = rk.top_n(scored.filter("is_match").drop("is_match"), n)
+    # With few blocks the limits could not spare what they cost.
+    by_blocks = n > 0 and index.term_blocks is not None and len(index.bounds) > 2 * SEED_BLOCKS
+    best = (best_by_blocks if by_blocks else best_matches)(index, batch, expansion, n)
     if not batch.any_true_without_match or n == 0:
         return best
     # Queries such as NOT x are also true for documents without any of their
@@ -246,11 +303,11 @@ def untouched_documents(index: Index, batch: Batch, expansion: DataFrame, n: int
     )
     if batch.n_queries * n <= MAX_BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
+    postings = index.postings
+    if "doc_block" not in postings.columns:
+        postings = postings.withColumn("doc_block", block_of)
     in_blocks = replace(
-        index,
-        postings=index.postings.withColumn("doc_block", block_of)
-        .join(chosen.select("doc_block").distinct(), "doc_block", "left_semi")
-        .drop("doc_block"),
+        index, postings=postings.join(chosen.select("doc_block").distinct(), "doc_block", "left_semi")
     )
     by_id = Window.partitionBy("query_id").orderBy("doc_id")
     return (

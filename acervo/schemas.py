@@ -62,6 +62,18 @@ POSTINGS = T.StructType(
         T.StructField("tf", T.LongType()),
         T.StructField("norm", T.DoubleType()),
         T.StructField("term_bucket", T.LongType()),
+        T.StructField("doc_block", T.LongType()),
+    ]
+)
+
+TERM_BLOCKS = T.StructType(
+    [
+        T.StructField("term", T.StringType()),
+        T.StructField("doc_block", T.LongType()),
+        T.StructField("df", T.LongType()),
+        T.StructField("cf", T.LongType()),
+        T.StructField("top", T.DoubleType()),
+        T.StructField("term_bucket", T.LongType()),
     ]
 )
 

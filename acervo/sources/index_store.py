@@ -9,12 +9,13 @@ from acervo.operators.index import (
     Index,
     block_between,
     block_bounds,
+    block_vocabulary,
     document_terms,
+    term_blocks,
     term_bucket,
-    vocabulary,
 )
 from acervo.operators.rank import gram_bucket, term_grams
-from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, VOCABULARY
+from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, TERM_BLOCKS, VOCABULARY
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
@@ -46,10 +47,11 @@ def save_index(
     * documents to their block of ids, each block spread over ``doc_splits``
       tasks; with ``in_id_order`` (every task holds a run of ids already, as
       after ``with_dense_ids``) they stay where they were computed;
-    * postings to one group per bucket of terms and block of ids: the bucket is
-      the partition a term lookup prunes to, and as a term has one posting per
+    * postings to one group per bucket of terms and block of ids, which are the partitions
+      that a term lookup and a search for the best prune to; as a term has one posting per
       document, no term brings more than ``docs_per_block`` rows to a task;
-    * terms to the vocabulary, counted per task first;
+    * the figures of terms by block, summed per task first, to the bucket of their term;
+    * terms to the vocabulary, from those figures;
     * grams of terms to the bucket of their gram, each bucket spread over ``doc_splits``
       tasks by term, as some grams are in very many terms.
     """
@@ -74,11 +76,19 @@ def save_index(
         document_terms(stored)
         .repartition(bucket, block)
         .withColumn("term_bucket", bucket)
-        .sortWithinPartitions("term_bucket", "term", "doc_id")
-        .write.partitionBy("term_bucket")
+        .withColumn("doc_block", block)
+        .sortWithinPartitions("term_bucket", "doc_block", "term", "doc_id")
+        .write.partitionBy("term_bucket", "doc_block")
         .parquet(f"{folder}/postings")
     )
-    terms = vocabulary(_read(spark, folder, "postings", POSTINGS))
+    (
+        term_blocks(_read(spark, folder, "postings", POSTINGS))
+        .repartition("term_bucket", F.pmod(F.col("doc_block"), F.lit(doc_splits).cast("long")))
+        .sortWithinPartitions("term_bucket", "term", "doc_block")
+        .write.partitionBy("term_bucket")
+        .parquet(f"{folder}/term_blocks")
+    )
+    terms = block_vocabulary(_read(spark, folder, "term_blocks", TERM_BLOCKS))
     terms.write.parquet(f"{folder}/vocabulary")
     held = gram_bucket(F.col("gram"), term_buckets)
     (
@@ -118,6 +128,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         grams=_read(spark, saved["folder"], "grams", GRAMS),
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
         n_words=saved["n_words"],
+        term_blocks=_read(spark, saved["folder"], "term_blocks", TERM_BLOCKS),
     )
 
 

@@ -239,6 +239,12 @@ ORACLES: dict[str, str] = {
     ),
     "index_blocks": "WITH placed AS (SELECT doc_id * 1000003 AS id, (row_number() OVER (ORDER BY doc_id) - 1) // 300 AS b FROM documents)"
     " SELECT CAST(b AS BIGINT) AS doc_block, min(id) AS first_id, max(id) AS last_id, count(*) AS n_docs FROM placed GROUP BY b",
+    "term_blocks": _with(
+        ", placed AS (SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 100 AS b FROM texts)"
+        " SELECT t.term, CAST(p.b AS BIGINT) AS doc_block, count(*) AS df, CAST(sum(t.tf) AS BIGINT) AS cf,"
+        " max(t.tf / n.norm) AS top FROM terms t JOIN placed p ON p.doc_id = t.doc_id"
+        " JOIN norms n ON n.doc_id = t.doc_id GROUP BY t.term, p.b"
+    ),
     "query_file": f"WITH {LINES} SELECT CAST(row_number() OVER (ORDER BY query_id) - 1 AS BIGINT) AS query_id, line FROM lines",
     "term_lookup": _matching(_has("tion")),
     "bool_and": _matching(f"{_has('tion')} AND {_has('ing')}"),
@@ -286,6 +292,7 @@ ORACLES: dict[str, str] = {
         batch=False,
     ),
     "search_batch": _search(BATCH, 10, batch=True),
+    "search_by_blocks": _search(BATCH, 10, batch=True),
     "page_links": f"WITH {HREFS} SELECT page_id AS doc_id, href FROM hrefs",
     "site_links": f"WITH {HREFS} SELECT url, site || href AS dst FROM hrefs"
     " WHERE starts_with(site || href, 'https://blog.')",

@@ -156,6 +156,13 @@ def index_blocks(spark, sf_dir):
     return block_catalogue(spark, path)
 
 
+@query
+def term_blocks(spark, sf_dir):
+    """Figures of terms by block, from which searches see what a block can reach."""
+    index = corpus.stored_index(spark, sf_dir, docs_per_block=100)
+    return index.term_blocks.select("term", "doc_block", "df", "cf", "top")
+
+
 # -- boolean ----------------------------------------------------------------------
 @query
 def term_lookup(spark, sf_dir):
@@ -295,6 +302,13 @@ def search_batch(spark, sf_dir):
     return search.search_batch(corpus.stored_index(spark, sf_dir), lines)
 
 
+@query
+def search_by_blocks(spark, sf_dir):
+    """The batch on an index of many blocks, of which only those in reach are read."""
+    lines = spark.createDataFrame(BATCH_LINES, QUERY_SCHEMA)
+    return search.search_batch(corpus.stored_index(spark, sf_dir, docs_per_block=20), lines)
+
+
 # -- links and fetch logs ---------------------------------------------------------
 @query
 def page_links(spark, sf_dir):

@@ -8,7 +8,7 @@ from acervo import session as session_module
 from acervo.operators import boolean as bl
 from acervo.operators.index import build_documents
 from acervo.plans import search as search_module
-from acervo.plans.search import match_one, search_batch, search_one
+from acervo.plans.search import match_one, one_query, prepare_batch, search_batch, search_one
 from acervo.sources.index_store import load_index, save_index
 
 
@@ -84,3 +84,51 @@ def test_few_words_are_looked_up_in_a_large_vocabulary(index, monkeypatch):
     scanned = [tuple(r) for r in search_one(index, "os1 OR fa AND NOT o").collect()]
     monkeypatch.setattr(search_module, "SCANNED_TERMS", 0)
     assert [tuple(r) for r in search_one(index, "os1 OR fa AND NOT o").collect()] == scanned
+
+
+@pytest.fixture(scope="module")
+def many_blocks(spark, tmp_path_factory):
+    """Forty blocks of ten documents; "alfa" is in all of them, and prominent in some of block 7, 21 and 22."""
+    rows = []
+    for i in range(400):
+        rest = " ".join(f"w{i}x{k}" for k in range(12))
+        rows.append((i, "t", f"u{i}", "alfa " * (9 if i in range(212, 224) or i == 75 else 1) + f"dos{i % 3} {rest}"))
+    raw = spark.createDataFrame(rows, "doc_id long, title string, url string, text string")
+    path = str(tmp_path_factory.mktemp("index") / "blocks")
+    save_index(build_documents(raw), path, term_buckets=4, doc_splits=2, docs_per_block=10)
+    return load_index(spark, path)
+
+
+def reach_of(index, line, n):
+    """Blocks with a word of the query, and the ones that are read after the first."""
+    batch = prepare_batch(one_query(index.documents.sparkSession, line))
+    expansion = search_module.expand_batch(index, batch)
+    limits = search_module.limited_blocks(index, batch, expansion)
+    first = limits.filter(f"place <= {search_module.SEED_BLOCKS}").select("query_id", "doc_block")
+    best = search_module.best_matches(index, batch, expansion, n, first).checkpoint()
+    return limits.count(), {r["doc_block"] for r in search_module.blocks_in_reach(limits, best, n).collect()}
+
+
+def test_blocks_out_of_reach_are_not_read(many_blocks):
+    assert reach_of(many_blocks, "alfa", 10) == (40, set())
+    assert reach_of(many_blocks, "alfa OR zzz", 13) == (40, set())
+    # With more results than the first blocks hold, all blocks are read; ties too.
+    assert len(reach_of(many_blocks, "alfa", 50)[1]) == 36
+    assert len(reach_of(many_blocks, "alfa", 14)[1]) == 36
+
+
+@pytest.mark.parametrize("n", [1, 10, 14, 50])
+def test_same_results_with_and_without_limits(many_blocks, monkeypatch, n):
+    lines = ["alfa", "alfa AND dos1", "dos2 OR NOT alfa", "w75x OR lfa", "ALFA OR alfa", "alfa AND NOT dos0 OR w3"]
+    limited = [[tuple(r) for r in search_one(many_blocks, line, n).collect()] for line in lines]
+    monkeypatch.setattr(search_module, "SEED_BLOCKS", 1000)
+    assert [[tuple(r) for r in search_one(many_blocks, line, n).collect()] for line in lines] == limited
+
+
+def test_chosen_blocks_prune_the_postings(spark, many_blocks):
+    batch = prepare_batch(one_query(spark, "alfa"))
+    expansion = search_module.expand_batch(many_blocks, batch)
+    chosen = spark.createDataFrame([(0, 7)], "query_id long, doc_block long")
+    plan = plan_of(search_module.scored_documents(many_blocks, batch, expansion, chosen))
+    assert re.search(r"PartitionFilters: .*doc_block#\d+L\), dynamicpruning", plan)
+    assert "BroadcastNestedLoopJoin" not in plan
