@@ -1,14 +1,16 @@
 """Exact top-k inner products by dual-tree search over cover trees.
 
-Queries are read in blocks of bounded size; a block's cover tree is sent to the
-tasks that hold the candidates. Candidates are laid out by the nearest of a few
-pivots, so that a task's rows lie near each other, and each task builds cover
-trees over bounded runs of its rows. A pair of a query node and a candidate
+Queries and candidates are laid out by the nearest of a few pivots and numbered
+in that order; a block of queries and a run of candidates are bounded stretches of
+numbers, so that their rows lie near each other. Each gets a cover tree, built and
+stored once. Blocks meet runs by keys of a few blocks and a few runs, and each
+meeting is a dual-tree search. A pair of a query node and a candidate
 node is pruned when the largest product that their centres and covering radii
 allow is below the kth score of every query in the node. Near leaves are
 visited first, and the scores against a bounded sample of candidates give the
 first bounds, so that bounds are tight early. Tasks send at most k rows per
-query, which are ranked by query.
+query and key, which are ranked by query. Neither queries nor candidates pass
+through the driver, but for the sample.
 
 In a cover tree a node's children cover its points within a fixed share of its
 radius and their centres lie further apart than that. Children of few points
@@ -17,18 +19,22 @@ are put together in leaves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acervo.llm.common import stored
+from acervo.operators.index import with_dense_ids
 
 SCALE = 64
 K = 20
 QUERY_BLOCK = 4096
 TREE_ROWS = 8192
+SIDE = 8  # blocks and runs that meet under one key
+MEETINGS = 64  # a key has fewer while there are not this many meetings
 LEAF = 64
 SHRINK = 0.7  # a child's radius is at most this share of its parent's
 SAMPLE, PIVOTS = 4096, 64
@@ -52,6 +58,7 @@ class Tree:
         self.center_rows = np.stack(self.centers)
         self.radius = np.array(self.radii)
         self.norm = np.sqrt((self.center_rows**2).sum(axis=1))
+        del self.points, self.centers, self.radii
 
     def add(self, center: np.ndarray, radius: float) -> int:
         self.centers.append(center)
@@ -134,12 +141,19 @@ class Queries:
         self.rows = order  # numbers that tell queries of one id apart
 
 
-def visit(queries: Queries, best: Best, ids: np.ndarray, vectors: np.ndarray) -> None:
+class Candidates:
+    """A run of candidates, ordered by their tree, without copies that cannot be among the ``k`` best."""
+
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
+        keep = first_of_equal(ids, vectors, k + 1)
+        ids, vectors = ids[keep], vectors[keep]
+        self.tree = Tree(vectors.astype(np.float64))
+        self.ids, self.vectors = ids[self.tree.order], vectors[self.tree.order]
+
+
+def visit(queries: Queries, best: Best, run: Candidates) -> None:
     """Offers every candidate that can be among a query's best."""
-    keep = first_of_equal(ids, vectors, best.k + 1)
-    ids, vectors = ids[keep], vectors[keep]
-    tree, own = Tree(vectors.astype(np.float64)), queries.tree
-    ids, vectors = ids[tree.order], vectors[tree.order]
+    ids, vectors, tree, own = run.ids, run.vectors, run.tree, queries.tree
     largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries.vectors).max(initial=0)) * vectors.shape[1]
     exact = largest < EXACT
     reach = own.center_rows @ tree.center_rows.T
@@ -192,17 +206,19 @@ def matrix(column: pa.Array, size: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), size)
 
 
-def laid_out(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """Candidates by nearest pivot, stored, and a bounded sample of them (ids and vectors).
-
-    The sample, of ``SAMPLE`` rows at most by a hash of the id, only sets pivots and first bounds.
-    """
+def sample_of(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and vectors of ``SAMPLE`` rows at most, by a hash of the id; they only set pivots and first bounds."""
     total = rows.count()
     share = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_003)) < int(1_000_003 * min(1.0, SAMPLE / max(total, 1)))
     table = rows.filter(share).limit(2 * SAMPLE).toArrow()
     ids = table.column("vec_id").to_numpy().astype(np.int64)
     vectors = matrix(table.column("vector").combine_chunks(), size) if len(ids) else np.zeros((0, size), dtype=np.int64)
-    pivots = np.unique(vectors, axis=0).astype(np.float64)
+    return ids, vectors
+
+
+def laid_out(rows: DataFrame, sample: np.ndarray, size: int) -> DataFrame:
+    """``(place, vec_id, vector)``: numbered by nearest pivot and id, stored."""
+    pivots = np.unique(sample, axis=0).astype(np.float64)
     pivots = pivots[np.linspace(0, len(pivots) - 1, min(PIVOTS, len(pivots))).astype(int)] if len(pivots) else np.zeros((1, size))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,9 +229,21 @@ def laid_out(rows: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, np.ndar
             yield pa.RecordBatch.from_arrays([pa.array(nearest, pa.int64()), *batch.columns], ["pivot", "vec_id", "vector"])
 
     placed = rows.mapInArrow(run, "pivot long, vec_id long, vector array<bigint>")
-    # Ranges of pivot and id: a pivot with many rows takes several tasks.
-    placed = placed.repartitionByRange("pivot", "vec_id").sortWithinPartitions("pivot", "vec_id")
-    return stored(placed, "vectors"), ids, vectors
+    return stored(with_dense_ids(placed, "pivot", "vec_id", name="place").drop("pivot"), "vectors")
+
+
+def packed(rows: DataFrame, width: int, size: int, build: Callable, name: str) -> DataFrame:
+    """``(number, held)``: one row per ``width`` rows by ``place``, with what ``build(ids, vectors)`` makes of them; stored."""
+
+    def run(group: pa.Table) -> pa.Table:
+        ids = group.column("vec_id").to_numpy().astype(np.int64)
+        order = np.argsort(group.column("place").to_numpy())
+        vectors = matrix(group.column("vector").combine_chunks(), size)
+        held = pickle.dumps(build(ids[order], vectors[order]), protocol=5)
+        return pa.table({"number": group.column("number").slice(0, 1), "held": pa.array([held], pa.binary())})
+
+    numbered = rows.withColumn("number", F.call_function("div", F.col("place"), F.lit(width).cast("long")))
+    return stored(numbered.groupBy("number").applyInArrow(run, "number long, held binary"), name)
 
 
 def first_bounds(ids: np.ndarray, vectors: np.ndarray, sample_ids: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
@@ -228,18 +256,6 @@ def first_bounds(ids: np.ndarray, vectors: np.ndarray, sample_ids: np.ndarray, s
     return out - 1e-6 * np.abs(out)
 
 
-def blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Queries in blocks of bounded size."""
-    held: list[tuple[int, list[int]]] = []
-    for row in queries.toLocalIterator():
-        held.append((row["vec_id"], row["vector"]))
-        if len(held) == QUERY_BLOCK:
-            yield np.array([i for i, _ in held]), np.array([v for _, v in held], dtype=np.int64).reshape(len(held), size)
-            held = []
-    if held:
-        yield np.array([i for i, _ in held]), np.array([v for _, v in held], dtype=np.int64).reshape(len(held), size)
-
-
 def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the k best candidates of each query, by score and then smaller id.
 
@@ -253,51 +269,61 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, vec_id: str = "vec_
     rows = source.select("vec_id", integers(F.col("raw")).alias("vector"), "is_query").distinct()
     rows = stored(rows, "vector-rows")
     out = None
-    for found in rows.select(F.size("vector").alias("size")).distinct().orderBy("size").collect():  # lengths in use
+    # One round per length that queries have.
+    for found in rows.filter("is_query").select(F.size("vector").alias("size")).distinct().orderBy("size").collect():
         size = found["size"]
         same = rows.filter(F.size("vector") == size)
-        candidates, sample_ids, sample = laid_out(same.select("vec_id", "vector"), size)
-        for number, (ids, block) in enumerate(blocks(same.filter("is_query").select("vec_id", "vector"), size)):
-            queries = Queries(ids, block, first_bounds(ids, block, sample_ids, sample, k))
-            part = searched(candidates, vectors.sparkSession.sparkContext.broadcast(queries), size, k)
-            part = part.withColumn("query_block", F.lit(f"{size}/{number}"))
-            out = part if out is None else out.unionByName(part)
+        part = met(same.filter("is_query").select("vec_id", "vector"), same.select("vec_id", "vector"), size, k)
+        part = part.withColumn("size", F.lit(size))
+        out = part if out is None else out.unionByName(part)
     if out is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    best = Window.partitionBy("query_id", "query_block", "query_row").orderBy(F.desc("score"), "vec_id")
+    # Rows that share an id but not a vector are queries of their own.
+    best = Window.partitionBy("query_id", "size", "block", "query_row").orderBy(F.desc("score"), "vec_id")
     ranked = out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-def searched(candidates: DataFrame, shared, size: int, k: int) -> DataFrame:
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries = shared.value
-        best = Best(queries.bounds, k)
-        ids, rows, held = [], [], 0
+def met(queries: DataFrame, candidates: DataFrame, size: int, k: int) -> DataFrame:
+    """``(block, query_id, query_row, vec_id, score)``: what blocks of queries find in runs of candidates."""
+    sample_ids, sample = sample_of(candidates, size)
+    shared = candidates.sparkSession.sparkContext.broadcast((sample_ids, sample))
+    with_bounds = lambda ids, rows: Queries(ids, rows, first_bounds(ids, rows, *shared.value, k))
+    blocks = packed(laid_out(queries, sample, size), QUERY_BLOCK, size, with_bounds, "query-blocks")
+    runs = packed(laid_out(candidates, sample, size), TREE_ROWS, size, lambda ids, rows: Candidates(ids, rows, k), "runs")
+
+    n_blocks, n_runs = blocks.count(), runs.count()
+    side = max(1, min(SIDE, n_blocks * n_runs // MEETINGS))
+    several = lambda column: F.call_function("div", F.col(column), F.lit(side).cast("long"))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit((n - 1) // side).cast("long")))
+    # Every few blocks go to every few runs, so what moves is a share of the meetings.
+    left = blocks.select(F.col("number").alias("block"), F.col("held").alias("queries"), several("number").alias("blocks"), each(n_runs).alias("runs"))
+    right = runs.select(F.col("held").alias("run"), several("number").alias("runs"), each(n_blocks).alias("blocks"))
+    meetings = left.hint("merge").join(right, ["blocks", "runs"]).select("block", "queries", "run")
+
+    def search_each(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, best = None, None, None
         for batch in parts:
-            ids.append(batch.column(0).to_numpy().astype(np.int64))
-            rows.append(matrix(batch.column(1), size))
-            held += len(batch)
-            if held >= TREE_ROWS:
-                visit_all(queries, best, np.concatenate(ids), np.concatenate(rows))
-                ids, rows, held = [], [], 0
-        if held:
-            visit_all(queries, best, np.concatenate(ids), np.concatenate(rows))
-        counts = [len(x) for x in best.ids]
-        if sum(counts):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(queries.ids, counts)),
-                    # Rows that share an id but not a vector are queries of their own.
-                    pa.array(np.repeat(queries.rows, counts)),
-                    pa.array(np.concatenate(best.ids)),
-                    pa.array(np.concatenate(best.scores)),
-                ],
-                ["query_id", "query_row", "vec_id", "score"],
-            )
-
-    def visit_all(queries: Queries, best: Best, ids: np.ndarray, rows: np.ndarray) -> None:
-        for a in range(0, len(ids), TREE_ROWS):
-            visit(queries, best, ids[a : a + TREE_ROWS], rows[a : a + TREE_ROWS])
-
-    return candidates.select("vec_id", "vector").mapInArrow(run, "query_id long, query_row long, vec_id long, score long")
+            for number, blob, run in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                if number != block:
+                    if held is not None:
+                        yield told(block, held, best)
+                    block, held = number, pickle.loads(blob.as_buffer())
+                    best = Best(held.bounds, k)
+                visit(held, best, pickle.loads(run.as_buffer()))
+        if held is not None:
+            yield told(block, held, best)
+
+    return meetings.mapInArrow(search_each, "block long, query_id long, query_row long, vec_id long, score long")
+
+
+def told(block: int, queries: Queries, best: Best) -> pa.RecordBatch:
+    counts = [len(x) for x in best.ids]
+    columns = {
+        "block": np.full(sum(counts), block, dtype=np.int64),
+        "query_id": np.repeat(queries.ids, counts),
+        "query_row": np.repeat(queries.rows, counts),
+        "vec_id": np.concatenate(best.ids),
+        "score": np.concatenate(best.scores),
+    }
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns.values()], list(columns))

@@ -44,6 +44,23 @@ def test_small_trees_and_query_blocks(spark, monkeypatch):
     assert found(spark, rows, 5) == plain(rows, 5)
 
 
+def test_keys_of_several_blocks_and_runs(spark, monkeypatch):
+    monkeypatch.setattr(dual_tree, "TREE_ROWS", 30)
+    monkeypatch.setattr(dual_tree, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(dual_tree, "MEETINGS", 1)
+    monkeypatch.setattr(dual_tree, "SIDE", 4)
+    rows = random_rows(500, 6, 7) + [(5000 + i, [0.25] * 6) for i in range(100)]
+    assert found(spark, rows, 4) == plain(rows, 4)
+
+
+def test_no_union_per_block(spark, monkeypatch):
+    """Many blocks of queries are rows of one stage."""
+    monkeypatch.setattr(dual_tree, "QUERY_BLOCK", 1)
+    frame = spark.createDataFrame(random_rows(200, 4, 8), "vec_id long, embedding array<float>")
+    plan = dual_tree.search(frame, F.col("vec_id") % 20 == 0, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan and "Cartesian" not in plan
+
+
 def test_ties_copies_and_odd_rows(spark):
     rows = random_rows(90, 4, 3)
     rows += [(1000 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(300)]
@@ -80,5 +97,5 @@ def test_pruning_happens(monkeypatch):
     whole = dual_tree.products
     monkeypatch.setattr(dual_tree, "products", lambda a, b, exact: calls.append(len(a) * len(b)) or whole(a, b, exact))
     queries = dual_tree.Queries(np.arange(0, 2000, 20), points[::20], np.full(100, -np.inf))
-    dual_tree.visit(queries, dual_tree.Best(queries.bounds, 5), np.arange(2000), points)
+    dual_tree.visit(queries, dual_tree.Best(queries.bounds, 5), dual_tree.Candidates(np.arange(2000), points, 5))
     assert sum(calls) < 0.5 * 100 * 2000
