@@ -32,9 +32,9 @@ def docs_not(index: Index, operand: DataFrame) -> DataFrame:
 def fetch_documents(index: Index, ids: DataFrame, *columns: str) -> DataFrame:
     """Columns of the documents in ``ids``.
 
-    The block of an id is known, so with an ``ids`` that is broadcast the scan
-    is pruned to the blocks it names.
+    The block, or group of blocks, of an id is known, so with an ``ids`` that is
+    broadcast the scan is pruned to those it names.
     """
-    wanted = ids.withColumn("doc_block", index.block_of(F.col("doc_id")))
-    documents = index.documents.select("doc_id", "doc_block", *columns)
-    return documents.join(wanted, ["doc_block", "doc_id"]).drop("doc_block")
+    wanted = ids.withColumn(index.partition, index.partition_of(F.col("doc_id")))
+    documents = index.documents.select("doc_id", index.partition, *columns)
+    return documents.join(wanted, [index.partition, "doc_id"]).drop(index.partition)

@@ -12,6 +12,7 @@ from acervo.functions import text as tx
 from acervo.session import cut_lineage
 
 DOCS_PER_BLOCK = 1_000_000
+DOCS_PER_GROUP = 16_384  # blocks of fewer documents are stored in groups of about so many
 POSTINGS_PER_LIST = 4096
 
 
@@ -21,8 +22,10 @@ class Index:
     ``postings(term, doc_id, tf)`` and ``vocabulary(term, df, cf)``.
 
     ``term_buckets`` is set when the postings come from a saved index and
-    carry the partition column ``term_bucket``; ``bounds`` are then the smallest ids
-    of its blocks, rising. Without them a block is a run of ``docs_per_block`` ids.
+    carry the partition column ``term_bucket``. Its ``n_blocks`` blocks lie in groups of
+    ``blocks_per_group``: documents and postings are partitioned by ``from_doc_block``, the first
+    block of their group, and ``bounds`` are the smallest ids of the groups, rising.
+    Without them a block is a run of ``docs_per_block`` ids.
     A saved index also has the dictionary of its terms' grams, ``grams(gram, token, term)``
     and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``. Its postings carry their
     ``doc_block``, and ``term_blocks(term, doc_block, df, cf, top)`` sums them up by term and block, with
@@ -39,11 +42,28 @@ class Index:
     gram_counts: DataFrame | None = None
     n_words: int | None = None
     term_blocks: DataFrame | None = None
+    n_blocks: int | None = None
+    blocks_per_group: int = 1
 
-    def block_of(self, doc_id: Column) -> Column:
+    @property
+    def partition(self) -> str:
+        """The column of documents and postings that tells where a document lies."""
+        return "doc_block" if self.bounds is None else "from_doc_block"
+
+    def partition_of(self, doc_id: Column) -> Column:
         if self.bounds is None:
             return doc_block(doc_id, self.docs_per_block)
-        return block_between(doc_id, self.bounds)
+        return block_between(doc_id, self.bounds) * self.blocks_per_group
+
+    @property
+    def block_keys(self) -> list[str]:
+        return ["doc_block"] if self.bounds is None else ["from_doc_block", "doc_block"]
+
+    def with_partition(self, blocks: DataFrame) -> DataFrame:
+        """A table by ``doc_block`` with all of ``block_keys``."""
+        if self.bounds is None:
+            return blocks
+        return blocks.withColumn("from_doc_block", group_of(F.col("doc_block"), self.blocks_per_group))
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -54,6 +74,15 @@ def doc_block(doc_id: Column, docs_per_block: int = DOCS_PER_BLOCK) -> Column:
     return F.call_function("div", doc_id, F.lit(docs_per_block).cast("long"))
 
 
+def blocks_per_group(docs_per_block: int) -> int:
+    return max(1, -(-DOCS_PER_GROUP // docs_per_block))
+
+
+def group_of(block: Column, per_group: int) -> Column:
+    """The first block of the group that a block lies in."""
+    return block - block % per_group
+
+
 def block_between(doc_id: Column, bounds: Sequence[int]) -> Column:
     """The number of the block whose ids begin at the last of ``bounds`` that is not above the id.
 
@@ -71,15 +100,41 @@ def block_between(doc_id: Column, bounds: Sequence[int]) -> Column:
     return (row * width + place).cast("long")
 
 
-def block_bounds(ids: DataFrame, docs_per_block: int) -> tuple[int, ...]:
-    """The smallest id of every block of ``docs_per_block`` documents, from ``ids(doc_id)``.
+def block_starts(ids: DataFrame, docs_per_block: int) -> DataFrame:
+    """``(doc_block, first_id)``: the smallest id of every block of ``docs_per_block`` documents, from ``ids(doc_id)``.
 
-    Blocks hold equally many documents however far apart the ids are. Only ids are
-    sorted, and one in ``docs_per_block`` of them reaches the driver.
+    Blocks hold equally many documents however far apart the ids are. Only ids are sorted.
     """
     ranked = with_dense_ids(ids.select("doc_id"), "doc_id", name="place")
-    first = ranked.filter(F.col("place") % docs_per_block == 0).select("doc_id").orderBy("doc_id")
-    return tuple(row["doc_id"] for row in first.collect())
+    return ranked.filter(F.col("place") % docs_per_block == 0).select(
+        doc_block(F.col("place"), docs_per_block).alias("doc_block"), F.col("doc_id").alias("first_id")
+    )
+
+
+def first_ids(starts: DataFrame) -> tuple[int, ...]:
+    return tuple(row["first_id"] for row in starts.orderBy("doc_block").select("first_id").collect())
+
+
+def block_bounds(ids: DataFrame, docs_per_block: int) -> tuple[int, ...]:
+    """The smallest ids of all blocks, rising, in the driver."""
+    return first_ids(block_starts(ids, docs_per_block))
+
+
+def with_blocks(documents: DataFrame, starts: DataFrame, bounds: Sequence[int], per_group: int) -> DataFrame:
+    """Documents with their ``from_doc_block`` and ``doc_block``, from the table of ``block_starts``.
+
+    An id is compared with the ``bounds`` of the groups and then with the first ids of its own group's blocks.
+    """
+    group = group_of(F.col("doc_block"), per_group).alias("from_doc_block")
+    inside = starts.groupBy(group).agg(F.sort_array(F.collect_list("first_id")).alias("first_ids"))
+    below = F.size(F.filter("first_ids", lambda first: first <= F.col("doc_id")))
+    place = F.greatest(below - 1, F.lit(0)).cast("long")
+    return (
+        documents.withColumn("from_doc_block", block_between(F.col("doc_id"), bounds) * per_group)
+        .join(F.broadcast(inside), "from_doc_block", "left")
+        .withColumn("doc_block", F.col("from_doc_block") + place)
+        .drop("first_ids")
+    )
 
 
 def with_dense_ids(rows: DataFrame, *order: str, name: str = "doc_id") -> DataFrame:
@@ -137,13 +192,13 @@ def build_documents(
     )
 
 
-def document_terms(documents: DataFrame) -> DataFrame:
+def document_terms(documents: DataFrame, *more: str) -> DataFrame:
     """Flat postings ``(term, doc_id, tf, norm)`` of a document table; no shuffle.
 
-    The norm is the document's, so that a search needs no join to score.
+    The norm is the document's, so that a search needs no join to score. More columns may be kept.
     """
     counts = tx.term_counts("if(text = '', cast(array() as array<string>), split(text, ' '))")
-    return flat_postings(documents.select("doc_id", "norm", counts.alias("counts")), "norm")
+    return flat_postings(documents.select("doc_id", "norm", *more, counts.alias("counts")), "norm", *more)
 
 
 def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame:

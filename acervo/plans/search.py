@@ -129,13 +129,16 @@ def expand_batch(index: Index, batch: Batch) -> DataFrame:
     return cut_lineage(rk.expand_words(index.vocabulary, words, batch.lengths))
 
 
-def batch_matches(index: Index, batch: Batch, expansion: DataFrame, needed: DataFrame | None = None) -> DataFrame:
+def batch_matches(
+    index: Index, batch: Batch, expansion: DataFrame, needed: DataFrame | None = None, with_block: bool = False
+) -> DataFrame:
     """Matches per document and word, by the cheapest way the sizes allow.
 
     A small expansion goes to the postings as a broadcast. When a few short
     words are inside too many terms for that, they are tested on the postings
     where they lie, which spares a shuffle of all postings. Otherwise the two
-    are joined by hash. With ``needed(word, doc_block)`` a word is looked for in these blocks only.
+    are joined by hash. With ``needed(word, doc_block)``, and the index' ``block_keys``, a word is looked for in
+    these blocks only. The blocks are kept then, and ``with_block``.
     """
     if is_small(expansion):
         expanded = rk.expanded_postings(index, F.broadcast(expansion))
@@ -143,9 +146,9 @@ def batch_matches(index: Index, batch: Batch, expansion: DataFrame, needed: Data
         expanded = rk.expand_few_words(index.postings, batch.few_words)
     else:
         expanded = rk.expanded_postings(index, expansion)
-    if needed is None:
-        return rk.word_matches(expanded)
-    return rk.word_matches(expanded.join(needed, ["word", "doc_block"], "left_semi"), "doc_block")
+    if needed is not None:
+        expanded = expanded.join(needed, ["word", *index.block_keys], "left_semi")
+    return rk.word_matches(expanded, *(["doc_block"] if with_block or needed is not None else []))
 
 
 def scored_documents(
@@ -162,9 +165,11 @@ def scored_documents(
     else:
         held = F.broadcast if is_small(chosen) else lambda df: df
         # True of every row; it lets Spark prune the postings' partitions by a broadcast.
-        words = cut_lineage(batch.words.join(held(chosen), "query_id")).filter("doc_block >= 0")
+        words = cut_lineage(index.with_partition(batch.words.join(held(chosen), "query_id")))
+        words = words.filter(F.col(index.partition) >= 0)
         held = F.broadcast if is_small(words) else lambda df: df
-        matches = batch_matches(index, batch, expansion, held(words.select("word", "doc_block").distinct()))
+        needed = held(words.select("word", *index.block_keys).distinct())
+        matches = batch_matches(index, batch, expansion, needed)
         per_query = rk.query_matches(matches, held(words), batch.masks, ["word", "doc_block"])
     programs = batch.programs.select("query_id", "program", "truth_table")
     return (
@@ -221,7 +226,7 @@ def rank_batch(index: Index, batch: Batch, n: int) -> DataFrame:
     """``(query_id, doc_id, score, rank)``, the best ``n`` per query."""
     expansion = expand_batch(index, batch)
     # With few blocks the limits could not spare what they cost.
-    by_blocks = n > 0 and index.term_blocks is not None and len(index.bounds) > 2 * SEED_BLOCKS
+    by_blocks = n > 0 and index.term_blocks is not None and index.n_blocks > 2 * SEED_BLOCKS
     best = (best_by_blocks if by_blocks else best_matches)(index, batch, expansion, n)
     if not batch.any_true_without_match or n == 0:
         return best
@@ -249,11 +254,11 @@ def rank_batch(index: Index, batch: Batch, n: int) -> DataFrame:
 
 
 def touched_documents(index: Index, batch: Batch, expansion: DataFrame) -> DataFrame:
-    """``(query_id, doc_id)`` of documents with an occurrence of some query word."""
-    matches = batch_matches(index, batch, expansion)
+    """``(query_id, doc_id, doc_block)`` of documents with an occurrence of some query word."""
+    matches = batch_matches(index, batch, expansion, with_block=True)
     return (
         matches.join(batch.hinted(batch.words.select("query_id", "word")), "word")
-        .select("query_id", "doc_id")
+        .select("query_id", "doc_id", "doc_block")
         .distinct()
     )
 
@@ -272,10 +277,11 @@ def untouched_documents(index: Index, batch: Batch, expansion: DataFrame, n: int
         .agg(F.count(F.lit(1)).alias("n_docs"))
         .withColumn("place", F.row_number().over(Window.orderBy("doc_block")) - 1)
     )
+    if "doc_block" not in index.postings.columns:
+        index = replace(index, postings=index.postings.withColumn("doc_block", index.partition_of(F.col("doc_id"))))
     touched = touched_documents(index, batch, expansion)
-    block_of = index.block_of(F.col("doc_id"))
     used = cut_lineage(
-        touched.groupBy("query_id", block_of.alias("doc_block"))
+        touched.groupBy("query_id", "doc_block")
         .agg(F.count(F.lit(1)).alias("n_used"))
         .join(blocks, "doc_block")
         .select("query_id", "place", (F.col("n_docs") - F.col("n_used")).alias("free"))
@@ -300,19 +306,16 @@ def untouched_documents(index: Index, batch: Batch, expansion: DataFrame, n: int
         candidates.withColumn("before", F.coalesce(F.sum("free").over(earlier), F.lit(0)))
         .filter(F.col("before") < n)
         .select("query_id", "doc_block")
+        .transform(index.with_partition)
     )
     if batch.n_queries * n <= MAX_BROADCAST_ROWS:
         chosen = F.broadcast(chosen)
-    postings = index.postings
-    if "doc_block" not in postings.columns:
-        postings = postings.withColumn("doc_block", block_of)
-    in_blocks = replace(
-        index, postings=postings.join(chosen.select("doc_block").distinct(), "doc_block", "left_semi")
-    )
+    blocks = chosen.select(*index.block_keys).distinct()
+    in_blocks = replace(index, postings=index.postings.join(blocks, index.block_keys, "left_semi"))
     by_id = Window.partitionBy("query_id").orderBy("doc_id")
     return (
-        index.documents.select("doc_id", "doc_block")
-        .join(chosen, "doc_block")
+        index.documents.select("doc_id", *index.block_keys)
+        .join(chosen, index.block_keys)
         .select("query_id", "doc_id")
         .join(
             touched_documents(in_blocks, batch, expansion), ["query_id", "doc_id"], "left_anti"

@@ -52,6 +52,7 @@ DOCUMENTS = T.StructType(
         T.StructField("snippet", T.StringType()),
         T.StructField("norm", T.DoubleType()),
         T.StructField("doc_block", T.LongType()),
+        T.StructField("from_doc_block", T.LongType()),
     ]
 )
 
@@ -61,8 +62,9 @@ POSTINGS = T.StructType(
         T.StructField("doc_id", T.LongType()),
         T.StructField("tf", T.LongType()),
         T.StructField("norm", T.DoubleType()),
-        T.StructField("term_bucket", T.LongType()),
         T.StructField("doc_block", T.LongType()),
+        T.StructField("term_bucket", T.LongType()),
+        T.StructField("from_doc_block", T.LongType()),
     ]
 )
 
@@ -101,4 +103,4 @@ GRAM_COUNTS = T.StructType(
     ]
 )
 
-INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, bounds array<long>"
+INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>"

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from acervo.operators.index import (
     DOCS_PER_BLOCK,
     Index,
-    block_between,
-    block_bounds,
+    block_starts,
     block_vocabulary,
+    blocks_per_group,
     document_terms,
+    first_ids,
     term_blocks,
     term_bucket,
+    with_blocks,
 )
 from acervo.operators.rank import gram_bucket, term_grams
 from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, TERM_BLOCKS, VOCABULARY
+from acervo.session import cut_lineage
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
 DOC_SPLITS = 16
+MAX_CELLS = 16_384  # tasks of one write; beyond, a task takes several cells
 
 
 def save_index(
@@ -39,17 +43,18 @@ def save_index(
 
     Blocks hold ``docs_per_block`` documents each by rising id, however far apart the ids
     are. Their bounds come from ``ids(doc_id)``, or from the documents themselves if no
-    cheaper source of their ids is given.
+    cheaper source of their ids is given. Small blocks are stored in groups, so that the
+    number of files follows the documents, not the blocks.
 
     Each table is derived from the one written before it, so the pages are
     read and cleaned once. Every table is moved once at most:
 
-    * documents to their block of ids, each block spread over ``doc_splits``
+    * documents to their group of blocks, each group spread over ``doc_splits``
       tasks; with ``in_id_order`` (every task holds a run of ids already, as
       after ``with_dense_ids``) they stay where they were computed;
-    * postings to one group per bucket of terms and block of ids, which are the partitions
+    * postings to one cell per bucket of terms and group of blocks, which are the partitions
       that a term lookup and a search for the best prune to; as a term has one posting per
-      document, no term brings more than ``docs_per_block`` rows to a task;
+      document, no term brings more rows to a task than a group has documents;
     * the figures of terms by block, summed per task first, to the bucket of their term;
     * terms to the vocabulary, from those figures;
     * grams of terms to the bucket of their gram, each bucket spread over ``doc_splits``
@@ -58,32 +63,41 @@ def save_index(
     spark = documents.sparkSession
     before = manifest.latest(spark, path)
     folder = manifest.new_folder(path)
-    bounds = block_bounds(documents if ids is None else ids, docs_per_block)
-    block = block_between(F.col("doc_id"), bounds)
+    per_group = blocks_per_group(docs_per_block)
+    starts = cut_lineage(block_starts(documents if ids is None else ids, docs_per_block))
+    bounds = first_ids(starts.filter(F.col("doc_block") % per_group == 0))
+    documents = with_blocks(documents, starts, bounds, per_group)
+    group_no = F.call_function("div", F.col("from_doc_block"), F.lit(per_group).cast("long"))
+    n_groups = max(1, len(bounds))
     if not in_id_order:
-        documents = documents.repartition(
-            block, F.pmod(F.col("doc_id"), F.lit(doc_splits).cast("long"))
-        )
+        documents = _by_cell(documents, group_no, n_groups, F.col("doc_id"), doc_splits)
     (
-        documents.withColumn("doc_block", block)
-        .sortWithinPartitions("doc_block", "doc_id")
-        .write.partitionBy("doc_block")
+        documents.sortWithinPartitions("from_doc_block", "doc_block", "doc_id")
+        .write.partitionBy("from_doc_block")
         .parquet(f"{folder}/documents")
     )
     stored = _read(spark, folder, "documents", DOCUMENTS)
     bucket = term_bucket(F.col("term"), term_buckets)
     (
-        document_terms(stored)
-        .repartition(bucket, block)
-        .withColumn("term_bucket", bucket)
-        .withColumn("doc_block", block)
-        .sortWithinPartitions("term_bucket", "doc_block", "term", "doc_id")
-        .write.partitionBy("term_bucket", "doc_block")
+        _by_cell(
+            document_terms(stored, "doc_block", "from_doc_block").withColumn("term_bucket", bucket),
+            group_no,
+            n_groups,
+            F.col("term_bucket"),
+            term_buckets,
+        )
+        .sortWithinPartitions("term_bucket", "from_doc_block", "term", "doc_id")
+        .write.partitionBy("term_bucket", "from_doc_block")
         .parquet(f"{folder}/postings")
     )
     (
-        term_blocks(_read(spark, folder, "postings", POSTINGS))
-        .repartition("term_bucket", F.pmod(F.col("doc_block"), F.lit(doc_splits).cast("long")))
+        _by_cell(
+            term_blocks(_read(spark, folder, "postings", POSTINGS)),
+            F.col("term_bucket"),
+            term_buckets,
+            F.col("doc_block"),
+            doc_splits,
+        )
         .sortWithinPartitions("term_bucket", "term", "doc_block")
         .write.partitionBy("term_bucket")
         .parquet(f"{folder}/term_blocks")
@@ -92,9 +106,13 @@ def save_index(
     terms.write.parquet(f"{folder}/vocabulary")
     held = gram_bucket(F.col("gram"), term_buckets)
     (
-        term_grams(_read(spark, folder, "vocabulary", VOCABULARY))
-        .repartition(held, F.pmod(F.col("token"), F.lit(doc_splits).cast("long")))
-        .withColumn("gram_bucket", held)
+        _by_cell(
+            term_grams(_read(spark, folder, "vocabulary", VOCABULARY)).withColumn("gram_bucket", held),
+            F.col("gram_bucket"),
+            term_buckets,
+            F.col("token"),
+            doc_splits,
+        )
         .sortWithinPartitions("gram_bucket", "gram", "term")
         .write.partitionBy("gram_bucket")
         .parquet(f"{folder}/grams")
@@ -107,11 +125,23 @@ def save_index(
         "n_docs": stored.count(),
         "term_buckets": term_buckets,
         "docs_per_block": docs_per_block,
+        "n_blocks": starts.count(),
+        "blocks_per_group": per_group,
         "bounds": list(bounds),
     }
     manifest.publish(spark, path, [row], INDEX_MANIFEST, before)
 
 
+def _by_cell(rows: DataFrame, major: Column, n_majors: int, minor: Column, n_minors: int) -> DataFrame:
+    """A task for each ``major`` number below ``n_majors`` and each remainder of ``minor``.
+
+    Hashing these few keys would put several cells into some tasks and none into others.
+    """
+    cell = major * n_minors + F.pmod(minor, F.lit(n_minors).cast("long"))
+    tasks = min(n_majors * n_minors, MAX_CELLS)
+    return rows.repartitionById(tasks, F.coalesce(cell % tasks, F.lit(0)).cast("int"))
+
+
 def load_index(spark: SparkSession, path: str) -> Index:
     """The newest index at ``path`` that was saved as a whole."""
     rows = manifest.latest(spark, path)
@@ -129,6 +159,8 @@ def load_index(spark: SparkSession, path: str) -> Index:
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
         n_words=saved["n_words"],
         term_blocks=_read(spark, saved["folder"], "term_blocks", TERM_BLOCKS),
+        n_blocks=saved["n_blocks"],
+        blocks_per_group=saved["blocks_per_group"],
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from acervo.functions.references import decoded
 from acervo.operators import links as lk
-from acervo.operators.index import block_between, block_bounds, build_documents
+from acervo.operators import index as index_module
+from acervo.operators.index import block_between, block_bounds, build_documents, index_from_documents
 from acervo.plans import crawl as crawl_module
 from acervo.plans.crawl import expand_fetched, seed_urls
 from acervo.plans.search import search_one
@@ -178,6 +179,23 @@ def test_sparse_ids_share_blocks(spark, tmp_path):
     assert search_one(index, f"palabra{ids[33]}").first()["url"] == f"https://h/{ids[33]}"
 
 
+def test_small_blocks_share_partitions(spark, tmp_path, monkeypatch):
+    """Thirty blocks of two documents in groups of five: six partitions, and the results of an index in the plan."""
+    monkeypatch.setattr(index_module, "DOCS_PER_GROUP", 10)
+    path = str(tmp_path / "index")
+    docs = documents(spark, [i * 7 for i in range(60)])
+    index_store.save_index(docs, path, 2, 2, 2)
+    for table in ("documents", "postings"):
+        assert len({p.name for p in (tmp_path / "index").glob(f"versions/*/{table}/**/from_doc_block=*")}) == 6
+    index = index_store.load_index(spark, path)
+    blocks = index_store.block_catalogue(spark, path).orderBy("doc_block").collect()
+    assert [tuple(r) for r in blocks] == [(b, 14 * b, 14 * b + 7, 2) for b in range(30)]
+    assert (index.n_blocks, index.bounds) == (30, tuple(70 * g for g in range(6)))
+    plain = index_from_documents(docs)
+    for line, n in [("palabra7 OR bra42", 50), ("NOT palabra0 AND NOT palabra14", 3)]:
+        assert [tuple(r) for r in search_one(index, line, n).collect()] == [tuple(r) for r in search_one(plain, line, n).collect()]
+
+
 def test_block_of_any_id(spark):
     ids = [0, 5, 6, 100, 101, 102, 5000]
     frame = spark.createDataFrame([(i,) for i in ids], "doc_id long")
