@@ -401,7 +401,9 @@ def page_files(spark, sf_dir):
     whole = F.to_json(F.struct("url", F.when(kind != 7, F.col("text")).alias("text"), "type"))
     line = F.when(kind == 3, F.substring(whole, 1, 20)).otherwise(whole)
     path = scratch_path(spark, "page-files")
-    pages.select(line.alias("value")).write.option("maxRecordsPerFile", "1").text(path)
+    # Tasks move their files into place themselves; the driver would move them one by one.
+    by_task = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+    pages.select(line.alias("value")).write.options(maxRecordsPerFile="1", **by_task).text(path)
     found = scan_page_files(spark, path, "*.txt")
     return found.select("url", F.md5("text").alias("text_md5"), "type", "reason")
 
