@@ -217,13 +217,24 @@ def flat_postings(counted: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def term_blocks(postings: DataFrame) -> DataFrame:
-    """Figures of each term in each block of ids, from ``postings(term_bucket, doc_block, term, tf, norm)``."""
-    return postings.groupBy("term_bucket", "doc_block", "term").agg(
+def term_blocks(postings: DataFrame, splits: int | None = None) -> DataFrame:
+    """Figures of each term in each block of ids, from ``postings(term_bucket, doc_block, term, tf, norm)``.
+
+    Sums are made per task first, which helps if blocks are large. In small blocks a term has few postings; with
+    ``splits`` these move once, to the bucket of their term and one of ``splits`` tasks by block, and are summed there.
+    """
+    keys = ["term_bucket", "doc_block", "term"]
+    rows = postings.select(*keys, "tf", "norm")
+    if splits is not None:
+        split = F.pmod(F.col("doc_block"), F.lit(splits).cast("long"))
+        keys = [*keys, "split"]
+        rows = rows.withColumn("split", split).repartition("term_bucket", "split")
+    figures = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("df"),
         F.sum("tf").alias("cf"),
         F.max(F.col("tf") / F.col("norm")).alias("top"),
     )
+    return figures.drop("split")
 
 
 def block_vocabulary(blocks: DataFrame) -> DataFrame:

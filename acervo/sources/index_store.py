@@ -55,7 +55,8 @@ def save_index(
     * postings to one cell per bucket of terms and group of blocks, which are the partitions
       that a term lookup and a search for the best prune to; as a term has one posting per
       document, no term brings more rows to a task than a group has documents;
-    * the figures of terms by block, summed per task first, to the bucket of their term;
+    * the figures of terms by block to the bucket of their term, summed per task first if the
+      blocks are not grouped;
     * terms to the vocabulary, from those figures;
     * grams of terms to the bucket of their gram, each bucket spread over ``doc_splits``
       tasks by term, as some grams are in very many terms.
@@ -90,15 +91,13 @@ def save_index(
         .write.partitionBy("term_bucket", "from_doc_block")
         .parquet(f"{folder}/postings")
     )
+    postings = _read(spark, folder, "postings", POSTINGS)
+    if per_group > 1:
+        figures = term_blocks(postings, doc_splits)
+    else:
+        figures = _by_cell(term_blocks(postings), F.col("term_bucket"), term_buckets, F.col("doc_block"), doc_splits)
     (
-        _by_cell(
-            term_blocks(_read(spark, folder, "postings", POSTINGS)),
-            F.col("term_bucket"),
-            term_buckets,
-            F.col("doc_block"),
-            doc_splits,
-        )
-        .sortWithinPartitions("term_bucket", "term", "doc_block")
+        figures.sortWithinPartitions("term_bucket", "term", "doc_block")
         .write.partitionBy("term_bucket")
         .parquet(f"{folder}/term_blocks")
     )

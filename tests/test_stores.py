@@ -196,6 +196,15 @@ def test_small_blocks_share_partitions(spark, tmp_path, monkeypatch):
         assert [tuple(r) for r in search_one(index, line, n).collect()] == [tuple(r) for r in search_one(plain, line, n).collect()]
 
 
+def test_figures_of_small_blocks_are_summed_where_they_arrive(spark):
+    rows = [(i % 3, i % 5, f"t{i % 7}", 1 + i % 4, 1.0 + i % 2) for i in range(400)]
+    postings = spark.createDataFrame(rows, "term_bucket long, doc_block long, term string, tf long, norm double")
+    summed, moved = index_module.term_blocks(postings), index_module.term_blocks(postings, 3)
+    plan = moved._jdf.queryExecution().executedPlan().toString()
+    assert moved.columns == summed.columns and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, moved.collect())) == sorted(map(tuple, summed.collect()))
+
+
 def test_block_of_any_id(spark):
     ids = [0, 5, 6, 100, 101, 102, 5000]
     frame = spark.createDataFrame([(i,) for i in ids], "doc_id long")
