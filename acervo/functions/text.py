@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
 from pathlib import Path
@@ -79,6 +80,22 @@ def index_tokens_sql(text: str, stop: Sequence[str] | None = None) -> str:
     return f"filter(split(lower({spaced}), ' '), w -> w <> '' AND {_not_stopped('w', stop)})"
 
 
+def all_assigned(text: str) -> bool:
+    """Whether Python's tables have all characters of the text."""
+    return text.isascii() or all(unicodedata.category(c) != "Cn" for c in set(text))
+
+
+def clean_text(text: str, stop: frozenset[str]) -> str:
+    """The tokens of ``index_tokens`` of one text, joined by single spaces.
+
+    Python's ``split`` without an argument cuts at the characters of ``WHITESPACE``. No rule for
+    lower case looks beyond a space, so it does not matter that this comes before the split.
+    """
+    for mark in PUNCTUATION:
+        text = text.replace(mark, "")
+    return " ".join([w for w in text.lower().split() if w not in stop])
+
+
 def term_counts_sql(tokens: str) -> str:
     """``array<struct<term, tf>>`` of one document, without a shuffle.
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from acervo.functions import text as tx
 from acervo.session import cut_lineage
@@ -14,6 +17,7 @@ from acervo.session import cut_lineage
 DOCS_PER_BLOCK = 1_000_000
 DOCS_PER_GROUP = 16_384  # blocks of fewer documents are stored in groups of about so many
 POSTINGS_PER_LIST = 4096
+BYTES_AT_ONCE = 1 << 20  # of text, whose terms a task counts in one step
 
 
 @dataclass(frozen=True)
@@ -181,24 +185,96 @@ def build_documents(
     docs_per_block: int = DOCS_PER_BLOCK,
 ) -> DataFrame:
     """Document table from ``extracted(doc_id, title, url, text)``; no shuffle."""
-    return extracted.withColumn("tokens", tx.index_tokens("text", stop)).select(
+    stopped = frozenset(tx.stopwords() if stop is None else stop)
+    cleaned = F.arrow_udf(lambda texts: clean_texts(texts, stopped), "text string, norm double, is_known boolean")
+    is_known = F.col("cleaned.is_known")
+    return extracted.withColumn("cleaned", cleaned("text")).select(
         "doc_id",
         "title",
         "url",
-        tx.joined("tokens").alias("text"),
+        F.when(is_known, F.col("cleaned.text")).otherwise(tx.joined(tx.index_tokens("text", stop))).alias("text"),
         tx.snippet(F.col("text")).alias("snippet"),
-        tx.norm("tokens").alias("norm"),
+        F.when(is_known, F.col("cleaned.norm")).otherwise(tx.norm(tx.index_tokens_sql("text", stop))).alias("norm"),
         doc_block(F.col("doc_id"), docs_per_block).alias("doc_block"),
     )
 
 
+def clean_texts(texts: pa.Array, stop: frozenset[str]) -> pa.Array:
+    """``struct<text, norm, is_known>``: texts as joined tokens, and their norms, 0.0 without tokens.
+
+    Texts with characters that this Python does not know are left to Spark, which may know their lower case.
+    """
+    texts = texts.to_pylist()
+    known = [text is None or tx.all_assigned(text) for text in texts]
+    cleaned = pa.array([tx.clean_text(t, stop) if t and k else t for t, k in zip(texts, known)], pa.string())
+    norms = [np.empty(0)]
+    for part in text_slices(cleaned):
+        _, _, places, tf = counted_terms(part)
+        squares = np.bincount(places, weights=tf * tf, minlength=len(part))
+        norms.append(np.where(np.array(pc.binary_length(part)) > 0, np.sqrt(squares), 0.0))
+    columns = [cleaned, pa.array(np.concatenate(norms)), pa.array(known, pa.bool_())]
+    return pa.StructArray.from_arrays(columns, ["text", "norm", "is_known"])
+
+
+def text_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of about ``BYTES_AT_ONCE`` each, or of a single longer text; null texts become empty."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(np.array(pc.binary_length(texts)), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
+        yield texts[start:stop]
+        start = stop
+
+
+def counted_terms(texts: pa.Array, rising: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms, and per term and text the term's number, the text's place and the frequency.
+
+    Texts are tokens joined by single spaces. With ``rising`` terms are numbered in their order.
+    """
+    lists = pc.split_pattern(texts, " ")
+    found = lists.flatten().dictionary_encode()
+    terms, numbers = found.dictionary, found.indices.to_numpy().astype(np.int64)
+    if rising:
+        order = pc.sort_indices(terms).to_numpy()
+        ranks = np.empty(len(terms), dtype=np.int64)
+        ranks[order] = np.arange(len(terms))
+        terms, numbers = terms.take(pa.array(order)), ranks[numbers]
+    keys = numbers * len(texts) + np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    keys.sort()
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    tf = np.diff(np.append(first, len(keys)))
+    return terms, keys[first] // len(texts), keys[first] % len(texts), tf
+
+
 def document_terms(documents: DataFrame, *more: str) -> DataFrame:
     """Flat postings ``(term, doc_id, tf, norm)`` of a document table; no shuffle.
 
     The norm is the document's, so that a search needs no join to score. More columns may be kept.
     """
-    counts = tx.term_counts("if(text = '', cast(array() as array<string>), split(text, ' '))")
-    return flat_postings(documents.select("doc_id", "norm", *more, counts.alias("counts")), "norm", *more)
+    kept = ["doc_id", "norm", *more]
+    rows = documents.select("text", *kept)
+    of_kept = [T.StructField(c, rows.schema[c].dataType) for c in kept]
+    fields = [T.StructField("term", T.StringType()), T.StructField("tf", T.LongType()), *of_kept]
+    return rows.mapInArrow(_count_terms, T.StructType(fields)).select("term", "doc_id", "tf", "norm", *more)
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(term, tf, ...)`` from ``(text, ...)``: the terms of a document are counted in its own row.
+
+    Rows come by rising term, as they are stored; sorting them there only has to merge such runs.
+    """
+    for batch in batches:
+        batch = batch.filter(pc.greater(pc.binary_length(batch.column(0)), 0))
+        done = 0
+        for texts in text_slices(batch.column(0)):
+            terms, numbers, places, tf = counted_terms(texts, rising=True)
+            rows = pa.array(places + done)
+            kept = [column.take(rows) for column in batch.columns[1:]]
+            term = terms.take(pa.array(numbers)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([term, pa.array(tf, pa.int64()), *kept], ["term", "tf", *batch.schema.names[1:]])
+            done += len(texts)
 
 
 def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame:
@@ -217,18 +293,19 @@ def flat_postings(counted: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def term_blocks(postings: DataFrame, splits: int | None = None) -> DataFrame:
+def term_blocks(postings: DataFrame, splits: int | None = None, tasks: int | None = None) -> DataFrame:
     """Figures of each term in each block of ids, from ``postings(term_bucket, doc_block, term, tf, norm)``.
 
     Sums are made per task first, which helps if blocks are large. In small blocks a term has few postings; with
-    ``splits`` these move once, to the bucket of their term and one of ``splits`` tasks by block, and are summed there.
+    ``splits`` these move once, to the bucket of their term and one of ``splits`` shares of the blocks, and are summed
+    there, by ``tasks`` tasks if given.
     """
     keys = ["term_bucket", "doc_block", "term"]
     rows = postings.select(*keys, "tf", "norm")
     if splits is not None:
         split = F.pmod(F.col("doc_block"), F.lit(splits).cast("long"))
         keys = [*keys, "split"]
-        rows = rows.withColumn("split", split).repartition("term_bucket", "split")
+        rows = rows.withColumn("split", split).repartition(*([] if tasks is None else [tasks]), "term_bucket", "split")
     figures = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("df"),
         F.sum("tf").alias("cf"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -11,6 +13,29 @@ MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 
+OPEN_FILES = 8
+OPEN_FILES_KEY = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@contextmanager
+def rows_as_sorted(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written by partition here keep the order of their tasks' rows.
+
+    Spark otherwise sorts a task's rows by the partition columns first. Where a task has one or a few
+    partitions these are equal in nearly all comparisons, which then have to look into the rows. A task keeps up to
+    ``OPEN_FILES`` files open; if it has more partitions, Spark sorts its remaining rows.
+    """
+    before = spark.conf.get(OPEN_FILES_KEY, None)
+    spark.conf.set(OPEN_FILES_KEY, str(OPEN_FILES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(OPEN_FILES_KEY)
+        else:
+            spark.conf.set(OPEN_FILES_KEY, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or set on the context.
 

@@ -18,7 +18,7 @@ from acervo.operators.index import (
 )
 from acervo.operators.rank import gram_bucket, term_grams
 from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, TERM_BLOCKS, VOCABULARY
-from acervo.session import cut_lineage
+from acervo.session import cut_lineage, rows_as_sorted
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
@@ -79,43 +79,40 @@ def save_index(
     )
     stored = _read(spark, folder, "documents", DOCUMENTS)
     bucket = term_bucket(F.col("term"), term_buckets)
-    (
-        _by_cell(
-            document_terms(stored, "doc_block", "from_doc_block").withColumn("term_bucket", bucket),
-            group_no,
-            n_groups,
-            F.col("term_bucket"),
-            term_buckets,
-        )
-        .sortWithinPartitions("term_bucket", "from_doc_block", "term", "doc_id")
-        .write.partitionBy("term_bucket", "from_doc_block")
-        .parquet(f"{folder}/postings")
+    cells = _by_cell(
+        document_terms(stored, "doc_block", "from_doc_block").withColumn("term_bucket", bucket),
+        group_no,
+        n_groups,
+        F.col("term_bucket"),
+        term_buckets,
     )
+    with rows_as_sorted(spark):
+        (
+            cells.sortWithinPartitions("term", "doc_id")
+            .write.partitionBy("term_bucket", "from_doc_block")
+            .parquet(f"{folder}/postings")
+        )
     postings = _read(spark, folder, "postings", POSTINGS)
     if per_group > 1:
-        figures = term_blocks(postings, doc_splits)
+        # As many shares of the blocks as groups, so that a task's part does not grow with the index.
+        figures = term_blocks(postings, n_groups, min(n_groups * term_buckets, MAX_CELLS))
     else:
         figures = _by_cell(term_blocks(postings), F.col("term_bucket"), term_buckets, F.col("doc_block"), doc_splits)
-    (
-        figures.sortWithinPartitions("term_bucket", "term", "doc_block")
-        .write.partitionBy("term_bucket")
-        .parquet(f"{folder}/term_blocks")
-    )
+    with rows_as_sorted(spark):
+        figures.write.partitionBy("term_bucket").parquet(f"{folder}/term_blocks")
     terms = block_vocabulary(_read(spark, folder, "term_blocks", TERM_BLOCKS))
     terms.write.parquet(f"{folder}/vocabulary")
     held = gram_bucket(F.col("gram"), term_buckets)
-    (
-        _by_cell(
-            term_grams(_read(spark, folder, "vocabulary", VOCABULARY)).withColumn("gram_bucket", held),
-            F.col("gram_bucket"),
-            term_buckets,
-            F.col("token"),
-            doc_splits,
-        )
-        .sortWithinPartitions("gram_bucket", "gram", "term")
-        .write.partitionBy("gram_bucket")
-        .parquet(f"{folder}/grams")
+    cuts = _by_cell(
+        term_grams(_read(spark, folder, "vocabulary", VOCABULARY)).withColumn("gram_bucket", held),
+        F.col("gram_bucket"),
+        term_buckets,
+        F.col("token"),
+        doc_splits,
     )
+    with rows_as_sorted(spark):
+        # Equal grams side by side, in any order; a single number is sorted without comparing rows.
+        cuts.sortWithinPartitions(F.xxhash64("gram")).write.partitionBy("gram_bucket").parquet(f"{folder}/grams")
     counted = _read(spark, folder, "grams", GRAMS).groupBy("gram").agg(F.count(F.lit(1)).alias("n_terms"))
     counted.write.parquet(f"{folder}/gram_counts")
     row = {

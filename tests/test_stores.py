@@ -3,9 +3,11 @@ import json
 import random
 import time
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from acervo.functions import text as tx
 from acervo.functions.references import decoded
 from acervo.operators import links as lk
 from acervo.operators import index as index_module
@@ -13,6 +15,7 @@ from acervo.operators.index import block_between, block_bounds, build_documents,
 from acervo.plans import crawl as crawl_module
 from acervo.plans.crawl import expand_fetched, seed_urls
 from acervo.plans.search import search_one
+from acervo.session import OPEN_FILES, OPEN_FILES_KEY, rows_as_sorted
 from acervo.sources import index_store, manifest
 from acervo.sources.pages import file_rejects, page_rows, read_pages_back, scan_page_files, write_pages
 
@@ -216,6 +219,58 @@ def test_block_of_any_id(spark):
     assert frame.limit(1).select(block_between(F.col("doc_id"), ())).first()[0] == 0
 
 
+# -- counting in batches, written in the order of the tasks --------------------------
+def test_documents_and_postings_equal_the_column_expressions(spark):
+    """Cleaning and counting in Arrow batches against the expressions of ``functions.text``."""
+    texts = [None, "", "  \t", "Casa casa CASA, (Árbol)  árbol;", "ΟΣ.Α ΟΣ İx", "ᲉB Ɤb \U00010d50Σ b", "de la y Uno"]
+    texts += [f"w{i % 7} w{i % 3} w{i % 7} Palabra\x85fin" for i in range(50)]
+    raw = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    raw = raw.withColumn("title", F.lit("t")).withColumn("url", F.lit("u"))
+    built = index_module.build_documents(raw)
+    plain = raw.select("doc_id", tx.joined(tx.index_tokens("text")).alias("text"), tx.norm(tx.index_tokens_sql("text")).alias("norm"))
+    assert sorted(map(tuple, built.select("doc_id", "text", "norm").collect())) == sorted(map(tuple, plain.collect()))
+    got = index_module.document_terms(built, "doc_block").select("term", "doc_id", "tf", "norm").collect()
+    counted = index_module.text_terms(raw).join(plain.drop("text"), "doc_id").select("term", "doc_id", "tf", "norm").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, counted)) and len(got) > 150
+
+
+def test_terms_are_counted_in_bounded_steps(monkeypatch):
+    """Postings of a batch come in several steps, each by rising term; null and empty texts have none."""
+    monkeypatch.setattr(index_module, "BYTES_AT_ONCE", 12)
+    texts = ["b a b", None, "", "c", "a very long text beyond the step a", "ñ z ñ", "b"]
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "doc_id": list(range(len(texts)))})
+    steps = [step.to_pylist() for step in index_module._count_terms([batch])]
+    assert len(steps) > 2 and all([r["term"] for r in step] == sorted(r["term"] for r in step) for step in steps)
+    counted = {(i, w): t.split(" ").count(w) for i, t in enumerate(texts) if t for w in t.split(" ")}
+    assert {(r["doc_id"], r["term"]): r["tf"] for step in steps for r in step} == counted
+    norms = index_module.clean_texts(batch.column(0), frozenset()).field("norm").to_pylist()
+    assert norms == [5**0.5, 0.0, 0.0, 1.0, 10**0.5, 5**0.5, 1.0]
+
+
+def test_small_cells_are_written_without_a_sort_by_partition(spark, tmp_path):
+    """Partitions come out whole, sorted inside, and the session's setting is as before."""
+    def orders(df):
+        with rows_as_sorted(spark):
+            df.write.partitionBy("bucket").parquet(str(tmp_path / "rows"))
+
+    rows = spark.range(3000).select((F.col("id") * 7919 % 3000).alias("n"), (F.col("id") % 20).alias("bucket"))
+    orders(rows.coalesce(1).sortWithinPartitions("n"))
+    assert spark.conf.get(OPEN_FILES_KEY, None) is None
+    stored = spark.read.parquet(str(tmp_path / "rows")).withColumn("file", F.input_file_name())
+    assert stored.select("n", "bucket").exceptAll(rows).isEmpty() and stored.count() == 3000
+    lists = stored.withColumn("at", F.monotonically_increasing_id()).groupBy("bucket", "file").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("l"))
+    assert sum([x["n"] for x in r["l"]] == sorted(x["n"] for x in r["l"]) for r in lists.collect()) >= OPEN_FILES
+
+
+def test_figures_of_blocks_are_spread_as_the_index_grows(spark):
+    """Tasks follow the cells, not the session's shuffle partitions."""
+    rows = [(i % 2, i % 60, f"t{i % 7}", 1 + i % 4, 1.0 + i % 2) for i in range(400)]
+    postings = spark.createDataFrame(rows, "term_bucket long, doc_block long, term string, tf long, norm double")
+    spread = index_module.term_blocks(postings, 30, 60)
+    assert spread.rdd.getNumPartitions() == 60
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, index_module.term_blocks(postings).collect()))
+
+
 # -- expansion over a fetch log ---------------------------------------------------
 def plain_expansion(edges, log, seeds, most):
     """Level by level with one fetch of every waiting URL per level."""
