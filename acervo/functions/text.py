@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Sequence
 from functools import lru_cache
+from itertools import filterfalse
 from pathlib import Path
 
 from pyspark.sql import Column, functions as F
@@ -80,20 +81,34 @@ def index_tokens_sql(text: str, stop: Sequence[str] | None = None) -> str:
     return f"filter(split(lower({spaced}), ' '), w -> w <> '' AND {_not_stopped('w', stop)})"
 
 
+_assigned: set[str] = set()  # characters that were looked up before
+
+
 def all_assigned(text: str) -> bool:
     """Whether Python's tables have all characters of the text."""
-    return text.isascii() or all(unicodedata.category(c) != "Cn" for c in set(text))
+    if text.isascii():
+        return True
+    new = set(text).difference(_assigned)
+    if any(unicodedata.category(c) == "Cn" for c in new):
+        return False
+    _assigned.update(new)
+    return True
 
 
-def clean_text(text: str, stop: frozenset[str]) -> str:
-    """The tokens of ``index_tokens`` of one text, joined by single spaces.
+def clean_words(text: str, stop: frozenset[str]) -> list[str]:
+    """The tokens of ``index_tokens`` of one text.
 
     Python's ``split`` without an argument cuts at the characters of ``WHITESPACE``. No rule for
     lower case looks beyond a space, so it does not matter that this comes before the split.
     """
     for mark in PUNCTUATION:
         text = text.replace(mark, "")
-    return " ".join([w for w in text.lower().split() if w not in stop])
+    return list(filterfalse(stop.__contains__, text.lower().split()))
+
+
+def clean_text(text: str, stop: frozenset[str]) -> str:
+    """The tokens joined by single spaces."""
+    return " ".join(clean_words(text, stop))
 
 
 def term_counts_sql(tokens: str) -> str:

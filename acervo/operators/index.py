@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from acervo.functions import text as tx
+from acervo.schemas import COUNTED
 from acervo.session import cut_lineage
 
 DOCS_PER_BLOCK = 1_000_000
 DOCS_PER_GROUP = 16_384  # blocks of fewer documents are stored in groups of about so many
 POSTINGS_PER_LIST = 4096
 BYTES_AT_ONCE = 1 << 20  # of text, whose terms a task counts in one step
+BYTES_IN_ORDER = 1 << 23  # of text, whose postings and figures a task puts in the order of the store
+ROWS_AT_ONCE = 1 << 17  # that go to Spark in one batch
 
 
 @dataclass(frozen=True)
@@ -74,6 +81,12 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets).cast("long"))
 
 
+def term_buckets_of(terms: pa.Array, buckets: int) -> np.ndarray:
+    """``term_bucket`` of an array of terms, inside a task."""
+    hashed = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=42), terms.to_numpy(zero_copy_only=False)), np.uint64, len(terms))
+    return hashed.view(np.int64) % buckets
+
+
 def doc_block(doc_id: Column, docs_per_block: int = DOCS_PER_BLOCK) -> Column:
     return F.call_function("div", doc_id, F.lit(docs_per_block).cast("long"))
 
@@ -204,40 +217,46 @@ def clean_texts(texts: pa.Array, stop: frozenset[str]) -> pa.Array:
 
     Texts with characters that this Python does not know are left to Spark, which may know their lower case.
     """
-    texts = texts.to_pylist()
-    known = [text is None or tx.all_assigned(text) for text in texts]
-    cleaned = pa.array([tx.clean_text(t, stop) if t and k else t for t, k in zip(texts, known)], pa.string())
-    norms = [np.empty(0)]
-    for part in text_slices(cleaned):
-        _, _, places, tf = counted_terms(part)
-        squares = np.bincount(places, weights=tf * tf, minlength=len(part))
-        norms.append(np.where(np.array(pc.binary_length(part)) > 0, np.sqrt(squares), 0.0))
-    columns = [cleaned, pa.array(np.concatenate(norms)), pa.array(known, pa.bool_())]
+    cleaned, norms, known = [], [], []
+    for text in texts.to_pylist():
+        known.append(not text or tx.all_assigned(text))
+        words = tx.clean_words(text, stop) if text and known[-1] else []
+        counts = Counter(words).values()
+        cleaned.append(" ".join(words) if text and known[-1] else text)
+        norms.append(math.sqrt(sum(map(mul, counts, counts))))
+    columns = [pa.array(cleaned, pa.string()), pa.array(norms, pa.float64()), pa.array(known, pa.bool_())]
     return pa.StructArray.from_arrays(columns, ["text", "norm", "is_known"])
 
 
-def text_slices(texts: pa.Array) -> Iterator[pa.Array]:
+def text_slices(texts: pa.Array, most_bytes: int | None = None) -> Iterator[pa.Array]:
     """Runs of texts of about ``BYTES_AT_ONCE`` each, or of a single longer text; null texts become empty."""
+    most_bytes = most_bytes or BYTES_AT_ONCE
     texts = pc.fill_null(texts, "")
     ends = np.cumsum(np.array(pc.binary_length(texts)), dtype=np.int64)
     start = 0
     while start < len(texts):
         before = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, before + most_bytes, side="right")))
         yield texts[start:stop]
         start = stop
 
 
-def counted_terms(texts: pa.Array, rising: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+def counted_terms(texts: pa.Array, rising: bool = False, buckets: int | None = None) -> tuple:
     """Distinct terms, and per term and text the term's number, the text's place and the frequency.
 
-    Texts are tokens joined by single spaces. With ``rising`` terms are numbered in their order.
+    Texts are tokens joined by single spaces. With ``rising`` terms are numbered in their order, with ``buckets`` by
+    their bucket first, and the buckets of the terms follow.
     """
     lists = pc.split_pattern(texts, " ")
     found = lists.flatten().dictionary_encode()
     terms, numbers = found.dictionary, found.indices.to_numpy().astype(np.int64)
-    if rising:
+    held = []
+    if rising or buckets:
         order = pc.sort_indices(terms).to_numpy()
+        if buckets:
+            by_number = term_buckets_of(terms, buckets)
+            order = order[np.argsort(by_number[order], kind="stable")]
+            held = [by_number[order]]
         ranks = np.empty(len(terms), dtype=np.int64)
         ranks[order] = np.arange(len(terms))
         terms, numbers = terms.take(pa.array(order)), ranks[numbers]
@@ -245,7 +264,7 @@ def counted_terms(texts: pa.Array, rising: bool = False) -> tuple[pa.Array, np.n
     keys.sort()
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     tf = np.diff(np.append(first, len(keys)))
-    return terms, keys[first] // len(texts), keys[first] % len(texts), tf
+    return terms, keys[first] // len(texts), keys[first] % len(texts), tf, *held
 
 
 def document_terms(documents: DataFrame, *more: str) -> DataFrame:
@@ -277,6 +296,100 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done += len(texts)
 
 
+def counted_cells(cells: DataFrame, buckets: int) -> DataFrame:
+    """Stored postings and the figures of ``term_blocks``, told apart by ``is_figure``, of blocks that each lie in one task.
+
+    Terms are counted once for both, no posting moves, and each step of a task comes by rising bucket and term.
+    """
+    rows = cells.select("text", "doc_id", "norm", "doc_block", "from_doc_block").sortWithinPartitions("doc_block")
+    return rows.mapInArrow(partial(_count_cells, buckets=buckets), COUNTED)
+
+
+def _count_cells(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """``COUNTED`` from ``(text, doc_id, norm, doc_block, from_doc_block)`` by rising block.
+
+    The last block of a step may go on in the next one, so its figures are kept back and summed with those that follow.
+    """
+    kept = None
+    for batch in batches:
+        batch = batch.filter(pc.greater(pc.binary_length(batch.column(0)), 0))
+        done = 0
+        for texts in text_slices(batch.column(0), BYTES_IN_ORDER):
+            rows = batch.slice(done, len(texts)).columns[1:]
+            done += len(texts)
+            counted = counted_terms(texts, buckets=buckets)
+            yield from _postings_of(rows, *counted)
+            found = _figures_of(rows, *counted)
+            if kept is not None:
+                found = _summed(kept, found)
+            is_last = pc.equal(found["doc_block"], rows[2][-1])
+            kept = found.filter(is_last)
+            yield from _figure_batches(found.filter(pc.invert(is_last)))
+    if kept is not None:
+        yield from _figure_batches(kept)
+
+
+def _postings_of(rows: list[pa.Array], terms: pa.Array, numbers, places, tf, held) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(tf), ROWS_AT_ONCE):
+        part = slice(start, start + ROWS_AT_ONCE)
+        of_row, of_term = pa.array(places[part]), numbers[part]
+        doc_id, norm, block, from_block = (column.take(of_row) for column in rows)
+        columns = {
+            "term": terms.take(pa.array(of_term)),
+            "doc_id": doc_id,
+            "tf": pa.array(tf[part]),
+            "norm": norm,
+            "doc_block": block,
+            "is_figure": pa.array(np.zeros(len(of_term), dtype=bool)),
+            "term_bucket": pa.array(held[of_term]),
+            "from_doc_block": from_block,
+        }
+        yield _with_nulls(columns, len(of_term))
+
+
+def _figures_of(rows: list[pa.Array], terms: pa.Array, numbers, places, tf, held) -> pa.Table:
+    doc_id, norm, block, from_block = rows
+    norm, block = norm.to_numpy(zero_copy_only=False), block.to_numpy()
+    of_block = block[places]
+    first = np.flatnonzero((np.diff(numbers, prepend=-1) != 0) | (np.diff(of_block, prepend=of_block[:1]) != 0))
+    of_term = numbers[first]
+    figures = {
+        "term": terms.take(pa.array(of_term)),
+        "doc_block": pa.array(of_block[first]),
+        "df": pa.array(np.diff(np.append(first, len(tf)))),
+        "cf": pa.array(np.add.reduceat(tf, first)),
+        "top": pa.array(np.fmax.reduceat(tf / norm[places], first), from_pandas=True),
+        "term_bucket": pa.array(held[of_term]),
+        "from_doc_block": from_block.take(pa.array(places[first])),
+    }
+    return pa.table(figures)
+
+
+def _figure_batches(figures: pa.Table) -> Iterator[pa.RecordBatch]:
+    for batch in figures.combine_chunks().to_batches(ROWS_AT_ONCE):
+        columns = dict(zip(batch.schema.names, batch.columns))
+        yield _with_nulls(columns | {"is_figure": pa.array(np.ones(len(batch), dtype=bool))}, len(batch))
+
+
+def _with_nulls(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+    """A batch of ``COUNTED``, whose other columns are null."""
+    none = {f.name: pa.nulls(n, pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in COUNTED if f.name not in columns}
+    return pa.RecordBatch.from_pydict({name: columns[name] if name in columns else none[name] for name in COUNTED.names})
+
+
+def _summed(kept: pa.Table, found: pa.Table) -> pa.Table:
+    """Figures kept of one block and those found after it, in which the same block is summed."""
+    is_same = pc.equal(found["doc_block"], kept["doc_block"][0])
+    if not pc.any(is_same).as_py():
+        return pa.concat_tables([kept, found])
+    both = pa.concat_tables([kept, found.filter(is_same)])
+    summed = both.group_by(["term", "doc_block", "term_bucket", "from_doc_block"]).aggregate([("df", "sum"), ("cf", "sum"), ("top", "max")])
+    summed = summed.rename_columns([name.removesuffix("_sum").removesuffix("_max") for name in summed.column_names])
+    # By bucket again, as the files of the store are written one after the other.
+    summed = summed.select(found.column_names).sort_by([("term_bucket", "ascending"), ("term", "ascending")])
+    return pa.concat_tables([summed, found.filter(pc.invert(is_same))])
+
+
 def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame:
     """The same straight from ``texts(doc_id, text)``, not yet normalised."""
     counts = tx.term_counts(tx.index_tokens_sql("text", stop))

@@ -9,17 +9,22 @@ term frequencies gives the same numbers without reading a text.
 from __future__ import annotations
 
 import operator
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Sequence
+from functools import partial, reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from acervo.operators.index import Index, term_bucket
+from acervo.operators.index import ROWS_AT_ONCE, Index, term_bucket, term_buckets_of
 from acervo.operators.query_table import MASK_BITS
+from acervo.schemas import GRAMS
 
 PIECE_LENGTH = 64
 FEW_WORDS = 32
 GRAM = 3
+TERMS_AT_ONCE = 1 << 16  # whose grams a task puts in the order of the store
 
 
 def occurrences(text: Column, word: Column) -> Column:
@@ -86,22 +91,19 @@ def _cuts(rows: DataFrame, starts: str, lengths: Sequence[int], key: str) -> Dat
     )
 
 
-def term_grams(vocabulary: DataFrame) -> DataFrame:
-    """``(gram, token, term)``: the distinct cuts of ``GRAM`` characters of every term.
+def term_grams(vocabulary: DataFrame, buckets: int) -> DataFrame:
+    """``GRAMS``: the distinct cuts of ``GRAM`` characters of every term, with the buckets they are stored in.
 
     Near a term's end the cuts are shorter, so each character begins one and a word of
     fewer characters is found by the beginnings of grams. Very long tokens are cut in
-    overlapping pieces and told by their hash alone, with a null ``term``.
+    overlapping pieces and told by their hash alone, with a null ``term``. Others are cut in
+    Arrow batches where they lie, and come by rising bucket and gram in steps of ``TERMS_AT_ONCE`` terms.
     """
-    terms = vocabulary.select("term").filter(F.length("term") > 0)
+    terms = vocabulary.select("term", F.xxhash64("term").alias("token")).filter(F.length("term") > 0)
     is_long = F.length("term") > PIECE_LENGTH
-    cuts = "array_distinct(transform(sequence(1, {n}), p -> substring({text}, p, " + str(GRAM) + ")))"
-    hashed = F.xxhash64("term").alias("token")
-    short = terms.filter(~is_long).select(
-        F.explode(F.expr(cuts.format(n="length(term)", text="term"))).alias("gram"), hashed, "term"
-    )
+    short = terms.filter(~is_long).mapInArrow(partial(_cut_terms, buckets=buckets), GRAMS)
     pieces = terms.filter(is_long).select(
-        hashed,
+        "token",
         F.explode(
             F.expr(
                 f"transform(sequence(1, length(term), {PIECE_LENGTH}),"
@@ -109,9 +111,42 @@ def term_grams(vocabulary: DataFrame) -> DataFrame:
             )
         ).alias("text"),
     )
-    of_piece = F.explode(F.expr(cuts.format(n=f"least(length(text), {PIECE_LENGTH})", text="text")))
-    long = pieces.select(of_piece.alias("gram"), "token").distinct()
-    return short.unionByName(long.withColumn("term", F.lit(None).cast("string")))
+    cuts = f"array_distinct(transform(sequence(1, least(length(text), {PIECE_LENGTH})), p -> substring(text, p, {GRAM})))"
+    long = pieces.select(F.explode(F.expr(cuts)).alias("gram"), "token").distinct()
+    held = gram_bucket(F.col("gram"), buckets).alias("gram_bucket")
+    return short.unionByName(long.select("gram", "token", F.lit(None).cast("string").alias("term"), held))
+
+
+def _cut_terms(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """``GRAMS`` from ``(term, token)``."""
+    waiting, n_waiting = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        n_waiting += len(batch)
+        if n_waiting >= TERMS_AT_ONCE:
+            yield from _grams_of(waiting, buckets)
+            waiting, n_waiting = [], 0
+    if n_waiting:
+        yield from _grams_of(waiting, buckets)
+
+
+def _grams_of(batches: list[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    terms, tokens = (column.combine_chunks() for column in pa.Table.from_batches(batches).columns)
+    lengths = pc.utf8_length(terms).to_numpy()
+    owners = [np.flatnonzero(lengths > at) for at in range(lengths.max())]
+    cuts = [pc.utf8_slice_codeunits(terms.take(pa.array(own)), at, at + GRAM) for at, own in enumerate(owners)]
+    found = pa.concat_arrays(cuts).dictionary_encode()
+    grams, held = found.dictionary, term_buckets_of(found.dictionary, buckets)
+    order = pc.sort_indices(grams).to_numpy()
+    order = order[np.argsort(held[order], kind="stable")]
+    ranks = np.empty(len(grams), dtype=np.int64)
+    ranks[order] = np.arange(len(grams))
+    keys = np.unique(ranks[found.indices.to_numpy()] * len(terms) + np.concatenate(owners))
+    for start in range(0, len(keys), ROWS_AT_ONCE):
+        rank, own = np.divmod(keys[start : start + ROWS_AT_ONCE], len(terms))
+        of_gram, of_term = pa.array(order[rank]), pa.array(own)
+        columns = [grams.take(of_gram), tokens.take(of_term), terms.take(of_term), pa.array(held[order[rank]])]
+        yield pa.RecordBatch.from_arrays(columns, GRAMS.names)
 
 
 def gram_bucket(gram: Column, buckets: int) -> Column:

@@ -79,6 +79,16 @@ TERM_BLOCKS = T.StructType(
     ]
 )
 
+# Postings and figures of terms by block as they are written together.
+COUNTED = T.StructType(
+    [
+        *POSTINGS.fields[:5],
+        *TERM_BLOCKS.fields[2:5],
+        T.StructField("is_figure", T.BooleanType()),
+        *POSTINGS.fields[5:],
+    ]
+)
+
 VOCABULARY = T.StructType(
     [
         T.StructField("term", T.StringType()),
@@ -103,4 +113,4 @@ GRAM_COUNTS = T.StructType(
     ]
 )
 
-INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>"
+INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>, in_one boolean"

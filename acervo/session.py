@@ -18,15 +18,15 @@ OPEN_FILES_KEY = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @contextmanager
-def rows_as_sorted(spark: SparkSession) -> Iterator[None]:
+def rows_as_sorted(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
     """Tables that are written by partition here keep the order of their tasks' rows.
 
     Spark otherwise sorts a task's rows by the partition columns first. Where a task has one or a few
     partitions these are equal in nearly all comparisons, which then have to look into the rows. A task keeps up to
-    ``OPEN_FILES`` files open; if it has more partitions, Spark sorts its remaining rows.
+    ``files`` files open; if it has more partitions, Spark sorts its remaining rows.
     """
     before = spark.conf.get(OPEN_FILES_KEY, None)
-    spark.conf.set(OPEN_FILES_KEY, str(OPEN_FILES))
+    spark.conf.set(OPEN_FILES_KEY, str(files))
     try:
         yield
     finally:

@@ -10,19 +10,21 @@ from acervo.operators.index import (
     block_starts,
     block_vocabulary,
     blocks_per_group,
+    counted_cells,
     document_terms,
     first_ids,
     term_blocks,
     term_bucket,
     with_blocks,
 )
-from acervo.operators.rank import gram_bucket, term_grams
+from acervo.operators.rank import term_grams
 from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, TERM_BLOCKS, VOCABULARY
-from acervo.session import cut_lineage, rows_as_sorted
+from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
 DOC_SPLITS = 16
+MOST_OPEN = 128  # files that a task keeps open
 MAX_CELLS = 16_384  # tasks of one write; beyond, a task takes several cells
 
 
@@ -50,16 +52,16 @@ def save_index(
     read and cleaned once. Every table is moved once at most:
 
     * documents to their group of blocks, each group spread over ``doc_splits``
-      tasks; with ``in_id_order`` (every task holds a run of ids already, as
+      tasks, or over fewer that have whole blocks if these are grouped; with ``in_id_order`` (every task holds a run of ids already, as
       after ``with_dense_ids``) they stay where they were computed;
     * postings to one cell per bucket of terms and group of blocks, which are the partitions
       that a term lookup and a search for the best prune to; as a term has one posting per
-      document, no term brings more rows to a task than a group has documents;
-    * the figures of terms by block to the bucket of their term, summed per task first if the
-      blocks are not grouped;
+      document, no term brings more rows to a task than a group has documents. Where blocks are grouped the
+      documents move instead, once more, and each task writes the buckets of its own, postings and figures in one;
+    * the figures of terms by block, if these are not grouped, to the bucket of their term, summed per task first;
     * terms to the vocabulary, from those figures;
-    * grams of terms to the bucket of their gram, each bucket spread over ``doc_splits``
-      tasks by term, as some grams are in very many terms.
+    * grams of terms not at all; each task of the vocabulary writes the buckets of its own,
+      as some grams are in very many terms.
     """
     spark = documents.sparkSession
     before = manifest.latest(spark, path)
@@ -70,49 +72,54 @@ def save_index(
     documents = with_blocks(documents, starts, bounds, per_group)
     group_no = F.call_function("div", F.col("from_doc_block"), F.lit(per_group).cast("long"))
     n_groups = max(1, len(bounds))
+    share, shares = F.col("doc_id"), doc_splits
+    if per_group > 1:
+        # Whole blocks to a task; all of a group's, unless there are too few groups to keep the cores busy.
+        cores = spark.sparkContext.defaultParallelism
+        shares = max(1, min(doc_splits, per_group, -(-2 * cores // n_groups)))
+        place = F.col("doc_block") - F.col("from_doc_block")
+        share = F.call_function("div", place * shares, F.lit(per_group).cast("long"))
     if not in_id_order:
-        documents = _by_cell(documents, group_no, n_groups, F.col("doc_id"), doc_splits)
+        documents = _by_cell(documents, group_no, n_groups, share, shares)
     (
         documents.sortWithinPartitions("from_doc_block", "doc_block", "doc_id")
         .write.partitionBy("from_doc_block")
         .parquet(f"{folder}/documents")
     )
     stored = _read(spark, folder, "documents", DOCUMENTS)
-    bucket = term_bucket(F.col("term"), term_buckets)
-    cells = _by_cell(
-        document_terms(stored, "doc_block", "from_doc_block").withColumn("term_bucket", bucket),
-        group_no,
-        n_groups,
-        F.col("term_bucket"),
-        term_buckets,
-    )
-    with rows_as_sorted(spark):
-        (
-            cells.sortWithinPartitions("term", "doc_id")
-            .write.partitionBy("term_bucket", "from_doc_block")
-            .parquet(f"{folder}/postings")
-        )
-    postings = _read(spark, folder, "postings", POSTINGS)
     if per_group > 1:
-        # As many shares of the blocks as groups, so that a task's part does not grow with the index.
-        figures = term_blocks(postings, n_groups, min(n_groups * term_buckets, MAX_CELLS))
+        cells = _by_cell(stored, group_no, n_groups, share, shares)
+        files = max(OPEN_FILES, min(2 * term_buckets, MOST_OPEN))
+        with rows_as_sorted(spark, files):
+            (
+                counted_cells(cells, term_buckets)
+                .write.partitionBy("is_figure", "term_bucket", "from_doc_block")
+                .parquet(f"{folder}/postings")
+            )
     else:
+        bucket = term_bucket(F.col("term"), term_buckets)
+        cells = _by_cell(
+            document_terms(stored, "doc_block", "from_doc_block").withColumn("term_bucket", bucket),
+            group_no,
+            n_groups,
+            F.col("term_bucket"),
+            term_buckets,
+        )
+        with rows_as_sorted(spark):
+            (
+                cells.sortWithinPartitions("term", "doc_id")
+                .write.partitionBy("term_bucket", "from_doc_block")
+                .parquet(f"{folder}/postings")
+            )
+        postings = _read(spark, folder, "postings", POSTINGS)
         figures = _by_cell(term_blocks(postings), F.col("term_bucket"), term_buckets, F.col("doc_block"), doc_splits)
-    with rows_as_sorted(spark):
-        figures.write.partitionBy("term_bucket").parquet(f"{folder}/term_blocks")
-    terms = block_vocabulary(_read(spark, folder, "term_blocks", TERM_BLOCKS))
+        with rows_as_sorted(spark):
+            figures.write.partitionBy("term_bucket").parquet(f"{folder}/term_blocks")
+    terms = block_vocabulary(_read_figures(spark, folder, per_group > 1))
     terms.write.parquet(f"{folder}/vocabulary")
-    held = gram_bucket(F.col("gram"), term_buckets)
-    cuts = _by_cell(
-        term_grams(_read(spark, folder, "vocabulary", VOCABULARY)).withColumn("gram_bucket", held),
-        F.col("gram_bucket"),
-        term_buckets,
-        F.col("token"),
-        doc_splits,
-    )
-    with rows_as_sorted(spark):
-        # Equal grams side by side, in any order; a single number is sorted without comparing rows.
-        cuts.sortWithinPartitions(F.xxhash64("gram")).write.partitionBy("gram_bucket").parquet(f"{folder}/grams")
+    with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))):
+        cuts = term_grams(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
+        cuts.write.partitionBy("gram_bucket").parquet(f"{folder}/grams")
     counted = _read(spark, folder, "grams", GRAMS).groupBy("gram").agg(F.count(F.lit(1)).alias("n_terms"))
     counted.write.parquet(f"{folder}/gram_counts")
     row = {
@@ -124,6 +131,7 @@ def save_index(
         "n_blocks": starts.count(),
         "blocks_per_group": per_group,
         "bounds": list(bounds),
+        "in_one": per_group > 1,
     }
     manifest.publish(spark, path, [row], INDEX_MANIFEST, before)
 
@@ -144,9 +152,10 @@ def load_index(spark: SparkSession, path: str) -> Index:
     if not rows:
         raise FileNotFoundError(f"no index has been saved at {path}")
     saved = rows[0]
+    in_one = bool(saved.asDict().get("in_one"))  # indexes of older versions do not tell
     return Index(
         documents=_read(spark, saved["folder"], "documents", DOCUMENTS),
-        postings=_read(spark, saved["folder"], "postings", POSTINGS),
+        postings=_read(spark, saved["folder"], "postings/is_figure=false" if in_one else "postings", POSTINGS),
         vocabulary=_read(spark, saved["folder"], "vocabulary", VOCABULARY),
         docs_per_block=saved["docs_per_block"],
         term_buckets=saved["term_buckets"],
@@ -154,7 +163,7 @@ def load_index(spark: SparkSession, path: str) -> Index:
         grams=_read(spark, saved["folder"], "grams", GRAMS),
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
         n_words=saved["n_words"],
-        term_blocks=_read(spark, saved["folder"], "term_blocks", TERM_BLOCKS),
+        term_blocks=_read_figures(spark, saved["folder"], in_one),
         n_blocks=saved["n_blocks"],
         blocks_per_group=saved["blocks_per_group"],
     )
@@ -175,5 +184,10 @@ def block_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _read_figures(spark: SparkSession, folder: str, in_one: bool) -> DataFrame:
+    figures = _read(spark, folder, "postings/is_figure=true" if in_one else "term_blocks", TERM_BLOCKS)
+    return figures.select(*TERM_BLOCKS.names)
+
+
 def _read(spark: SparkSession, folder: str, table: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/{table}")

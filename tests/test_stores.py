@@ -11,10 +11,12 @@ from acervo.functions import text as tx
 from acervo.functions.references import decoded
 from acervo.operators import links as lk
 from acervo.operators import index as index_module
+from acervo.operators import rank as rank_module
 from acervo.operators.index import block_between, block_bounds, build_documents, index_from_documents
 from acervo.plans import crawl as crawl_module
 from acervo.plans.crawl import expand_fetched, seed_urls
 from acervo.plans.search import search_one
+from acervo.schemas import GRAMS, POSTINGS, TERM_BLOCKS, VOCABULARY
 from acervo.session import OPEN_FILES, OPEN_FILES_KEY, rows_as_sorted
 from acervo.sources import index_store, manifest
 from acervo.sources.pages import file_rejects, page_rows, read_pages_back, scan_page_files, write_pages
@@ -322,3 +324,64 @@ def test_long_chain_over_a_log_keeps_its_plan(spark, monkeypatch):
     assert rows["u20"]["depth"] == sum(1 if i % 3 else 2 for i in range(20))
     assert visited._jdf.queryExecution().analyzed().toString().count("LogicalRDD") <= 6
     assert expand_fetched(links, log, seed_urls(links, "u00"), max_webs=5).count() == 5
+
+
+# -- postings, figures and grams are written where they are counted -----------------
+def test_cells_are_counted_in_steps_that_cut_blocks(spark, monkeypatch):
+    """Postings and figures of one pass against those of the plans, where a block goes on over several steps."""
+    monkeypatch.setattr(index_module, "BYTES_IN_ORDER", 40)
+    texts = [f"w{i % 7} ñ{i % 3} w{i % 7} x{i}" if i % 11 else "" for i in range(60)]
+    rows = [(i, 1.0 + i % 5, i // 25, 0) for i in range(60)]
+    names = ["text", "doc_id", "norm", "doc_block", "from_doc_block"]
+    columns = [pa.array(texts)] + [pa.array(column) for column in zip(*rows)]
+    batches = pa.table(columns, names).to_batches(max_chunksize=17)
+    found = [r for batch in index_module._count_cells(iter(batches), 3) for r in batch.to_pylist()]
+    docs = spark.createDataFrame([(*r, t) for r, t in zip(rows, texts)], "doc_id long, norm double, doc_block long, from_doc_block long, text string")
+    bucket = index_module.term_bucket(F.col("term"), 3)
+    postings = index_module.document_terms(docs, "doc_block", "from_doc_block").withColumn("term_bucket", bucket)
+    for is_figure, plain in [(False, postings), (True, index_module.term_blocks(postings))]:
+        got = [tuple(r[c] for c in plain.columns) for r in found if r["is_figure"] == is_figure]
+        assert sorted(got) == sorted(map(tuple, plain.collect())) and len(got) > 30
+    null = [r for r in found if r["is_figure"] and r["doc_id"] is not None or not r["is_figure"] and r["df"] is not None]
+    assert not null
+
+
+@pytest.mark.parametrize("per_block", [2, 20_000])
+def test_saved_tables_equal_the_plans(spark, tmp_path, per_block):
+    """Grouped and ungrouped blocks; ids that repeat; more buckets than open files."""
+    texts = [f"palabra{i % 5} {'ab' * (i % 40)} ñandú{i}" for i in range(45)] + [None, ""]
+    raw = spark.createDataFrame([(i - i % 2, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs = index_module.build_documents(raw.withColumn("title", F.lit("t")).withColumn("url", F.lit("u")))
+    path = str(tmp_path / "index")
+    index_store.save_index(docs, path, 70, 2, per_block)
+    index = index_store.load_index(spark, path)
+    assert index.postings.columns == POSTINGS.names and index.term_blocks.columns == TERM_BLOCKS.names
+    plain = index_module.document_terms(docs).select("term", "doc_id", "tf", "norm")
+    assert index.postings.select("term", "doc_id", "tf", "norm").exceptAll(plain).isEmpty() and index.postings.count() == plain.count()
+    summed = index_module.term_blocks(index.postings).select(*TERM_BLOCKS.names)
+    assert index.term_blocks.exceptAll(summed).isEmpty() and index.term_blocks.count() == summed.count()
+    held = index_module.term_bucket(F.col("term"), 70) != F.col("term_bucket")
+    assert index.postings.filter(held).isEmpty() and index.term_blocks.filter(held).isEmpty()
+
+
+def test_grouped_postings_are_not_moved(spark, tmp_path, monkeypatch):
+    """Each task writes the buckets of its own blocks: documents are dealt, postings are not."""
+    dealt = []
+    by_cell = index_store._by_cell
+    monkeypatch.setattr(index_store, "_by_cell", lambda rows, *more: dealt.append(rows.columns) or by_cell(rows, *more))
+    raw = spark.createDataFrame([(i, f"casa árbol{i}") for i in range(9)], "doc_id long, text string")
+    docs = index_module.build_documents(raw.withColumn("title", F.lit("t")).withColumn("url", F.lit("u")))
+    index_store.save_index(docs, str(tmp_path / "index"), 2, 2, 4)
+    assert dealt and all("text" in columns and "term" not in columns for columns in dealt)
+
+
+def test_grams_of_batches_equal_plain_cuts(spark, monkeypatch):
+    monkeypatch.setattr(rank_module, "TERMS_AT_ONCE", 3)
+    terms = ["a", "ab", "ababab", "ñandú", "x𐐷y𐐷x𐐷y", "z" * 64, "abcde" * 30, "", "aaa"]
+    frame = spark.createDataFrame([(t, 1, 1) for t in terms], VOCABULARY).coalesce(1)
+    got = rank_module.term_grams(frame, 5)
+    cut = lambda t: {t[i : i + 3] for i in range(len(t))}
+    plain = sorted((g, t if len(t) <= 64 else "") for t in terms for g in cut(t))
+    assert sorted((r["gram"], r["term"] or "") for r in got.collect()) == plain
+    wrong = (F.col("term").isNotNull() & (F.xxhash64("term") != F.col("token"))) | (rank_module.gram_bucket(F.col("gram"), 5) != F.col("gram_bucket"))
+    assert got.filter(wrong).isEmpty() and got.columns == GRAMS.names
