@@ -57,6 +57,14 @@ def gathered(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, at: np.n
     return flat[np.arange(total) + np.repeat(starts[at] - (ends - own), own)]
 
 
+def spelled_out(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """Stretches of ids as decimal numbers, each followed by a comma."""
+    text = "".join(map("%d,".__mod__, ids.tolist())).encode()
+    digits = 2 + sum(ids >= 10**n for n in range(1, 10))
+    at = np.concatenate([[0], np.cumsum(digits)])
+    return [text[a:b] for a, b in zip(at[starts].tolist(), at[ends].tolist())]
+
+
 class TokenBytes:
     """What each id stands for: the tables that decoding needs."""
 
@@ -119,28 +127,36 @@ class ByteBpe(TokenBytes):
         # so what is used again stays.
         self.now, self.before = Pieces(), Pieces()
 
-    def library_ids(self, pieces: list[str]) -> list[np.ndarray]:
-        """The ids of pieces that are written with a blank before them, but for marked ones.
+    def library_ids(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Pieces, in any order, their ids, one after the other, and how many each has.
 
-        Many pieces go through the library as one text: a blank between other characters always
-        starts a new match, and the tokens' byte lengths show where each piece ends.
+        But for marked ones, pieces are written with a blank before them. Many go through the library
+        as one text: a blank between other characters always starts a new match, and the tokens' byte
+        lengths show where each piece ends.
         """
-        out: dict[str, np.ndarray] = {}
+        named, flat, lengths = [], [], []
         joined = [p for p in pieces if not p[0].isspace() and not p[-1].isspace()]
+        single = [p for p in pieces if p[0].isspace() or p[-1].isspace()]
         chunks = [joined[a : a + TOGETHER] for a in range(0, len(joined), TOGETHER)]
-        found = self.library.encode_batch_fast([" " + " ".join(chunk) for chunk in chunks], add_special_tokens=False)
-        for chunk, encoded in zip(chunks, found):
+        texts = [" " + " ".join(chunk) for chunk in chunks]
+        for chunk, text, encoded in zip(chunks, texts, self.library.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(encoded.ids, dtype=np.int32)
-            ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(p.encode()) + 1 for p in chunk])
+            sizes = map(len, chunk) if text.isascii() else (len(p.encode()) for p in chunk)
+            ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum(np.fromiter(sizes, np.int64, len(chunk)) + 1)
             at = np.searchsorted(ends, wanted)
             if (ends[at] == wanted).all():
-                out.update(zip(chunk, np.split(ids, at[:-1] + 1)))
-        single = [p for p in pieces if p not in out]
+                named += chunk
+                flat.append(ids)
+                lengths.append(np.diff(at, prepend=-1))
+            else:
+                single += chunk
         spelled = [p[1:] if p.startswith(" ") else " " + p for p in single]
         for start in range(0, len(single), 20_000):
-            part = self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)
-            out.update(zip(single[start : start + 20_000], (np.array(e.ids, dtype=np.int32) for e in part)))
-        return [out[p] for p in pieces]
+            part = [e.ids for e in self.library.encode_batch_fast(spelled[start : start + 20_000], add_special_tokens=False)]
+            flat += [np.array(ids, dtype=np.int32) for ids in part]
+            lengths.append(np.array(list(map(len, part)), dtype=np.int64))
+        none = np.zeros(0, dtype=np.int64)
+        return named + single, np.concatenate([none.astype(np.int32), *flat]), np.concatenate([none, *lengths])
 
     def encode_batch(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """The ids of each text."""
@@ -157,10 +173,9 @@ class ByteBpe(TokenBytes):
         if len(self.now.places) > REMEMBERED or self.now.used > MOST_IDS:
             self.now, self.before = Pieces(), self.now
         unknown = set().union(*cut).difference(self.now.places)
-        again = [p for p in unknown if p in self.before.places]
-        self.now.add(again, [self.before.ids(np.array([self.before.places[p]])) for p in again])
-        fresh = [p for p in unknown if p not in self.before.places]
-        self.now.add(fresh, self.library_ids(fresh))
+        again = unknown.intersection(self.before.places)
+        self.now.add(*self.before.taken(list(again)))
+        self.now.add(*self.library_ids(list(unknown.difference(again))))
         place = self.now.places.__getitem__
         for pieces in cut:
             yield np.fromiter(map(place, pieces), np.int64, len(pieces))
@@ -175,20 +190,25 @@ class Pieces:
         self.used = 0
         self.flat, self.starts, self.lengths = (np.zeros(0, dtype=t) for t in (np.int32, np.int64, np.int64))
 
-    def add(self, pieces: list[str], ids: list[np.ndarray]) -> None:
+    def add(self, pieces: list[str], ids: np.ndarray, lengths: np.ndarray, decimals: list[bytes] | None = None) -> None:
         if not pieces:
             return
         count = len(self.places)
         self.places.update(zip(pieces, range(count, count + len(pieces))))
-        self.decimals += [(",".join(map(str, own.tolist())) + ",").encode() for own in ids]
-        lengths = np.array(list(map(len, ids)), dtype=np.int64)
-        ends = self.used + np.cumsum(lengths)
+        own_ends = np.cumsum(lengths)
+        self.decimals += spelled_out(ids, own_ends - lengths, own_ends) if decimals is None else decimals
+        ends = self.used + own_ends
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat[: self.used], np.zeros(int(ends[-1]), dtype=np.int32)])
-        self.flat[self.used : ends[-1]] = np.concatenate(ids)
+        self.flat[self.used : ends[-1]] = ids
         self.used = int(ends[-1])
         self.starts, self.lengths = np.concatenate([self.starts, ends - lengths]), np.concatenate([self.lengths, lengths])
 
+    def taken(self, pieces: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[bytes]]:
+        """What ``add`` of another table needs of known pieces."""
+        places = np.fromiter(map(self.places.__getitem__, pieces), np.int64, len(pieces))
+        return pieces, self.ids(places), self.lengths[places], list(map(self.decimals.__getitem__, places.tolist()))
+
     def ids(self, places: np.ndarray) -> np.ndarray:
         return gathered(self.flat, self.starts, self.lengths, places)
 

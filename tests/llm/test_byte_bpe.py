@@ -100,3 +100,20 @@ def test_round_trips_beside_columns_of_the_new_names(spark):
     assert out.columns == [*docs.columns, "_ids", "_n_tokens", "round_trip"]
     assert [tuple(r)[2:5] for r in out.orderBy("doc_id").collect()] == [([9], 5, "x"), (None, None, None)]
     assert [r["round_trip"] for r in out.collect()] == [True, True]
+
+
+def test_known_pieces_move_together(monkeypatch, known):
+    """Pieces of the older table are taken over in one step, and their ids and decimals stay theirs."""
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)
+    coder = byte_bpe.ByteBpe(PATH, public_tokenizers.PATTERN)
+    texts = [" ".join(f"w{i}é{k}" for i in range(40)) for k in range(5)]
+    calls = []
+    gathered = byte_bpe.gathered
+    for turn in range(3):
+        monkeypatch.setattr(byte_bpe, "gathered", lambda *args: calls.append(turn) or gathered(*args))
+        places = list(coder.places_batch([*texts, "", None]))
+        monkeypatch.setattr(byte_bpe, "gathered", gathered)
+        for text, own in zip([*texts, "", ""], places):
+            ids = known.encode_ordinary(text)
+            assert coder.now.ids(own).tolist() == ids and coder.now.decimal(own).decode() == ",".join(map(str, ids))
+    assert coder.before.places and len(calls) <= 3
