@@ -52,7 +52,7 @@ def save_index(
     read and cleaned once. Every table is moved once at most:
 
     * documents to their group of blocks, each group spread over ``doc_splits``
-      tasks, or over fewer that have whole blocks if these are grouped; with ``in_id_order`` (every task holds a run of ids already, as
+      tasks, by whole blocks if these are grouped; with ``in_id_order`` (every task holds a run of ids already, as
       after ``with_dense_ids``) they stay where they were computed;
     * postings to one cell per bucket of terms and group of blocks, which are the partitions
       that a term lookup and a search for the best prune to; as a term has one posting per
@@ -74,9 +74,8 @@ def save_index(
     n_groups = max(1, len(bounds))
     share, shares = F.col("doc_id"), doc_splits
     if per_group > 1:
-        # Whole blocks to a task; all of a group's, unless there are too few groups to keep the cores busy.
-        cores = spark.sparkContext.defaultParallelism
-        shares = max(1, min(doc_splits, per_group, -(-2 * cores // n_groups)))
+        # Whole blocks to a task. Tasks of a whole group cost more per posting than smaller ones.
+        shares = min(doc_splits, per_group)
         place = F.col("doc_block") - F.col("from_doc_block")
         share = F.call_function("div", place * shares, F.lit(per_group).cast("long"))
     if not in_id_order:
