@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass, replace
 from functools import partial
 from operator import mul
 
@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from acervo.functions import text as tx
-from acervo.schemas import COUNTED
+from acervo.schemas import COUNTED, LISTS, TERM_BLOCKS
 from acervo.session import cut_lineage
 
 DOCS_PER_BLOCK = 1_000_000
@@ -40,7 +40,8 @@ class Index:
     A saved index also has the dictionary of its terms' grams, ``grams(gram, token, term)``
     and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``. Its postings carry their
     ``doc_block``, and ``term_blocks(term, doc_block, df, cf, top)`` sums them up by term and block, with
-    the largest ``tf / norm`` as ``top``.
+    the largest ``tf / norm`` as ``top``. Where blocks are grouped, both are read from ``lists``, one row per
+    term and block with its figures and all its postings.
     """
 
     documents: DataFrame
@@ -55,6 +56,7 @@ class Index:
     term_blocks: DataFrame | None = None
     n_blocks: int | None = None
     blocks_per_group: int = 1
+    lists: DataFrame | None = None
 
     @property
     def partition(self) -> str:
@@ -70,6 +72,20 @@ class Index:
     def block_keys(self) -> list[str]:
         return ["doc_block"] if self.bounds is None else ["from_doc_block", "doc_block"]
 
+    @property
+    def term_rows(self) -> DataFrame:
+        """The postings as they are stored; ``flat`` gives one to a row."""
+        return self.postings if self.lists is None else self.lists
+
+    def flat(self, rows: DataFrame) -> DataFrame:
+        """One posting to a row, from rows made of ``term_rows``."""
+        return rows if self.lists is None else flat_lists(rows)
+
+    def restricted(self, some: Callable[[DataFrame], DataFrame]) -> Index:
+        """The index with some of the rows of its postings, chosen by term or block."""
+        rows = some(self.term_rows)
+        return replace(self, postings=self.flat(rows), lists=None if self.lists is None else rows)
+
     def with_partition(self, blocks: DataFrame) -> DataFrame:
         """A table by ``doc_block`` with all of ``block_keys``."""
         if self.bounds is None:
@@ -296,100 +312,140 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             done += len(texts)
 
 
-def counted_cells(cells: DataFrame, buckets: int) -> DataFrame:
-    """Stored postings and the figures of ``term_blocks``, told apart by ``is_figure``, of blocks that each lie in one task.
+def listed_cells(cells: DataFrame, buckets: int) -> DataFrame:
+    """``LISTS`` of blocks that each lie in one task: per term and block its figures and all its postings.
 
-    Terms are counted once for both, no posting moves, and each step of a task comes by rising bucket and term.
+    Terms are counted once for both and written once per block, no posting moves, and each step of a task comes by
+    rising bucket and term.
     """
     rows = cells.select("text", "doc_id", "norm", "doc_block", "from_doc_block").sortWithinPartitions("doc_block")
-    return rows.mapInArrow(partial(_count_cells, buckets=buckets), COUNTED)
+    return rows.mapInArrow(partial(_list_cells, buckets=buckets), LISTS)
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """``COUNTED`` from ``(text, doc_id, norm, doc_block, from_doc_block)`` by rising block.
+def flat_lists(lists: DataFrame) -> DataFrame:
+    """One posting to a row, from rows with the ``postings`` of ``LISTS``."""
+    others = [c for c in lists.columns if c not in ("postings", "df", "cf", "top")]
+    return lists.select(*others, F.inline("postings"))
 
-    The last block of a step may go on in the next one, so its figures are kept back and summed with those that follow.
+
+def list_figures(lists: DataFrame) -> DataFrame:
+    """The figures of ``term_blocks`` from ``LISTS``."""
+    return lists.filter("df is not null").select(*TERM_BLOCKS.names)
+
+
+def _list_cells(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """``LISTS`` from ``(text, doc_id, norm, doc_block, from_doc_block)`` by rising block.
+
+    A block that goes on over several steps has its figures summed over them, in rows of their own after its lists.
     """
     kept = None
+    for rows, goes_on in _block_steps(batches):
+        found, lists = _listed(rows, *counted_terms(rows.column(0), buckets=buckets))
+        blocks = found["doc_block"].to_numpy()
+        first, last = rows.column(3)[0].as_py(), rows.column(3)[-1].as_py()
+        is_part = np.zeros(len(blocks), dtype=bool)
+        if kept is not None:
+            is_part |= blocks == first
+        if goes_on:
+            is_part |= blocks == last
+        yield from _list_batches(found, lists, is_part)
+        if kept is not None:
+            kept = _summed(pa.concat_tables([kept, found.filter(blocks == first)]))
+            if not (goes_on and first == last):
+                yield from _list_batches(kept)
+                kept = None
+        if goes_on and kept is None:
+            kept = found.filter(blocks == last)
+
+
+def _block_steps(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, bool]]:
+    """Runs of rows of about ``BYTES_IN_ORDER`` of text, and whether the last block of a run goes on in the next one.
+
+    Runs hold whole blocks, but for a block that is larger itself. Rows without text are left out.
+    """
+    waiting = None
     for batch in batches:
-        batch = batch.filter(pc.greater(pc.binary_length(batch.column(0)), 0))
-        done = 0
-        for texts in text_slices(batch.column(0), BYTES_IN_ORDER):
-            rows = batch.slice(done, len(texts)).columns[1:]
-            done += len(texts)
-            counted = counted_terms(texts, buckets=buckets)
-            yield from _postings_of(rows, *counted)
-            found = _figures_of(rows, *counted)
-            if kept is not None:
-                found = _summed(kept, found)
-            is_last = pc.equal(found["doc_block"], rows[2][-1])
-            kept = found.filter(is_last)
-            yield from _figure_batches(found.filter(pc.invert(is_last)))
-    if kept is not None:
-        yield from _figure_batches(kept)
-
-
-def _postings_of(rows: list[pa.Array], terms: pa.Array, numbers, places, tf, held) -> Iterator[pa.RecordBatch]:
-    for start in range(0, len(tf), ROWS_AT_ONCE):
-        part = slice(start, start + ROWS_AT_ONCE)
-        of_row, of_term = pa.array(places[part]), numbers[part]
-        doc_id, norm, block, from_block = (column.take(of_row) for column in rows)
-        columns = {
-            "term": terms.take(pa.array(of_term)),
-            "doc_id": doc_id,
-            "tf": pa.array(tf[part]),
-            "norm": norm,
-            "doc_block": block,
-            "is_figure": pa.array(np.zeros(len(of_term), dtype=bool)),
-            "term_bucket": pa.array(held[of_term]),
-            "from_doc_block": from_block,
-        }
-        yield _with_nulls(columns, len(of_term))
-
-
-def _figures_of(rows: list[pa.Array], terms: pa.Array, numbers, places, tf, held) -> pa.Table:
-    doc_id, norm, block, from_block = rows
-    norm, block = norm.to_numpy(zero_copy_only=False), block.to_numpy()
-    of_block = block[places]
+        rows = batch.filter(pc.greater(pc.binary_length(batch.column(0)), 0))
+        if waiting is not None:
+            rows = pa.concat_batches([waiting, rows])
+        ends = np.cumsum(pc.binary_length(rows.column(0)).to_numpy(), dtype=np.int64)
+        blocks = rows.column(3).to_numpy()
+        start = 0
+        while True:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + BYTES_IN_ORDER, side="right")))
+            if stop >= len(rows):
+                break
+            head = int(np.searchsorted(blocks, blocks[stop]))
+            stop = head if start < head < stop else stop
+            yield rows.slice(start, stop - start), bool(blocks[stop] == blocks[stop - 1])
+            start = stop
+        waiting = rows.slice(start)
+    if waiting is not None and len(waiting):
+        yield waiting, False
+
+
+def _listed(rows: pa.RecordBatch, terms: pa.Array, numbers, places, tf, held) -> tuple[pa.Table, pa.Array]:
+    """The figures per term and block, and for each of them its postings."""
+    _, doc_id, norm, block, from_block = rows.columns
+    of_row, of_block = pa.array(places), block.to_numpy()[places]
+    norms = norm.to_numpy(zero_copy_only=False)[places]
     first = np.flatnonzero((np.diff(numbers, prepend=-1) != 0) | (np.diff(of_block, prepend=of_block[:1]) != 0))
-    of_term = numbers[first]
+    of_term, ends = numbers[first], np.append(first, len(tf))
     figures = {
         "term": terms.take(pa.array(of_term)),
         "doc_block": pa.array(of_block[first]),
-        "df": pa.array(np.diff(np.append(first, len(tf)))),
+        "df": pa.array(np.diff(ends)),
         "cf": pa.array(np.add.reduceat(tf, first)),
-        "top": pa.array(np.fmax.reduceat(tf / norm[places], first), from_pandas=True),
+        "top": pa.array(np.fmax.reduceat(tf / norms, first), from_pandas=True),
         "term_bucket": pa.array(held[of_term]),
         "from_doc_block": from_block.take(pa.array(places[first])),
     }
-    return pa.table(figures)
-
-
-def _figure_batches(figures: pa.Table) -> Iterator[pa.RecordBatch]:
-    for batch in figures.combine_chunks().to_batches(ROWS_AT_ONCE):
-        columns = dict(zip(batch.schema.names, batch.columns))
-        yield _with_nulls(columns | {"is_figure": pa.array(np.ones(len(batch), dtype=bool))}, len(batch))
+    postings = pa.StructArray.from_arrays([doc_id.take(of_row), pa.array(tf), norm.take(of_row)], ["doc_id", "tf", "norm"])
+    return pa.table(figures), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), postings)
+
+
+def _list_batches(figures: pa.Table, lists: pa.Array | None = None, is_part: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches of ``LISTS``; figures of a part of a block are left out, and figures alone have no postings."""
+    if lists is None:
+        lists = pa.nulls(len(figures), pa.list_(pa.struct({"doc_id": pa.int64(), "tf": pa.int64(), "norm": pa.float64()})))
+    if is_part is not None and is_part.any():
+        for name in ("df", "cf", "top"):
+            at = figures.column_names.index(name)
+            column = figures[name].combine_chunks()
+            figures = figures.set_column(at, name, pc.if_else(pa.array(is_part), pa.scalar(None, column.type), column))
+    for batch in figures.append_column("postings", lists).select(LISTS.names).combine_chunks().to_batches(ROWS_AT_ONCE):
+        yield batch
+
+
+def _summed(figures: pa.Table) -> pa.Table:
+    """Figures of the parts of a block in one, by bucket and term, as the files of the store are written one after the other."""
+    keys = ["term", "doc_block", "term_bucket", "from_doc_block"]
+    summed = figures.group_by(keys).aggregate([("df", "sum"), ("cf", "sum"), ("top", "max")])
+    summed = summed.rename_columns([name.removesuffix("_sum").removesuffix("_max") for name in summed.column_names])
+    return summed.select(figures.column_names).sort_by([("term_bucket", "ascending"), ("term", "ascending")])
 
 
-def _with_nulls(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+def _count_cells(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """``COUNTED``, one posting or figure to a row, from what ``_list_cells`` gives."""
+    for batch in _list_cells(batches, buckets):
+        lists = batch.column("postings")
+        owners, postings = pc.list_parent_indices(lists), pc.list_flatten(lists)
+        of_term = ["term", "doc_block", "term_bucket", "from_doc_block"]
+        columns = {name: batch.column(name).take(owners) for name in of_term}
+        columns |= {name: postings.field(name) for name in ("doc_id", "tf", "norm")}
+        yield _with_nulls(columns, len(owners), False)
+        figures = batch.filter(pc.is_valid(batch.column("df")))
+        yield _with_nulls({name: figures.column(name) for name in (*of_term, "df", "cf", "top")}, len(figures), True)
+
+
+def _with_nulls(columns: dict[str, pa.Array], n: int, is_figure: bool) -> pa.RecordBatch:
     """A batch of ``COUNTED``, whose other columns are null."""
+    columns = columns | {"is_figure": pa.array(np.full(n, is_figure))}
     none = {f.name: pa.nulls(n, pa.float64() if f.dataType == T.DoubleType() else pa.int64()) for f in COUNTED if f.name not in columns}
     return pa.RecordBatch.from_pydict({name: columns[name] if name in columns else none[name] for name in COUNTED.names})
 
 
-def _summed(kept: pa.Table, found: pa.Table) -> pa.Table:
-    """Figures kept of one block and those found after it, in which the same block is summed."""
-    is_same = pc.equal(found["doc_block"], kept["doc_block"][0])
-    if not pc.any(is_same).as_py():
-        return pa.concat_tables([kept, found])
-    both = pa.concat_tables([kept, found.filter(is_same)])
-    summed = both.group_by(["term", "doc_block", "term_bucket", "from_doc_block"]).aggregate([("df", "sum"), ("cf", "sum"), ("top", "max")])
-    summed = summed.rename_columns([name.removesuffix("_sum").removesuffix("_max") for name in summed.column_names])
-    # By bucket again, as the files of the store are written one after the other.
-    summed = summed.select(found.column_names).sort_by([("term_bucket", "ascending"), ("term", "ascending")])
-    return pa.concat_tables([summed, found.filter(pc.invert(is_same))])
-
-
 def text_terms(texts: DataFrame, stop: Sequence[str] | None = None) -> DataFrame:
     """The same straight from ``texts(doc_id, text)``, not yet normalised."""
     counts = tx.term_counts(tx.index_tokens_sql("text", stop))

@@ -233,9 +233,21 @@ def _expansion(found: DataFrame, *columns: str) -> DataFrame:
     )
 
 
-def expanded_postings(index: Index, expansion: DataFrame) -> DataFrame:
-    """Postings of the terms in ``expansion``, once per word they contain."""
-    return _met(index, index.postings, expansion)
+def expanded_postings(index: Index, expansion: DataFrame, needed: DataFrame | None = None) -> DataFrame:
+    """Postings of the terms in ``expansion``, once per word they contain.
+
+    With ``needed(word, ...)`` and the index' ``block_keys``, of these blocks only. Lists are met as a whole.
+    """
+    return index.flat(_needed(index, _met(index, index.term_rows, expansion), needed))
+
+
+def few_words_postings(index: Index, words: Sequence[str], needed: DataFrame | None = None) -> DataFrame:
+    """The same for a handful of words, tested on the postings where they lie."""
+    return index.flat(_needed(index, expand_few_words(index.term_rows, words), needed))
+
+
+def _needed(index: Index, rows: DataFrame, needed: DataFrame | None) -> DataFrame:
+    return rows if needed is None else rows.join(needed, ["word", *index.block_keys], "left_semi")
 
 
 def word_tops(index: Index, expansion: DataFrame) -> DataFrame:

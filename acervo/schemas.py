@@ -79,7 +79,17 @@ TERM_BLOCKS = T.StructType(
     ]
 )
 
-# Postings and figures of terms by block as they are written together.
+# Figures of terms by block with the block's postings, as they are stored where blocks are grouped. A block that is
+# counted in several steps has rows without figures, and one per term without postings.
+LISTS = T.StructType(
+    [
+        *TERM_BLOCKS.fields[:5],
+        T.StructField("postings", T.ArrayType(T.StructType(POSTINGS.fields[1:4]))),
+        *POSTINGS.fields[5:],
+    ]
+)
+
+# The same with one posting or figure to a row.
 COUNTED = T.StructType(
     [
         *POSTINGS.fields[:5],
@@ -113,4 +123,4 @@ GRAM_COUNTS = T.StructType(
     ]
 )
 
-INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>, in_one boolean"
+INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>, in_one boolean, in_lists boolean"

@@ -10,15 +10,17 @@ from acervo.operators.index import (
     block_starts,
     block_vocabulary,
     blocks_per_group,
-    counted_cells,
     document_terms,
     first_ids,
+    flat_lists,
+    list_figures,
+    listed_cells,
     term_blocks,
     term_bucket,
     with_blocks,
 )
 from acervo.operators.rank import term_grams
-from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, POSTINGS, TERM_BLOCKS, VOCABULARY
+from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, LISTS, POSTINGS, TERM_BLOCKS, VOCABULARY
 from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted
 from acervo.sources import manifest
 
@@ -88,11 +90,11 @@ def save_index(
     stored = _read(spark, folder, "documents", DOCUMENTS)
     if per_group > 1:
         cells = _by_cell(stored, group_no, n_groups, share, shares)
-        files = max(OPEN_FILES, min(2 * term_buckets, MOST_OPEN))
+        files = max(OPEN_FILES, min(term_buckets, MOST_OPEN))
         with rows_as_sorted(spark, files):
             (
-                counted_cells(cells, term_buckets)
-                .write.partitionBy("is_figure", "term_bucket", "from_doc_block")
+                listed_cells(cells, term_buckets)
+                .write.partitionBy("term_bucket", "from_doc_block")
                 .parquet(f"{folder}/postings")
             )
     else:
@@ -114,7 +116,8 @@ def save_index(
         figures = _by_cell(term_blocks(postings), F.col("term_bucket"), term_buckets, F.col("doc_block"), doc_splits)
         with rows_as_sorted(spark):
             figures.write.partitionBy("term_bucket").parquet(f"{folder}/term_blocks")
-    terms = block_vocabulary(_read_figures(spark, folder, per_group > 1))
+    figures = list_figures(_read(spark, folder, "postings", LISTS)) if per_group > 1 else _read(spark, folder, "term_blocks", TERM_BLOCKS)
+    terms = block_vocabulary(figures)
     terms.write.parquet(f"{folder}/vocabulary")
     with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))):
         cuts = term_grams(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
@@ -130,7 +133,8 @@ def save_index(
         "n_blocks": starts.count(),
         "blocks_per_group": per_group,
         "bounds": list(bounds),
-        "in_one": per_group > 1,
+        "in_one": False,
+        "in_lists": per_group > 1,
     }
     manifest.publish(spark, path, [row], INDEX_MANIFEST, before)
 
@@ -151,10 +155,14 @@ def load_index(spark: SparkSession, path: str) -> Index:
     if not rows:
         raise FileNotFoundError(f"no index has been saved at {path}")
     saved = rows[0]
-    in_one = bool(saved.asDict().get("in_one"))  # indexes of older versions do not tell
+    # Indexes of older versions do not tell; some have postings and figures in one table, told apart by ``is_figure``.
+    in_one, in_lists = (bool(saved.asDict().get(name)) for name in ("in_one", "in_lists"))
+    lists = _read(spark, saved["folder"], "postings", LISTS) if in_lists else None
+    postings = _read(spark, saved["folder"], "postings/is_figure=false" if in_one else "postings", POSTINGS)
+    figures = _read(spark, saved["folder"], "postings/is_figure=true" if in_one else "term_blocks", TERM_BLOCKS) if lists is None else None
     return Index(
         documents=_read(spark, saved["folder"], "documents", DOCUMENTS),
-        postings=_read(spark, saved["folder"], "postings/is_figure=false" if in_one else "postings", POSTINGS),
+        postings=postings if lists is None else flat_lists(lists).select(*POSTINGS.names),
         vocabulary=_read(spark, saved["folder"], "vocabulary", VOCABULARY),
         docs_per_block=saved["docs_per_block"],
         term_buckets=saved["term_buckets"],
@@ -162,9 +170,10 @@ def load_index(spark: SparkSession, path: str) -> Index:
         grams=_read(spark, saved["folder"], "grams", GRAMS),
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
         n_words=saved["n_words"],
-        term_blocks=_read_figures(spark, saved["folder"], in_one),
+        term_blocks=figures.select(*TERM_BLOCKS.names) if lists is None else list_figures(lists),
         n_blocks=saved["n_blocks"],
         blocks_per_group=saved["blocks_per_group"],
+        lists=lists,
     )
 
 
@@ -183,10 +192,5 @@ def block_catalogue(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _read_figures(spark: SparkSession, folder: str, in_one: bool) -> DataFrame:
-    figures = _read(spark, folder, "postings/is_figure=true" if in_one else "term_blocks", TERM_BLOCKS)
-    return figures.select(*TERM_BLOCKS.names)
-
-
 def _read(spark: SparkSession, folder: str, table: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{folder}/{table}")

@@ -385,3 +385,32 @@ def test_grams_of_batches_equal_plain_cuts(spark, monkeypatch):
     assert sorted((r["gram"], r["term"] or "") for r in got.collect()) == plain
     wrong = (F.col("term").isNotNull() & (F.xxhash64("term") != F.col("token"))) | (rank_module.gram_bucket(F.col("gram"), 5) != F.col("gram_bucket"))
     assert got.filter(wrong).isEmpty() and got.columns == GRAMS.names
+
+
+# -- lists: one row per term and block ------------------------------------------------
+def test_whole_blocks_are_counted_in_one_step(monkeypatch):
+    """Small blocks are not cut by steps or batches; of a large one the figures follow in rows of their own."""
+    monkeypatch.setattr(index_module, "BYTES_IN_ORDER", 60)
+    sizes = [3, 3, 40, 3, 1]
+    blocks = [b for b, n in enumerate(sizes) for _ in range(n)]
+    columns = {"text": [f"casa w{i % 2}" for i in range(len(blocks))], "doc_id": range(len(blocks)), "norm": [1.0] * len(blocks)}
+    rows = pa.table({name: list(c) for name, c in columns.items()} | {"doc_block": blocks, "from_doc_block": [0] * len(blocks)})
+    found = [r for batch in index_module._list_cells(iter(rows.to_batches(max_chunksize=4)), 2) for r in batch.to_pylist()]
+    own = {b: [r for r in found if r["term"] == "casa" and r["doc_block"] == b] for b in range(len(sizes))}
+    assert [len(own[b]) for b in (0, 1, 3, 4)] == [1] * 4 and len(own[2]) > 3
+    for b, n in enumerate(sizes):
+        assert [(r["df"], r["cf"], r["top"]) for r in own[b] if r["df"] is not None] == [(n, n, 1.0)]
+        ids = [p["doc_id"] for r in own[b] for p in r["postings"] or []]
+        assert sorted(ids) == [i for i, at in enumerate(blocks) if at == b]
+
+
+def test_grouped_blocks_are_stored_as_lists(spark, tmp_path):
+    """A row per term and block, as many as figures, and no second table or row for these."""
+    docs = documents(spark, range(60))
+    index_store.save_index(docs, str(tmp_path / "index"), 2, 2, 20)
+    (folder,) = (tmp_path / "index").glob("versions/*/postings")
+    assert spark.read.parquet(str(folder)).count() == 60 + 3 and not list(tmp_path.glob("index/versions/*/term_blocks"))
+    index = index_store.load_index(spark, str(tmp_path / "index"))
+    assert index.postings.count() == 120 and index.term_blocks.count() == 63
+    found = index.postings.filter("term = 'docencia'").groupBy("doc_block").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
+    assert {r["doc_block"]: r["ids"] for r in found.collect()} == {b: list(range(20 * b, 20 * b + 20)) for b in range(3)}
