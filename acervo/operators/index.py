@@ -41,7 +41,7 @@ class Index:
     and ``gram_counts(gram, n_terms)``, and knows its number of terms ``n_words``. Its postings carry their
     ``doc_block``, and ``term_blocks(term, doc_block, df, cf, top)`` sums them up by term and block, with
     the largest ``tf / norm`` as ``top``. Where blocks are grouped, both are read from ``lists``, one row per
-    term and block with its figures and all its postings.
+    term and block with its figures and all its postings, and the grams from ``gram_lists``.
     """
 
     documents: DataFrame
@@ -57,6 +57,7 @@ class Index:
     n_blocks: int | None = None
     blocks_per_group: int = 1
     lists: DataFrame | None = None
+    gram_lists: DataFrame | None = None
 
     @property
     def partition(self) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from acervo.operators.index import ROWS_AT_ONCE, Index, term_bucket, term_buckets_of
 from acervo.operators.query_table import MASK_BITS
-from acervo.schemas import GRAMS
+from acervo.schemas import GRAM_LISTS, GRAMS
 
 PIECE_LENGTH = 64
 FEW_WORDS = 32
@@ -92,18 +92,30 @@ def _cuts(rows: DataFrame, starts: str, lengths: Sequence[int], key: str) -> Dat
 
 
 def term_grams(vocabulary: DataFrame, buckets: int) -> DataFrame:
-    """``GRAMS``: the distinct cuts of ``GRAM`` characters of every term, with the buckets they are stored in.
+    """``GRAMS``: the rows of ``gram_lists`` with one term to a row."""
+    return flat_grams(gram_lists(vocabulary, buckets)).select(*GRAMS.names)
+
+
+def flat_grams(lists: DataFrame) -> DataFrame:
+    """One term to a row, with its hash as ``token``, from rows with the columns of ``GRAM_LISTS``."""
+    others = [c for c in lists.columns if c not in ("n_terms", "terms", "token")]
+    rows = lists.select(*others, "token", F.explode_outer("terms").alias("term"))
+    return rows.withColumn("token", F.coalesce("token", F.xxhash64("term")))
+
+
+def gram_lists(vocabulary: DataFrame, buckets: int) -> DataFrame:
+    """``GRAM_LISTS``: the distinct cuts of ``GRAM`` characters of every term, with the buckets they are stored in.
 
     Near a term's end the cuts are shorter, so each character begins one and a word of
     fewer characters is found by the beginnings of grams. Very long tokens are cut in
-    overlapping pieces and told by their hash alone, with a null ``term``. Others are cut in
-    Arrow batches where they lie, and come by rising bucket and gram in steps of ``TERMS_AT_ONCE`` terms.
+    overlapping pieces and told by their hash alone, without ``terms``. Others are cut in
+    Arrow batches where they lie, and listed by gram, by rising bucket and gram in steps of ``TERMS_AT_ONCE`` terms.
     """
-    terms = vocabulary.select("term", F.xxhash64("term").alias("token")).filter(F.length("term") > 0)
+    terms = vocabulary.select("term").filter(F.length("term") > 0)
     is_long = F.length("term") > PIECE_LENGTH
-    short = terms.filter(~is_long).mapInArrow(partial(_cut_terms, buckets=buckets), GRAMS)
+    short = terms.filter(~is_long).mapInArrow(partial(_cut_terms, buckets=buckets), GRAM_LISTS)
     pieces = terms.filter(is_long).select(
-        "token",
+        F.xxhash64("term").alias("token"),
         F.explode(
             F.expr(
                 f"transform(sequence(1, length(term), {PIECE_LENGTH}),"
@@ -114,11 +126,12 @@ def term_grams(vocabulary: DataFrame, buckets: int) -> DataFrame:
     cuts = f"array_distinct(transform(sequence(1, least(length(text), {PIECE_LENGTH})), p -> substring(text, p, {GRAM})))"
     long = pieces.select(F.explode(F.expr(cuts)).alias("gram"), "token").distinct()
     held = gram_bucket(F.col("gram"), buckets).alias("gram_bucket")
-    return short.unionByName(long.select("gram", "token", F.lit(None).cast("string").alias("term"), held))
+    none = F.lit(None).cast(GRAM_LISTS["terms"].dataType).alias("terms")
+    return short.unionByName(long.select("gram", F.lit(1).cast("long").alias("n_terms"), none, "token", held))
 
 
 def _cut_terms(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """``GRAMS`` from ``(term, token)``."""
+    """``GRAM_LISTS`` from ``(term)``."""
     waiting, n_waiting = [], 0
     for batch in batches:
         waiting.append(batch)
@@ -131,7 +144,7 @@ def _cut_terms(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.R
 
 
 def _grams_of(batches: list[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    terms, tokens = (column.combine_chunks() for column in pa.Table.from_batches(batches).columns)
+    terms = pa.Table.from_batches(batches).column(0).combine_chunks()
     lengths = pc.utf8_length(terms).to_numpy()
     owners = [np.flatnonzero(lengths > at) for at in range(lengths.max())]
     cuts = [pc.utf8_slice_codeunits(terms.take(pa.array(own)), at, at + GRAM) for at, own in enumerate(owners)]
@@ -142,11 +155,18 @@ def _grams_of(batches: list[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
     ranks = np.empty(len(grams), dtype=np.int64)
     ranks[order] = np.arange(len(grams))
     keys = np.unique(ranks[found.indices.to_numpy()] * len(terms) + np.concatenate(owners))
-    for start in range(0, len(keys), ROWS_AT_ONCE):
-        rank, own = np.divmod(keys[start : start + ROWS_AT_ONCE], len(terms))
-        of_gram, of_term = pa.array(order[rank]), pa.array(own)
-        columns = [grams.take(of_gram), tokens.take(of_term), terms.take(of_term), pa.array(held[order[rank]])]
-        yield pa.RecordBatch.from_arrays(columns, GRAMS.names)
+    rank, own = np.divmod(keys, len(terms))
+    first = np.flatnonzero(np.diff(rank, prepend=-1))
+    ends = np.append(first, len(keys))
+    of_gram = order[rank[first]]
+    columns = {
+        "gram": grams.take(pa.array(of_gram)),
+        "n_terms": pa.array(np.diff(ends)),
+        "terms": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), terms.take(pa.array(own))),
+        "token": pa.nulls(len(first), pa.int64()),
+        "gram_bucket": pa.array(held[of_gram]),
+    }
+    yield from pa.table(columns).select(GRAM_LISTS.names).to_batches(ROWS_AT_ONCE)
 
 
 def gram_bucket(gram: Column, buckets: int) -> Column:
@@ -188,7 +208,13 @@ def expand_by_grams(index: Index, looked_up: DataFrame) -> DataFrame:
             "gram_bucket", gram_bucket(F.col("gram"), index.term_buckets)
         )
         keys = ["gram_bucket", "gram"]
-    met = index.grams.join(looked_up, keys).select("token", "term", "word", "text", "gram")
+    # Very long tokens have rows of their own, which a scan finds by their statistics.
+    if index.gram_lists is None:
+        met = index.grams.filter("term is not null").join(looked_up, keys)
+        met_long = index.grams.filter("term is null").join(looked_up, keys)
+    else:
+        met = flat_grams(index.gram_lists.filter("token is null").join(looked_up, keys))
+        met_long = index.gram_lists.filter("token is not null").join(looked_up, keys)
     # Of the grams of a term that begin with a short word, the first one counts.
     at_first = F.substring(F.col("term"), F.instr(F.col("term"), F.col("text")), F.lit(GRAM)) == F.col("gram")
     in_short = (
@@ -199,7 +225,7 @@ def expand_by_grams(index: Index, looked_up: DataFrame) -> DataFrame:
     long = index.vocabulary.select("term").filter(F.length("term") > PIECE_LENGTH)
     in_long = (
         long.withColumn("token", F.xxhash64("term"))
-        .join(met.filter("term is null").select("token", "word", "text").distinct(), "token")
+        .join(met_long.select("token", "word", "text").distinct(), "token")
         .filter(F.contains("term", "text"))
         .select("term", "word", F.col("text").alias("gram"))
     )

@@ -119,16 +119,19 @@ def expand_batch(index: Index, batch: Batch) -> DataFrame:
     vocabulary of moderate size is read instead, which gives the same rows in one job.
     """
     if index.grams is not None and not (batch.few_words and index.n_words <= SCANNED_TERMS):
-        looked_up = cut_lineage(rk.word_grams(index.gram_counts, batch.words.select("word").distinct()))
-        if is_small(looked_up):
-            looked_up = F.broadcast(looked_up)
-        return cut_lineage(rk.expand_by_grams(index, looked_up))
+        return cut_lineage(expand_by_lookup(index, batch.words.select("word").distinct()))
     if batch.few_words:
         return cut_lineage(rk.expand_few_words(index.vocabulary.select("term"), batch.few_words))
     words = batch.hinted(batch.words.select("word").distinct())
     return cut_lineage(rk.expand_words(index.vocabulary, words, batch.lengths))
 
 
+def expand_by_lookup(index: Index, words: DataFrame) -> DataFrame:
+    """Vocabulary terms containing one of ``words(word)``, by the stored grams, which stay where they are if the words are few."""
+    looked_up = cut_lineage(rk.word_grams(index.gram_counts, words))
+    return rk.expand_by_grams(index, F.broadcast(looked_up) if is_small(looked_up) else looked_up)
+
+
 def batch_matches(
     index: Index, batch: Batch, expansion: DataFrame, needed: DataFrame | None = None, with_block: bool = False
 ) -> DataFrame:

@@ -116,6 +116,17 @@ GRAMS = T.StructType(
     ]
 )
 
+# Grams as they are stored: the terms of a gram in lists, very long ones by their hash in rows of their own.
+GRAM_LISTS = T.StructType(
+    [
+        T.StructField("gram", T.StringType()),
+        T.StructField("n_terms", T.LongType()),
+        T.StructField("terms", T.ArrayType(T.StringType())),
+        T.StructField("token", T.LongType()),
+        T.StructField("gram_bucket", T.LongType()),
+    ]
+)
+
 GRAM_COUNTS = T.StructType(
     [
         T.StructField("gram", T.StringType()),
@@ -123,4 +134,4 @@ GRAM_COUNTS = T.StructType(
     ]
 )
 
-INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>, in_one boolean, in_lists boolean"
+INDEX_MANIFEST = "folder string, n_words long, n_docs long, term_buckets long, docs_per_block long, n_blocks long, blocks_per_group long, bounds array<long>, in_one boolean, in_lists boolean, grams_in_lists boolean"

@@ -19,8 +19,8 @@ from acervo.operators.index import (
     term_bucket,
     with_blocks,
 )
-from acervo.operators.rank import term_grams
-from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAMS, INDEX_MANIFEST, LISTS, POSTINGS, TERM_BLOCKS, VOCABULARY
+from acervo.operators.rank import flat_grams, gram_lists
+from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAM_LISTS, GRAMS, INDEX_MANIFEST, LISTS, POSTINGS, TERM_BLOCKS, VOCABULARY
 from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted
 from acervo.sources import manifest
 
@@ -120,9 +120,9 @@ def save_index(
     terms = block_vocabulary(figures)
     terms.write.parquet(f"{folder}/vocabulary")
     with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))):
-        cuts = term_grams(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
+        cuts = gram_lists(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
         cuts.write.partitionBy("gram_bucket").parquet(f"{folder}/grams")
-    counted = _read(spark, folder, "grams", GRAMS).groupBy("gram").agg(F.count(F.lit(1)).alias("n_terms"))
+    counted = _read(spark, folder, "grams", GRAM_LISTS).groupBy("gram").agg(F.sum("n_terms").alias("n_terms"))
     counted.write.parquet(f"{folder}/gram_counts")
     row = {
         "folder": folder,
@@ -135,6 +135,7 @@ def save_index(
         "bounds": list(bounds),
         "in_one": False,
         "in_lists": per_group > 1,
+        "grams_in_lists": True,
     }
     manifest.publish(spark, path, [row], INDEX_MANIFEST, before)
 
@@ -156,10 +157,11 @@ def load_index(spark: SparkSession, path: str) -> Index:
         raise FileNotFoundError(f"no index has been saved at {path}")
     saved = rows[0]
     # Indexes of older versions do not tell; some have postings and figures in one table, told apart by ``is_figure``.
-    in_one, in_lists = (bool(saved.asDict().get(name)) for name in ("in_one", "in_lists"))
+    in_one, in_lists, grams_in_lists = (bool(saved.asDict().get(name)) for name in ("in_one", "in_lists", "grams_in_lists"))
     lists = _read(spark, saved["folder"], "postings", LISTS) if in_lists else None
     postings = _read(spark, saved["folder"], "postings/is_figure=false" if in_one else "postings", POSTINGS)
     figures = _read(spark, saved["folder"], "postings/is_figure=true" if in_one else "term_blocks", TERM_BLOCKS) if lists is None else None
+    listed = _read(spark, saved["folder"], "grams", GRAM_LISTS) if grams_in_lists else None
     return Index(
         documents=_read(spark, saved["folder"], "documents", DOCUMENTS),
         postings=postings if lists is None else flat_lists(lists).select(*POSTINGS.names),
@@ -167,13 +169,14 @@ def load_index(spark: SparkSession, path: str) -> Index:
         docs_per_block=saved["docs_per_block"],
         term_buckets=saved["term_buckets"],
         bounds=tuple(saved["bounds"]),
-        grams=_read(spark, saved["folder"], "grams", GRAMS),
+        grams=_read(spark, saved["folder"], "grams", GRAMS) if listed is None else flat_grams(listed).select(*GRAMS.names),
         gram_counts=_read(spark, saved["folder"], "gram_counts", GRAM_COUNTS),
         n_words=saved["n_words"],
         term_blocks=figures.select(*TERM_BLOCKS.names) if lists is None else list_figures(lists),
         n_blocks=saved["n_blocks"],
         blocks_per_group=saved["blocks_per_group"],
         lists=lists,
+        gram_lists=listed,
     )
 
 

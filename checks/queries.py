@@ -254,7 +254,7 @@ def word_expansion(spark, sf_dir):
     index = corpus.stored_index(spark, sf_dir)
     lines = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     words = lines.select(F.explode(F.split("text", " ")).alias("word")).filter("word <> ''").distinct()
-    return rk.expand_by_grams(index, rk.word_grams(index.gram_counts, words))
+    return search.expand_by_lookup(index, words)
 
 
 def _matches(spark, sf_dir):

@@ -14,6 +14,7 @@ from acervo.operators import index as index_module
 from acervo.operators import rank as rank_module
 from acervo.operators.index import block_between, block_bounds, build_documents, index_from_documents
 from acervo.plans import crawl as crawl_module
+from acervo.plans import search as search_module
 from acervo.plans.crawl import expand_fetched, seed_urls
 from acervo.plans.search import search_one
 from acervo.schemas import GRAMS, POSTINGS, TERM_BLOCKS, VOCABULARY
@@ -414,3 +415,31 @@ def test_grouped_blocks_are_stored_as_lists(spark, tmp_path):
     assert index.postings.count() == 120 and index.term_blocks.count() == 63
     found = index.postings.filter("term = 'docencia'").groupBy("doc_block").agg(F.sort_array(F.collect_list("doc_id")).alias("ids"))
     assert {r["doc_block"]: r["ids"] for r in found.collect()} == {b: list(range(20 * b, 20 * b + 20)) for b in range(3)}
+
+
+def test_grams_are_stored_as_lists(spark, tmp_path, monkeypatch):
+    """A row per gram where a task read its terms, and the counts and terms of a flat table; long terms by their hash."""
+    docs = documents(spark, range(30), f"docencia {'xyz' * 30}")
+    index_store.save_index(docs.coalesce(1), str(tmp_path / "index"), 2, 2, 20)
+    index = index_store.load_index(spark, str(tmp_path / "index"))
+    plain = rank_module.term_grams(index.vocabulary, 2)
+    assert index.grams.columns == plain.columns == GRAMS.names and index.grams.count() == plain.count()
+    assert index.grams.exceptAll(plain).isEmpty()
+    (folder,) = (tmp_path / "index").glob("versions/*/grams")
+    stored = spark.read.parquet(str(folder)).filter("gram = 'pal'").collect()
+    assert sum(r["n_terms"] for r in stored) == 30 and len(stored) < 30
+    assert index.gram_counts.exceptAll(plain.groupBy("gram").count()).isEmpty()
+    words = spark.createDataFrame([("labra1",), ("zx",), ("ia",)], "word string")
+    got = rank_module.expand_by_grams(index, rank_module.word_grams(index.gram_counts, words))
+    assert got.groupBy("word").count().exceptAll(spark.createDataFrame([("labra1", 11), ("zx", 1), ("ia", 1)], "word string, n long")).isEmpty()
+
+
+def test_few_words_do_not_move_the_grams(spark, tmp_path):
+    index_store.save_index(documents(spark, range(30), f"docencia {'xyz' * 30}"), str(tmp_path / "index"), 2, 2, 20)
+    index = index_store.load_index(spark, str(tmp_path / "index"))
+    words = spark.createDataFrame([("labra1",), ("zxy",)], "word string")
+    found = search_module.expand_by_lookup(index, words)
+    main = found._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "SortMergeJoin" not in main and "IsNull(token)" in main and "IsNotNull(token)" in main
+    plain = rank_module.expand_by_grams(index, rank_module.word_grams(index.gram_counts, words))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect())) and found.count() == 12
