@@ -99,6 +99,23 @@ COUNTED = T.StructType(
     ]
 )
 
+# Postings with their documents and terms, and rows of one cell of that join in Arrow's format.
+DESCRIBED = T.StructType(
+    [
+        *POSTINGS.fields[:4],
+        T.StructField("document_norm", T.DoubleType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("df", T.LongType()),
+    ]
+)
+
+PACKED = T.StructType(
+    [
+        T.StructField("cell", T.IntegerType()),
+        T.StructField("packed", T.BinaryType()),
+    ]
+)
+
 VOCABULARY = T.StructType(
     [
         T.StructField("term", T.StringType()),

@@ -15,6 +15,21 @@ MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 
 OPEN_FILES = 8
 OPEN_FILES_KEY = "spark.sql.maxConcurrentOutputFileWriters"
+DROP_MOVED_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A setting of the session that holds for some statements."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
 
 
 @contextmanager
@@ -25,15 +40,19 @@ def rows_as_sorted(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[Non
     partitions these are equal in nearly all comparisons, which then have to look into the rows. A task keeps up to
     ``files`` files open; if it has more partitions, Spark sorts its remaining rows.
     """
-    before = spark.conf.get(OPEN_FILES_KEY, None)
-    spark.conf.set(OPEN_FILES_KEY, str(files))
-    try:
+    with setting(spark, OPEN_FILES_KEY, str(files)):
         yield
-    finally:
-        if before is None:
-            spark.conf.unset(OPEN_FILES_KEY)
-        else:
-            spark.conf.set(OPEN_FILES_KEY, before)
+
+
+def write_table(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Write a table that later steps read back.
+
+    What was moved for it is dropped from the executors' disks as soon as it is there; Spark otherwise keeps shuffle files until
+    the driver happens to collect its garbage, so that all moves of a long job add up.
+    """
+    writer = rows.write.option("compression", "zstd")
+    with setting(rows.sparkSession, DROP_MOVED_KEY, "true"):
+        (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

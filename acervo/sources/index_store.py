@@ -21,7 +21,7 @@ from acervo.operators.index import (
 )
 from acervo.operators.rank import flat_grams, gram_lists
 from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAM_LISTS, GRAMS, INDEX_MANIFEST, LISTS, POSTINGS, TERM_BLOCKS, VOCABULARY
-from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted
+from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted, write_table
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
@@ -82,21 +82,14 @@ def save_index(
         share = F.call_function("div", place * shares, F.lit(per_group).cast("long"))
     if not in_id_order:
         documents = _by_cell(documents, group_no, n_groups, share, shares)
-    (
-        documents.sortWithinPartitions("from_doc_block", "doc_block", "doc_id")
-        .write.partitionBy("from_doc_block")
-        .parquet(f"{folder}/documents")
-    )
+    in_order = documents.sortWithinPartitions("from_doc_block", "doc_block", "doc_id")
+    write_table(in_order, f"{folder}/documents", "from_doc_block")
     stored = _read(spark, folder, "documents", DOCUMENTS)
     if per_group > 1:
         cells = _by_cell(stored, group_no, n_groups, share, shares)
         files = max(OPEN_FILES, min(term_buckets, MOST_OPEN))
         with rows_as_sorted(spark, files):
-            (
-                listed_cells(cells, term_buckets)
-                .write.partitionBy("term_bucket", "from_doc_block")
-                .parquet(f"{folder}/postings")
-            )
+            write_table(listed_cells(cells, term_buckets), f"{folder}/postings", "term_bucket", "from_doc_block")
     else:
         bucket = term_bucket(F.col("term"), term_buckets)
         cells = _by_cell(
@@ -107,23 +100,20 @@ def save_index(
             term_buckets,
         )
         with rows_as_sorted(spark):
-            (
-                cells.sortWithinPartitions("term", "doc_id")
-                .write.partitionBy("term_bucket", "from_doc_block")
-                .parquet(f"{folder}/postings")
-            )
+            in_order = cells.sortWithinPartitions("term", "doc_id")
+            write_table(in_order, f"{folder}/postings", "term_bucket", "from_doc_block")
         postings = _read(spark, folder, "postings", POSTINGS)
         figures = _by_cell(term_blocks(postings), F.col("term_bucket"), term_buckets, F.col("doc_block"), doc_splits)
         with rows_as_sorted(spark):
-            figures.write.partitionBy("term_bucket").parquet(f"{folder}/term_blocks")
+            write_table(figures, f"{folder}/term_blocks", "term_bucket")
     figures = list_figures(_read(spark, folder, "postings", LISTS)) if per_group > 1 else _read(spark, folder, "term_blocks", TERM_BLOCKS)
     terms = block_vocabulary(figures)
-    terms.write.parquet(f"{folder}/vocabulary")
+    write_table(terms, f"{folder}/vocabulary")
     with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))):
         cuts = gram_lists(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
-        cuts.write.partitionBy("gram_bucket").parquet(f"{folder}/grams")
+        write_table(cuts, f"{folder}/grams", "gram_bucket")
     counted = _read(spark, folder, "grams", GRAM_LISTS).groupBy("gram").agg(F.sum("n_terms").alias("n_terms"))
-    counted.write.parquet(f"{folder}/gram_counts")
+    write_table(counted, f"{folder}/gram_counts")
     row = {
         "folder": folder,
         "n_words": _read(spark, folder, "vocabulary", VOCABULARY).count(),

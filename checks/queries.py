@@ -18,6 +18,7 @@ from acervo.operators import index as ix
 from acervo.operators import links as lk
 from acervo.operators import query_table as qt
 from acervo.operators import rank as rk
+from acervo.operators.described import described_postings
 from acervo.plans import build, search
 from acervo.plans.crawl import expand_fetched, expand_frontier
 from acervo.schemas import QUERIES as QUERY_SCHEMA
@@ -138,13 +139,8 @@ def corpus_stats(spark, sf_dir):
 
 @query
 def index_round_trip(spark, sf_dir):
-    loaded = corpus.stored_index(spark, sf_dir)
-    documents = loaded.documents.select("doc_id", F.col("norm").alias("document_norm"), "url")
-    return (
-        loaded.postings.join(documents, "doc_id")
-        .join(loaded.vocabulary.select("term", "df"), "term")
-        .select("term", "doc_id", "tf", "norm", "document_norm", "url", "df")
-    )
+    """All stored postings with the stored norm and URL of their documents and the frequency of their terms."""
+    return described_postings(corpus.stored_index(spark, sf_dir))
 
 
 @query

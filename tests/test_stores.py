@@ -2,6 +2,8 @@ import html
 import json
 import random
 import time
+from dataclasses import replace
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -10,17 +12,20 @@ from pyspark.sql import functions as F
 from acervo.functions import text as tx
 from acervo.functions.references import decoded
 from acervo.operators import links as lk
+from acervo.operators import described as described_module
 from acervo.operators import index as index_module
 from acervo.operators import rank as rank_module
+from acervo.operators.described import described_postings
 from acervo.operators.index import block_between, block_bounds, build_documents, index_from_documents
 from acervo.plans import crawl as crawl_module
 from acervo.plans import search as search_module
 from acervo.plans.crawl import expand_fetched, seed_urls
 from acervo.plans.search import search_one
-from acervo.schemas import GRAMS, POSTINGS, TERM_BLOCKS, VOCABULARY
-from acervo.session import OPEN_FILES, OPEN_FILES_KEY, rows_as_sorted
+from acervo.schemas import DESCRIBED, GRAMS, POSTINGS, TERM_BLOCKS, VOCABULARY
+from acervo.session import DROP_MOVED_KEY, OPEN_FILES, OPEN_FILES_KEY, rows_as_sorted, setting
 from acervo.sources import index_store, manifest
 from acervo.sources.pages import file_rejects, page_rows, read_pages_back, scan_page_files, write_pages
+from checks.queries import QUERIES
 
 PAGE = "seq long, url string, text string, type string"
 
@@ -443,3 +448,90 @@ def test_few_words_do_not_move_the_grams(spark, tmp_path):
     assert "SortMergeJoin" not in main and "IsNull(token)" in main and "IsNotNull(token)" in main
     plain = rank_module.expand_by_grams(index, rank_module.word_grams(index.gram_counts, words))
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect())) and found.count() == 12
+
+
+# -- postings with their documents and terms --------------------------------------
+def plain_description(index):
+    documents = index.documents.select("doc_id", F.col("norm").alias("document_norm"), "url")
+    return index.postings.join(documents, "doc_id").join(index.vocabulary, "term").select(*DESCRIBED.names)
+
+
+@pytest.mark.parametrize("per_block, buckets", [(3, 4), (3, 20), (20_000, 4)])
+def test_described_postings_equal_plain_joins(spark, tmp_path, monkeypatch, per_block, buckets):
+    """Several cells; ids that repeat, a norm that differs from its copy, documents without text or URL."""
+    monkeypatch.setattr(index_module, "DOCS_PER_GROUP", 6)
+    texts = [f"palabra{i % 5} casa {'ab' * (i % 40)} ñandú{i} casa" for i in range(90)] + [None, ""]
+    rows = [(i - i % 2 if i < 30 else i * 7, None if i == 3 else f"u{i}", t) for i, t in enumerate(texts)]
+    raw = spark.createDataFrame(rows, "doc_id long, url string, text string")
+    path = str(tmp_path / "index")
+    index_store.save_index(index_module.build_documents(raw.withColumn("title", F.lit("t"))), path, buckets, 2, per_block)
+    saved = index_store.load_index(spark, path)
+    changed = F.when(F.col("doc_id") == 350, F.lit(0.5)).when(F.col("doc_id") != 357, F.col("norm"))
+    index = replace(saved, documents=saved.documents.withColumn("norm", changed), vocabulary=saved.vocabulary.filter("term <> 'palabra3'"))
+    got, plain = (sorted(map(str, frame.collect())) for frame in (described_postings(index), plain_description(index)))
+    assert got == plain and len(got) > 300
+    assert described_postings(index).columns == DESCRIBED.names
+
+
+def test_described_lists_are_met_in_steps(monkeypatch):
+    """Batches that cut cells, rows of the result in small batches, ids without document."""
+    monkeypatch.setattr(described_module, "BYTES_PACKED", 200)
+    monkeypatch.setattr(described_module, "ROWS_AT_ONCE", 3)
+    kinds = {"doc_id": pa.int64(), "tf": pa.int64(), "norm": pa.float64()}
+    lists = [[{"doc_id": d if d != 4 else None, "tf": 300 * d + 1, "norm": None if d == 2 else d / 3} for d in range(k % 5, 7)] for k in range(40)]
+    by_list = {name: pa.array([[p[name] for p in postings] for postings in lists], pa.list_(kind)) for name, kind in kinds.items()}
+    table = pa.table({"cell": pa.array([k // 15 for k in range(40)], pa.int32()), "term": [f"t{k}" for k in range(40)], **by_list})
+    packed = list(described_module._pack_lists(iter(table.to_batches(max_chunksize=7))))
+    documents = [(cell, d, None if d is None else d / 3, f"u{cell}.{d}.{k}") for cell in range(3) for d in (None, 6, 2, 0, 1, 3) for k in range(1 + d % 3 if d else 1)]
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*documents), (pa.int32(), pa.int64(), pa.float64(), pa.string()))]
+    names = ["cell", "doc_id", "document_norm", "url"]
+    described = list(described_module._pack_documents(iter(pa.table(columns, names).to_batches(max_chunksize=4))))
+    assert len(packed) > 3
+    schema = pa.schema({"cell": pa.int32(), "kind": pa.int32(), "term": pa.string(), "df": pa.int64(), "packed": pa.binary()})
+    rows = []
+    for cell in range(3):
+        held = [(described_module.DOCUMENTS, described), (described_module.LISTS, packed)]
+        parts = {kind: [{"cell": cell, "kind": kind, "packed": r["packed"]} for b in found for r in b.to_pylist() if r["cell"] == cell] for kind, found in held}
+        terms = [{"cell": cell, "kind": described_module.TERMS, "term": f"t{k}", "df": k} for k in range(40) if k // 15 == cell and k != 8]
+        rows += parts[described_module.DOCUMENTS] + terms + parts[described_module.LISTS]
+    batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=11)
+    found = list(described_module._meet(iter(batches)))
+    assert max(map(len, found)) == 3
+    got = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    plain = [
+        (f"t{k}", p["doc_id"], p["tf"], p["norm"], d[2], d[3], k)
+        for k, postings in enumerate(lists)
+        if k != 8
+        for p in postings
+        for d in documents
+        if d[0] == k // 15 and p["doc_id"] is not None and d[1] == p["doc_id"]
+    ]
+    assert sorted(map(str, got)) == sorted(map(str, plain))
+
+
+def test_registered_round_trip_moves_no_posting_by_itself(spark):
+    """Postings move in lists that are packed, so no row of an exchange is a posting."""
+    found = QUERIES["index_round_trip"](spark, "/root/testdata/sf0.001")
+    with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "doc_id" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_saved_tables_leave_no_moved_rows(spark, tmp_path):
+    """Shuffle files of the tables of a save go with it, and do not wait for the driver's garbage; tables are packed tightly."""
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(blocks.getAllFiles())
+    moved = lambda: {f.getName(): f.length() for f in files() if f.getName().startswith("shuffle_")}
+    rnd = random.Random(1)
+    texts = [(i, "t", "u", " ".join(f"{rnd.getrandbits(128):x}" for _ in range(60))) for i in range(1000)]
+    rows = spark.createDataFrame(texts, "doc_id long, title string, url string, text string")
+    before = moved()
+    index_store.save_index(build_documents(rows), str(tmp_path / "index"), 4, 2, 100)
+    end = time.time() + 20
+    while (left := sum(size for name, size in moved().items() if name not in before)) > 200_000 and time.time() < end:
+        time.sleep(0.2)
+    assert left <= 200_000  # ids and counts; the texts alone are 2 MB and move twice
+    assert spark.conf.get(DROP_MOVED_KEY) == "false"
+    folder = manifest.latest(spark, str(tmp_path / "index"))[0]["folder"]
+    stored = [file for table in ("documents", "postings", "vocabulary", "grams") for file in Path(folder, table).rglob("*.parquet")]
+    assert stored and all(".zstd." in file.name for file in stored)
