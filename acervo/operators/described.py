@@ -3,54 +3,65 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from acervo.operators.index import Index
 from acervo.schemas import DESCRIBED, PACKED
+from acervo.session import batches_of_rows, written
 
 GROUPS_PER_CELL = 4  # of blocks, whose documents a cell has
 SHARES = 8  # cells that a run of such groups is dealt to, by buckets of terms
 BYTES_PACKED = 1 << 22  # of rows that a task packs together
 ROWS_AT_ONCE = 1 << 15  # that go to Spark in one batch
 MAX_CELLS = 16_384  # tasks; beyond, a task takes several cells
+POSTING_BYTES = 24
 DOCUMENTS, TERMS, LISTS = range(3)  # what the rows of a cell hold, in the order they are needed
 
 
 def described_postings(index: Index) -> DataFrame:
     """``(term, doc_id, tf, norm, document_norm, url, df)``: every posting joined to its document and its term.
 
-    Joins by ``doc_id`` and by ``term`` would move all postings twice, one to a row. Where they are stored in lists, these move
-    once, packed as Arrow data, to a cell for some groups of blocks and a share of the buckets of terms, and are laid out there. A cell
-    has the documents of its groups, packed too, and those terms of the vocabulary that occur in it, so no term or
-    document gathers its postings from several cells.
+    Joins by ``doc_id`` and by ``term`` would move all postings twice, one to a row. Where they are stored in lists, these are
+    packed as Arrow data and move once, to a cell for some groups of blocks and a share of the buckets of terms, and are laid out there.
+    A cell has the documents of its groups, packed too, and those terms of the vocabulary that occur in it, so no term or
+    document gathers its postings from several cells. Packs of lists and terms are written first, so that what was moved
+    for them is gone when they meet.
     """
-    documents = index.documents.select("doc_id", F.col("norm").alias("document_norm"), "url")
+    of_document = ["doc_id", F.col("norm").alias("document_norm"), "url"]
     terms = index.vocabulary.select("term", "df")
     if index.lists is None:
-        return index.postings.join(documents, "doc_id").join(terms, "term").select(*DESCRIBED.names)
+        return index.postings.join(index.documents.select(*of_document), "doc_id").join(terms, "term").select(*DESCRIBED.names)
     shares = min(SHARES, index.term_buckets)
     run = F.call_function("div", F.col("from_doc_block"), F.lit(index.blocks_per_group * GROUPS_PER_CELL).cast("long"))
     cell = (run * shares + F.pmod("term_bucket", F.lit(shares).cast("long"))).cast("int").alias("cell")
-    every_share = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
-    runs = index.documents.select(run.cast("int").alias("cell"), "doc_id", F.col("norm").alias("document_norm"), "url")
-    described = runs.mapInArrow(_pack_documents, PACKED).withColumn("share", every_share)
-    of_posting = [F.col("postings")[name].alias(name) for name in ("doc_id", "tf", "norm")]
-    lists = index.lists.filter("postings is not null").select(cell, "term", *of_posting)
-    rows = [
-        (DOCUMENTS, described.select((F.col("cell") * shares + F.col("share")).alias("cell"), "packed")),
-        (TERMS, index.lists.select("term", cell).distinct().join(terms, "term")),
-        (LISTS, lists.mapInArrow(_pack_lists, PACKED)),
-    ]
-    parts = [part.withColumn("kind", F.lit(kind)) for kind, part in rows]
-    all_rows = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
     tasks = min(-(-max(1, len(index.bounds)) // GROUPS_PER_CELL) * shares, MAX_CELLS)
-    dealt = all_rows.select("cell", "kind", "term", "df", "packed").repartitionById(tasks, F.col("cell") % tasks)
-    return dealt.sortWithinPartitions("cell", "kind").mapInArrow(_meet, DESCRIBED)
+    with batches_of_rows(index.documents.sparkSession, _widest_list(index)):
+        of_posting = [F.col("postings")[name].alias(name) for name in ("doc_id", "tf", "norm")]
+        lists = index.lists.filter("postings is not null").select(cell, "term", *of_posting)
+        lists = written(lists.mapInArrow(_pack_lists, PACKED), "lists")
+        # Dealt by term at once, for the join too: tasks that read them hold few of a cell's lists of a term.
+        of_cells = index.lists.select("term", cell).repartition("term").distinct().join(terms.hint("shuffle_hash"), "term")
+        of_cells = of_cells.select("cell", "term", "df").repartitionById(tasks, F.col("cell") % tasks)
+        of_cells = written(of_cells.sortWithinPartitions("cell").mapInArrow(_pack_rows, PACKED), "terms")
+    runs = index.documents.select(run.cast("int").alias("cell"), *of_document).mapInArrow(_pack_rows, PACKED)
+    share = F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))
+    runs = runs.withColumn("share", share).select((F.col("cell") * shares + F.col("share")).alias("cell"), "packed")
+    first, *others = (rows.withColumn("kind", F.lit(kind)) for kind, rows in ((DOCUMENTS, runs), (TERMS, of_cells), (LISTS, lists)))
+    dealt = reduce(DataFrame.unionByName, others, first).repartitionById(tasks, F.col("cell") % tasks)
+    return dealt.sortWithinPartitions("cell", "kind").select("cell", "kind", "packed").mapInArrow(_meet, DESCRIBED)
+
+
+def _widest_list(index: Index) -> int:
+    """Bytes of a term and of postings that no list exceeds."""
+    longest = index.vocabulary.agg(F.max(F.octet_length("term"))).first()[0]
+    most = index.documents.groupBy("doc_block").count().agg(F.max("count")).first()[0]
+    return (longest or 0) + POSTING_BYTES * (most or 0) + POSTING_BYTES
 
 
 def _same(keys: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -87,8 +98,8 @@ def _unpacked(packed: pa.BinaryScalar) -> pa.Table:
     return pa.ipc.open_stream(packed.as_buffer()).read_all()
 
 
-def _pack_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``PACKED`` from ``(cell, doc_id, document_norm, url)``."""
+def _pack_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``PACKED`` from ``(cell, ...)``."""
     for cell, rows in _runs(batches):
         yield _packed(cell, rows.drop_columns("cell"))
 
@@ -121,33 +132,28 @@ def _narrow(numbers: pa.Array) -> pa.Array:
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``DESCRIBED`` from ``(cell, kind, term, df, packed)`` by rising cell and kind."""
-    current, documents, terms, met = None, [], [], None
+    """``DESCRIBED`` from ``(cell, kind, packed)`` by rising cell and kind."""
+    current, held, met = None, {}, None
     for batch in batches:
-        cells, kinds = batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy()
-        for start, stop in _same(cells * 3 + kinds):
-            if cells[start] != current:
-                current, documents, terms, met = cells[start], [], [], None
-            part = batch.slice(start, stop - start)
-            if kinds[start] == DOCUMENTS:
-                documents += map(_unpacked, part.column("packed"))
-            elif kinds[start] == TERMS:
-                terms.append(part.select(["term", "df"]))
-            elif documents and terms:
-                met = met or _Cell(documents, terms)
-                for packed in part.column("packed"):
-                    yield from met.described(_unpacked(packed))
+        for cell, kind, packed in zip(*(column.to_pylist() for column in batch.columns[:2]), batch.column(2)):
+            if cell != current:
+                current, held, met = cell, {DOCUMENTS: [], TERMS: []}, None
+            if kind != LISTS:
+                held[kind].append(_unpacked(packed))
+            elif held[DOCUMENTS] and held[TERMS]:
+                met = met or _Cell(held[DOCUMENTS], held[TERMS])
+                yield from met.described(_unpacked(packed))
 
 
 class _Cell:
     """The documents of a cell by rising id, and its terms."""
 
-    def __init__(self, documents: list[pa.Table], terms: list[pa.RecordBatch]):
+    def __init__(self, documents: list[pa.Table], terms: list[pa.Table]):
         rows = pa.concat_tables(documents)
         rows = rows.filter(pc.is_valid(rows["doc_id"])).sort_by("doc_id").combine_chunks()
         self.ids = rows["doc_id"].to_numpy()
         self.norms, self.urls = (_whole(rows[name]) for name in ("document_norm", "url"))
-        found = pa.Table.from_batches(terms)
+        found = pa.concat_tables(terms)
         self.terms, self.df = _whole(found["term"]), _whole(found["df"])
 
     def described(self, packed: pa.Table) -> Iterator[pa.RecordBatch]:

@@ -16,6 +16,10 @@ MAX_BROADCAST_BYTES = 128 * 1024 * 1024
 OPEN_FILES = 8
 OPEN_FILES_KEY = "spark.sql.maxConcurrentOutputFileWriters"
 DROP_MOVED_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_ROWS = 10_000
+BATCH_BYTES = 1 << 26
 
 
 @contextmanager
@@ -44,6 +48,17 @@ def rows_as_sorted(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[Non
         yield
 
 
+@contextmanager
+def batches_of_rows(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """Arrow batches of rows that have up to ``most_bytes`` each are bounded by their number.
+
+    A batch that is bounded by its bytes is measured anew at every row, which takes longer than to write a small row.
+    """
+    rows = max(1, min(BATCH_ROWS, BATCH_BYTES // most_bytes))
+    with setting(spark, BATCH_ROWS_KEY, str(rows)), setting(spark, BATCH_BYTES_KEY, str((1 << 31) - 1)):
+        yield
+
+
 def write_table(rows: DataFrame, path: str, *partitions: str) -> None:
     """Write a table that later steps read back.
 
@@ -55,6 +70,13 @@ def write_table(rows: DataFrame, path: str, *partitions: str) -> None:
         (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a table in the shared checkpoint folder."""
+    path = scratch_path(rows.sparkSession, name)
+    write_table(rows, path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``, or set on the context.
 

@@ -19,9 +19,9 @@ from acervo.operators.index import (
     term_bucket,
     with_blocks,
 )
-from acervo.operators.rank import flat_grams, gram_lists
+from acervo.operators.rank import PIECE_LENGTH, flat_grams, gram_lists
 from acervo.schemas import DOCUMENTS, GRAM_COUNTS, GRAM_LISTS, GRAMS, INDEX_MANIFEST, LISTS, POSTINGS, TERM_BLOCKS, VOCABULARY
-from acervo.session import OPEN_FILES, cut_lineage, rows_as_sorted, write_table
+from acervo.session import OPEN_FILES, batches_of_rows, cut_lineage, rows_as_sorted, write_table
 from acervo.sources import manifest
 
 TERM_BUCKETS = 64
@@ -109,7 +109,8 @@ def save_index(
     figures = list_figures(_read(spark, folder, "postings", LISTS)) if per_group > 1 else _read(spark, folder, "term_blocks", TERM_BLOCKS)
     terms = block_vocabulary(figures)
     write_table(terms, f"{folder}/vocabulary")
-    with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))):
+    # Only terms that are not very long get into tasks one to a row.
+    with rows_as_sorted(spark, max(OPEN_FILES, min(term_buckets, MOST_OPEN))), batches_of_rows(spark, 4 * PIECE_LENGTH):
         cuts = gram_lists(_read(spark, folder, "vocabulary", VOCABULARY), term_buckets)
         write_table(cuts, f"{folder}/grams", "gram_bucket")
     counted = _read(spark, folder, "grams", GRAM_LISTS).groupBy("gram").agg(F.sum("n_terms").alias("n_terms"))

@@ -6,6 +6,7 @@ from dataclasses import replace
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -485,15 +486,16 @@ def test_described_lists_are_met_in_steps(monkeypatch):
     documents = [(cell, d, None if d is None else d / 3, f"u{cell}.{d}.{k}") for cell in range(3) for d in (None, 6, 2, 0, 1, 3) for k in range(1 + d % 3 if d else 1)]
     columns = [pa.array(column, kind) for column, kind in zip(zip(*documents), (pa.int32(), pa.int64(), pa.float64(), pa.string()))]
     names = ["cell", "doc_id", "document_norm", "url"]
-    described = list(described_module._pack_documents(iter(pa.table(columns, names).to_batches(max_chunksize=4))))
+    described = list(described_module._pack_rows(iter(pa.table(columns, names).to_batches(max_chunksize=4))))
     assert len(packed) > 3
-    schema = pa.schema({"cell": pa.int32(), "kind": pa.int32(), "term": pa.string(), "df": pa.int64(), "packed": pa.binary()})
+    of_terms = pa.table({"cell": pa.array([k // 15 for k in range(40)], pa.int32()), "term": [f"t{k}" for k in range(40)], "df": range(40)})
+    of_terms = of_terms.filter(pc.not_equal(of_terms["term"], "t8"))
+    terms = list(described_module._pack_rows(iter(of_terms.to_batches(max_chunksize=4))))
+    schema = pa.schema({"cell": pa.int32(), "kind": pa.int32(), "packed": pa.binary()})
     rows = []
     for cell in range(3):
-        held = [(described_module.DOCUMENTS, described), (described_module.LISTS, packed)]
-        parts = {kind: [{"cell": cell, "kind": kind, "packed": r["packed"]} for b in found for r in b.to_pylist() if r["cell"] == cell] for kind, found in held}
-        terms = [{"cell": cell, "kind": described_module.TERMS, "term": f"t{k}", "df": k} for k in range(40) if k // 15 == cell and k != 8]
-        rows += parts[described_module.DOCUMENTS] + terms + parts[described_module.LISTS]
+        held = [(described_module.DOCUMENTS, described), (described_module.TERMS, terms), (described_module.LISTS, packed)]
+        rows += [{"cell": cell, "kind": kind, "packed": r["packed"]} for kind, found in held for b in found for r in b.to_pylist() if r["cell"] == cell]
     batches = pa.Table.from_pylist(rows, schema).to_batches(max_chunksize=11)
     found = list(described_module._meet(iter(batches)))
     assert max(map(len, found)) == 3
