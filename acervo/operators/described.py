@@ -45,8 +45,11 @@ def described_postings(index: Index) -> DataFrame:
         of_posting = [F.col("postings")[name].alias(name) for name in ("doc_id", "tf", "norm")]
         lists = index.lists.filter("postings is not null").select(cell, "term", *of_posting)
         lists = written(lists.mapInArrow(_pack_lists, PACKED), "lists")
-        # Dealt by term at once, for the join too: tasks that read them hold few of a cell's lists of a term.
-        of_cells = index.lists.select("term", cell).repartition("term").distinct().join(terms.hint("shuffle_hash"), "term")
+        # Terms are told by their hash until the lists see them: one of equal hash is a row too many in a cell and meets no list.
+        # They are dealt at once, for the join too, as tasks that read them hold few of a cell's lists of a term.
+        hashed = F.xxhash64("term").alias("hash")
+        of_cells = index.lists.select(hashed, cell).repartition("hash").distinct()
+        of_cells = of_cells.join(terms.withColumn("hash", hashed).hint("shuffle_hash"), "hash")
         of_cells = of_cells.select("cell", "term", "df").repartitionById(tasks, F.col("cell") % tasks)
         of_cells = written(of_cells.sortWithinPartitions("cell").mapInArrow(_pack_rows, PACKED), "terms")
     runs = index.documents.select(run.cast("int").alias("cell"), *of_document).mapInArrow(_pack_rows, PACKED)
@@ -109,23 +112,35 @@ def _pack_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for cell, rows in _runs(batches):
         sizes = pc.list_value_length(rows["tf"]).combine_chunks()
         ids, tf, norms = (pc.list_flatten(rows[name]).combine_chunks() for name in ("doc_id", "tf", "norm"))
-        ids, norms = ids.dictionary_encode("encode"), norms.dictionary_encode("encode")
-        # A document has one norm, but that is for the join to see.
-        pairs = ids.indices.to_numpy().astype(np.int64) * max(1, len(norms.dictionary)) + norms.indices.to_numpy()
-        places = pa.array(pairs).dictionary_encode()
-        of_id, of_norm = np.divmod(places.dictionary.to_numpy(), max(1, len(norms.dictionary)))
+        ids, norms, places = _distinct(ids, norms)
         columns = {
             "term": rows["term"].combine_chunks(),
             "size": sizes,
-            "place": _narrow(places.indices),
+            "place": _narrow(places),
             "tf": _narrow(tf),
-            "doc_id": ids.dictionary.take(pa.array(of_id)),
-            "norm": norms.dictionary.take(pa.array(of_norm)),
+            "doc_id": ids,
+            "norm": norms,
         }
         one_row = {name: pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for name, c in columns.items()}
         yield _packed(cell, pa.table(one_row))
 
 
+def _distinct(ids: pa.Array, norms: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """The distinct pairs of an id and a norm, and the place of each posting's pair among them."""
+    found = ids.dictionary_encode("encode")
+    if not norms.null_count:
+        # A document has one norm in an index as it was saved.
+        of_id, at, bits = np.empty(len(found.dictionary), np.int64), found.indices.to_numpy(), norms.view(pa.int64()).to_numpy()
+        of_id[at] = np.arange(len(at))
+        if (bits[of_id][at] == bits).all():
+            return found.dictionary, norms.take(pa.array(of_id)), found.indices
+    of_norm = norms.dictionary_encode("encode")
+    n_norms = max(1, len(of_norm.dictionary))
+    pairs = pa.array(found.indices.to_numpy().astype(np.int64) * n_norms + of_norm.indices.to_numpy()).dictionary_encode()
+    id_place, norm_place = np.divmod(pairs.dictionary.to_numpy(), n_norms)
+    return found.dictionary.take(pa.array(id_place)), of_norm.dictionary.take(pa.array(norm_place)), pairs.indices
+
+
 def _narrow(numbers: pa.Array) -> pa.Array:
     """Numbers of 0 or more in the narrowest type that holds them."""
     return numbers.cast(pa.from_numpy_dtype(np.min_scalar_type(pc.max(numbers).as_py() or 0)))

@@ -474,12 +474,13 @@ def test_described_postings_equal_plain_joins(spark, tmp_path, monkeypatch, per_
     assert described_postings(index).columns == DESCRIBED.names
 
 
-def test_described_lists_are_met_in_steps(monkeypatch):
-    """Batches that cut cells, rows of the result in small batches, ids without document."""
+@pytest.mark.parametrize("odd", [lambda d, k: d / 3, lambda d, k: None if d == 2 else d / 3, lambda d, k: d / (k % 2 + 1)])
+def test_described_lists_are_met_in_steps(monkeypatch, odd):
+    """Batches that cut cells, rows of the result in small batches, ids without document, stored norms that are null or differ."""
     monkeypatch.setattr(described_module, "BYTES_PACKED", 200)
     monkeypatch.setattr(described_module, "ROWS_AT_ONCE", 3)
     kinds = {"doc_id": pa.int64(), "tf": pa.int64(), "norm": pa.float64()}
-    lists = [[{"doc_id": d if d != 4 else None, "tf": 300 * d + 1, "norm": None if d == 2 else d / 3} for d in range(k % 5, 7)] for k in range(40)]
+    lists = [[{"doc_id": d if d != 4 else None, "tf": 300 * d + 1, "norm": odd(d, k)} for d in range(k % 5, 7)] for k in range(40)]
     by_list = {name: pa.array([[p[name] for p in postings] for postings in lists], pa.list_(kind)) for name, kind in kinds.items()}
     table = pa.table({"cell": pa.array([k // 15 for k in range(40)], pa.int32()), "term": [f"t{k}" for k in range(40)], **by_list})
     packed = list(described_module._pack_lists(iter(table.to_batches(max_chunksize=7))))
